@@ -86,3 +86,188 @@ FROM games g LEFT JOIN (
   FROM post_rows
   WHERE posted_at >= {_HI} - INTERVAL {C.POSTS_WINDOW_DAYS} DAY AND posted_at <= {_HI}
   GROUP BY game_id) m ON g.id = m.game_id""", "games", "post_rows")
+
+
+# ---------------------------------------------------------------- selections
+RECENT_BOUND = C.AS_OF_EPOCH - C.RECENT_WINDOW_DAYS * C.SECONDS_PER_DAY
+PAGE_BOUND = 883612800
+_RECENT_IDS = f"""(SELECT id FROM games WHERE first_release_date >= {RECENT_BOUND}
+   ORDER BY hypes DESC NULLS LAST, id LIMIT {C.RECENT_TOP_K})"""
+
+ORACLES["upcoming_window"] = sql(f"""
+SELECT id, days_to_release, {r6('hype_score')} AS hype_score FROM gm
+WHERE is_upcoming AND days_to_release BETWEEN 1 AND 365""", "gm")
+
+ORACLES["recent_top_hyped"] = sql(f"""
+SELECT id, name, hypes, first_release_date, days_to_release, is_upcoming,
+  {r6('hype_score')} AS hype_score
+FROM gm WHERE id IN {_RECENT_IDS}""", "gm")
+
+ORACLES["release_split"] = sql("""
+SELECT CASE WHEN is_upcoming THEN 'upcoming' ELSE 'released' END AS split,
+  CAST(count(*) AS INTEGER) AS n FROM gm GROUP BY 1""", "gm")
+
+ORACLES["split_preview"] = sql(f"""
+SELECT split, position, id, substr(name, 1, 40) AS name,
+  CASE WHEN split = 'upcoming' THEN days_to_release ELSE days_since_release END AS days,
+  {r6("CASE WHEN split = 'upcoming' THEN hype_score ELSE rating END")} AS metric,
+  CASE WHEN len(genres) = 0 THEN 'N/A'
+       ELSE array_to_string(genres[1:2], ', ') END AS genres_preview,
+  CASE WHEN len(platforms) = 0 THEN 'N/A'
+       ELSE array_to_string(platforms[1:2], ', ') END AS platforms_preview
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY split
+                 ORDER BY hypes DESC NULLS LAST, id) AS INTEGER) AS position
+      FROM (SELECT *, CASE WHEN is_upcoming THEN 'upcoming' ELSE 'released' END AS split
+            FROM gm WHERE id IN {_RECENT_IDS}))
+WHERE position <= {C.PREVIEW_ROWS}""", "gm")
+
+ORACLES["release_page"] = sql(f"""
+SELECT id, name, first_release_date FROM games
+WHERE first_release_date >= {PAGE_BOUND}
+ORDER BY first_release_date, id LIMIT {C.BULK_PAGE_SIZE} OFFSET {C.BULK_PAGE_SIZE}""", "games")
+
+ORACLES["release_pages"] = sql(f"""
+SELECT id, first_release_date, CAST((rn - 1) // {C.BULK_PAGE_SIZE} AS INTEGER) AS page,
+  CAST((rn - 1) % {C.BULK_PAGE_SIZE} + 1 AS INTEGER) AS position
+FROM (SELECT id, first_release_date,
+        row_number() OVER (ORDER BY first_release_date, id) AS rn
+      FROM games WHERE first_release_date >= {PAGE_BOUND})""", "games")
+
+# ---------------------------------------------------------------- messages
+_OK = "id % 1000 NOT IN (997, 998, 999)"
+_TS = (f"strftime(to_timestamp({C.AS_OF_EPOCH} + id % 600), '%Y-%m-%d %H:%M:%S')")
+_DEC_ROUNDED = {"rating", "total_rating", "aggregated_rating", "hype_score", "longevity_score"}
+_DEC_COLS = ["id", "name", "rating", "rating_count", "hypes", "follows",
+             "first_release_date", "total_rating", "aggregated_rating",
+             "days_since_release", "days_to_release", "is_released", "is_upcoming",
+             "franchise_count", "platform_count", "genre_count", "hype_score",
+             "longevity_score", "success_level"]
+_DEC_ARRAYS = ["franchises", "genres", "platforms", "genre_ids", "platform_ids",
+               "game_modes", "themes"]
+ORACLES["decode_games"] = sql(
+    "SELECT " + _TS + " AS timestamp, "
+    + ", ".join(f"{r6(c)} AS {c}" if c in _DEC_ROUNDED else c for c in _DEC_COLS) + ", "
+    + ", ".join(f"{joined(a)} AS {a}" for a in _DEC_ARRAYS)
+    + f" FROM gm WHERE {_OK}", "gm")
+
+
+def _json_ints(c):
+    return f"'[' || array_to_string({c}, ',') || ']'"
+
+
+def _json_strs(c):
+    return f"""'[' || array_to_string(list_transform({c}, lambda x: '"' || x || '"'), ',') || ']'"""
+
+
+ORACLES["encode_games"] = sql(f"""
+SELECT id, name AS j_name, CAST(hypes AS VARCHAR) AS j_hypes,
+  {_json_ints('genre_ids')} AS j_genre_ids, {_json_strs('genres')} AS j_genres,
+  CAST(is_upcoming AS VARCHAR) AS j_is_upcoming,
+  CAST(days_to_release AS VARCHAR) AS j_days_to_release FROM gm""", "gm")
+
+ORACLES["load_stats"] = sql(f"""
+SELECT CAST(count(*) AS BIGINT) AS fetched,
+  CAST(count(*) FILTER (WHERE {_OK}) AS BIGINT) AS sent,
+  CAST(count(*) FILTER (WHERE NOT ({_OK})) AS BIGINT) AS failed FROM games""", "games")
+
+ORACLES["fill_defaults"] = sql(f"""
+SELECT id, hypes, follows, rating_count, franchise_count, platform_count, genre_count,
+  {r6('total_rating')} AS total_rating, {r6('aggregated_rating')} AS aggregated_rating
+FROM gfill""", "gfill")
+
+CTES_DOCS = f"""
+SELECT *, ((CAST(hypes > 0 AS INTEGER) + CAST(follows > 0 AS INTEGER)
+   + CAST(rating_count > 0 AS INTEGER) + CAST(franchise_count > 0 AS INTEGER)
+   + CAST(platform_count > 0 AS INTEGER) + CAST(genre_count > 0 AS INTEGER)) / {D(6.0)}
+  + CASE WHEN community_data_volume >= 50 THEN {D(0.15)}
+         WHEN community_data_volume >= 20 THEN {D(0.10)}
+         WHEN community_data_volume >= 5 THEN {D(0.05)} ELSE {D(0.0)} END) * 100
+  AS prediction_confidence
+FROM community"""
+from .oracle import CTES  # noqa: E402
+CTES["scored"] = (CTES_DOCS, ["community"])
+
+ORACLES["confidence"] = sql(f"""
+SELECT id, community_data_volume, {r6('prediction_confidence')} AS prediction_confidence
+FROM scored""", "scored")
+
+ORACLES["success_score"] = sql(f"""
+SELECT id, success_level, CAST(success_level * {D(50.0)} AS DOUBLE) AS success_score
+FROM gm""", "gm")
+
+_DOC_ROUNDED = ["rating", "total_rating", "aggregated_rating", "genre_popularity_score",
+                "platform_reach_score", "hype_score", "longevity_score",
+                "community_sentiment_score", "prediction_confidence"]
+_DOC_ARRAYS = ["genres", "platforms", "game_modes", "themes", "player_perspectives"]
+ORACLES["document_projection"] = sql(
+    f"""SELECT id AS game_id, name, rating_count, hypes, follows,
+  release_date_formatted AS release_date, days_to_release, days_since_release,
+  is_released, is_upcoming, franchise_count, platform_count, genre_count, success_level,
+  community_sentiment_label, community_data_volume, sentiment_source,
+  CAST(NULL AS DOUBLE) AS predicted_rating, CAST(NULL AS DOUBLE) AS predicted_success_score,
+  CAST(7 AS BIGINT) AS batch_id, CAST({C.AS_OF_EPOCH} AS BIGINT) AS processed_timestamp,
+  {q('2000-01-01T12:00:00')} AS ingestion_time, """
+    + ", ".join(f"{r6(c)} AS {c}" for c in _DOC_ROUNDED) + ", "
+    + ", ".join(f"{joined(a)} AS {a}" for a in _DOC_ARRAYS) + " FROM scored", "scored")
+
+ORACLES["doc_keys"] = sql("""
+SELECT id AS game_id, CAST(7 AS BIGINT) AS batch_id, CAST(id AS VARCHAR) || '_7' AS doc_id
+FROM games""", "games")
+
+CTES["history"] = (f"""
+SELECT id AS game_id, name, rating, coalesce(rating_count, 0) AS rating_count,
+  coalesce(total_rating, 0) AS total_rating, coalesce(aggregated_rating, 0) AS aggregated_rating,
+  coalesce(hypes, 0) AS hypes, coalesce(follows, 0) AS follows,
+  release_date_formatted AS release_date,
+  coalesce(days_to_release, 0) AS days_to_release,
+  coalesce(days_since_release, 0) AS days_since_release, is_released, is_upcoming,
+  coalesce(franchise_count, 0) AS franchise_count,
+  coalesce(platform_count, 0) AS platform_count, coalesce(genre_count, 0) AS genre_count,
+  coalesce(hype_score, 0) AS hype_score, coalesce(longevity_score, 0) AS longevity_score,
+  coalesce(success_level, 0) AS success_level, genres, platforms, game_modes, themes,
+  coalesce(community_sentiment_score, {D(50.0)}) AS community_sentiment_score
+FROM scored""", ["scored"])
+
+_HIST_ROUNDED = {"rating", "total_rating", "aggregated_rating", "hype_score",
+                 "longevity_score", "community_sentiment_score"}
+_HIST_COLS = ["game_id", "name", "rating", "rating_count", "total_rating",
+              "aggregated_rating", "hypes", "follows", "release_date", "days_to_release",
+              "days_since_release", "is_released", "is_upcoming", "franchise_count",
+              "platform_count", "genre_count", "hype_score", "longevity_score",
+              "success_level", "genres", "platforms", "game_modes", "themes",
+              "community_sentiment_score"]
+_HIST_ARR = {"genres", "platforms", "game_modes", "themes"}
+ORACLES["history_scan"] = sql(
+    "SELECT " + ", ".join(f"{r6(c)} AS {c}" if c in _HIST_ROUNDED
+                          else (f"{joined(c)} AS {c}" if c in _HIST_ARR else c)
+                          for c in _HIST_COLS) + " FROM history", "history")
+
+ORACLES["bulk_metrics"] = sql(f"""
+SELECT id AS game_id, name, release_date_formatted, days_since_release, days_to_release,
+  is_released, is_upcoming, franchise_count, platform_count, genre_count, company_count,
+  video_count, screenshot_count, website_count, marketing_intensity,
+  {r6('hype_score')} AS hype_score, {r6('longevity_score')} AS longevity_score,
+  success_level, has_multiplayer, has_expansions, first_release_date AS release_date,
+  {q('2000-01-01T12:00:00')} AS ingestion_time,
+  CAST({C.AS_OF_EPOCH} AS BIGINT) AS processed_timestamp,
+  {joined('coalesce(genre_ids, []::INTEGER[])')} AS genre_ids, {joined('genres')} AS genres,
+  {joined('coalesce(expansions, []::INTEGER[])')} AS expansions,
+  {joined('coalesce(videos, []::INTEGER[])')} AS videos
+FROM gm""", "gm")
+
+# ---------------------------------------------------------------- training
+ORACLES["train_counts"] = sql("""
+SELECT CAST(count(*) AS BIGINT) AS total,
+  CAST(count(*) FILTER (WHERE rating IS NOT NULL) AS BIGINT) AS n_rating,
+  CAST(count(*) FILTER (WHERE rating IS NOT NULL) AS BIGINT) AS n_rating_base,
+  CAST(count(*) FILTER (WHERE rating_count IS NOT NULL AND rating_count > 0) AS BIGINT)
+    AS n_rating_count,
+  CAST(count(*) FILTER (WHERE longevity_score IS NOT NULL) AS BIGINT) AS n_longevity,
+  CAST(count(*) FILTER (WHERE success_level IS NOT NULL) AS BIGINT) AS n_success
+FROM history""", "history")
+
+ORACLES["feature_rows"] = sql(f"""
+SELECT id, {r6(f'''{D(0.0)} + hypes + follows + rating_count + franchise_count + platform_count
+  + genre_count + total_rating + aggregated_rating''')} AS feature_sum
+FROM gm WHERE hypes IS NOT NULL AND follows IS NOT NULL AND rating_count IS NOT NULL
+  AND total_rating IS NOT NULL AND aggregated_rating IS NOT NULL""", "gm")

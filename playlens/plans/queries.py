@@ -177,3 +177,225 @@ def posts_last_month(spark, sf):
     g = sent.posts_last_month(raw_games(spark, sf), fx.posts(spark, sf), C.POSTS_AS_OF)
     return g.select("id", "month_post_volume",
                     r6("month_reddit_score").alias("month_reddit_score"))
+
+
+# ---------------------------------------------------------------- selections
+
+from ..operators import selection as sel  # noqa: E402
+
+RECENT_BOUND = AS_OF - C.RECENT_WINDOW_DAYS * C.SECONDS_PER_DAY
+# fixture releases span 1995..2001, so the page bound sits inside that range
+PAGE_BOUND = 883612800  # 1998-01-01 00:00:00 UTC
+PAGE_SIZE = C.BULK_PAGE_SIZE
+
+
+def recent_batch(spark, sf):
+    """Crawl batch: released in the last 60 days or later, top 100 by hypes,
+    then transformed."""
+    raw = sel.top_hyped(sel.recent_window(raw_games(spark, sf), AS_OF))
+    return enrich.crawl_transform(raw, fx.dimensions(spark), AS_OF)
+
+
+@register
+def upcoming_window(spark, sf):
+    g = sel.upcoming_window(stream_games(spark, sf))
+    return g.select("id", "days_to_release", r6("hype_score").alias("hype_score"))
+
+
+@register
+def recent_top_hyped(spark, sf):
+    g = recent_batch(spark, sf)
+    return g.select("id", "name", "hypes", "first_release_date", "days_to_release",
+                    "is_upcoming", r6("hype_score").alias("hype_score"))
+
+
+@register
+def release_split(spark, sf):
+    return sel.release_split_counts(stream_games(spark, sf))
+
+
+@register
+def split_preview(spark, sf):
+    p = sel.split_preview(recent_batch(spark, sf))
+    return p.withColumn("metric", r6("metric"))
+
+
+@register
+def release_page(spark, sf):
+    p = sel.release_page(raw_games(spark, sf), PAGE_BOUND, 1, PAGE_SIZE)
+    return p.select("id", "name", "first_release_date")
+
+
+@register
+def release_pages(spark, sf):
+    p = sel.release_pages(raw_games(spark, sf), PAGE_BOUND, PAGE_SIZE)
+    return p.select("id", "first_release_date", "page", "position")
+
+
+# ---------------------------------------------------------------- messages
+
+from ..sinks import documents as docs_op  # noqa: E402
+from ..sources import stream as st  # noqa: E402
+from ..schemas import HISTORY, conform  # noqa: E402
+from .enrichment import enrich_documents, score_records  # noqa: E402
+
+DECODED_COLS = ["timestamp", "id", "name", "rating", "rating_count", "hypes",
+                "follows", "first_release_date", "total_rating", "aggregated_rating",
+                "days_since_release", "days_to_release", "is_released",
+                "is_upcoming", "franchise_count", "platform_count", "genre_count",
+                "hype_score", "longevity_score", "success_level"]
+DECODED_ARRAYS = ["franchises", "genres", "platforms", "genre_ids", "platform_ids",
+                  "game_modes", "themes"]
+ROUNDED = {"rating", "total_rating", "aggregated_rating", "hype_score", "longevity_score"}
+
+
+def envelope_of(spark, sf):
+    return fx.envelope(stream_games(spark, sf), AS_OF)
+
+
+@register
+def decode_games(spark, sf):
+    g = st.decode(envelope_of(spark, sf))
+    cols = [r6(c).alias(c) if c in ROUNDED else F.col(c) for c in DECODED_COLS]
+    return g.select(*cols, *[joined(a).alias(a) for a in DECODED_ARRAYS])
+
+
+@register
+def encode_games(spark, sf):
+    m = docs_op.encode(stream_games(spark, sf))
+    v = F.col("value")
+    return m.select(
+        F.col("key").cast("int").alias("id"),
+        F.get_json_object(v, "$.name").alias("j_name"),
+        F.get_json_object(v, "$.hypes").alias("j_hypes"),
+        F.get_json_object(v, "$.genre_ids").alias("j_genre_ids"),
+        F.get_json_object(v, "$.genres").alias("j_genres"),
+        F.get_json_object(v, "$.is_upcoming").alias("j_is_upcoming"),
+        F.get_json_object(v, "$.days_to_release").alias("j_days_to_release"))
+
+
+@register
+def load_stats(spark, sf):
+    return docs_op.load_stats(envelope_of(spark, sf), st.decode_ok("value"))
+
+
+@register
+def fill_defaults(spark, sf):
+    g = enrich.fill_defaults(stream_games(spark, sf))
+    return g.select("id", "hypes", "follows", "rating_count", "franchise_count",
+                    "platform_count", "genre_count", r6("total_rating").alias("total_rating"),
+                    r6("aggregated_rating").alias("aggregated_rating"))
+
+
+def scored(spark, sf):
+    return score_records(stream_games(spark, sf), fx.posts(spark, sf), fx.reviews(spark, sf))
+
+
+@register
+def confidence(spark, sf):
+    g = scored(spark, sf)
+    return g.select("id", "community_data_volume",
+                    r6("prediction_confidence").alias("prediction_confidence"))
+
+
+@register
+def success_score(spark, sf):
+    g = stream_games(spark, sf)
+    return g.select("id", "success_level",
+                    S.success_score("success_level").alias("success_score"))
+
+
+def documents_of(spark, sf, batch_id=0):
+    return enrich_documents(stream_games(spark, sf), fx.posts(spark, sf),
+                            fx.reviews(spark, sf), batch_id, AS_OF)
+
+
+DOC_ROUNDED = ["rating", "total_rating", "aggregated_rating", "genre_popularity_score",
+               "platform_reach_score", "hype_score", "longevity_score",
+               "community_sentiment_score", "prediction_confidence"]
+DOC_PLAIN = ["game_id", "name", "rating_count", "hypes", "follows", "release_date",
+             "days_to_release", "days_since_release", "is_released", "is_upcoming",
+             "franchise_count", "platform_count", "genre_count", "success_level",
+             "community_sentiment_label", "community_data_volume", "sentiment_source",
+             "predicted_rating", "predicted_success_score", "batch_id",
+             "processed_timestamp", "ingestion_time"]
+DOC_ARRAYS = ["genres", "platforms", "game_modes", "themes", "player_perspectives"]
+
+
+@register
+def document_projection(spark, sf):
+    d = documents_of(spark, sf, batch_id=7)
+    return d.select(*DOC_PLAIN, *[r6(c).alias(c) for c in DOC_ROUNDED],
+                    *[joined(a).alias(a) for a in DOC_ARRAYS])
+
+
+@register
+def doc_keys(spark, sf):
+    d = documents_of(spark, sf, batch_id=7)
+    return d.select("game_id", "batch_id", docs_op.doc_key().alias("doc_id"))
+
+
+def history_of(spark, sf):
+    """History as read back from the document store: conformed + filled."""
+    h = conform(documents_of(spark, sf), HISTORY)
+    return h.na.fill(C.HISTORY_FILLS)
+
+
+HIST_ROUNDED = ["rating", "total_rating", "aggregated_rating", "hype_score",
+                "longevity_score", "community_sentiment_score"]
+
+
+@register
+def history_scan(spark, sf):
+    h = history_of(spark, sf)
+    cols = []
+    for f in HISTORY.fields:
+        if f.name in HIST_ROUNDED:
+            cols.append(r6(f.name).alias(f.name))
+        elif f.dataType.typeName() == "array":
+            cols.append(joined(f.name).alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    return h.select(*cols)
+
+
+@register
+def bulk_metrics(spark, sf):
+    d = enrich.bulk_document(raw_games(spark, sf), fx.dimensions(spark), AS_OF)
+    return d.select(
+        "game_id", "name", "release_date_formatted", "days_since_release",
+        "days_to_release", "is_released", "is_upcoming", "franchise_count",
+        "platform_count", "genre_count", "company_count", "video_count",
+        "screenshot_count", "website_count", "marketing_intensity",
+        r6("hype_score").alias("hype_score"), r6("longevity_score").alias("longevity_score"),
+        "success_level", "has_multiplayer", "has_expansions", "release_date",
+        "ingestion_time", "processed_timestamp",
+        joined("genre_ids").alias("genre_ids"), joined("genres").alias("genres"),
+        joined("expansions").alias("expansions"), joined("videos").alias("videos"))
+
+
+# ---------------------------------------------------------------- training
+
+from ..operators import ml  # noqa: E402
+
+
+@register
+def train_counts(spark, sf):
+    t = ml.training_frame(history_of(spark, sf))
+    aggs = [F.count(F.lit(1)).cast("long").alias("total")]
+    for name in ml.DEFAULT_MODELS:
+        aggs.append(F.count_if(ml.SPEC_BY_NAME[name].row_filter()).cast("long")
+                    .alias(f"n_{name}"))
+    return t.agg(*aggs)
+
+
+@register
+def feature_rows(spark, sf):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    g = stream_games(spark, sf)
+    asm = VectorAssembler(inputCols=C.EXTENDED_FEATURES, outputCol="features",
+                          handleInvalid="skip")
+    v = asm.transform(g)
+    total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
+    return v.select("id", r6(total).alias("feature_sum"))

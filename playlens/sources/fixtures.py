@@ -162,3 +162,22 @@ def dimension(spark: SparkSession, kind: str) -> DataFrame:
 
 def dimensions(spark: SparkSession) -> dict[str, DataFrame]:
     return {k: dimension(spark, k) for k in DIMENSIONS}
+
+
+# envelope rule: a few ids carry undecodable messages (decode tests)
+ENVELOPE_BAD = {999: "not json", 998: ""}
+ENVELOPE_NULL_ID = 997
+
+
+def envelope(records: DataFrame, as_of: int, key: str = "id") -> DataFrame:
+    """Topic envelope ``(timestamp, value)`` of game records: the record as
+    JSON, except ids ending in 997/998/999 (per thousand) which carry a null,
+    an empty and a malformed value."""
+    k = F.col(key) % 1000
+    value = F.to_json(F.struct(*[F.col(c) for c in records.columns]))
+    for rem, bad in ENVELOPE_BAD.items():
+        value = F.when(k == rem, F.lit(bad)).otherwise(value)
+    value = F.when(k == ENVELOPE_NULL_ID, F.lit(None).cast("string")).otherwise(value)
+    ts = F.date_format(F.timestamp_seconds(F.lit(as_of) + (F.col(key) % 600)),
+                       "yyyy-MM-dd HH:mm:ss")
+    return records.select(ts.alias("timestamp"), value.alias("value"))
