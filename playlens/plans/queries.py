@@ -399,3 +399,70 @@ def feature_rows(spark, sf):
     v = asm.transform(g)
     total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
     return v.select("id", r6(total).alias("feature_sum"))
+
+
+# ---------------------------------------------------------------- predictions
+# (rows-only checks: model outputs have no SQL oracle)
+
+_MODELS: dict = {}
+
+
+def trained(spark, sf, names):
+    """Models fitted on the history of ``sf``, kept per model for the process
+    (one training pass fits every model not fitted yet)."""
+    missing = [n for n in names if (sf, n) not in _MODELS]
+    if missing:
+        fitted = ml.train_models(history_of(spark, sf), missing)
+        for n in missing:
+            _MODELS[(sf, n)] = fitted.get(n)
+    return {n: _MODELS[(sf, n)] for n in names if _MODELS[(sf, n)] is not None}
+
+
+def predicted(spark, sf, names):
+    return score_records(stream_games(spark, sf), fx.posts(spark, sf),
+                         fx.reviews(spark, sf), trained(spark, sf, names))
+
+
+@register
+def predict_rating(spark, sf):
+    return predicted(spark, sf, ["rating"]).select("id", "predicted_rating")
+
+
+@register
+def predict_rating_base(spark, sf):
+    return predicted(spark, sf, ["rating_base"]).select("id", "predicted_rating")
+
+
+@register
+def predict_rating_count(spark, sf):
+    return predicted(spark, sf, ["rating_count"]).select("id", "predicted_rating_count")
+
+
+@register
+def predict_longevity(spark, sf):
+    return predicted(spark, sf, ["longevity"]).select("id", "predicted_longevity")
+
+
+@register
+def predict_success(spark, sf):
+    return predicted(spark, sf, ["success"]).select(
+        "id", "predicted_success_class", "predicted_success_score")
+
+
+@register
+def predict_all(spark, sf):
+    g = predicted(spark, sf, ml.DEFAULT_MODELS)
+    return docs_op.document(g, 0, AS_OF).select(
+        "game_id", "predicted_rating", "predicted_rating_count", "predicted_longevity",
+        "predicted_success_class", "predicted_success_score", "prediction_confidence")
+
+
+@register
+def predict_rating_linear(spark, sf):
+    models = trained(spark, sf, ["rating_linear"])
+    g = score_records(stream_games(spark, sf), fx.posts(spark, sf), fx.reviews(spark, sf))
+    if "rating_linear" in models:
+        g = ml._apply(g, ml.SPEC_BY_NAME["rating_linear"], models["rating_linear"])
+    else:
+        g = g.withColumn("predicted_rating_linear", F.lit(None).cast("double"))
+    return g.select("id", "predicted_rating_linear")
