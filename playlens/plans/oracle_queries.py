@@ -271,3 +271,20 @@ SELECT id, {r6(f'''{D(0.0)} + hypes + follows + rating_count + franchise_count +
   + genre_count + total_rating + aggregated_rating''')} AS feature_sum
 FROM gm WHERE hypes IS NOT NULL AND follows IS NOT NULL AND rating_count IS NOT NULL
   AND total_rating IS NOT NULL AND aggregated_rating IS NOT NULL""", "gm")
+
+# ---------------------------------------------------------------- TTL memo
+ORACLES["sentiment_memo"] = f"""
+WITH RECURSIVE ev AS (
+  SELECT CAST(user_id % 5 AS INTEGER) AS k, event_id,
+    CAST(floor(epoch(ts)) AS BIGINT) AS t, value AS v,
+    row_number() OVER (PARTITION BY user_id % 5
+                       ORDER BY CAST(floor(epoch(ts)) AS BIGINT), event_id) AS rn
+  FROM events),
+r(k, rn, event_id, t, anchor_t, memo) AS (
+  SELECT k, rn, event_id, t, t, v FROM ev WHERE rn = 1
+  UNION ALL
+  SELECT e.k, e.rn, e.event_id, e.t,
+    CASE WHEN e.t - r.anchor_t < {C.MEMO_TTL_SECONDS} THEN r.anchor_t ELSE e.t END,
+    CASE WHEN e.t - r.anchor_t < {C.MEMO_TTL_SECONDS} THEN r.memo ELSE e.v END
+  FROM r JOIN ev e ON e.k = r.k AND e.rn = r.rn + 1)
+SELECT event_id, k, t, anchor_t AS memo_at, round(memo, 6) AS memo_score FROM r"""

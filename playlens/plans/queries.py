@@ -466,3 +466,26 @@ def predict_rating_linear(spark, sf):
     else:
         g = g.withColumn("predicted_rating_linear", F.lit(None).cast("double"))
     return g.select("id", "predicted_rating_linear")
+
+
+# ---------------------------------------------------------------- TTL memo
+
+from ..operators.memo import ttl_memo  # noqa: E402
+from ..sources.tables import read_table  # noqa: E402
+
+MEMO_KEYS = 5
+
+
+def memo_events(spark, sf):
+    """Events as memo requests: key ``user_id % 5``, whole epoch seconds,
+    the event value as the computed score."""
+    ev = read_table(spark, sf, "events")
+    return ev.select((F.col("user_id") % MEMO_KEYS).cast("int").alias("k"),
+                     F.unix_seconds(F.col("ts").cast("timestamp")).alias("t"),
+                     "event_id", F.col("value").alias("score"))
+
+
+@register
+def sentiment_memo(spark, sf):
+    m = ttl_memo(memo_events(spark, sf), "k", "t", "event_id", "score", C.MEMO_TTL_SECONDS)
+    return m.select("event_id", "k", "t", "memo_at", r6("memo_value").alias("memo_score"))
