@@ -489,3 +489,29 @@ def memo_events(spark, sf):
 def sentiment_memo(spark, sf):
     m = ttl_memo(memo_events(spark, sf), "k", "t", "event_id", "score", C.MEMO_TTL_SECONDS)
     return m.select("event_id", "k", "t", "memo_at", r6("memo_value").alias("memo_score"))
+
+
+# ---------------------------------------------------------------- streaming
+# (rows-only checks: a stream run through the file source and foreachBatch)
+
+import uuid  # noqa: E402
+
+from ..session import shared_dir  # noqa: E402
+from ..streaming.pipeline import start_enrichment  # noqa: E402
+
+
+@register
+def stream_roundtrip(spark, sf):
+    """Envelope files -> file stream -> foreachBatch enrichment -> idempotent
+    documents sink; returns the sink read back."""
+    base = shared_dir(spark, f"stream_roundtrip/{uuid.uuid4().hex}")
+    envelope_of(spark, sf).write.mode("overwrite").json(base + "/in")
+    q = start_enrichment(st.file_stream(spark, base + "/in", max_files_per_trigger=2),
+                         fx.posts(spark, sf), fx.reviews(spark, sf), base + "/out",
+                         base + "/checkpoint", as_of_fn=lambda _b: AS_OF,
+                         available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(base + "/out").select(
+        "game_id", "batch_id", "doc_id", "is_upcoming",
+        r6("community_sentiment_score").alias("community_sentiment_score"),
+        r6("prediction_confidence").alias("prediction_confidence"))
