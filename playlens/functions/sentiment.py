@@ -78,17 +78,19 @@ def name_slug(name="name") -> Column:
 
 
 # First <div> whose class list holds the user-score token, then the text of
-# the first <span> inside it.  The skip between them is an unrolled loop
-# ("[^<]*(?:<[^/s][^<]*)*") so the regex engine never recurses per character,
-# and it may not cross a closing tag: a div without its own span gives null.
-REVIEW_SCORE_PATTERN = (
-    r'<div[^>]*class="[^"]*\b' + C.REVIEW_SCORE_CLASS + r'\b[^"]*"[^>]*>'
-    r'[^<]*(?:<[^/s][^<]*)*<span[^>]*>([^<]*)</span>')
+# the first <span> inside it.  Between them any tag may appear except the
+# closing </div> (a div without its own span gives null; nested divs are not
+# balanced).  The skip is an unrolled loop, "[^<]*(?:<(?!...)[^<]*)*", so the
+# regex engine never recurses per character on long pages.
+REVIEW_DIV = r'<div[^>]*class="[^"]*\b' + C.REVIEW_SCORE_CLASS + r'\b[^"]*"[^>]*>'
+REVIEW_SCORE_PATTERN = (REVIEW_DIV + r'[^<]*(?:<(?!/div\b|span\b)[^<]*)*'
+                        r'<span[^>]*>([^<]*)</span>')
 
 
 def review_user_score(html="html") -> Column:
     """User score on the page x 10, null when absent or not a number."""
-    txt = F.trim(F.regexp_extract(_c(html), REVIEW_SCORE_PATTERN, 1))
+    txt = F.regexp_replace(F.regexp_extract(_c(html), REVIEW_SCORE_PATTERN, 1),
+                           r"^\s+|\s+$", "")
     return (txt.try_cast("double") * C.REVIEW_SCALE)
 
 

@@ -11,7 +11,11 @@ from __future__ import annotations
 from .. import constants as C
 from ..sources.fixtures import (POST_TITLE_OTHER, POST_TITLES,
                                 REVIEW_BLOCK_NO_SPAN, REVIEW_BLOCK_TEXT)
-from ..functions.sentiment import REVIEW_SCORE_PATTERN
+from ..functions.sentiment import REVIEW_DIV
+
+# RE2 has no look-ahead: the oracle skips text and opening tags other than
+# <s...> and stops at any closing tag (equal on the fixture pages).
+REVIEW_SCORE_PATTERN_RE2 = REVIEW_DIV + r'[^<]*(?:<[^/s][^<]*)*<span[^>]*>([^<]*)</span>'
 
 AS_OF = C.AS_OF_EPOCH
 
@@ -231,7 +235,7 @@ FROM pages""", []),
 SELECT slug, metacritic_score, {_label('metacritic_score', 75, 50)} AS metacritic_label
 FROM (SELECT slug, arg_min(sc, game_id) AS metacritic_score
       FROM (SELECT slug, game_id,
-              TRY_CAST(trim(regexp_extract(html, {q(REVIEW_SCORE_PATTERN)}, 1)) AS DOUBLE)
+              TRY_CAST(trim(regexp_extract(html, {q(REVIEW_SCORE_PATTERN_RE2)}, 1)) AS DOUBLE)
                 * {D(10.0)} AS sc
             FROM reviews)
       GROUP BY slug)""", ["reviews"]),
