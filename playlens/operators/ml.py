@@ -127,7 +127,7 @@ def train_models(history: DataFrame, names=None, impute_labels: bool = True,
 
 
 def _apply(df: DataFrame, spec: ModelSpec, model: PipelineModel) -> DataFrame:
-    out = model.transform(df).drop(spec.features_col)
+    out = model.transform(df.drop(spec.prediction, spec.features_col)).drop(spec.features_col)
     if spec.kind == "lr":
         out = out.drop("rawPrediction", "probability")
     return out
@@ -136,7 +136,7 @@ def _apply(df: DataFrame, spec: ModelSpec, model: PipelineModel) -> DataFrame:
 def predict_all(df: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
     """Apply the available models in sequence; a missing model yields a
     typed null column.  ``rating_base`` stands in when ``rating`` is absent."""
-    out = df
+    out = df.drop("predicted_rating", *[s.prediction for s in SPECS])
     if "rating" in models:
         out = _apply(out, SPEC_BY_NAME["rating"], models["rating"])
     elif "rating_base" in models:
