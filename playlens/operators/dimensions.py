@@ -82,9 +82,18 @@ def translate_by_join(df: DataFrame, key: str, ids_col: str, dim: DataFrame,
         F.col("_names"), F.array().cast(ArrayType(StringType())))).drop("_names")
 
 
-def translate(df: DataFrame, ids_col: str, dim: DataFrame, out_col: str,
+def as_rows(dim: dict) -> list[dict]:
+    return [{"id": k, "name": v} for k, v in dim.items()]
+
+
+def translate(df: DataFrame, ids_col: str, dim, out_col: str,
               key: str = "id", strategy: str = "auto") -> DataFrame:
-    """Add ``out_col`` = names of ``ids_col`` looked up in ``dim``."""
+    """Add ``out_col`` = names of ``ids_col`` looked up in ``dim`` (a
+    DataFrame ``(id, name)``, or an already bounded ``{id: name}`` dict)."""
+    if isinstance(dim, dict):
+        if len(dim) > MAP_MAX_ROWS:
+            raise ValueError(f"dimension larger than {MAP_MAX_ROWS} entries")
+        return df.withColumn(out_col, names_expr(F.col(ids_col), id_name_map(as_rows(dim))))
     rows = bounded_rows(dim) if strategy in ("auto", "map") else None
     if rows is not None:
         return df.withColumn(out_col, names_expr(F.col(ids_col), id_name_map(rows)))
@@ -93,22 +102,26 @@ def translate(df: DataFrame, ids_col: str, dim: DataFrame, out_col: str,
     return translate_by_join(df, key, ids_col, dim, out_col)
 
 
-def translate_game(raw: DataFrame, dims: dict[str, DataFrame], key: str = "id",
+def translate_game(raw: DataFrame, dims: dict, key: str = "id",
                    strategy: str = "auto") -> DataFrame:
     """Raw id arrays -> ``*_ids`` (ids kept as given, single pass) and name
     arrays for the five dimensions."""
-    out = raw
-    for raw_col, (ids_col, names_col) in TRANSLATED.items():
-        if raw_col not in raw.columns:
-            continue
-        out = out.withColumn(ids_col, F.col(raw_col))
+    present = [c for c in TRANSLATED if c in raw.columns]
+    out = raw.withColumns({TRANSLATED[c][0]: F.col(c) for c in present})
+    if all(isinstance(dims[c], dict) for c in present):
+        return out.withColumns({
+            TRANSLATED[c][1]: names_expr(F.col(TRANSLATED[c][0]),
+                                         id_name_map(as_rows(dims[c])))
+            for c in present})
+    for raw_col in present:
+        ids_col, names_col = TRANSLATED[raw_col]
         out = translate(out, ids_col, dims[raw_col], names_col, key, strategy)
     return out
 
 
-def reverse_translate(df: DataFrame, names_col: str, dim: DataFrame,
+def reverse_translate(df: DataFrame, names_col: str, dim,
                       out_col: str) -> DataFrame:
-    rows = bounded_rows(dim)
+    rows = as_rows(dim) if isinstance(dim, dict) else bounded_rows(dim)
     if rows is None:
         raise ValueError("reverse translation needs a bounded dimension")
     return df.withColumn(out_col, ids_expr(F.col(names_col), name_id_map(rows)))

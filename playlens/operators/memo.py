@@ -44,14 +44,19 @@ def next_after(ev: DataFrame, ttl: int, split_seconds: int) -> DataFrame:
                        F.lit(0).alias("kind"), F.lit(None).cast("long").alias("eid"),
                        F.col("id").alias("src"))
     rows = events.unionByName(probes).withColumn("s", F.floor(F.col("t") / w))
-    order = [F.col("t"), F.col("kind"), F.col("id")]
-    ahead = Window.partitionBy("k", "s").orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
-    within = rows.withColumn("cand", F.first("eid", ignorenulls=True).over(ahead))
+    # "first event at or after me" as a running frame in reverse order: Spark
+    # computes running frames incrementally, while a frame that ends at
+    # "unbounded following" is re-aggregated for every row.
+    back = [F.col("t").desc(), F.col("kind").desc(), F.col("id").desc()]
+    ahead = Window.partitionBy("k", "s").orderBy(*back).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    within = rows.withColumn("cand", F.last("eid", ignorenulls=True).over(ahead))
     # per-key slice table: first event of each slice (null for probe-only slices)
     slices = rows.groupBy("k", "s").agg(
         F.min_by("eid", F.when(F.col("kind") == 1, F.struct("t", "id"))).alias("first_eid"))
-    later = Window.partitionBy("k").orderBy("s").rowsBetween(1, Window.unboundedFollowing)
-    slices = slices.select("k", "s", F.first("first_eid", ignorenulls=True).over(later)
+    later = Window.partitionBy("k").orderBy(F.col("s").desc()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    slices = slices.select("k", "s", F.last("first_eid", ignorenulls=True).over(later)
                            .alias("next_first"))
     p = within.where(F.col("kind") == 0).join(slices, ["k", "s"], "left")
     return p.select(F.col("src").alias("id"),

@@ -45,9 +45,9 @@ def raw_games(spark, sf):
     return fx.games(spark, sf)
 
 
-def stream_games(spark, sf, strategy="auto"):
+def stream_games(spark, sf):
     """Topic records as the crawler emits them (translated + metrics)."""
-    return enrich.crawl_transform(raw_games(spark, sf), fx.dimensions(spark), AS_OF, strategy)
+    return enrich.crawl_transform(raw_games(spark, sf), fx.dimension_maps(), AS_OF)
 
 
 def filled_games(spark, sf):
@@ -110,7 +110,7 @@ def _translated(g):
 
 @register
 def translate_ids(spark, sf):
-    return _translated(dims_op.translate_game(raw_games(spark, sf), fx.dimensions(spark)))
+    return _translated(dims_op.translate_game(raw_games(spark, sf), fx.dimension_maps()))
 
 
 @register
@@ -121,7 +121,7 @@ def translate_ids_join(spark, sf):
 
 @register
 def reverse_translate(spark, sf):
-    d = fx.dimensions(spark)
+    d = fx.dimension_maps()
     g = dims_op.translate_game(raw_games(spark, sf), d)
     g = dims_op.reverse_translate(g, "genres", d["genres"], "genre_ids_back")
     g = dims_op.reverse_translate(g, "platforms", d["platforms"], "platform_ids_back")
@@ -193,7 +193,7 @@ def recent_batch(spark, sf):
     """Crawl batch: released in the last 60 days or later, top 100 by hypes,
     then transformed."""
     raw = sel.top_hyped(sel.recent_window(raw_games(spark, sf), AS_OF))
-    return enrich.crawl_transform(raw, fx.dimensions(spark), AS_OF)
+    return enrich.crawl_transform(raw, fx.dimension_maps(), AS_OF)
 
 
 @register
@@ -361,7 +361,7 @@ def history_scan(spark, sf):
 
 @register
 def bulk_metrics(spark, sf):
-    d = enrich.bulk_document(raw_games(spark, sf), fx.dimensions(spark), AS_OF)
+    d = enrich.bulk_document(raw_games(spark, sf), fx.dimension_maps(), AS_OF)
     return d.select(
         "game_id", "name", "release_date_formatted", "days_since_release",
         "days_to_release", "is_released", "is_upcoming", "franchise_count",

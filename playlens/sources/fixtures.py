@@ -19,48 +19,63 @@ from .. import constants as C
 from .tables import read_table
 
 
-def _ids(expr: Column) -> Column:
-    """Sorted distinct int ids of a per-line expression (nulls dropped)."""
-    return F.sort_array(F.collect_set(expr.cast("int")))
-
-
-def _when(cond: Column, value: Column) -> Column:
-    return F.when(cond, value)
+def _ids(lines: Column, fn) -> Column:
+    """Sorted distinct int ids of a per-line expression (nulls dropped),
+    computed from the order's collected lines."""
+    vals = F.transform(lines, lambda x: fn(x).cast("int"))
+    return F.array_sort(F.array_distinct(F.filter(vals, lambda v: v.isNotNull())))
 
 
 def line_arrays(lineitem: DataFrame) -> DataFrame:
-    """Per order: quantity and every id array of the raw game."""
-    p, s, n = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
-    return (lineitem.groupBy("l_orderkey").agg(
+    """Per order: quantity and every id array of the raw game.
+
+    One aggregation buffer per order (the list of its few lines) instead of
+    one set per array; the arrays are then derived by higher-order functions
+    in a single projection."""
+    per_order = lineitem.groupBy("l_orderkey").agg(
         F.sum(F.col("l_quantity").cast("int")).cast("int").alias("q"),
-        _ids(p % C.FRANCHISE_MOD).alias("franchises"),
-        _ids(p % C.GENRE_MOD).alias("genres"),
-        _ids(s % C.PLATFORM_MOD).alias("platforms"),
-        _ids(p % C.THEME_MOD).alias("themes"),
-        _ids(n % C.GAME_MODE_MOD).alias("game_modes"),
-        _ids(s % C.PERSPECTIVE_MOD).alias("player_perspectives"),
-        _ids(s).alias("involved_companies"),
-        _ids(n).alias("screenshots"),
-        _ids(_when(F.col("l_returnflag") == "R", n)).alias("videos"),
-        _ids(_when(F.col("l_linestatus") == "F", n)).alias("artworks"),
-        _ids(s % 2).alias("websites"),
-        _ids(p).alias("similar_games"),
-        _ids(_when(F.col("l_discount") >= 0.05, n)).alias("expansions"),
-        _ids(_when(F.col("l_tax") >= 0.07, n)).alias("bundles"),
-    ))
+        F.collect_list(F.struct(
+            F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"),
+            F.col("l_linenumber").alias("n"), F.col("l_returnflag").alias("rf"),
+            F.col("l_linestatus").alias("ls"), F.col("l_discount").alias("d"),
+            F.col("l_tax").alias("t"))).alias("_lines"))
+    ln = F.col("_lines")
+
+    def when(cond, val):
+        return F.when(cond, val)
+
+    return per_order.select(
+        "l_orderkey", "q",
+        _ids(ln, lambda x: x["p"] % C.FRANCHISE_MOD).alias("franchises"),
+        _ids(ln, lambda x: x["p"] % C.GENRE_MOD).alias("genres"),
+        _ids(ln, lambda x: x["s"] % C.PLATFORM_MOD).alias("platforms"),
+        _ids(ln, lambda x: x["p"] % C.THEME_MOD).alias("themes"),
+        _ids(ln, lambda x: x["n"] % C.GAME_MODE_MOD).alias("game_modes"),
+        _ids(ln, lambda x: x["s"] % C.PERSPECTIVE_MOD).alias("player_perspectives"),
+        _ids(ln, lambda x: x["s"]).alias("involved_companies"),
+        _ids(ln, lambda x: x["n"]).alias("screenshots"),
+        _ids(ln, lambda x: when(x["rf"] == "R", x["n"])).alias("videos"),
+        _ids(ln, lambda x: when(x["ls"] == "F", x["n"])).alias("artworks"),
+        _ids(ln, lambda x: x["s"] % 2).alias("websites"),
+        _ids(ln, lambda x: x["p"]).alias("similar_games"),
+        _ids(ln, lambda x: when(x["d"] >= 0.05, x["n"])).alias("expansions"),
+        _ids(ln, lambda x: when(x["t"] >= 0.07, x["n"])).alias("bundles"),
+    )
 
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw games (RAW_GAME shape): orders left-joined to their line arrays.
 
-    The aggregate is hash-partitioned on ``l_orderkey`` already, so the
-    sort-merge join shuffles only ``orders``.
+    Both sides grow with the data (one row per order), so neither is
+    broadcast: the aggregate is hash-partitioned on ``l_orderkey`` already and
+    the shuffle-hash join re-partitions only ``orders`` on the same key; all
+    projections downstream then run in parallel over those partitions.
     """
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
         "o_orderdate", "o_orderpriority")
     li = line_arrays(read_table(spark, sf_dir, "lineitem"))
-    j = o.join(li, o.o_orderkey == li.l_orderkey, "left")
+    j = o.join(li.hint("shuffle_hash"), o.o_orderkey == li.l_orderkey, "left")
     q = F.col("q")
     price = F.col("o_totalprice")
     epoch = F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
@@ -161,9 +176,16 @@ def dimension(spark: SparkSession, kind: str) -> DataFrame:
 
 
 def dimensions(spark: SparkSession) -> dict[str, DataFrame]:
+    """The five dimensions as tables (the general, any-size form)."""
     return {k: dimension(spark, k) for k in DIMENSIONS}
 
 
+def dimension_maps() -> dict[str, dict[int, str]]:
+    """The five fixture dimensions as bounded ``{id: name}`` maps (fixed
+    values: folded into the plan without a job)."""
+    return {k: dict(enumerate(v)) for k, v in DIMENSIONS.items()}
+
+
 # envelope rule: a few ids carry undecodable messages (decode tests)
 ENVELOPE_BAD = {999: "not json", 998: ""}
 ENVELOPE_NULL_ID = 997

@@ -44,6 +44,14 @@ def _game(value: Column, schema: StructType) -> Column:
                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
 
 
+def _parsed_once(envelope: DataFrame, schema: StructType, keep: list[str]) -> DataFrame:
+    """Parse each message exactly once.  The struct is produced by a
+    one-element ``explode`` so the decode filter above it cannot be pushed
+    below the parse (which would evaluate ``from_json`` a second time)."""
+    return envelope.select(*keep, F.explode(F.array(_game(F.col("value"), schema)))
+                           .alias("game"))
+
+
 def is_decoded(game: Column) -> Column:
     return game.isNotNull() & game[CORRUPT].isNull()
 
@@ -52,15 +60,14 @@ def decode(envelope: DataFrame, schema: StructType = STREAM_GAME) -> DataFrame:
     """JSON value -> typed game columns next to the envelope timestamp.
     Null/empty values and malformed JSON are dropped here (see
     ``quarantine``), instead of turning into all-null rows."""
-    p = envelope.select(F.col("timestamp"), _game(F.col("value"), schema).alias("game"))
+    p = _parsed_once(envelope, schema, ["timestamp"])
     return p.where(is_decoded(F.col("game"))).select(
         "timestamp", *[F.col("game")[f.name].alias(f.name) for f in schema.fields])
 
 
 def quarantine(envelope: DataFrame, schema: StructType = STREAM_GAME) -> DataFrame:
     """Messages that did not decode, with the reason."""
-    p = envelope.select("timestamp", "value",
-                        _game(F.col("value"), schema).alias("game"))
+    p = _parsed_once(envelope, schema, ["timestamp", "value"])
     reason = (F.when(F.col("value").isNull(), F.lit("null"))
               .when(F.trim(F.col("value")) == "", F.lit("empty"))
               .otherwise(F.lit("malformed")))
