@@ -26,7 +26,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def register(fn):
-    QUERIES[fn.__name__] = fn
+    """Register a query; it pins the session settings its semantics need
+    (UTC day arithmetic, ANSI casts) on whatever session it is given."""
+    import functools
+
+    from ..session import pin_semantics
+
+    @functools.wraps(fn)
+    def run(spark, sf):
+        pin_semantics(spark)
+        return fn(spark, sf)
+
+    QUERIES[fn.__name__] = run
     return fn
 
 

@@ -40,11 +40,17 @@ def build_session(master: str | None = None, app_name: str = "playlens",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    for k, v in _SEMANTIC_CONF.items():
-        spark.conf.set(k, v)
+    pin_semantics(spark)
     return spark
 
 
+def pin_semantics(spark: SparkSession) -> None:
+    """Set the settings the results depend on, on an existing session."""
+    for k, v in _SEMANTIC_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+
+
 _LOCAL_BASE: dict[int, str] = {}
 
 
