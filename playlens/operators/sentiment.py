@@ -84,7 +84,8 @@ def sentiment_gate(days_to="days_to_release", upcoming="is_upcoming"):
 def with_community_sentiment(games: DataFrame, posts: DataFrame,
                              reviews: DataFrame, key: str = "id",
                              posts_available: bool = True,
-                             zero_is_missing: bool = True) -> DataFrame:
+                             zero_is_missing: bool = True,
+                             restrict_sources: bool = False) -> DataFrame:
     """Blend posts (0.4), review page (0.3) and native engagement (0.3) into
     ``community_sentiment_score/label``, ``community_data_volume`` and
     ``sentiment_source``.
@@ -92,7 +93,16 @@ def with_community_sentiment(games: DataFrame, posts: DataFrame,
     ``posts_available``: the post source answered, so a game without posts
     scores 0.0 (and still enters the mean); ``False`` drops the source.
     ``zero_is_missing``: a final 0.0 is replaced by 50.0, label kept.
+    ``restrict_sources``: for a small ``games`` frame (a micro-batch), keep
+    only the posts and pages of those games (left-semi join, broadcast when
+    AQE measures the key set small) before aggregating, instead of
+    re-aggregating the whole source tables per batch.
     """
+    if restrict_sources:
+        keys = games.select(F.col(key).alias("_gk")).distinct()
+        posts = posts.join(keys, posts["game_id"] == keys["_gk"], "left_semi")
+        slugs = games.select(X.name_slug("name").alias("_gs")).distinct()
+        reviews = reviews.join(slugs, reviews["slug"] == slugs["_gs"], "left_semi")
     ps = post_sentiment(posts).withColumnRenamed("game_id", "_pk")
     g = games.join(ps, games[key] == ps["_pk"], "left").drop("_pk")
     g = with_review_scores(g, reviews)

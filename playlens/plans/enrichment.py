@@ -18,10 +18,10 @@ from ..sinks.documents import document
 
 
 def score_records(games: DataFrame, posts: DataFrame, reviews: DataFrame,
-                  models: dict | None = None) -> DataFrame:
+                  models: dict | None = None, restrict_sources: bool = False) -> DataFrame:
     g = enrich.with_list_scores(games)
     g = enrich.fill_defaults(g)
-    g = with_community_sentiment(g, posts, reviews)
+    g = with_community_sentiment(g, posts, reviews, restrict_sources=restrict_sources)
     g = predict_all(g, models or {})
     return g.withColumns({
         "predicted_success_score": S.success_score("predicted_success_class"),
@@ -30,5 +30,7 @@ def score_records(games: DataFrame, posts: DataFrame, reviews: DataFrame,
 
 
 def enrich_documents(games: DataFrame, posts: DataFrame, reviews: DataFrame,
-                     batch_id: int, as_of: int, models: dict | None = None) -> DataFrame:
-    return document(score_records(games, posts, reviews, models), batch_id, as_of)
+                     batch_id: int, as_of: int, models: dict | None = None,
+                     restrict_sources: bool = False) -> DataFrame:
+    return document(score_records(games, posts, reviews, models, restrict_sources),
+                    batch_id, as_of)

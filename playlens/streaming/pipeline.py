@@ -31,7 +31,8 @@ def batch_writer(posts: DataFrame, reviews: DataFrame, sink_path: str,
         as_of = as_of_fn(batch_id) if as_of_fn else int(now)
         models = registry.get(now) if registry else {}
         games = decode(batch_df)
-        docs = enrich_documents(games, posts, reviews, batch_id, as_of, models)
+        docs = enrich_documents(games, posts, reviews, batch_id, as_of, models,
+                                restrict_sources=True)
         write_documents(docs, sink_path)
 
     return process

@@ -196,3 +196,16 @@ def test_fill_defaults_only_present(spark):
     df = spark.createDataFrame([(None, None)], "hypes int, other int")
     got = enrich.fill_defaults(df).collect()[0]
     assert got["hypes"] == 0 and got["other"] is None
+
+
+def test_restrict_sources_same_result(spark):
+    from playlens.plans import queries as Q
+    from playlens.sources import fixtures as fx
+    from .conftest import SF_SMALL
+    g = Q.filled_games(spark, SF_SMALL).where("id % 7 = 3")
+    posts, reviews = fx.posts(spark, SF_SMALL), fx.reviews(spark, SF_SMALL)
+    cols = ["id", "community_sentiment_score", "community_sentiment_label",
+            "community_data_volume", "sentiment_source"]
+    a = with_community_sentiment(g, posts, reviews).select(*cols).collect()
+    b = with_community_sentiment(g, posts, reviews, restrict_sources=True).select(*cols).collect()
+    assert sorted(a) == sorted(b)
