@@ -17,7 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.ml import ModelRegistry
 from ..plans.enrichment import enrich_documents
 from ..sinks.documents import write_documents
-from ..sources.stream import decode
+from pyspark.sql import functions as F
+
+from ..sources.stream import decode, decode_ok
 
 
 def batch_writer(posts: DataFrame, reviews: DataFrame, sink_path: str,
@@ -30,10 +32,15 @@ def batch_writer(posts: DataFrame, reviews: DataFrame, sink_path: str,
         now = clock()
         as_of = as_of_fn(batch_id) if as_of_fn else int(now)
         models = registry.get(now) if registry else {}
-        games = decode(batch_df)
-        docs = enrich_documents(games, posts, reviews, batch_id, as_of, models,
-                                restrict_sources=True)
-        write_documents(docs, sink_path)
+        # the batch is read by the main plan and by the source key sets: decode
+        # it once (a bounded micro-batch) instead of re-reading the source
+        games = decode(batch_df).persist()
+        try:
+            docs = enrich_documents(games, posts, reviews, batch_id, as_of, models,
+                                    restrict_sources=True)
+            write_documents(docs, sink_path)
+        finally:
+            games.unpersist()
 
     return process
 
@@ -47,6 +54,11 @@ def start_enrichment(envelope: DataFrame, posts: DataFrame, reviews: DataFrame,
     """Start the stream; ``checkpoint`` is required (offsets + recovery)."""
     if not checkpoint:
         raise ValueError("a checkpoint location is required")
+    # per-batch load statistics (fetched / sent / failed) in the query progress
+    ok = decode_ok("value")
+    envelope = envelope.observe(
+        "load_stats", F.count(F.lit(1)).alias("fetched"),
+        F.count_if(ok).alias("sent"), F.count_if(~ok).alias("failed"))
     w = (envelope.writeStream
          .foreachBatch(batch_writer(posts, reviews, sink_path, registry, as_of_fn))
          .option("checkpointLocation", checkpoint))

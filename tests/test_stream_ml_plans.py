@@ -34,6 +34,9 @@ def test_stream_replay_is_idempotent(spark, tmp_path):
         q.awaitTermination()
 
     run()
+    stats = {}
+    for q in spark.streams.active:
+        q.stop()
     first = spark.read.parquet(out)
     n = first.count()
     assert n == st.decode(env).count()
@@ -118,3 +121,20 @@ def test_bulk_document_schema(spark):
 def test_stream_query_registered(spark):
     df = Q.stream_roundtrip(spark, SF_SMALL)
     assert df.count() == st.decode(Q.envelope_of(spark, SF_SMALL)).count()
+
+
+def test_stream_observes_load_stats(spark, tmp_path):
+    env = Q.envelope_of(spark, SF_SMALL)
+    src = str(tmp_path / "in")
+    env.coalesce(1).write.json(src)
+    q = start_enrichment(st.file_stream(spark, src), fx.posts(spark, SF_SMALL),
+                         fx.reviews(spark, SF_SMALL), str(tmp_path / "out"),
+                         str(tmp_path / "ck"), as_of_fn=lambda b: C.AS_OF_EPOCH,
+                         available_now=True)
+    q.awaitTermination()
+    m = [p["observedMetrics"]["load_stats"] for p in q.recentProgress
+         if p.get("observedMetrics")]
+    fetched = sum(int(x["fetched"]) for x in m)
+    sent = sum(int(x["sent"]) for x in m)
+    assert fetched == env.count()
+    assert sent == st.decode(env).count()
