@@ -421,12 +421,13 @@ _MODELS: dict = {}
 def trained(spark, sf, names):
     """Models fitted on the history of ``sf``, kept per model for the process
     (one training pass fits every model not fitted yet)."""
-    missing = [n for n in names if (sf, n) not in _MODELS]
+    app = spark.sparkContext.applicationId  # models live in one JVM session
+    missing = [n for n in names if (app, sf, n) not in _MODELS]
     if missing:
         fitted = ml.train_models(history_of(spark, sf), missing)
         for n in missing:
-            _MODELS[(sf, n)] = fitted.get(n)
-    return {n: _MODELS[(sf, n)] for n in names if _MODELS[(sf, n)] is not None}
+            _MODELS[(app, sf, n)] = fitted.get(n)
+    return {n: _MODELS[(app, sf, n)] for n in names if _MODELS[(app, sf, n)] is not None}
 
 
 def predicted(spark, sf, names):
