@@ -20,12 +20,23 @@ def _d(v: float) -> Column:
     return F.lit(float(v))
 
 
+def sql_literal(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, float):
+        return f"CAST({v!r} AS DOUBLE)"
+    return str(int(v))
+
+
 def literal_map(d: dict) -> Column:
-    """A constant MAP column (folded into the plan)."""
-    args = []
-    for k, v in d.items():
-        args += [F.lit(k), F.lit(v)]
-    return F.create_map(*args)
+    """A constant MAP column (folded into the plan), built as one SQL
+    expression rather than one call per entry."""
+    if not d:
+        return F.create_map()
+    return F.expr("map(" + ", ".join(f"{sql_literal(k)}, {sql_literal(v)}"
+                                     for k, v in d.items()) + ")")
 
 
 def weight_sum(arr, weights: dict, default: float) -> Column:

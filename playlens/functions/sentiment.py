@@ -20,6 +20,11 @@ def _d(v: float) -> Column:
 def keyword_hits(title, keywords: list[str]) -> Column:
     """How many keywords occur as substrings of the lower-cased title; each
     keyword counts at most once ('bad' also hits 'badge')."""
+    from .scores import sql_literal
+    if isinstance(title, str):
+        t = f"lower(coalesce(`{title}`, ''))"
+        return F.expr(" + ".join(f"CAST(contains({t}, {sql_literal(k)}) AS INT)"
+                                 for k in keywords))
     t = F.lower(F.coalesce(_c(title), F.lit("")))
     total = None
     for k in keywords:

@@ -19,11 +19,11 @@ from .. import constants as C
 from .tables import read_table
 
 
-def _ids(lines: Column, fn) -> Column:
-    """Sorted distinct int ids of a per-line expression (nulls dropped),
-    computed from the order's collected lines."""
-    vals = F.transform(lines, lambda x: fn(x).cast("int"))
-    return F.array_sort(F.array_distinct(F.filter(vals, lambda v: v.isNotNull())))
+def _ids(per_line: str) -> Column:
+    """Sorted distinct int ids of a per-line SQL expression over the order's
+    collected lines ``x`` (nulls dropped)."""
+    return F.expr(f"array_sort(array_distinct(filter(transform(_lines, x -> "
+                  f"CAST({per_line} AS INT)), v -> v IS NOT NULL)))")
 
 
 def line_arrays(lineitem: DataFrame) -> DataFrame:
@@ -39,27 +39,22 @@ def line_arrays(lineitem: DataFrame) -> DataFrame:
             F.col("l_linenumber").alias("n"), F.col("l_returnflag").alias("rf"),
             F.col("l_linestatus").alias("ls"), F.col("l_discount").alias("d"),
             F.col("l_tax").alias("t"))).alias("_lines"))
-    ln = F.col("_lines")
-
-    def when(cond, val):
-        return F.when(cond, val)
-
     return per_order.select(
         "l_orderkey", "q",
-        _ids(ln, lambda x: x["p"] % C.FRANCHISE_MOD).alias("franchises"),
-        _ids(ln, lambda x: x["p"] % C.GENRE_MOD).alias("genres"),
-        _ids(ln, lambda x: x["s"] % C.PLATFORM_MOD).alias("platforms"),
-        _ids(ln, lambda x: x["p"] % C.THEME_MOD).alias("themes"),
-        _ids(ln, lambda x: x["n"] % C.GAME_MODE_MOD).alias("game_modes"),
-        _ids(ln, lambda x: x["s"] % C.PERSPECTIVE_MOD).alias("player_perspectives"),
-        _ids(ln, lambda x: x["s"]).alias("involved_companies"),
-        _ids(ln, lambda x: x["n"]).alias("screenshots"),
-        _ids(ln, lambda x: when(x["rf"] == "R", x["n"])).alias("videos"),
-        _ids(ln, lambda x: when(x["ls"] == "F", x["n"])).alias("artworks"),
-        _ids(ln, lambda x: x["s"] % 2).alias("websites"),
-        _ids(ln, lambda x: x["p"]).alias("similar_games"),
-        _ids(ln, lambda x: when(x["d"] >= 0.05, x["n"])).alias("expansions"),
-        _ids(ln, lambda x: when(x["t"] >= 0.07, x["n"])).alias("bundles"),
+        _ids(f"x.p % {C.FRANCHISE_MOD}").alias("franchises"),
+        _ids(f"x.p % {C.GENRE_MOD}").alias("genres"),
+        _ids(f"x.s % {C.PLATFORM_MOD}").alias("platforms"),
+        _ids(f"x.p % {C.THEME_MOD}").alias("themes"),
+        _ids(f"x.n % {C.GAME_MODE_MOD}").alias("game_modes"),
+        _ids(f"x.s % {C.PERSPECTIVE_MOD}").alias("player_perspectives"),
+        _ids("x.s").alias("involved_companies"),
+        _ids("x.n").alias("screenshots"),
+        _ids("CASE WHEN x.rf = 'R' THEN x.n END").alias("videos"),
+        _ids("CASE WHEN x.ls = 'F' THEN x.n END").alias("artworks"),
+        _ids("x.s % 2").alias("websites"),
+        _ids("x.p").alias("similar_games"),
+        _ids("CASE WHEN x.d >= 0.05D THEN x.n END").alias("expansions"),
+        _ids("CASE WHEN x.t >= 0.07D THEN x.n END").alias("bundles"),
     )
 
 
