@@ -288,3 +288,24 @@ r(k, rn, event_id, t, anchor_t, memo) AS (
     CASE WHEN e.t - r.anchor_t < {C.MEMO_TTL_SECONDS} THEN r.memo ELSE e.v END
   FROM r JOIN ev e ON e.k = r.k AND e.rn = r.rn + 1)
 SELECT event_id, k, t, anchor_t AS memo_at, round(memo, 6) AS memo_score FROM r"""
+
+# ---------------------------------------------------------------- more sinks / SQL
+ORACLES["decode_quarantine"] = sql(f"""
+SELECT {_TS} AS timestamp,
+  CASE id % 1000 WHEN 997 THEN 'null' WHEN 998 THEN 'empty' ELSE 'malformed' END AS reason
+FROM games WHERE id % 1000 IN (997, 998, 999)""", "games")
+
+ORACLES["sql_list_scores"] = sql(f"""
+SELECT id, {r6('genre_popularity_score')} AS genre_popularity_score,
+  {r6('platform_reach_score')} AS platform_reach_score FROM gfill""", "gfill")
+
+ORACLES["bulk_import"] = sql(f"""
+SELECT id AS game_id, first_release_date AS release_date, days_since_release, is_released,
+  is_upcoming, success_level, {r6('hype_score')} AS hype_score,
+  {r6('longevity_score')} AS longevity_score, {joined('genres')} AS genres
+FROM gm WHERE first_release_date >= {PAGE_BOUND}""", "gm")
+
+ORACLES["crawl_messages"] = sql(f"""
+SELECT id, CAST(hypes AS VARCHAR) AS j_hypes, CAST(is_upcoming AS VARCHAR) AS j_is_upcoming,
+  {_json_strs('genres')} AS j_genres
+FROM gm WHERE id IN {_RECENT_IDS}""", "gm")

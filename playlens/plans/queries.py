@@ -527,3 +527,52 @@ def stream_roundtrip(spark, sf):
         "game_id", "batch_id", "doc_id", "is_upcoming",
         r6("community_sentiment_score").alias("community_sentiment_score"),
         r6("prediction_confidence").alias("prediction_confidence"))
+
+
+# ---------------------------------------------------------------- more sinks / SQL
+
+from . import jobs  # noqa: E402
+from ..functions.sql_functions import register_sql_functions  # noqa: E402
+
+
+@register
+def decode_quarantine(spark, sf):
+    """Messages that do not decode, with the reason (null / empty / malformed)."""
+    return st.quarantine(envelope_of(spark, sf)).select("timestamp", "reason")
+
+
+@register
+def sql_list_scores(spark, sf):
+    """Genre and platform scores through the SQL functions, from SQL text."""
+    register_sql_functions(spark)
+    view = f"playlens_games_{abs(hash(sf))}"
+    stream_games(spark, sf).select("id", "genres", "platforms").createOrReplaceTempView(view)
+    return spark.sql(f"""
+        SELECT id, round(genre_popularity_score(genres), 6) AS genre_popularity_score,
+               round(platform_reach_score(platforms), 6) AS platform_reach_score
+        FROM {view}""")
+
+
+@register
+def bulk_import(spark, sf):
+    """Bulk back-fill since the page bound, appended to a fresh folder under
+    the shared checkpoint directory, read back."""
+    out = shared_dir(spark, f"bulk_import/{uuid.uuid4().hex}")
+    jobs.bulk_import(raw_games(spark, sf), fx.dimension_maps(), out, AS_OF,
+                     bound_epoch=PAGE_BOUND)
+    d = spark.read.parquet(out)
+    return d.select("game_id", "release_date", "days_since_release", "is_released",
+                    "is_upcoming", "success_level", r6("hype_score").alias("hype_score"),
+                    r6("longevity_score").alias("longevity_score"),
+                    joined("genres").alias("genres"))
+
+
+@register
+def crawl_messages(spark, sf):
+    """Crawl batch as topic messages (key, JSON value), fields read back."""
+    m = jobs.crawl(raw_games(spark, sf), fx.dimension_maps(), AS_OF)
+    v = F.col("value")
+    return m.select(F.col("key").cast("int").alias("id"),
+                    F.get_json_object(v, "$.hypes").alias("j_hypes"),
+                    F.get_json_object(v, "$.is_upcoming").alias("j_is_upcoming"),
+                    F.get_json_object(v, "$.genres").alias("j_genres"))
