@@ -19,43 +19,62 @@ from .. import constants as C
 from .tables import read_table
 
 
-def _ids(per_line: str) -> Column:
-    """Sorted distinct int ids of a per-line SQL expression over the order's
-    collected lines ``x`` (nulls dropped)."""
-    return F.expr(f"array_sort(array_distinct(filter(transform(_lines, x -> "
-                  f"CAST({per_line} AS INT)), v -> v IS NOT NULL)))")
+def _mask(expr: str) -> Column:
+    """Bit set of a small non-negative per-line value (< 63)."""
+    return F.expr(f"bit_or(shiftleft(1L, {expr}))")
+
+
+def _from_mask(mask: str, size: int) -> Column:
+    """Sorted ids present in a bit set of ``size`` bits."""
+    return F.expr(f"filter(sequence(0, {size - 1}), i -> (shiftright({mask}, i) & 1L) = 1L)")
+
+
+def _set(expr: str) -> Column:
+    """Sorted distinct ids of a per-line value (nulls dropped).  The set is
+    deduplicated inside the partial aggregation, so a group's buffer is
+    bounded by its distinct values (the output), not by its rows."""
+    return F.sort_array(F.collect_set(F.expr(f"CAST({expr} AS INT)")))
+
+
+# small-domain arrays: (name, per-line value, domain size)
+_MASKED = [
+    ("franchises", f"l_partkey % {C.FRANCHISE_MOD}", C.FRANCHISE_MOD),
+    ("genres", f"l_partkey % {C.GENRE_MOD}", C.GENRE_MOD),
+    ("platforms", f"l_suppkey % {C.PLATFORM_MOD}", C.PLATFORM_MOD),
+    ("themes", f"l_partkey % {C.THEME_MOD}", C.THEME_MOD),
+    ("game_modes", f"l_linenumber % {C.GAME_MODE_MOD}", C.GAME_MODE_MOD),
+    ("player_perspectives", f"l_suppkey % {C.PERSPECTIVE_MOD}", C.PERSPECTIVE_MOD),
+    ("websites", "l_suppkey % 2", 2),
+]
+# open-domain arrays: (name, per-line value)
+_SETS = [
+    ("involved_companies", "l_suppkey"),
+    ("screenshots", "l_linenumber"),
+    ("videos", "CASE WHEN l_returnflag = 'R' THEN l_linenumber END"),
+    ("artworks", "CASE WHEN l_linestatus = 'F' THEN l_linenumber END"),
+    ("similar_games", "l_partkey"),
+    ("expansions", "CASE WHEN l_discount >= 0.05D THEN l_linenumber END"),
+    ("bundles", "CASE WHEN l_tax >= 0.07D THEN l_linenumber END"),
+]
+ARRAY_ORDER = ["franchises", "genres", "platforms", "themes", "game_modes",
+               "player_perspectives", "involved_companies", "screenshots", "videos",
+               "artworks", "websites", "similar_games", "expansions", "bundles"]
 
 
 def line_arrays(lineitem: DataFrame) -> DataFrame:
     """Per order: quantity and every id array of the raw game.
 
-    One aggregation buffer per order (the list of its few lines) instead of
-    one set per array; the arrays are then derived by higher-order functions
-    in a single projection."""
-    per_order = lineitem.groupBy("l_orderkey").agg(
-        F.sum(F.col("l_quantity").cast("int")).cast("int").alias("q"),
-        F.collect_list(F.struct(
-            F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"),
-            F.col("l_linenumber").alias("n"), F.col("l_returnflag").alias("rf"),
-            F.col("l_linestatus").alias("ls"), F.col("l_discount").alias("d"),
-            F.col("l_tax").alias("t"))).alias("_lines"))
-    return per_order.select(
-        "l_orderkey", "q",
-        _ids(f"x.p % {C.FRANCHISE_MOD}").alias("franchises"),
-        _ids(f"x.p % {C.GENRE_MOD}").alias("genres"),
-        _ids(f"x.s % {C.PLATFORM_MOD}").alias("platforms"),
-        _ids(f"x.p % {C.THEME_MOD}").alias("themes"),
-        _ids(f"x.n % {C.GAME_MODE_MOD}").alias("game_modes"),
-        _ids(f"x.s % {C.PERSPECTIVE_MOD}").alias("player_perspectives"),
-        _ids("x.s").alias("involved_companies"),
-        _ids("x.n").alias("screenshots"),
-        _ids("CASE WHEN x.rf = 'R' THEN x.n END").alias("videos"),
-        _ids("CASE WHEN x.ls = 'F' THEN x.n END").alias("artworks"),
-        _ids("x.s % 2").alias("websites"),
-        _ids("x.p").alias("similar_games"),
-        _ids("CASE WHEN x.d >= 0.05D THEN x.n END").alias("expansions"),
-        _ids("CASE WHEN x.t >= 0.07D THEN x.n END").alias("bundles"),
-    )
+    Every aggregate is skew-safe: small-domain arrays are bit sets combined
+    with ``bit_or`` (algebraic, map-side partial aggregation), the others are
+    ``collect_set`` whose buffers hold distinct values only.  A hot order
+    therefore never holds its rows in one buffer."""
+    aggs = [F.sum(F.col("l_quantity").cast("int")).cast("int").alias("q")]
+    aggs += [_mask(e).alias(f"_m_{n}") for n, e, _ in _MASKED]
+    aggs += [_set(e).alias(n) for n, e in _SETS]
+    per_order = lineitem.groupBy("l_orderkey").agg(*aggs)
+    decoded = {n: _from_mask(f"_m_{n}", size).alias(n) for n, _, size in _MASKED}
+    return per_order.select("l_orderkey", "q",
+                            *[decoded.get(n, F.col(n)) for n in ARRAY_ORDER])
 
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
