@@ -23,21 +23,43 @@ def _cols(order):
 
 
 def row_number_by(df: DataFrame, keys: list[str], order: list, bucket: Column,
-                  name: str = "rn") -> DataFrame:
+                  name: str = "rn", coarse: Column | None = None) -> DataFrame:
     """``row_number() over (partition by keys order by order)``, split by
-    ``bucket`` (must be non-decreasing in ``order`` within a key)."""
+    ``bucket`` (must be non-decreasing in ``order`` within a key).
+
+    ``coarse`` (optional, non-decreasing and constant within a bucket) adds a
+    second level to the offsets: bucket counts are prefix-summed within their
+    coarse slice, and coarse totals across slices.  Use it when a key has so
+    many buckets that one key's bucket table should not sit in one task
+    (e.g. the global numbering, ``keys=[]``)."""
     ocols = _cols(order)
     b = df.withColumn("_b", bucket)
+    if coarse is not None:
+        b = b.withColumn("_c", coarse)
     local = b.withColumn(
         "_lrn", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*ocols)))
-    counts = b.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_b",
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    if coarse is None:
+        counts = b.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
+        before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(
+            Window.unboundedPreceding, -1)
+        offsets = counts.select(*keys, "_b",
+                                F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    else:
+        counts = b.groupBy(*keys, "_c", "_b").agg(F.count(F.lit(1)).alias("_n"))
+        inner = Window.partitionBy(*keys, "_c").orderBy("_b").rowsBetween(
+            Window.unboundedPreceding, -1)
+        within = counts.select(*keys, "_c", "_b",
+                               F.coalesce(F.sum("_n").over(inner), F.lit(0)).alias("_in"))
+        totals = counts.groupBy(*keys, "_c").agg(F.sum("_n").alias("_t"))
+        outer = Window.partitionBy(*keys).orderBy("_c").rowsBetween(
+            Window.unboundedPreceding, -1)
+        starts = totals.select(*keys, "_c",
+                               F.coalesce(F.sum("_t").over(outer), F.lit(0)).alias("_start"))
+        offsets = within.join(starts, [*keys, "_c"]).select(
+            *keys, "_b", (F.col("_start") + F.col("_in")).alias("_off"))
     return (local.join(offsets, [*keys, "_b"])
-            .withColumn(name, (F.col("_lrn") + F.col("_off")).cast("int"))
-            .drop("_b", "_lrn", "_off"))
+            .withColumn(name, (F.col("_lrn") + F.col("_off")).cast("long"))
+            .drop("_b", "_c", "_lrn", "_off"))
 
 
 def top_k_per_group(df: DataFrame, keys: list[str], order: list, k: int,

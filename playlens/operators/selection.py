@@ -91,10 +91,14 @@ def release_page(df: DataFrame, bound_epoch: int, page: int,
 def release_pages(df: DataFrame, bound_epoch: int, size: int = C.BULK_PAGE_SIZE,
                   rel: str = "first_release_date") -> DataFrame:
     """Every game since the bound with its page number and position: the
-    whole load in one pass (no paging loop), numbered by release day slices."""
+    whole load in one pass (no paging loop).  Rows are numbered in slices of
+    one release instant and a block of 2^20 ids (monotone in the ordering),
+    so a day holding a huge share of games is still split; slice offsets are
+    summed within a day, day totals across days (two small windows)."""
     r = released_since(df, bound_epoch, rel)
+    slice_ = F.struct(F.col(rel).alias("r"), F.shiftright(F.col("id"), 20).alias("b"))
     day = F.floor(F.col(rel) / C.SECONDS_PER_DAY)
-    n = row_number_by(r, [], release_order(rel), day, "_rn")
+    n = row_number_by(r, [], release_order(rel), slice_, "_rn", coarse=day)
     return (n.withColumn("page", ((F.col("_rn") - 1) / size).cast("int"))
             .withColumn("position", ((F.col("_rn") - 1) % size + 1).cast("int"))
             .drop("_rn"))

@@ -147,8 +147,9 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
     )
     ranked = row_number_by(base, ["game_id"], ["posted_at", "event_id"],
-                           F.date_trunc("hour", "posted_at"), "rank")
-    return ranked.select("game_id", "title", "score", "rank", "posted_at")
+                           F.date_trunc("minute", "posted_at"), "rank")
+    return ranked.select("game_id", "title", "score", F.col("rank").cast("int").alias("rank"),
+                         "posted_at")
 
 
 REVIEW_BLOCK_NO_SPAN = ('<div class="c-siteReviewScore_user"><p>tbd</p></div>'

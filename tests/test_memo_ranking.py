@@ -94,3 +94,15 @@ def test_top_k_per_group(spark):
         Window.partitionBy("g").orderBy(F.col("v").desc(), "id"))).where("pos <= 4")
     assert sorted(map(tuple, got.select("g", "id", "pos").collect())) == \
         sorted(map(tuple, want.select("g", "id", "pos").collect()))
+
+
+def test_row_number_by_two_level(spark):
+    rnd = random.Random(9)
+    rows = [(rnd.randrange(0, 40) * 1000, i) for i in range(600)]
+    df = spark.createDataFrame(rows, "t long, id long")
+    got = row_number_by(df, [], ["t", "id"],
+                        F.struct(F.col("t").alias("t"), F.shiftright("id", 6).alias("b")),
+                        "rn", coarse=F.floor(F.col("t") / 7000))
+    want = df.withColumn("rn", F.row_number().over(Window.orderBy("t", "id")))
+    assert sorted(map(tuple, got.select("id", "rn").collect())) == \
+        sorted(map(tuple, want.select("id", "rn").collect()))
