@@ -45,3 +45,41 @@ def stream_memo(events: DataFrame, ttl: int = C.MEMO_TTL_SECONDS) -> DataFrame:
     return events.groupBy("k").applyInPandasWithState(
         _memo_fn(ttl), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
         GroupStateTimeout.NoTimeout)
+
+
+SENTIMENT_COLS = ["community_sentiment_score", "community_sentiment_label",
+                  "community_data_volume", "sentiment_source"]
+SENTIMENT_STATE = ("at long, score double, label string, volume int, source string")
+
+
+def _sentiment_memo_fn(ttl: int, t_col: str, order_col: str):
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(pdfs), ignore_index=True)
+        if key[0] is None:          # not gated: nothing to memoise
+            yield batch
+            return
+        batch = batch.sort_values([t_col, order_col], kind="stable").reset_index(drop=True)
+        cur = state.get if state.exists else None
+        for i in range(len(batch)):
+            t = int(batch.at[i, t_col])
+            if cur is None or t - cur[0] >= ttl:
+                cur = (t, *[batch.at[i, c] for c in SENTIMENT_COLS])
+            else:
+                for j, c in enumerate(SENTIMENT_COLS):
+                    batch.at[i, c] = cur[j + 1]
+        vol = cur[3]
+        state.update((cur[0], None if pd.isna(cur[1]) else float(cur[1]), cur[2],
+                      None if vol is None or pd.isna(vol) else int(vol), cur[4]))
+        yield batch
+
+    return fn
+
+
+def memoize_sentiment(scored: DataFrame, key_col: str, t_col: str, order_col: str,
+                      ttl: int = C.MEMO_TTL_SECONDS) -> DataFrame:
+    """Streaming: replace each row's community sentiment with the value first
+    computed for its memo key while that value is younger than ``ttl``
+    (seconds of ``t_col``).  Rows with a null key pass through unchanged."""
+    return scored.groupBy(key_col).applyInPandasWithState(
+        _sentiment_memo_fn(ttl, t_col, order_col), scored.schema, SENTIMENT_STATE,
+        "append", GroupStateTimeout.NoTimeout)

@@ -12,14 +12,19 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.ml import ModelRegistry
+from .. import constants as C
+from ..functions import scores as S
+from ..functions.sentiment import memo_key
+from ..operators import enrich
+from ..operators.ml import ModelRegistry, predict_all
+from ..operators.sentiment import sentiment_gate, with_community_sentiment
 from ..plans.enrichment import enrich_documents
-from ..sinks.documents import write_documents
-from pyspark.sql import functions as F
-
+from ..sinks.documents import document, write_documents
 from ..sources.stream import decode, decode_ok
+from .memo_state import memoize_sentiment
 
 
 def batch_writer(posts: DataFrame, reviews: DataFrame, sink_path: str,
@@ -45,13 +50,50 @@ def batch_writer(posts: DataFrame, reviews: DataFrame, sink_path: str,
     return process
 
 
+def scored_writer(sink_path: str, registry: ModelRegistry | None = None,
+                  as_of_fn: Callable[[int], int] | None = None,
+                  clock: Callable[[], float] = time.time):
+    """``foreachBatch`` callback for batches that already carry sentiment."""
+
+    def process(batch_df: DataFrame, batch_id: int) -> None:
+        now = clock()
+        as_of = as_of_fn(batch_id) if as_of_fn else int(now)
+        models = registry.get(now) if registry else {}
+        g = predict_all(batch_df.drop("_memo_key", "_memo_t"), models)
+        g = g.withColumns({
+            "predicted_success_score": S.success_score("predicted_success_class"),
+            "prediction_confidence": S.prediction_confidence("community_data_volume"),
+        })
+        write_documents(document(g, batch_id, as_of), sink_path)
+
+    return process
+
+
+def memoized_scores(envelope: DataFrame, posts: DataFrame, reviews: DataFrame,
+                    ttl: int = C.MEMO_TTL_SECONDS) -> DataFrame:
+    """Streaming plan: decode -> list scores -> fill -> community sentiment
+    (stream-static joins with the pre-aggregated sources) -> TTL memo keyed
+    by name + week bucket, on the envelope time."""
+    g = enrich.fill_defaults(enrich.with_list_scores(decode(envelope)))
+    g = with_community_sentiment(g, posts, reviews)
+    g = g.withColumns({
+        "_memo_key": F.when(sentiment_gate(), memo_key("name", "days_to_release")),
+        "_memo_t": F.unix_timestamp(F.to_timestamp("timestamp")),
+    })
+    return memoize_sentiment(g, "_memo_key", "_memo_t", "id", ttl)
+
+
 def start_enrichment(envelope: DataFrame, posts: DataFrame, reviews: DataFrame,
                      sink_path: str, checkpoint: str,
                      registry: ModelRegistry | None = None,
                      as_of_fn: Callable[[int], int] | None = None,
                      available_now: bool = False,
-                     processing_time: str | None = None) -> StreamingQuery:
-    """Start the stream; ``checkpoint`` is required (offsets + recovery)."""
+                     processing_time: str | None = None,
+                     memo_ttl: int | None = None) -> StreamingQuery:
+    """Start the stream; ``checkpoint`` is required (offsets + recovery).
+
+    With ``memo_ttl`` the community sentiment is memoised per name and week
+    bucket in keyed streaming state (T3) before the per-batch sink."""
     if not checkpoint:
         raise ValueError("a checkpoint location is required")
     # per-batch load statistics (fetched / sent / failed) in the query progress
@@ -59,9 +101,13 @@ def start_enrichment(envelope: DataFrame, posts: DataFrame, reviews: DataFrame,
     envelope = envelope.observe(
         "load_stats", F.count(F.lit(1)).alias("fetched"),
         F.count_if(ok).alias("sent"), F.count_if(~ok).alias("failed"))
-    w = (envelope.writeStream
-         .foreachBatch(batch_writer(posts, reviews, sink_path, registry, as_of_fn))
-         .option("checkpointLocation", checkpoint))
+    if memo_ttl:
+        w = (memoized_scores(envelope, posts, reviews, memo_ttl).writeStream
+             .foreachBatch(scored_writer(sink_path, registry, as_of_fn)))
+    else:
+        w = envelope.writeStream.foreachBatch(
+            batch_writer(posts, reviews, sink_path, registry, as_of_fn))
+    w = w.option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
