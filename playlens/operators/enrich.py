@@ -114,4 +114,6 @@ def bulk_document(raw: DataFrame, dims: dict, as_of: int,
         F.date_format(F.timestamp_seconds(F.lit(as_of)),
                       "yyyy-MM-dd'T'HH:mm:ss").alias("ingestion_time"),
         F.lit(as_of).cast("long").alias("processed_timestamp"),
+        # bulk key: game and load time (a re-run of the same load is the same key)
+        F.concat_ws("_", F.col("id").cast("string"), F.lit(str(as_of))).alias("doc_id"),
     )

@@ -68,13 +68,15 @@ def anchors(ev: DataFrame, nxt: DataFrame, max_rounds: int = 64) -> DataFrame:
     first = ev.groupBy("k").agg(F.min(F.struct("t", "id")).alias("f")) \
         .select(F.col("f.id").alias("id"))
     path = _ckpt(first)
+    size = path.count()
     jump = _ckpt(nxt.where(F.col("nxt").isNotNull()).select("id", F.col("nxt").alias("to")))
     for _ in range(max_rounds):
         step = path.join(jump, "id").select(F.col("to").alias("id"))
         grown = _ckpt(path.unionByName(step).distinct())
-        if grown.count() == path.count():
+        grown_size = grown.count()
+        if grown_size == size:
             return grown
-        path = grown
+        path, size = grown, grown_size
         j2 = jump.alias("a").join(jump.alias("b"), F.col("a.to") == F.col("b.id")) \
             .select(F.col("a.id").alias("id"), F.col("b.to").alias("to"))
         jump = _ckpt(j2)

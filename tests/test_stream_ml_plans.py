@@ -172,3 +172,16 @@ def test_stream_sentiment_memo(spark, tmp_path):
     fresh = round((52.5 * 0.3) / 0.7, 6)
     assert got == [first, first, fresh]
     assert STREAM_GAME is not None
+
+
+def test_empty_batch_has_document_schema(spark):
+    from playlens.plans.enrichment import enrich_documents
+    from playlens.schemas import DOCUMENT
+    env = spark.createDataFrame([], "timestamp string, value string")
+    posts = spark.createDataFrame([], "game_id int, title string, score int, rank int,"
+                                      " posted_at timestamp")
+    reviews = spark.createDataFrame([], "game_id int, slug string, html string")
+    d = enrich_documents(st.decode(env), posts, reviews, 3, C.AS_OF_EPOCH)
+    assert d.count() == 0
+    assert [(f.name, f.dataType) for f in d.schema.fields] == \
+        [(f.name, f.dataType) for f in DOCUMENT.fields]
