@@ -9,6 +9,8 @@ values.
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,10 +18,21 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import scores as S
+from ..functions.sql_functions import register_sql_functions
 from ..operators import dimensions as dims_op
-from ..operators import enrich
+from ..operators import enrich, ml
+from ..operators import selection as sel
 from ..operators import sentiment as sent
+from ..operators.memo import ttl_memo
+from ..schemas import HISTORY, conform
+from ..session import pin_semantics, shared_dir
+from ..sinks import documents as docs_op
 from ..sources import fixtures as fx
+from ..sources import stream as st
+from ..sources.tables import read_table
+from ..streaming.pipeline import start_enrichment
+from . import jobs
+from .enrichment import enrich_documents, score_records
 
 AS_OF = C.AS_OF_EPOCH
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,9 +41,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 def register(fn):
     """Register a query; it pins the session settings its semantics need
     (UTC day arithmetic, ANSI casts) on whatever session it is given."""
-    import functools
-
-    from ..session import pin_semantics
 
     @functools.wraps(fn)
     def run(spark, sf):
@@ -192,7 +202,6 @@ def posts_last_month(spark, sf):
 
 # ---------------------------------------------------------------- selections
 
-from ..operators import selection as sel  # noqa: E402
 
 RECENT_BOUND = AS_OF - C.RECENT_WINDOW_DAYS * C.SECONDS_PER_DAY
 # fixture releases span 1995..2001, so the page bound sits inside that range
@@ -245,10 +254,6 @@ def release_pages(spark, sf):
 
 # ---------------------------------------------------------------- messages
 
-from ..sinks import documents as docs_op  # noqa: E402
-from ..sources import stream as st  # noqa: E402
-from ..schemas import HISTORY, conform  # noqa: E402
-from .enrichment import enrich_documents, score_records  # noqa: E402
 
 DECODED_COLS = ["timestamp", "id", "name", "rating", "rating_count", "hypes",
                 "follows", "first_release_date", "total_rating", "aggregated_rating",
@@ -387,7 +392,6 @@ def bulk_metrics(spark, sf):
 
 # ---------------------------------------------------------------- training
 
-from ..operators import ml  # noqa: E402
 
 
 @register
@@ -482,8 +486,6 @@ def predict_rating_linear(spark, sf):
 
 # ---------------------------------------------------------------- TTL memo
 
-from ..operators.memo import ttl_memo  # noqa: E402
-from ..sources.tables import read_table  # noqa: E402
 
 MEMO_KEYS = 5
 
@@ -506,10 +508,7 @@ def sentiment_memo(spark, sf):
 # ---------------------------------------------------------------- streaming
 # (rows-only checks: a stream run through the file source and foreachBatch)
 
-import uuid  # noqa: E402
 
-from ..session import shared_dir  # noqa: E402
-from ..streaming.pipeline import start_enrichment  # noqa: E402
 
 
 @register
@@ -531,8 +530,6 @@ def stream_roundtrip(spark, sf):
 
 # ---------------------------------------------------------------- more sinks / SQL
 
-from . import jobs  # noqa: E402
-from ..functions.sql_functions import register_sql_functions  # noqa: E402
 
 
 @register
