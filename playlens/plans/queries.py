@@ -516,7 +516,8 @@ def stream_roundtrip(spark, sf):
     """Envelope files -> file stream -> foreachBatch enrichment -> idempotent
     documents sink; returns the sink read back."""
     base = shared_dir(spark, f"stream_roundtrip/{uuid.uuid4().hex}")
-    envelope_of(spark, sf).write.mode("overwrite").json(base + "/in")
+    # four message files -> two micro-batches, whatever the session's partitioning
+    envelope_of(spark, sf).coalesce(4).write.mode("overwrite").json(base + "/in")
     q = start_enrichment(st.file_stream(spark, base + "/in", max_files_per_trigger=2),
                          fx.posts(spark, sf), fx.reviews(spark, sf), base + "/out",
                          base + "/checkpoint", as_of_fn=lambda _b: AS_OF,
