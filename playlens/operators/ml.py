@@ -158,6 +158,29 @@ def save_models(models: dict[str, PipelineModel], path: str) -> None:
         m.write().overwrite().save(os.path.join(path, name))
 
 
+LATEST = "_latest"
+
+
+def publish_models(spark, models: dict[str, PipelineModel], root: str, version: str) -> str:
+    """Save a new model version under ``root/<version>`` and then point
+    ``root/_latest`` at it.  Readers only follow the pointer, so they never
+    see a half-written version; the pointer is written through Spark, so it
+    works on any shared file system."""
+    path = f"{root.rstrip('/')}/{version}"
+    save_models(models, path)
+    spark.createDataFrame([(version,)], "version string").coalesce(1) \
+        .write.mode("overwrite").text(f"{root.rstrip('/')}/{LATEST}")
+    return path
+
+
+def latest_version(spark, root: str) -> str | None:
+    try:
+        rows = spark.read.text(f"{root.rstrip('/')}/{LATEST}").collect()
+    except Exception:  # noqa: BLE001 - nothing published yet
+        return None
+    return rows[0][0] if rows else None
+
+
 def load_models(path: str, names=None) -> dict[str, PipelineModel]:
     """Load whatever models exist under ``path`` (one folder per model)."""
     out = {}
@@ -172,19 +195,33 @@ def load_models(path: str, names=None) -> dict[str, PipelineModel]:
 
 class ModelRegistry:
     """Models loaded from a shared folder, reloaded when older than
-    ``refresh_seconds`` (checked by the caller's clock, once per batch)."""
+    ``refresh_seconds`` (checked by the caller's clock, once per batch).
 
-    def __init__(self, path: str, refresh_seconds: int = C.MODEL_REFRESH_SECONDS):
+    With ``spark`` given, ``path`` is a root of published versions and the
+    registry follows its ``_latest`` pointer; otherwise ``path`` holds the
+    model folders directly."""
+
+    def __init__(self, path: str, refresh_seconds: int = C.MODEL_REFRESH_SECONDS,
+                 spark=None):
         self.path = path
         self.refresh_seconds = refresh_seconds
+        self.spark = spark
         self.models: dict[str, PipelineModel] = {}
         self.loaded_at: float | None = None
+        self.version: str | None = None
+
+    def _source(self) -> tuple[str | None, str]:
+        if self.spark is None:
+            return None, self.path
+        v = latest_version(self.spark, self.path)
+        return v, f"{self.path.rstrip('/')}/{v}" if v else self.path
 
     def get(self, now: float) -> dict[str, PipelineModel]:
         if not self.models or self.loaded_at is None or \
                 now - self.loaded_at > self.refresh_seconds:
-            models = load_models(self.path)
+            version, src = self._source()
+            models = load_models(src) if (self.spark is None or version) else {}
             if models:
-                self.models = models
+                self.models, self.version = models, version
                 self.loaded_at = now
         return self.models

@@ -43,16 +43,18 @@ def crawl(raw: DataFrame, dims: dict, as_of: int, k: int = C.RECENT_TOP_K) -> Da
     return sinks.encode(batch)
 
 
-def train(history: DataFrame, model_path: str, names=None) -> dict:
-    """Fit the models on conformed history and save them (one folder each)."""
+def train(history: DataFrame, model_root: str, version: str, names=None) -> dict:
+    """Fit the models on conformed history and publish them as a new version
+    under ``model_root`` (the stream's registry follows ``_latest``)."""
     h = conform(history, HISTORY)
     models = ml.train_models(h, names)
-    ml.save_models(models, model_path)
+    if models:
+        ml.publish_models(history.sparkSession, models, model_root, version)
     return models
 
 
 def stream(envelope: DataFrame, posts: DataFrame, reviews: DataFrame, sink_path: str,
            checkpoint: str, model_path: str | None = None, **kw):
     """Start the enrichment stream; models reload hourly from ``model_path``."""
-    registry = ml.ModelRegistry(model_path) if model_path else None
+    registry = ml.ModelRegistry(model_path, spark=envelope.sparkSession) if model_path else None
     return start_enrichment(envelope, posts, reviews, sink_path, checkpoint, registry, **kw)

@@ -48,3 +48,16 @@ def test_random_forest_refit_is_deterministic(spark):
     pa = [r[0] for r in a.transform(h).select("predicted_longevity").collect()]
     pb = [r[0] for r in b.transform(h).select("predicted_longevity").collect()]
     assert pa == pb
+
+
+def test_published_versions_and_registry(spark, tmp_path):
+    from playlens.plans import jobs
+    root = str(tmp_path / "models")
+    reg = ml.ModelRegistry(root, refresh_seconds=10, spark=spark)
+    assert reg.get(0.0) == {}                      # nothing published yet
+    h = history(spark, 150, 150)
+    jobs.train(h, root, "v1", ["longevity"])
+    assert set(reg.get(1.0)) == {"longevity"} and reg.version == "v1"
+    jobs.train(h, root, "v2", ["longevity", "rating_count"])
+    assert reg.get(5.0) and reg.version == "v1"    # still fresh
+    assert set(reg.get(12.0)) == {"longevity", "rating_count"} and reg.version == "v2"
