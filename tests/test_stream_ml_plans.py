@@ -185,3 +185,19 @@ def test_empty_batch_has_document_schema(spark):
     assert d.count() == 0
     assert [(f.name, f.dataType) for f in d.schema.fields] == \
         [(f.name, f.dataType) for f in DOCUMENT.fields]
+
+
+def test_join_strategy_and_balanced_ranking_plans(spark):
+    # translation by join really joins (and regroups) instead of a literal map
+    plan = _plan(Q.translate_ids_join(spark, SF_SMALL))
+    assert plan.count("Join") > 1
+    # the post rank never windows by game alone: every window partition
+    # includes the time slice column
+    posts_plan = fx.posts(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [ln for ln in posts_plan.splitlines() if "Window [" in ln]
+    assert windows and all("_b" in ln for ln in windows)
+
+
+def test_order_lines_not_broadcast(spark):
+    plan = _plan(Q.raw_games(spark, SF_SMALL))
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
