@@ -103,9 +103,28 @@ def with_community_sentiment(games: DataFrame, posts: DataFrame,
         posts = posts.join(keys, posts["game_id"] == keys["_gk"], "left_semi")
         slugs = games.select(X.name_slug("name").alias("_gs")).distinct()
         reviews = reviews.join(slugs, reviews["slug"] == slugs["_gs"], "left_semi")
-    ps = post_sentiment(posts).withColumnRenamed("game_id", "_pk")
+    return blend_sources(games, post_sentiment(posts), review_scores(reviews), key,
+                         posts_available, zero_is_missing)
+
+
+def source_snapshots(posts: DataFrame, reviews: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Per-game post scores and per-slug review scores, checkpointed once
+    (to the shared checkpoint folder) so a stream joins the snapshot instead
+    of re-aggregating the source tables on every trigger."""
+    from ..session import shared_dir
+    shared_dir(posts.sparkSession, "sources")  # sets the checkpoint dir if unset
+    return (post_sentiment(posts).checkpoint(eager=True),
+            review_scores(reviews).checkpoint(eager=True))
+
+
+def blend_sources(games: DataFrame, post_scores: DataFrame, review_table: DataFrame,
+                  key: str = "id", posts_available: bool = True,
+                  zero_is_missing: bool = True) -> DataFrame:
+    """The blend over pre-aggregated sources (one row per game / per slug)."""
+    ps = post_scores.withColumnRenamed("game_id", "_pk")
     g = games.join(ps, games[key] == ps["_pk"], "left").drop("_pk")
-    g = with_review_scores(g, reviews)
+    r = review_table.withColumnRenamed("slug", "_slug")
+    g = g.withColumn("_slug", X.name_slug("name")).join(r, "_slug", "left").drop("_slug")
     if posts_available:
         reddit = F.coalesce(F.col("reddit_score"), F.lit(0.0))
         volume = F.coalesce(F.col("post_volume"), F.lit(0))

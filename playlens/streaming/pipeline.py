@@ -20,7 +20,7 @@ from ..functions import scores as S
 from ..functions.sentiment import memo_key
 from ..operators import enrich
 from ..operators.ml import ModelRegistry, predict_all
-from ..operators.sentiment import sentiment_gate, with_community_sentiment
+from ..operators.sentiment import blend_sources, sentiment_gate, source_snapshots
 from ..plans.enrichment import enrich_documents
 from ..sinks.documents import document, write_documents
 from ..sources.stream import decode, decode_ok
@@ -72,10 +72,11 @@ def scored_writer(sink_path: str, registry: ModelRegistry | None = None,
 def memoized_scores(envelope: DataFrame, posts: DataFrame, reviews: DataFrame,
                     ttl: int = C.MEMO_TTL_SECONDS) -> DataFrame:
     """Streaming plan: decode -> list scores -> fill -> community sentiment
-    (stream-static joins with the pre-aggregated sources) -> TTL memo keyed
-    by name + week bucket, on the envelope time."""
+    (stream-static joins with checkpointed source snapshots, aggregated once)
+    -> TTL memo keyed by name + week bucket, on the envelope time."""
+    post_scores, review_table = source_snapshots(posts, reviews)
     g = enrich.fill_defaults(enrich.with_list_scores(decode(envelope)))
-    g = with_community_sentiment(g, posts, reviews)
+    g = blend_sources(g, post_scores, review_table)
     g = g.withColumns({
         "_memo_key": F.when(sentiment_gate(), memo_key("name", "days_to_release")),
         "_memo_t": F.unix_timestamp(F.to_timestamp("timestamp")),
