@@ -209,3 +209,25 @@ def test_restrict_sources_same_result(spark):
     a = with_community_sentiment(g, posts, reviews).select(*cols).collect()
     b = with_community_sentiment(g, posts, reviews, restrict_sources=True).select(*cols).collect()
     assert sorted(a) == sorted(b)
+
+
+def test_int_in_double_field_decodes(spark):
+    env = spark.createDataFrame([("t", '{"id": 1, "rating": 80, "hype_score": 5}')],
+                                "timestamp string, value string")
+    r = st.decode(env).collect()[0]
+    assert r["rating"] == 80.0 and r["hype_score"] == 5.0
+
+
+def test_posts_unavailable_drops_source(spark):
+    games = _game(spark, [(1, "A", 100, 1000, 10, True)])
+    posts = spark.createDataFrame([], "game_id int, title string, score int, rank int,"
+                                      " posted_at timestamp")
+    reviews = spark.createDataFrame([], "game_id int, slug string, html string")
+    on = with_community_sentiment(games, posts, reviews).collect()[0]
+    off = with_community_sentiment(games, posts, reviews, posts_available=False).collect()[0]
+    # answered but empty: 0.0 enters the mean; unavailable: only the native score
+    assert on["community_sentiment_score"] == pytest.approx(50.0 * 0.3 / 0.7)
+    assert on["sentiment_source"] == "reddit+igdb"
+    assert off["community_sentiment_score"] == pytest.approx(50.0)
+    assert off["sentiment_source"] == "igdb"
+    assert off["community_data_volume"] == 0
