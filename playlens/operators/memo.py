@@ -64,7 +64,11 @@ def next_after(ev: DataFrame, ttl: int, split_seconds: int) -> DataFrame:
 
 
 def anchors(ev: DataFrame, nxt: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """Ids on the ``nxt`` path from each key's first event (pointer doubling)."""
+    """Ids on the ``nxt`` path from each key's first event (pointer doubling).
+
+    Both the path and the jump table are checkpointed every round: each is
+    read twice by the next round, so an uncut lineage would double the plan
+    per round."""
     first = ev.groupBy("k").agg(F.min(F.struct("t", "id")).alias("f")) \
         .select(F.col("f.id").alias("id"))
     path = _ckpt(first)
