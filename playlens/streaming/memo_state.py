@@ -52,8 +52,12 @@ SENTIMENT_COLS = ["community_sentiment_score", "community_sentiment_label",
 SENTIMENT_STATE = ("at long, score double, label string, volume int, source string")
 
 
-def _sentiment_memo_fn(ttl: int, t_col: str, order_col: str):
+def _sentiment_memo_fn(ttl: int, t_col: str, order_col: str, evict: bool):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if evict and state.hasTimedOut:
+            # the watermark passed at + ttl: this value can never be reused
+            state.remove()
+            return
         batch = pd.concat(list(pdfs), ignore_index=True)
         if key[0] is None:          # not gated: nothing to memoise
             yield batch
@@ -70,16 +74,29 @@ def _sentiment_memo_fn(ttl: int, t_col: str, order_col: str):
         vol = cur[3]
         state.update((cur[0], None if pd.isna(cur[1]) else float(cur[1]), cur[2],
                       None if vol is None or pd.isna(vol) else int(vol), cur[4]))
+        if evict:
+            expiry_ms = (cur[0] + ttl) * 1000
+            state.setTimeoutTimestamp(max(expiry_ms, state.getCurrentWatermarkMs() + 1))
         yield batch
 
     return fn
 
 
 def memoize_sentiment(scored: DataFrame, key_col: str, t_col: str, order_col: str,
-                      ttl: int = C.MEMO_TTL_SECONDS) -> DataFrame:
+                      ttl: int = C.MEMO_TTL_SECONDS,
+                      watermark: str | None = None, ts_col: str | None = None) -> DataFrame:
     """Streaming: replace each row's community sentiment with the value first
     computed for its memo key while that value is younger than ``ttl``
-    (seconds of ``t_col``).  Rows with a null key pass through unchanged."""
+    (seconds of ``t_col``).  Rows with a null key pass through unchanged.
+
+    With ``watermark`` (a delay such as ``"10 minutes"`` on the timestamp
+    column ``ts_col``) a key's state is evicted once the watermark passes
+    ``at + ttl``; without it, state is kept per key for the life of the query.
+    """
+    evict = watermark is not None
+    if evict:
+        scored = scored.withWatermark(ts_col, watermark)
+    timeout = GroupStateTimeout.EventTimeTimeout if evict else GroupStateTimeout.NoTimeout
     return scored.groupBy(key_col).applyInPandasWithState(
-        _sentiment_memo_fn(ttl, t_col, order_col), scored.schema, SENTIMENT_STATE,
-        "append", GroupStateTimeout.NoTimeout)
+        _sentiment_memo_fn(ttl, t_col, order_col, evict), scored.schema, SENTIMENT_STATE,
+        "append", timeout)

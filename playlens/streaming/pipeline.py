@@ -59,7 +59,7 @@ def scored_writer(sink_path: str, registry: ModelRegistry | None = None,
         now = clock()
         as_of = as_of_fn(batch_id) if as_of_fn else int(now)
         models = registry.get(now) if registry else {}
-        g = predict_all(batch_df.drop("_memo_key", "_memo_t"), models)
+        g = predict_all(batch_df.drop("_memo_key", "_memo_t", "_memo_ts"), models)
         g = g.withColumns({
             "predicted_success_score": S.success_score("predicted_success_class"),
             "prediction_confidence": S.prediction_confidence("community_data_volume"),
@@ -70,7 +70,8 @@ def scored_writer(sink_path: str, registry: ModelRegistry | None = None,
 
 
 def memoized_scores(envelope: DataFrame, posts: DataFrame, reviews: DataFrame,
-                    ttl: int = C.MEMO_TTL_SECONDS) -> DataFrame:
+                    ttl: int = C.MEMO_TTL_SECONDS,
+                    watermark: str | None = None) -> DataFrame:
     """Streaming plan: decode -> list scores -> fill -> community sentiment
     (stream-static joins with checkpointed source snapshots, aggregated once)
     -> TTL memo keyed by name + week bucket, on the envelope time."""
@@ -80,8 +81,9 @@ def memoized_scores(envelope: DataFrame, posts: DataFrame, reviews: DataFrame,
     g = g.withColumns({
         "_memo_key": F.when(sentiment_gate(), memo_key("name", "days_to_release")),
         "_memo_t": F.unix_timestamp(F.to_timestamp("timestamp")),
+        "_memo_ts": F.to_timestamp("timestamp"),
     })
-    return memoize_sentiment(g, "_memo_key", "_memo_t", "id", ttl)
+    return memoize_sentiment(g, "_memo_key", "_memo_t", "id", ttl, watermark, "_memo_ts")
 
 
 def start_enrichment(envelope: DataFrame, posts: DataFrame, reviews: DataFrame,
@@ -90,11 +92,13 @@ def start_enrichment(envelope: DataFrame, posts: DataFrame, reviews: DataFrame,
                      as_of_fn: Callable[[int], int] | None = None,
                      available_now: bool = False,
                      processing_time: str | None = None,
-                     memo_ttl: int | None = None) -> StreamingQuery:
+                     memo_ttl: int | None = None,
+                     memo_watermark: str | None = None) -> StreamingQuery:
     """Start the stream; ``checkpoint`` is required (offsets + recovery).
 
     With ``memo_ttl`` the community sentiment is memoised per name and week
-    bucket in keyed streaming state (T3) before the per-batch sink."""
+    bucket in keyed streaming state (T3) before the per-batch sink;
+    ``memo_watermark`` (e.g. ``"10 minutes"``) evicts expired keys."""
     if not checkpoint:
         raise ValueError("a checkpoint location is required")
     # per-batch load statistics (fetched / sent / failed) in the query progress
@@ -103,7 +107,7 @@ def start_enrichment(envelope: DataFrame, posts: DataFrame, reviews: DataFrame,
         "load_stats", F.count(F.lit(1)).alias("fetched"),
         F.count_if(ok).alias("sent"), F.count_if(~ok).alias("failed"))
     if memo_ttl:
-        w = (memoized_scores(envelope, posts, reviews, memo_ttl).writeStream
+        w = (memoized_scores(envelope, posts, reviews, memo_ttl, memo_watermark).writeStream
              .foreachBatch(scored_writer(sink_path, registry, as_of_fn)))
     else:
         w = envelope.writeStream.foreachBatch(

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from playlens import constants as C
@@ -140,18 +142,11 @@ def test_stream_observes_load_stats(spark, tmp_path):
     assert sent == st.decode(env).count()
 
 
-def test_stream_sentiment_memo(spark, tmp_path):
-    """Same game and week bucket within the TTL reuses the first sentiment;
-    after the TTL it is computed again."""
+def _memo_env(spark, src, rows):
     import time as _time
-
-    from playlens.schemas import STREAM_GAME
-    t0 = C.AS_OF_EPOCH
-    src = tmp_path / "in"
-    rows = [(t0, 10), (t0 + 100, 500), (t0 + 4000, 500)]
-    for j, (ts, hypes) in enumerate(rows):
+    for j, (ts, name, hypes) in enumerate(rows):
         rec = spark.createDataFrame(
-            [(1, "Game One", hypes, 100, 10, True, ["Action"], ["Mac"])],
+            [(1 + j, name, hypes, 100, 10, True, ["Action"], ["Mac"])],
             "id int, name string, hypes int, follows int, days_to_release int,"
             " is_upcoming boolean, genres array<string>, platforms array<string>")
         env = rec.select(
@@ -159,19 +154,34 @@ def test_stream_sentiment_memo(spark, tmp_path):
             F.to_json(F.struct(*rec.columns)).alias("value"))
         env.coalesce(1).write.json(str(src / f"b{j}"))
         _time.sleep(1.1)  # distinct modification times keep the file order
+
+
+@pytest.mark.parametrize("watermark", [None, "0 seconds"])
+def test_stream_sentiment_memo(spark, tmp_path, watermark):
+    """Same game and week bucket within the TTL reuses the first sentiment;
+    after the TTL it is computed again; with a watermark, expired keys leave
+    the state store."""
+    t0 = C.AS_OF_EPOCH
+    src = tmp_path / "in"
+    _memo_env(spark, src, [(t0, "Game One", 10), (t0 + 100, "Game One", 500),
+                           (t0 + 4000, "Game One", 500), (t0 + 20000, "Game Two", 10)])
     posts = spark.createDataFrame([], "game_id int, title string, score int, rank int,"
                                       " posted_at timestamp")
     reviews = spark.createDataFrame([], "game_id int, slug string, html string")
     stream = st.file_stream(spark, str(src) + "/*", max_files_per_trigger=1)
     q = start_enrichment(stream, posts, reviews, str(tmp_path / "out"), str(tmp_path / "ck"),
-                         as_of_fn=lambda b: C.AS_OF_EPOCH, available_now=True, memo_ttl=3600)
+                         as_of_fn=lambda b: C.AS_OF_EPOCH, available_now=True, memo_ttl=3600,
+                         memo_watermark=watermark)
     q.awaitTermination()
     got = [round(r["community_sentiment_score"], 6) for r in
            spark.read.parquet(str(tmp_path / "out")).orderBy("batch_id").collect()]
     first = round((5.0 * 0.3) / 0.7, 6)
     fresh = round((52.5 * 0.3) / 0.7, 6)
-    assert got == [first, first, fresh]
-    assert STREAM_GAME is not None
+    assert got == [first, first, fresh, first]
+    if watermark:
+        states = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress
+                  if p.get("stateOperators")]
+        assert states[-1] <= 1  # 'Game One' evicted once the watermark passed
 
 
 def test_empty_batch_has_document_schema(spark):
