@@ -76,7 +76,7 @@ SPECS = [
               50, "lr", {"maxIter": 30}),
     # documented alongside the others; an extra registry entry
     ModelSpec("rating_linear", C.EXTENDED_FEATURES, "rating", "predicted_rating_linear",
-              50, "linear", {"maxIter": 50}),
+              50, "linear", {"solver": "normal"}),
 ]
 SPEC_BY_NAME = {s.name: s for s in SPECS}
 DEFAULT_MODELS = ["rating", "rating_base", "rating_count", "longevity", "success"]
