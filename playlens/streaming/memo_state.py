@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import constants as C
@@ -22,8 +23,11 @@ OUTPUT_SCHEMA = "k int, t long, event_id long, score double, memo_at long, memo_
 STATE_SCHEMA = "at long, value double"
 
 
-def _memo_fn(ttl: int):
+def _memo_fn(ttl: int, evict: bool = False):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if evict and state.hasTimedOut:
+            state.remove()          # the stored value can never be reused
+            return
         at, value = (state.get if state.exists else (None, None))
         batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["t", "event_id"])
         memo_at, memo_val = [], []
@@ -33,18 +37,31 @@ def _memo_fn(ttl: int):
             memo_at.append(at)
             memo_val.append(value)
         state.update((at, value))
+        if evict:
+            state.setTimeoutTimestamp(max((at + ttl) * 1000,
+                                          state.getCurrentWatermarkMs() + 1))
         out = batch.assign(memo_at=memo_at, memo_value=memo_val)
         yield out[["k", "t", "event_id", "score", "memo_at", "memo_value"]]
 
     return fn
 
 
-def stream_memo(events: DataFrame, ttl: int = C.MEMO_TTL_SECONDS) -> DataFrame:
+def stream_memo(events: DataFrame, ttl: int = C.MEMO_TTL_SECONDS,
+                watermark: str | None = None) -> DataFrame:
     """``events(k int, t long, event_id long, score double)`` stream ->
-    per-event memo (append mode)."""
-    return events.groupBy("k").applyInPandasWithState(
-        _memo_fn(ttl), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
-        GroupStateTimeout.NoTimeout)
+    per-event memo (append mode).  With ``watermark`` (a delay on the event
+    time ``t``) a key's state is evicted once the watermark passes
+    ``at + ttl``; as with any watermark, events older than it are dropped as
+    late data, so the delay should cover the source's disorder."""
+    if watermark is None:
+        return events.groupBy("k").applyInPandasWithState(
+            _memo_fn(ttl), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
+            GroupStateTimeout.NoTimeout)
+    timed = events.withColumn("_ts", F.timestamp_seconds("t")).withWatermark("_ts", watermark)
+    return timed.groupBy("k").applyInPandasWithState(
+        lambda key, pdfs, state: _memo_fn(ttl, True)(
+            key, (p.drop(columns=["_ts"]) for p in pdfs), state),
+        OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 SENTIMENT_COLS = ["community_sentiment_score", "community_sentiment_label",
@@ -92,6 +109,8 @@ def memoize_sentiment(scored: DataFrame, key_col: str, t_col: str, order_col: st
     With ``watermark`` (a delay such as ``"10 minutes"`` on the timestamp
     column ``ts_col``) a key's state is evicted once the watermark passes
     ``at + ttl``; without it, state is kept per key for the life of the query.
+    Rows older than the watermark are dropped as late data, so the delay
+    should cover the source's disorder.
     """
     evict = watermark is not None
     if evict:

@@ -3,6 +3,7 @@
 import random
 
 import pandas as pd
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -54,7 +55,8 @@ def test_ttl_memo_boundary(spark):
     assert got == {1: (0, 1.0), 2: (0, 1.0), 3: (3600, 3.0), 4: (3600, 3.0), 5: (7200, 5.0)}
 
 
-def test_stream_memo_equals_batch(spark, tmp_path):
+@pytest.mark.parametrize("watermark", [None, "0 seconds"])
+def test_stream_memo_equals_batch(spark, tmp_path, watermark):
     rows = _events(7, n=200, span=9000)
     ttl = 1000
     pdf = pd.DataFrame(rows, columns=["k", "t", "event_id", "score"])
@@ -66,12 +68,13 @@ def test_stream_memo_equals_batch(spark, tmp_path):
             .coalesce(1).write.mode("overwrite").parquet(str(src / f"p{j}"))
     stream = (spark.readStream.schema("k int, t long, event_id long, score double")
               .option("maxFilesPerTrigger", 1).parquet(str(src) + "/*"))
-    q = (stream_memo(stream, ttl).writeStream.format("memory").queryName("memo_out")
+    name = "memo_out_wm" if watermark else "memo_out"
+    q = (stream_memo(stream, ttl, watermark).writeStream.format("memory").queryName(name)
          .outputMode("append").option("checkpointLocation", str(tmp_path / "ck"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
     got = {r["event_id"]: (r["memo_at"], r["memo_value"])
-           for r in spark.sql("select * from memo_out").collect()}
+           for r in spark.sql(f"select * from {name}").collect()}
     assert got == brute_memo(rows, ttl)
 
 
