@@ -88,6 +88,21 @@ def release_page(df: DataFrame, bound_epoch: int, page: int,
             .offset(page * size).limit(size))
 
 
+def release_page_after(df: DataFrame, bound_epoch: int, after: tuple[int, int] | None,
+                       size: int = C.BULK_PAGE_SIZE,
+                       rel: str = "first_release_date") -> DataFrame:
+    """Keyset paging: the ``size`` games following the key ``after`` =
+    ``(release, id)`` of the previous page's last row.  Unlike ``offset``,
+    every task keeps only ``size`` rows however deep the page is, and the
+    release bound still reaches the scan."""
+    r = released_since(df, bound_epoch, rel)
+    if after is not None:
+        a_rel, a_id = after
+        r = r.where((F.col(rel) > F.lit(a_rel))
+                    | ((F.col(rel) == F.lit(a_rel)) & (F.col("id") > F.lit(a_id))))
+    return r.orderBy(*release_order(rel)).limit(size)
+
+
 def release_pages(df: DataFrame, bound_epoch: int, size: int = C.BULK_PAGE_SIZE,
                   rel: str = "first_release_date") -> DataFrame:
     """Every game since the bound with its page number and position: the

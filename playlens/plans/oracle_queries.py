@@ -126,6 +126,12 @@ SELECT id, name, first_release_date FROM games
 WHERE first_release_date >= {PAGE_BOUND}
 ORDER BY first_release_date, id LIMIT {C.BULK_PAGE_SIZE} OFFSET {C.BULK_PAGE_SIZE}""", "games")
 
+ORACLES["release_page_keyset"] = sql(f"""
+SELECT id, name, first_release_date FROM games
+WHERE first_release_date >= {PAGE_BOUND}
+  AND (first_release_date > 915148800 OR (first_release_date = 915148800 AND id > 0))
+ORDER BY first_release_date, id LIMIT {C.BULK_PAGE_SIZE}""", "games")
+
 ORACLES["release_pages"] = sql(f"""
 SELECT id, first_release_date, CAST((rn - 1) // {C.BULK_PAGE_SIZE} AS INTEGER) AS page,
   CAST((rn - 1) % {C.BULK_PAGE_SIZE} + 1 AS INTEGER) AS position

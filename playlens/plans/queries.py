@@ -246,6 +246,16 @@ def release_page(spark, sf):
     return p.select("id", "name", "first_release_date")
 
 
+# keyset page: the page after 1999-01-01 00:00:00 UTC (id 0)
+KEYSET_AFTER = (915148800, 0)
+
+
+@register
+def release_page_keyset(spark, sf):
+    p = sel.release_page_after(raw_games(spark, sf), PAGE_BOUND, KEYSET_AFTER, PAGE_SIZE)
+    return p.select("id", "name", "first_release_date")
+
+
 @register
 def release_pages(spark, sf):
     p = sel.release_pages(raw_games(spark, sf), PAGE_BOUND, PAGE_SIZE)
