@@ -102,20 +102,62 @@ def translate(df: DataFrame, ids_col: str, dim, out_col: str,
     return translate_by_join(df, key, ids_col, dim, out_col)
 
 
+def translate_many_by_join(df: DataFrame, key: str, specs: list[tuple[str, DataFrame, str]]
+                           ) -> DataFrame:
+    """Join strategy for several dimensions in one pass: every id array is
+    exploded with its kind and position into one long frame, joined once to
+    the union of the dimensions on ``(kind, id)``, regrouped once by the row
+    key and joined back once (``key`` must be unique)."""
+    parts = [df.select(key, F.lit(i).alias("_k"), F.posexplode(ids).alias("_pos", "_id"))
+             for i, (ids, _, _) in enumerate(specs)]
+    ex = parts[0]
+    for p in parts[1:]:
+        ex = ex.unionByName(p)
+    dparts = [d.select(F.lit(i).alias("_k"), F.col("id").alias("_id"),
+                       F.col("name").alias("_name")) for i, (_, d, _) in enumerate(specs)]
+    dim_all = dparts[0]
+    for p in dparts[1:]:
+        dim_all = dim_all.unionByName(p)
+    named = ex.join(dim_all, ["_k", "_id"], "left").select(
+        key, "_k", "_pos", F.coalesce("_name", unknown_name(F.col("_id"))).alias("_name"))
+    grouped = named.groupBy(key).agg(*[
+        F.sort_array(F.collect_list(F.when(F.col("_k") == i, F.struct("_pos", "_name"))))
+        .alias(f"_s{i}") for i in range(len(specs))])
+    back = grouped.select(key, *[F.transform(f"_s{i}", lambda s: s["_name"]).alias(f"_n{i}")
+                                 for i in range(len(specs))])
+    out = df.join(back, key, "left")
+    empty = F.array().cast(ArrayType(StringType()))
+    return out.withColumns({out_col: F.coalesce(F.col(f"_n{i}"), empty)
+                            for i, (_, _, out_col) in enumerate(specs)}) \
+        .drop(*[f"_n{i}" for i in range(len(specs))])
+
+
 def translate_game(raw: DataFrame, dims: dict, key: str = "id",
                    strategy: str = "auto") -> DataFrame:
     """Raw id arrays -> ``*_ids`` (ids kept as given, single pass) and name
-    arrays for the five dimensions."""
+    arrays for the five dimensions.  Bounded dimensions become literal maps;
+    the others are translated together in one join pass."""
     present = [c for c in TRANSLATED if c in raw.columns]
     out = raw.withColumns({TRANSLATED[c][0]: F.col(c) for c in present})
-    if all(isinstance(dims[c], dict) for c in present):
-        return out.withColumns({
-            TRANSLATED[c][1]: names_expr(F.col(TRANSLATED[c][0]),
-                                         id_name_map(as_rows(dims[c])))
-            for c in present})
-    for raw_col in present:
-        ids_col, names_col = TRANSLATED[raw_col]
-        out = translate(out, ids_col, dims[raw_col], names_col, key, strategy)
+    mapped, joined = {}, []
+    for c in present:
+        ids_col, names_col = TRANSLATED[c]
+        d = dims[c]
+        rows = None
+        if isinstance(d, dict):
+            rows = as_rows(d)
+        elif strategy in ("auto", "map"):
+            rows = bounded_rows(d)
+        if rows is not None and strategy != "join":
+            mapped[names_col] = names_expr(F.col(ids_col), id_name_map(rows))
+        elif strategy == "map":
+            raise ValueError(f"dimension {c} larger than {MAP_MAX_ROWS} rows; use 'join'")
+        else:
+            joined.append((ids_col, d, names_col))
+    if mapped:
+        out = out.withColumns(mapped)
+    if joined:
+        out = translate_many_by_join(out, key, joined)
     return out
 
 
