@@ -108,11 +108,15 @@ def translate_many_by_join(df: DataFrame, key: str, specs: list[tuple[str, DataF
     exploded with its kind and position into one long frame, joined once to
     the union of the dimensions on ``(kind, id)``, regrouped once by the row
     key and joined back once (``key`` must be unique)."""
-    parts = [df.select(key, F.lit(i).alias("_k"), F.posexplode(ids).alias("_pos", "_id"))
-             for i, (ids, _, _) in enumerate(specs)]
-    ex = parts[0]
-    for p in parts[1:]:
-        ex = ex.unionByName(p)
+    def tagged(i, ids):
+        arr = F.coalesce(F.col(ids), F.array().cast(ArrayType(IntegerType())))
+        return F.transform(arr, lambda x, pos: F.struct(
+            F.lit(i).alias("_k"), pos.alias("_pos"), x.alias("_id")))
+
+    # one explode over all arrays: the frame is read once, not once per kind
+    ex = df.select(key, F.explode(F.flatten(F.array(
+        *[tagged(i, ids) for i, (ids, _, _) in enumerate(specs)]))).alias("_e")) \
+        .select(key, "_e._k", "_e._pos", "_e._id")
     dparts = [d.select(F.lit(i).alias("_k"), F.col("id").alias("_id"),
                        F.col("name").alias("_name")) for i, (_, d, _) in enumerate(specs)]
     dim_all = dparts[0]
