@@ -42,3 +42,16 @@ def test_bulk_import_and_crawl(spark, tmp_path):
     msgs = jobs.crawl(raw, fx.dimension_maps(), C.AS_OF_EPOCH)
     assert msgs.count() == C.RECENT_TOP_K
     assert set(msgs.columns) == {"key", "value"}
+
+
+def test_keyset_pages_equal_offset_pages(spark):
+    from playlens.operators import selection as sel
+    g = Q.raw_games(spark, SF_SMALL).select("id", "first_release_date").cache()
+    size, after = 40, None
+    for page in range(3):
+        by_offset = [tuple(r) for r in sel.release_page(g, Q.PAGE_BOUND, page, size).collect()]
+        by_key = [tuple(r) for r in
+                  sel.release_page_after(g, Q.PAGE_BOUND, after, size).collect()]
+        assert by_key == by_offset
+        after = (by_key[-1][1], by_key[-1][0])
+    g.unpersist()
