@@ -262,16 +262,15 @@ def anchors(order: np.ndarray, valid: np.ndarray, span: int) -> tuple[np.ndarray
     start = np.flatnonzero(valid)
     if not len(start):
         return start, start, start
-    best = order.copy()
-    at = np.arange(len(order))
+    # rank in the high half, place (later is less) in the low half: one minimum gives both
+    low = np.uint64(0xFFFFFFFF)
+    best = (order & ~low) | (low - np.arange(len(order), dtype=np.uint64))
     reach = 1
     while reach < span:                      # windows double, then overlap to the exact span
         step = min(reach, span - reach)
-        right = best[step:] <= best[:-step]
-        at[:-step] = np.where(right, at[step:], at[:-step])
-        best[:-step] = np.minimum(best[step:], best[:-step])
+        np.minimum(best[:-step], best[step:], out=best[:-step])
         reach += step
-    at = at[start]
+    at = (low - (best[start] & low)).astype(np.int64)
     new = np.ones(len(start), bool)
     new[1:] = (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1)
     head = np.flatnonzero(new)
