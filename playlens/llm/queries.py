@@ -1,9 +1,13 @@
 """The registered queries of this subpackage, and SQL for those that SQL can express."""
 
-from playlens.llm import op6_substring_dedup
+from playlens.llm import op5_suffix_dedup, op6_substring_dedup, op9_quality_rules
 
 QUERIES = {
+    "op5_suffix_dedup": op5_suffix_dedup.query,
     "op6_substring_dedup": op6_substring_dedup.query,
+    "op9_quality_rules": op9_quality_rules.query,
 }
 
-ORACLES = {}
+ORACLES = {
+    "op9_quality_rules": op9_quality_rules.SQL,
+}
