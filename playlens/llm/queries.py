@@ -1,10 +1,20 @@
 """The registered queries of this subpackage, and SQL for those that SQL can express."""
 
-from playlens.llm import op5_suffix_dedup, op6_substring_dedup, op9_quality_rules
+from playlens.llm import (
+    op1_token_counts,
+    op2_sharding,
+    op5_suffix_dedup,
+    op6_substring_dedup,
+    op8_simhash,
+    op9_quality_rules,
+)
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts.query,
+    "op2_sharding": op2_sharding.query,
     "op5_suffix_dedup": op5_suffix_dedup.query,
     "op6_substring_dedup": op6_substring_dedup.query,
+    "op8_simhash": op8_simhash.query,
     "op9_quality_rules": op9_quality_rules.query,
 }
 
