@@ -119,10 +119,10 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACE_BYTES)] = True
 
 
-def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, row) of every word; words never cross rows."""
+def word_spans(data: np.ndarray, at: np.ndarray, breaks: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of every word; words never cross rows. ``breaks`` tells which bytes part words."""
     inside = np.zeros(len(data) + 1, bool)
-    inside[:-1] = ~_IS_SPACE[data]
+    inside[:-1] = ~breaks[data]
     start = inside.copy()
     start[1:] &= ~inside[:-1]
     heads = at[:-1][at[:-1] < len(data)]
@@ -136,6 +136,12 @@ def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start, end, row
 
 
+#: Bytes that part words where punctuation does too: all ASCII but letters and digits.
+PUNCTUATED = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+#: A-Z as a-z, other bytes as they are.
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+
+
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return RangeHash(BYTE_VALUES[data])(start, end)
 
