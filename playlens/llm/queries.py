@@ -3,9 +3,11 @@
 from playlens.llm import (
     op1_token_counts,
     op2_sharding,
+    op3_toxicity,
     op4_byte_bpe,
     op5_suffix_dedup,
     op6_substring_dedup,
+    op7_transcripts,
     op8_simhash,
     op9_quality_rules,
     op10_decontamination,
@@ -14,9 +16,11 @@ from playlens.llm import (
 QUERIES = {
     "op1_token_counts": op1_token_counts.query,
     "op2_sharding": op2_sharding.query,
+    "op3_toxicity": op3_toxicity.query,
     "op4_byte_bpe": op4_byte_bpe.query,
     "op5_suffix_dedup": op5_suffix_dedup.query,
     "op6_substring_dedup": op6_substring_dedup.query,
+    "op7_transcripts": op7_transcripts.query,
     "op8_simhash": op8_simhash.query,
     "op9_quality_rules": op9_quality_rules.query,
     "op10_decontamination": op10_decontamination.query,
