@@ -2,11 +2,11 @@
 
 1. Chunks of documents list their distinct words (matches of the pattern); the
    words meet at buckets of a hash, so each word of the corpus is encoded once.
-2. Spark's higher-order functions fold ranked merges over each word's array of
-   bytes (written in hexadecimal): the state is the pieces and the ranks of
-   neighbouring pairs, each step merges the leftmost pair of least rank. Ranks
-   come from a literal map, kept as an array of small maps by a hash of the
-   piece because a map is searched entry by entry.
+2. Spark's higher-order functions fold ranked merges over each word's bytes
+   (written in hexadecimal): the state is the cuts left between pieces with
+   the ranks of merging there, and each step merges the leftmost pair of least
+   rank. Ranks come from a literal map, kept as an array of small maps by a
+   hash of the piece because a map is searched entry by entry.
 3. The token ids go back to the chunks that asked; a text's ids are those of
    its words in order, and decoding concatenates the binary pieces of the ids.
 
@@ -28,18 +28,17 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlens.llm import common as C
-from playlens.llm.op1_token_counts import merge
+from playlens.llm.op1_token_counts import merge, splitter
 
 CHUNK_BYTES = 32 << 20
 FOLD_BYTES = 256
-RANK_MAPS = 8192
-_NONE = (1 << 31) - 1
+RANK_MAPS = 1 << 16
+_NONE, _PLACE_BITS = (1 << 31) - 1, 10
 
 _MESSAGES = "bucket int, chunk int, words binary"
 _ANSWERS = "chunk int, bucket int, ids binary"
@@ -64,40 +63,44 @@ def _let(value: Column, body) -> Column:
 
 
 def fold_merges(word: Column, table: Column) -> Column:
-    """Token ids of a word given in hexadecimal, as an array of ints."""
-    def rank(piece):
+    """Token ids of a word given in hexadecimal, as an array of ints.
+
+    The state of the fold is one array: for each cut left in the word's bytes,
+    the rank of merging across it and, in the low bits, its place. The least
+    entry is the leftmost pair of least rank; merging drops that cut and ranks
+    the cuts beside it anew.
+    """
+    n = (F.length(word) / 2).cast("int")
+
+    def rank(start, end):
+        piece = F.substr(word, 2 * start + 1, 2 * (end - start))
+        # XXH64 is unsigned where the maps are built; RANK_MAPS divides 2**64, so both agree
         place = F.pmod(F.xxhash64(piece), F.lit(RANK_MAPS)).cast("int")
-        # XXH64 is unsigned where the maps are built: RANK_MAPS divides 2**64, so both agree
         return F.coalesce(F.try_element_at(F.get(table, place), piece), F.lit(_NONE))
 
-    def joined(state, i):
-        """The state with the pair at place i (from 1) merged."""
-        p, r = state["p"], state["r"]
-        nothing = F.array().cast("array<int>")
-
-        def put(piece):
-            left = F.when(i > 1, F.array(rank(F.concat(F.get(p, i - 2), piece)))).otherwise(nothing)
-            right = F.when(i + 1 < F.size(p), F.array(rank(F.concat(piece, F.get(p, i + 1))))).otherwise(nothing)
-            return F.struct(
-                F.concat(F.slice(p, 1, i - 1), F.array(piece), F.slice(p, i + 2, F.size(p))).alias("p"),
-                F.concat(F.slice(r, 1, F.greatest(i - 2, F.lit(0))), left, right, F.slice(r, i + 2, F.size(p))).alias("r"))
+    def entry(start, cut, end):
+        return F.shiftleft(rank(start, end).cast("long"), _PLACE_BITS) + cut
 
-        return _let(F.concat(F.get(p, i - 1), F.get(p, i)), put)
+    def place(cuts, i, otherwise):
+        return F.coalesce(F.get(cuts, i).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).cast("int"), otherwise)
 
-    def step(state, _):
-        least = F.array_min(state["r"])
-        return F.when(F.coalesce(least, F.lit(_NONE)) == _NONE, state).otherwise(
-            _let(F.array_position(state["r"], least).cast("int"), lambda i: joined(state, i)))
+    def merged(cuts, least):
+        def at(i):
+            left, right = place(cuts, i - 1, F.lit(0)), place(cuts, i + 1, n)
+            return F.transform(F.array_remove(cuts, least), lambda x, k: F.when(
+                k == i - 1, entry(place(cuts, i - 2, F.lit(0)), left, right)).when(
+                k == i, entry(left, right, place(cuts, i + 2, n))).otherwise(x))
 
-    n = (F.length(word) / 2).cast("int")
-    single = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substr(word, 2 * i + 1, F.lit(2)))
+        return _let((F.array_position(cuts, least) - 1).cast("int"), at)
 
-    def merged(p):
-        r = F.transform(F.sequence(F.lit(0), n - 2), lambda i: rank(F.concat(F.get(p, i), F.get(p, i + 1))))
-        return F.aggregate(F.sequence(F.lit(1), n - 1), F.struct(p.alias("p"), r.alias("r")), step, lambda s: s["p"])
+    def step(cuts, _):
+        return _let(F.array_min(cuts), lambda least: F.when(
+            F.coalesce(least, F.lit(_NONE << _PLACE_BITS)) >= (_NONE << _PLACE_BITS), cuts).otherwise(merged(cuts, least)))
 
-    pieces = _let(single, lambda p: F.when(n > 1, merged(p)).otherwise(p))
-    return _let(pieces, lambda p: F.transform(p, rank))
+    every = F.transform(F.sequence(F.lit(1), n - 1), lambda i: entry(i - 1, i, i + 1))
+    cuts = F.when(n > 1, F.aggregate(F.sequence(F.lit(1), n - 1), every, step)).otherwise(F.array().cast("array<bigint>"))
+    return _let(cuts, lambda c: F.transform(
+        F.sequence(F.lit(0), F.size(c)), lambda i: rank(place(c, i - 1, F.lit(0)), place(c, i, n))))
 
 
 def _packed(column: pa.Array) -> bytes:
@@ -115,7 +118,7 @@ def _unpacked(payload) -> pa.Array:
 def _distinct(payloads, text_col, n) -> tuple[dict[int, list[str]], set[str]]:
     """Distinct words of a chunk: sorted lists by bucket, and those too long to fold."""
     words: set[str] = set()
-    find = regex.compile(public_tokenizers.PATTERN).findall
+    find = splitter()
     for table in C.unpack(payloads):
         for text in table.column(text_col):
             if text.is_valid:
@@ -180,7 +183,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str, finish, schema,
         pieces = [b""] * (max(rank.values(), default=-1) + 1)
         for word, i in rank.items():
             pieces[i] = word
-        find = regex.compile(public_tokenizers.PATTERN).findall
+        find = splitter()
         out = []
         for table in C.unpack(left.column("payload")):
             ids = [b"".join(map(coded.__getitem__, find(t.as_py()))) if t.is_valid else b"" for t in table.column(text_col)]
