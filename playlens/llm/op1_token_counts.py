@@ -18,6 +18,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from functools import cache
 
 import public_tokenizers
 import pyarrow as pa
@@ -113,14 +114,15 @@ class _Counts(dict):
         return n
 
 
+@cache
 def _spelled_out(pattern: str) -> str:
     """The pattern with its character classes written as ranges, for characters up to ``SAME_CLASSES``."""
     classes = {}
     for name in (r"\p{L}", r"\p{N}", r"\s"):
         is_one = regex.compile(name).match
-        members = [c for c in range(SAME_CLASSES + 1) if is_one(chr(c))]
-        heads = [c for c in members if c - 1 not in set(members)]
-        tails = [c for c in members if c + 1 not in set(members)]
+        members = {c for c in range(SAME_CLASSES + 1) if is_one(chr(c))}
+        heads = sorted(c for c in members if c - 1 not in members)
+        tails = sorted(c for c in members if c + 1 not in members)
         classes[name] = "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in zip(heads, tails, strict=True))
     inner = pattern.replace(r"[^\s\p{L}\p{N}]", "[^" + "".join(classes[k] for k in (r"\s", r"\p{L}", r"\p{N}")) + "]")
     for name, ranges in classes.items():
