@@ -1,14 +1,18 @@
 """id <-> name translation against dimension tables.
 
-Two strategies, chosen by a checked size:
-
-* ``map``  – the dimension (bounded: at most ``MAP_MAX_ROWS`` rows, verified
-  with a ``limit(n+1)`` count) is folded into the plan as a literal MAP and
-  applied with ``transform`` – no join, no shuffle, whole-stage codegen.
-* ``join`` – for dimensions beyond that bound: explode ids with their
-  position, equi-join the dimension (Spark/AQE pick broadcast or sort-merge
-  from measured sizes) and regroup by the row key, restoring order by
-  position.  Groups are one row's array, so they stay small.
+Two strategies with equal results, chosen by a checked size (the bound changes
+speed only):
+
+* ``map``  - a dimension of at most ``MAP_MAX_ROWS`` rows (verified with a
+  ``limit(n+1)`` collect) becomes a literal MAP applied with ``transform``: no
+  join and no shuffle.  A map is searched entry by entry, hence the low bound.
+* ``join`` - for larger dimensions: the *distinct* arrays are exploded with
+  positions, equi-joined to the dimension (Spark/AQE pick broadcast or
+  sort-merge from measured sizes), regrouped by the array they came from and
+  joined back on it.  Rows need no key of their own.
+
+An id that a dimension lists twice has the least of its names; a name listed
+twice has its lowest id; null ids and names of a dimension are ignored.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from ..functions.scores import literal_map
 
-MAP_MAX_ROWS = 50_000
+MAP_MAX_ROWS = 1_000
 
 # raw id-array column -> (ids column, names column) of the translated game
 TRANSLATED = {
@@ -38,13 +42,20 @@ def bounded_rows(dim: DataFrame, max_rows: int = MAP_MAX_ROWS):
 
 
 def id_name_map(rows) -> Column:
-    return literal_map({int(r["id"]): r["name"] for r in rows if r["id"] is not None})
+    """Literal map; an id listed twice has the least of its names."""
+    names: dict[int, str] = {}
+    for r in rows:
+        if r["id"] is not None and r["name"] is not None:
+            i = int(r["id"])
+            names[i] = min(names.get(i, r["name"]), r["name"])
+    return literal_map(names)
 
 
 def name_id_map(rows) -> Column:
     """Inverse map; a name listed twice resolves to its lowest id."""
     inv: dict[str, int] = {}
-    for r in sorted((r for r in rows if r["id"] is not None), key=lambda r: r["id"]):
+    known = (r for r in rows if r["id"] is not None and r["name"] is not None)
+    for r in sorted(known, key=lambda r: r["id"]):
         inv.setdefault(r["name"], int(r["id"]))
     return literal_map(inv)
 
@@ -67,77 +78,84 @@ def ids_expr(names: Column, inv: Column) -> Column:
     return F.when(names.isNull(), F.array().cast(ArrayType(IntegerType()))).otherwise(tr)
 
 
-def translate_by_join(df: DataFrame, key: str, ids_col: str, dim: DataFrame,
-                      out_col: str) -> DataFrame:
-    """Join strategy for dimensions of any size (``key`` must be unique)."""
-    ex = df.select(key, F.posexplode(ids_col).alias("_pos", "_id"))
-    d = dim.select(F.col("id").alias("_id"), F.col("name").alias("_name"))
-    named = ex.join(d, "_id", "left").select(
-        key, "_pos", F.coalesce("_name", unknown_name(F.col("_id"))).alias("_name"))
-    grouped = named.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("_pos", "_name"))).alias("_s"))
-    back = grouped.select(key, F.transform("_s", lambda s: s["_name"]).alias("_names"))
-    out = df.join(back, key, "left")
-    return out.withColumn(out_col, F.coalesce(
-        F.col("_names"), F.array().cast(ArrayType(StringType())))).drop("_names")
-
-
 def as_rows(dim: dict) -> list[dict]:
     return [{"id": k, "name": v} for k, v in dim.items()]
 
 
-def translate(df: DataFrame, ids_col: str, dim, out_col: str,
-              key: str = "id", strategy: str = "auto") -> DataFrame:
-    """Add ``out_col`` = names of ``ids_col`` looked up in ``dim`` (a
-    DataFrame ``(id, name)``, or an already bounded ``{id: name}`` dict)."""
+def as_frame(dim, spark) -> DataFrame:
+    """A dimension as a table ``(id, name)``."""
+    return spark.createDataFrame(list(dim.items()), "id int, name string") if isinstance(dim, dict) else dim
+
+
+def _known_rows(dim):
+    """The rows of a dimension within the map bound, else None."""
     if isinstance(dim, dict):
-        if len(dim) > MAP_MAX_ROWS:
-            raise ValueError(f"dimension larger than {MAP_MAX_ROWS} entries")
-        return df.withColumn(out_col, names_expr(F.col(ids_col), id_name_map(as_rows(dim))))
-    rows = bounded_rows(dim) if strategy in ("auto", "map") else None
+        return as_rows(dim) if len(dim) <= MAP_MAX_ROWS else None
+    return bounded_rows(dim)
+
+
+def _looked_up(df: DataFrame, specs: list[tuple[str, DataFrame, str]], missing, kind) -> DataFrame:
+    """Replace the elements of array columns by table lookups, in one pass.
+
+    ``specs`` lists (array column, table ``(x, y)`` with unique ``x``, output
+    column); ``missing(x)`` stands for elements without a match (null elements
+    and null results drop out only if ``missing`` is None).  Work is done once
+    for each distinct combination of arrays, which is also the join key back,
+    so rows need no key and repeated rows are translated alike.
+    """
+    empty = F.array()
+    arrays = F.struct(*[F.coalesce(F.col(c), empty.cast(df.schema[c].dataType)).alias(f"c{i}")
+                        for i, (c, _, _) in enumerate(specs)])
+    keys = df.select(arrays.alias("_key")).distinct()
+
+    def tagged(i):
+        return F.transform(F.col(f"_key.c{i}"), lambda x, pos: F.struct(
+            F.lit(i).alias("_k"), pos.alias("_pos"), x.alias("_x")))
+
+    elements = F.flatten(F.array(*[tagged(i) for i in range(len(specs))]))
+    ex = keys.select("_key", F.explode(elements).alias("_e")).select("_key", "_e.*")
+    table = None
+    for i, (_, t, _) in enumerate(specs):
+        part = t.select(F.lit(i).alias("_k"), F.col("x").alias("_x"), F.col("y").alias("_y"))
+        table = part if table is None else table.unionByName(part)
+    found = ex.join(table, ["_k", "_x"], "left")
+    y = F.col("_y") if missing is None else F.coalesce("_y", missing(F.col("_x")))
+    found = found.select("_key", "_k", "_pos", y.alias("_y"))
+    if missing is None:
+        found = found.where(F.col("_y").isNotNull())
+    back = found.groupBy("_key").agg(*[
+        F.sort_array(F.collect_list(F.when(F.col("_k") == i, F.struct("_pos", "_y")))).alias(f"_s{i}")
+        for i in range(len(specs))])
+    back = back.select("_key", *[F.transform(f"_s{i}", lambda s: s["_y"]).alias(f"_n{i}")
+                                 for i in range(len(specs))])
+    out = df.withColumn("_key", arrays).join(back, "_key", "left")
+    none = empty.cast(ArrayType(kind))
+    return out.withColumns({out_col: F.coalesce(F.col(f"_n{i}"), none)
+                            for i, (_, _, out_col) in enumerate(specs)}) \
+        .drop("_key", *[f"_n{i}" for i in range(len(specs))])
+
+
+def translate_by_join(df: DataFrame, specs: list[tuple[str, DataFrame, str]]) -> DataFrame:
+    """Join strategy: (ids column, dimension, names column) of several dimensions in one pass."""
+    def table(dim):
+        known = dim.where(F.col("id").isNotNull() & F.col("name").isNotNull())
+        return known.groupBy(F.col("id").alias("x")).agg(F.min("name").alias("y"))
+
+    return _looked_up(df, [(c, table(d), out) for c, d, out in specs], unknown_name, StringType())
+
+
+def translate(df: DataFrame, ids_col: str, dim, out_col: str, strategy: str = "auto") -> DataFrame:
+    """Add ``out_col`` = names of ``ids_col`` looked up in ``dim`` (a
+    DataFrame ``(id, name)`` or a ``{id: name}`` dict)."""
+    rows = _known_rows(dim) if strategy in ("auto", "map") else None
     if rows is not None:
         return df.withColumn(out_col, names_expr(F.col(ids_col), id_name_map(rows)))
     if strategy == "map":
         raise ValueError(f"dimension larger than {MAP_MAX_ROWS} rows; use 'join'")
-    return translate_by_join(df, key, ids_col, dim, out_col)
-
-
-def translate_many_by_join(df: DataFrame, key: str, specs: list[tuple[str, DataFrame, str]]
-                           ) -> DataFrame:
-    """Join strategy for several dimensions in one pass: every id array is
-    exploded with its kind and position into one long frame, joined once to
-    the union of the dimensions on ``(kind, id)``, regrouped once by the row
-    key and joined back once (``key`` must be unique)."""
-    def tagged(i, ids):
-        arr = F.coalesce(F.col(ids), F.array().cast(ArrayType(IntegerType())))
-        return F.transform(arr, lambda x, pos: F.struct(
-            F.lit(i).alias("_k"), pos.alias("_pos"), x.alias("_id")))
-
-    # one explode over all arrays: the frame is read once, not once per kind
-    ex = df.select(key, F.explode(F.flatten(F.array(
-        *[tagged(i, ids) for i, (ids, _, _) in enumerate(specs)]))).alias("_e")) \
-        .select(key, "_e._k", "_e._pos", "_e._id")
-    dparts = [d.select(F.lit(i).alias("_k"), F.col("id").alias("_id"),
-                       F.col("name").alias("_name")) for i, (_, d, _) in enumerate(specs)]
-    dim_all = dparts[0]
-    for p in dparts[1:]:
-        dim_all = dim_all.unionByName(p)
-    named = ex.join(dim_all, ["_k", "_id"], "left").select(
-        key, "_k", "_pos", F.coalesce("_name", unknown_name(F.col("_id"))).alias("_name"))
-    grouped = named.groupBy(key).agg(*[
-        F.sort_array(F.collect_list(F.when(F.col("_k") == i, F.struct("_pos", "_name"))))
-        .alias(f"_s{i}") for i in range(len(specs))])
-    back = grouped.select(key, *[F.transform(f"_s{i}", lambda s: s["_name"]).alias(f"_n{i}")
-                                 for i in range(len(specs))])
-    out = df.join(back, key, "left")
-    empty = F.array().cast(ArrayType(StringType()))
-    return out.withColumns({out_col: F.coalesce(F.col(f"_n{i}"), empty)
-                            for i, (_, _, out_col) in enumerate(specs)}) \
-        .drop(*[f"_n{i}" for i in range(len(specs))])
+    return translate_by_join(df, [(ids_col, as_frame(dim, df.sparkSession), out_col)])
 
 
-def translate_game(raw: DataFrame, dims: dict, key: str = "id",
-                   strategy: str = "auto") -> DataFrame:
+def translate_game(raw: DataFrame, dims: dict, strategy: str = "auto") -> DataFrame:
     """Raw id arrays -> ``*_ids`` (ids kept as given, single pass) and name
     arrays for the five dimensions.  Bounded dimensions become literal maps;
     the others are translated together in one join pass."""
@@ -146,28 +164,26 @@ def translate_game(raw: DataFrame, dims: dict, key: str = "id",
     mapped, joined = {}, []
     for c in present:
         ids_col, names_col = TRANSLATED[c]
-        d = dims[c]
-        rows = None
-        if isinstance(d, dict):
-            rows = as_rows(d)
-        elif strategy in ("auto", "map"):
-            rows = bounded_rows(d)
-        if rows is not None and strategy != "join":
+        rows = _known_rows(dims[c]) if strategy in ("auto", "map") else None
+        if rows is not None:
             mapped[names_col] = names_expr(F.col(ids_col), id_name_map(rows))
         elif strategy == "map":
             raise ValueError(f"dimension {c} larger than {MAP_MAX_ROWS} rows; use 'join'")
         else:
-            joined.append((ids_col, d, names_col))
+            joined.append((ids_col, as_frame(dims[c], raw.sparkSession), names_col))
     if mapped:
         out = out.withColumns(mapped)
-    if joined:
-        out = translate_many_by_join(out, key, joined)
-    return out
+    return translate_by_join(out, joined) if joined else out
 
 
-def reverse_translate(df: DataFrame, names_col: str, dim,
-                      out_col: str) -> DataFrame:
-    rows = as_rows(dim) if isinstance(dim, dict) else bounded_rows(dim)
-    if rows is None:
-        raise ValueError("reverse translation needs a bounded dimension")
-    return df.withColumn(out_col, ids_expr(F.col(names_col), name_id_map(rows)))
+def reverse_translate(df: DataFrame, names_col: str, dim, out_col: str,
+                      strategy: str = "auto") -> DataFrame:
+    """Add ``out_col`` = ids of ``names_col``; unknown names are dropped."""
+    rows = _known_rows(dim) if strategy in ("auto", "map") else None
+    if rows is not None:
+        return df.withColumn(out_col, ids_expr(F.col(names_col), name_id_map(rows)))
+    if strategy == "map":
+        raise ValueError(f"dimension larger than {MAP_MAX_ROWS} rows; use 'join'")
+    known = as_frame(dim, df.sparkSession).where(F.col("id").isNotNull() & F.col("name").isNotNull())
+    table = known.groupBy(F.col("name").alias("x")).agg(F.min("id").alias("y"))
+    return _looked_up(df, [(names_col, table, out_col)], None, IntegerType())

@@ -67,7 +67,7 @@ def derive_metrics(raw: DataFrame, as_of: int) -> DataFrame:
 def crawl_transform(raw: DataFrame, dims: dict, as_of: int,
                     strategy: str = "auto") -> DataFrame:
     """Raw API games -> topic records: translate once, then metrics."""
-    return derive_metrics(translate_game(raw, dims, "id", strategy), as_of)
+    return derive_metrics(translate_game(raw, dims, strategy), as_of)
 
 
 def with_list_scores(df: DataFrame) -> DataFrame:
@@ -94,15 +94,17 @@ BULK_ARRAYS = ["franchises", "genre_ids", "platform_ids", "theme_ids",
 def bulk_document(raw: DataFrame, dims: dict, as_of: int,
                   strategy: str = "auto") -> DataFrame:
     """Bulk-import document: ids + names + assets + metrics + timestamps.
-    Missing list fields become [] and hypes/follows default to 0 only when
-    the field is absent (a present null stays null)."""
+    Missing list fields become [] and hypes/follows default to 0 (the declared
+    schema reads an absent field as null, so every null counts as absent)."""
     g = crawl_transform(raw, dims, as_of, strategy)
     arrays = [F.coalesce(F.col(a), F.array().cast(g.schema[a].dataType)).alias(a)
               for a in BULK_ARRAYS]
     return g.select(
         F.col("id").alias("game_id"), "name", "rating", "rating_count",
         "total_rating", "total_rating_count", "aggregated_rating",
-        "aggregated_rating_count", "hypes", "follows", "category", "status",
+        "aggregated_rating_count",
+        F.coalesce("hypes", F.lit(0)).alias("hypes"),
+        F.coalesce("follows", F.lit(0)).alias("follows"), "category", "status",
         *arrays,
         "release_date_formatted", "days_since_release", "days_to_release",
         "is_released", "is_upcoming", "franchise_count", "platform_count",

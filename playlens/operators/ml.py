@@ -9,6 +9,7 @@ inside the enrichment plan (or a streaming micro-batch) without a collect.
 
 from __future__ import annotations
 
+import logging
 import os
 from dataclasses import dataclass, field
 
@@ -17,11 +18,14 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
 
+LOG = logging.getLogger(__name__)
+
 
 @dataclass
 class ModelSpec:
@@ -120,7 +124,7 @@ def train_models(history: DataFrame, names=None, impute_labels: bool = True,
             try:
                 models[s.name] = s.pipeline().fit(train.where(s.row_filter()))
             except Exception:  # noqa: BLE001 - one failing model must not stop the rest
-                continue
+                LOG.warning("fit of model %s failed; it is skipped", s.name, exc_info=True)
         return models
     finally:
         train.unpersist()
@@ -176,7 +180,10 @@ def publish_models(spark, models: dict[str, PipelineModel], root: str, version:
 def latest_version(spark, root: str) -> str | None:
     try:
         rows = spark.read.text(f"{root.rstrip('/')}/{LATEST}").collect()
-    except Exception:  # noqa: BLE001 - nothing published yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        LOG.info("no model version published under %s", root)
         return None
     return rows[0][0] if rows else None
 
@@ -188,8 +195,8 @@ def load_models(path: str, names=None) -> dict[str, PipelineModel]:
         p = os.path.join(path, name)
         try:
             out[name] = PipelineModel.load(p)
-        except Exception:  # noqa: BLE001 - absent model: leave it out
-            continue
+        except Exception:  # noqa: BLE001 - absent or unreadable: the others still load
+            LOG.warning("model %s could not be loaded from %s", name, p, exc_info=True)
     return out
 
 

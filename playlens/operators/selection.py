@@ -37,10 +37,20 @@ def hype_order(hypes: str = "hypes", key: str = "id") -> list[Column]:
     return [F.col(hypes).desc_nulls_last(), F.col(key).asc()]
 
 
-def top_hyped(df: DataFrame, k: int = C.RECENT_TOP_K) -> DataFrame:
-    """Top ``k`` by hypes (nulls last, id breaks ties): TakeOrderedAndProject,
-    each task keeps k rows, the driver merges at most k x tasks."""
-    return df.orderBy(*hype_order()).limit(k)
+def top_ids(df: DataFrame, k: int = C.RECENT_TOP_K, key: str = "id") -> DataFrame:
+    """Ids (``id``) of the top ``k`` by hypes (nulls last, id breaks ties).
+
+    Only two columns are ranked: TakeOrderedAndProject, each task keeps k rows."""
+    return (df.select(F.col(key).alias("id"), "hypes").orderBy(*hype_order()).limit(k)
+            .select("id"))
+
+
+def top_hyped(df: DataFrame, k: int = C.RECENT_TOP_K, key: str = "id") -> DataFrame:
+    """Top ``k`` rows by hypes; ids are unique.  The ``k`` winning ids, a
+    bounded set, are joined back to their wide rows: an ``orderBy().limit()``
+    of the wide rows below further projections would be a full sort."""
+    top = top_ids(df, k, key).withColumnRenamed("id", "_top")
+    return df.join(F.broadcast(top), df[key] == top["_top"], "left_semi")
 
 
 def split_label(upcoming: str = "is_upcoming") -> Column:

@@ -14,26 +14,32 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import scores as S
 from ..functions import sentiment as X
+from .ranking import top_k_per_group
+
+
+def _relevance(posts: DataFrame) -> list[str]:
+    """Relevance order of posts: their rank if they have one, else time and event."""
+    return ["rank"] if "rank" in posts.columns else ["posted_at", "event_id"]
 
 
 def post_sentiment(posts: DataFrame, key: str = "game_id",
                    scored: int = C.POSTS_SCORED) -> DataFrame:
-    """Per game: mean sentiment of the first ``scored`` posts by rank (0-100),
-    its label, the volume of all posts and the summed vote score of the
-    scored posts.  All aggregates are algebraic (partial aggregation)."""
-    p = posts.withColumn("_scored", F.col("rank") <= scored)
+    """Per game: mean sentiment of the first ``scored`` posts by relevance
+    (0-100), its label, the volume of all posts and the summed vote score of
+    the scored posts.  The first posts come from a salted two-phase top-k, the
+    volume from a plain count: no post beyond them is ranked or sorted."""
     s = X.post_sentiment("title", "score")
-    agg = p.groupBy(key).agg(
-        F.avg(F.when(F.col("_scored"), s)).alias("_avg"),
-        F.count(F.lit(1)).cast("int").alias("post_volume"),
-        F.count(F.when(F.col("_scored"), F.lit(1))).cast("int").alias("scored_posts"),
-        F.sum(F.when(F.col("_scored"), F.col("score"))).cast("long").alias("total_post_score"),
-    )
-    score = F.when(F.col("scored_posts") > 0, X.rescale("_avg")).otherwise(F.lit(0.0))
-    return agg.select(key, "post_volume", "scored_posts", "total_post_score",
-                      score.alias("reddit_score"),
-                      F.when(F.col("scored_posts") > 0, X.label(score))
-                      .otherwise(F.lit(C.NEUTRAL_LABEL)).alias("reddit_label"))
+    volume = posts.groupBy(key).agg(F.count(F.lit(1)).cast("int").alias("post_volume"))
+    first = top_k_per_group(posts, [key], _relevance(posts), scored, "_place")
+    agg = first.groupBy(key).agg(
+        F.avg(s).alias("_avg"),
+        F.count(F.lit(1)).cast("int").alias("scored_posts"),
+        F.sum("score").cast("long").alias("total_post_score"),
+    ).withColumnRenamed(key, "_game")
+    score = X.rescale("_avg")
+    return volume.join(agg, volume[key].eqNullSafe(agg["_game"])).select(
+        key, "post_volume", "scored_posts", "total_post_score",
+        score.alias("reddit_score"), X.label(score).alias("reddit_label"))
 
 
 def posts_in_window(posts: DataFrame, as_of: str, days: int = C.POSTS_WINDOW_DAYS,
@@ -46,13 +52,15 @@ def posts_in_window(posts: DataFrame, as_of: str, days: int = C.POSTS_WINDOW_DAY
 
 def posts_last_month(games: DataFrame, posts: DataFrame, as_of: str,
                      key: str = "id", post_key: str = "game_id") -> DataFrame:
-    """Games left-joined to their posts of the last month (pre-aggregated)."""
+    """Games left-joined to their posts of the last month: the window comes
+    first, then the first posts within it.  A game without posts in the window
+    scores 0.0, as the source did answer."""
     recent = post_sentiment(posts_in_window(posts, as_of), post_key)
     j = games.select(key).join(recent, games[key] == recent[post_key], "left")
     return j.select(
         F.col(key),
         F.coalesce("post_volume", F.lit(0)).alias("month_post_volume"),
-        F.col("reddit_score").alias("month_reddit_score"),
+        F.coalesce("reddit_score", F.lit(0.0)).alias("month_reddit_score"),
     )
 
 
@@ -85,7 +93,8 @@ def with_community_sentiment(games: DataFrame, posts: DataFrame,
                              reviews: DataFrame, key: str = "id",
                              posts_available: bool = True,
                              zero_is_missing: bool = True,
-                             restrict_sources: bool = False) -> DataFrame:
+                             restrict_sources: bool = False,
+                             posts_as_of: str | None = None) -> DataFrame:
     """Blend posts (0.4), review page (0.3) and native engagement (0.3) into
     ``community_sentiment_score/label``, ``community_data_volume`` and
     ``sentiment_source``.
@@ -97,7 +106,10 @@ def with_community_sentiment(games: DataFrame, posts: DataFrame,
     only the posts and pages of those games (left-semi join, broadcast when
     AQE measures the key set small) before aggregating, instead of
     re-aggregating the whole source tables per batch.
+    ``posts_as_of``: only posts of the month before this instant count.
     """
+    if posts_as_of is not None:
+        posts = posts_in_window(posts, posts_as_of)
     if restrict_sources:
         keys = games.select(F.col(key).alias("_gk")).distinct()
         posts = posts.join(keys, posts["game_id"] == keys["_gk"], "left_semi")

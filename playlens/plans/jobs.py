@@ -8,7 +8,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..operators import enrich, ml
@@ -26,14 +27,15 @@ def read_raw_games(spark: SparkSession, path: str, fmt: str = "json") -> DataFra
 def bulk_import(raw: DataFrame, dims: dict, out_path: str, as_of: int,
                 bound_epoch: int | None = None) -> DataFrame:
     """All games released since ``bound_epoch`` (default 2005-01-01) ->
-    bulk documents appended to ``out_path``; returns load statistics."""
+    bulk documents appended to ``out_path``; returns the statistics of this
+    load, counted while it is written."""
     bound = bound_epoch if bound_epoch is not None else int(
         raw.sparkSession.sql(f"SELECT unix_timestamp(timestamp'{C.BULK_LOWER_BOUND}')")
         .first()[0])
     docs = enrich.bulk_document(sel.released_since(raw, bound), dims, as_of)
-    sinks.append_documents(docs, out_path)
-    written = raw.sparkSession.read.parquet(out_path)
-    return written.agg({"*": "count"}).withColumnRenamed("count(1)", "documents")
+    seen = Observation("bulk_import")
+    sinks.append_documents(docs.observe(seen, F.count(F.lit(1)).alias("documents")), out_path)
+    return raw.sparkSession.createDataFrame([(seen.get["documents"],)], "documents long")
 
 
 def crawl(raw: DataFrame, dims: dict, as_of: int, k: int = C.RECENT_TOP_K) -> DataFrame:

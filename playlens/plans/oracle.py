@@ -87,6 +87,22 @@ _KW_NEG = " + ".join(f"CAST(contains(lower(title), {q(k)}) AS INTEGER)"
 _TITLE = _case_map("event_type", {k: q(v) for k, v in POST_TITLES.items()},
                    q(POST_TITLE_OTHER))
 
+POSTS_HI = f"TIMESTAMP {q(C.POSTS_AS_OF)}"
+
+
+def _post_agg(rows: str) -> str:
+    return f"""
+SELECT game_id, post_volume, scored_posts, total_post_score,
+  CASE WHEN scored_posts > 0 THEN (a + {D(1.0)}) * {D(50.0)} ELSE {D(0.0)} END AS reddit_score,
+  CASE WHEN scored_posts > 0 THEN
+    {_label(f'(a + {D(1.0)}) * {D(50.0)}', 60, 40)} ELSE 'neutral' END AS reddit_label
+FROM (SELECT game_id, avg(CASE WHEN rank <= 50 THEN s END) AS a,
+        CAST(count(*) AS INTEGER) AS post_volume,
+        CAST(count(CASE WHEN rank <= 50 THEN 1 END) AS INTEGER) AS scored_posts,
+        CAST(sum(CASE WHEN rank <= 50 THEN score END) AS BIGINT) AS total_post_score
+      FROM {rows} GROUP BY game_id)"""
+
+
 CTES: dict[str, tuple[str, list[str]]] = {
     "li": (f"""
 SELECT l_orderkey,
@@ -199,11 +215,11 @@ SELECT * REPLACE (
 FROM gm""", ["gm"]),
     "posts": (f"""
 SELECT CAST(user_id AS INTEGER) AS game_id, {_TITLE} AS title,
-  CAST(floor(value) AS INTEGER) - 20 AS score, ts AS posted_at,
+  CAST(floor(value) AS INTEGER) - 20 AS score, ts AS posted_at, event_id,
   CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS rank
 FROM events""", []),
     "post_rows": (f"""
-SELECT game_id, rank, score, posted_at,
+SELECT game_id, rank, score, posted_at, event_id,
   CASE WHEN kp > kn THEN least({D(1.0)}, (kp - kn) / {D(2.0)})
        WHEN kn > kp THEN greatest({D(-1.0)}, (kp - kn) / {D(2.0)})
        ELSE {D(0.0)} END * {D(0.6)}
@@ -211,16 +227,15 @@ SELECT game_id, rank, score, posted_at,
          WHEN score > 10 THEN {D(0.2)} WHEN score < -10 THEN {D(-0.5)}
          ELSE {D(0.0)} END * {D(0.4)} AS s
 FROM (SELECT *, {_KW_POS} AS kp, {_KW_NEG} AS kn FROM posts)""", ["posts"]),
-    "post_agg": (f"""
-SELECT game_id, post_volume, scored_posts, total_post_score,
-  CASE WHEN scored_posts > 0 THEN (a + {D(1.0)}) * {D(50.0)} ELSE {D(0.0)} END AS reddit_score,
-  CASE WHEN scored_posts > 0 THEN
-    {_label(f'(a + {D(1.0)}) * {D(50.0)}', 60, 40)} ELSE 'neutral' END AS reddit_label
-FROM (SELECT game_id, avg(CASE WHEN rank <= 50 THEN s END) AS a,
-        CAST(count(*) AS INTEGER) AS post_volume,
-        CAST(count(CASE WHEN rank <= 50 THEN 1 END) AS INTEGER) AS scored_posts,
-        CAST(sum(CASE WHEN rank <= 50 THEN score END) AS BIGINT) AS total_post_score
-      FROM post_rows GROUP BY game_id)""", ["post_rows"]),
+    # the last month's posts, ranked anew within the month
+    "month_rows": (f"""
+SELECT * REPLACE (CAST(row_number() OVER (PARTITION BY game_id ORDER BY posted_at, event_id)
+                       AS INTEGER) AS rank)
+FROM post_rows
+WHERE posted_at >= {POSTS_HI} - INTERVAL {C.POSTS_WINDOW_DAYS} DAY AND posted_at <= {POSTS_HI}""",
+                   ["post_rows"]),
+    "post_agg": (_post_agg("post_rows"), ["post_rows"]),
+    "month_agg": (_post_agg("month_rows"), ["month_rows"]),
     "reviews": (f"""
 SELECT CAST(page_id AS INTEGER) AS game_id,
   translate(lower('Game: ' || CAST(page_id AS VARCHAR)), ' :', '-') AS slug,
@@ -267,9 +282,9 @@ FROM (SELECT *,
         coalesce(g.is_upcoming, false) AND g.days_to_release IS NOT NULL
           AND g.days_to_release >= 1 AND g.days_to_release <= 365 AS gate
       FROM gfill g
-      LEFT JOIN post_agg pa ON g.id = pa.game_id
+      LEFT JOIN month_agg pa ON g.id = pa.game_id
       LEFT JOIN review_agg ra ON translate(lower(g.name), ' :', '-') = ra.slug)))
-""", ["gfill", "post_agg", "review_agg"]),
+""", ["gfill", "month_agg", "review_agg"]),
 }
 
 

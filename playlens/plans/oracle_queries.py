@@ -48,6 +48,12 @@ ORACLES["reverse_translate"] = sql(f"""
 SELECT id, {joined(_back('genres', C.DIM_GENRES))} AS genre_ids_back,
   {joined(_back('platforms', C.DIM_PLATFORMS))} AS platform_ids_back FROM gtr""", "gtr")
 
+_REPEATS = sql(f"""
+SELECT id, CASE WHEN id % 7 <> 0 THEN id % 100 END AS key, {joined('genres')} AS names,
+  {joined(_back('genres', C.DIM_GENRES))} AS back FROM gtr""", "gtr")
+ORACLES["translate_repeats_map"] = _REPEATS
+ORACLES["translate_repeats_join"] = _REPEATS
+
 ORACLES["genre_popularity"] = sql(
     f"SELECT id, {r6('genre_popularity_score')} AS genre_popularity_score FROM gfill", "gfill")
 
@@ -74,18 +80,10 @@ SELECT id, {r6('community_sentiment_score')} AS community_sentiment_score,
   community_sentiment_label, community_data_volume, sentiment_source
 FROM community""", "community")
 
-_HI = f"TIMESTAMP {q(C.POSTS_AS_OF)}"
 ORACLES["posts_last_month"] = sql(f"""
 SELECT g.id, coalesce(m.post_volume, 0) AS month_post_volume,
-  {r6('m.reddit_score')} AS month_reddit_score
-FROM games g LEFT JOIN (
-  SELECT game_id, CAST(count(*) AS INTEGER) AS post_volume,
-    CASE WHEN count(CASE WHEN rank <= 50 THEN 1 END) > 0
-         THEN (avg(CASE WHEN rank <= 50 THEN s END) + {D(1.0)}) * {D(50.0)}
-         ELSE {D(0.0)} END AS reddit_score
-  FROM post_rows
-  WHERE posted_at >= {_HI} - INTERVAL {C.POSTS_WINDOW_DAYS} DAY AND posted_at <= {_HI}
-  GROUP BY game_id) m ON g.id = m.game_id""", "games", "post_rows")
+  {r6(f'coalesce(m.reddit_score, {D(0.0)})')} AS month_reddit_score
+FROM games g LEFT JOIN month_agg m ON g.id = m.game_id""", "games", "month_agg")
 
 
 # ---------------------------------------------------------------- selections
@@ -210,7 +208,9 @@ ORACLES["document_projection"] = sql(
   release_date_formatted AS release_date, days_to_release, days_since_release,
   is_released, is_upcoming, franchise_count, platform_count, genre_count, success_level,
   community_sentiment_label, community_data_volume, sentiment_source,
-  CAST(NULL AS DOUBLE) AS predicted_rating, CAST(NULL AS DOUBLE) AS predicted_success_score,
+  CAST(NULL AS DOUBLE) AS predicted_rating, CAST(NULL AS DOUBLE) AS predicted_rating_count,
+  CAST(NULL AS DOUBLE) AS predicted_longevity, CAST(NULL AS DOUBLE) AS predicted_success_class,
+  CAST(NULL AS DOUBLE) AS predicted_success_score,
   CAST(7 AS BIGINT) AS batch_id, CAST({C.AS_OF_EPOCH} AS BIGINT) AS processed_timestamp,
   {q('2000-01-01T12:00:00')} AS ingestion_time, """
     + ", ".join(f"{r6(c)} AS {c}" for c in _DOC_ROUNDED) + ", "
@@ -248,6 +248,10 @@ ORACLES["history_scan"] = sql(
                           else (f"{joined(c)} AS {c}" if c in _HIST_ARR else c)
                           for c in _HIST_COLS) + " FROM history", "history")
 
+_BULK_ARRAYS = ["franchises", "genre_ids", "platform_ids", "theme_ids", "game_mode_ids",
+                "player_perspective_ids", "involved_companies", "screenshots", "videos", "artworks",
+                "websites", "similar_games", "expansions", "bundles"]
+_BULK_NAMES = ["genres", "platforms", "game_modes", "themes", "player_perspectives"]
 ORACLES["bulk_metrics"] = sql(f"""
 SELECT id AS game_id, name, release_date_formatted, days_since_release, days_to_release,
   is_released, is_upcoming, franchise_count, platform_count, genre_count, company_count,
@@ -256,10 +260,12 @@ SELECT id AS game_id, name, release_date_formatted, days_since_release, days_to_
   success_level, has_multiplayer, has_expansions, first_release_date AS release_date,
   {q('2000-01-01T12:00:00')} AS ingestion_time,
   CAST({C.AS_OF_EPOCH} AS BIGINT) AS processed_timestamp,
-  {joined('coalesce(genre_ids, []::INTEGER[])')} AS genre_ids, {joined('genres')} AS genres,
-  {joined('coalesce(expansions, []::INTEGER[])')} AS expansions,
-  {joined('coalesce(videos, []::INTEGER[])')} AS videos
-FROM gm""", "gm")
+  coalesce(hypes, 0) AS hypes, coalesce(follows, 0) AS follows, category, status,
+  rating_count, total_rating_count, aggregated_rating_count, {r6('rating')} AS rating,
+  {r6('total_rating')} AS total_rating, {r6('aggregated_rating')} AS aggregated_rating,
+  CAST(id AS VARCHAR) || '_{C.AS_OF_EPOCH}' AS doc_id, """
+    + ", ".join([f"{joined(f'coalesce({c}, []::INTEGER[])')} AS {c}" for c in _BULK_ARRAYS]
+                + [f"{joined(c)} AS {c}" for c in _BULK_NAMES]) + " FROM gm", "gm")
 
 # ---------------------------------------------------------------- training
 ORACLES["train_counts"] = sql("""
@@ -315,3 +321,14 @@ ORACLES["crawl_messages"] = sql(f"""
 SELECT id, CAST(hypes AS VARCHAR) AS j_hypes, CAST(is_upcoming AS VARCHAR) AS j_is_upcoming,
   {_json_strs('genres')} AS j_genres
 FROM gm WHERE id IN {_RECENT_IDS}""", "gm")
+
+ORACLES["stream_roundtrip"] = sql(f"""
+SELECT id AS game_id, is_upcoming, {r6('community_sentiment_score')} AS community_sentiment_score,
+  {r6('prediction_confidence')} AS prediction_confidence
+FROM scored WHERE {_OK}""", "scored")
+
+# values that hold for any data: normal equations, and means within their range
+ORACLES["linear_residuals"] = "SELECT " + ", ".join(
+    f"{D(0.0)} AS residual_{c}" for c in ["bias", *C.EXTENDED_FEATURES])
+ORACLES["forest_ranges"] = ("SELECT CAST(0 AS BIGINT) AS outside_rating_count, "
+                            "CAST(0 AS BIGINT) AS outside_longevity")

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 import uuid
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,7 +79,8 @@ def filled_games(spark, sf):
 
 def community_games(spark, sf):
     return sent.with_community_sentiment(
-        filled_games(spark, sf), fx.posts(spark, sf), fx.reviews(spark, sf))
+        filled_games(spark, sf), fx.posts(spark, sf), fx.reviews(spark, sf),
+        posts_as_of=C.POSTS_AS_OF)
 
 
 # ---------------------------------------------------------------- metrics
@@ -140,6 +142,29 @@ def translate_ids_join(spark, sf):
                                               strategy="join"))
 
 
+def _repeating(spark, sf):
+    """Id arrays under keys that repeat and are null for some, and a dimension
+    that lists each id twice (the second name is later in order)."""
+    g = raw_games(spark, sf).select(
+        F.when(F.col("id") % 7 != 0, F.col("id") % 100).alias("key"), "id", "genres")
+    d = fx.dimension(spark, "genres")
+    return g, d.unionByName(d.select("id", F.concat(F.lit("~"), "name").alias("name")))
+
+
+def _by(strategy):
+    def query(spark, sf):
+        g, d = _repeating(spark, sf)
+        t = dims_op.translate(g, "genres", d, "names", strategy)
+        t = dims_op.reverse_translate(t, "names", d, "back", strategy)
+        return t.select("id", "key", joined("names").alias("names"), joined("back").alias("back"))
+
+    query.__name__ = f"translate_repeats_{strategy}"
+    return register(query)
+
+
+translate_repeats_map, translate_repeats_join = _by("map"), _by("join")
+
+
 @register
 def reverse_translate(spark, sf):
     d = fx.dimension_maps()
@@ -211,9 +236,10 @@ PAGE_SIZE = C.BULK_PAGE_SIZE
 
 def recent_batch(spark, sf):
     """Crawl batch: released in the last 60 days or later, top 100 by hypes,
-    then transformed."""
-    raw = sel.top_hyped(sel.recent_window(raw_games(spark, sf), AS_OF))
-    return enrich.crawl_transform(raw, fx.dimension_maps(), AS_OF)
+    then transformed.  The ids are ranked first (from orders alone), so only
+    their lines are aggregated."""
+    top = sel.top_ids(sel.recent_window(raw_games(spark, sf), AS_OF))
+    return enrich.crawl_transform(fx.games(spark, sf, top), fx.dimension_maps(), AS_OF)
 
 
 @register
@@ -302,7 +328,7 @@ def encode_games(spark, sf):
 
 @register
 def load_stats(spark, sf):
-    return docs_op.load_stats(envelope_of(spark, sf), st.decode_ok("value"))
+    return docs_op.load_stats(st.parse(envelope_of(spark, sf)), st.decode_ok())
 
 
 @register
@@ -314,7 +340,8 @@ def fill_defaults(spark, sf):
 
 
 def scored(spark, sf):
-    return score_records(stream_games(spark, sf), fx.posts(spark, sf), fx.reviews(spark, sf))
+    return score_records(stream_games(spark, sf), fx.posts(spark, sf), fx.reviews(spark, sf),
+                         posts_as_of=C.POSTS_AS_OF)
 
 
 @register
@@ -333,7 +360,7 @@ def success_score(spark, sf):
 
 def documents_of(spark, sf, batch_id=0):
     return enrich_documents(stream_games(spark, sf), fx.posts(spark, sf),
-                            fx.reviews(spark, sf), batch_id, AS_OF)
+                            fx.reviews(spark, sf), batch_id, AS_OF, posts_as_of=C.POSTS_AS_OF)
 
 
 DOC_ROUNDED = ["rating", "total_rating", "aggregated_rating", "genre_popularity_score",
@@ -343,7 +370,8 @@ DOC_PLAIN = ["game_id", "name", "rating_count", "hypes", "follows", "release_dat
              "days_to_release", "days_since_release", "is_released", "is_upcoming",
              "franchise_count", "platform_count", "genre_count", "success_level",
              "community_sentiment_label", "community_data_volume", "sentiment_source",
-             "predicted_rating", "predicted_success_score", "batch_id",
+             "predicted_rating", "predicted_rating_count", "predicted_longevity",
+             "predicted_success_class", "predicted_success_score", "batch_id",
              "processed_timestamp", "ingestion_time"]
 DOC_ARRAYS = ["genres", "platforms", "game_modes", "themes", "player_perspectives"]
 
@@ -395,7 +423,12 @@ def bulk_metrics(spark, sf):
         "screenshot_count", "website_count", "marketing_intensity",
         r6("hype_score").alias("hype_score"), r6("longevity_score").alias("longevity_score"),
         "success_level", "has_multiplayer", "has_expansions", "release_date",
-        "ingestion_time", "processed_timestamp",
+        "ingestion_time", "processed_timestamp", "hypes", "follows", "category", "status",
+        "rating_count", "total_rating_count", "aggregated_rating_count",
+        r6("rating").alias("rating"), r6("total_rating").alias("total_rating"),
+        r6("aggregated_rating").alias("aggregated_rating"), "doc_id",
+        *[joined(c).alias(c) for c in enrich.BULK_ARRAYS
+          if c not in ("genre_ids", "genres", "expansions", "videos")],
         joined("genre_ids").alias("genre_ids"), joined("genres").alias("genres"),
         joined("expansions").alias("expansions"), joined("videos").alias("videos"))
 
@@ -446,7 +479,8 @@ def trained(spark, sf, names):
 
 def predicted(spark, sf, names):
     return score_records(stream_games(spark, sf), fx.posts(spark, sf),
-                         fx.reviews(spark, sf), trained(spark, sf, names))
+                         fx.reviews(spark, sf), trained(spark, sf, names),
+                         posts_as_of=C.POSTS_AS_OF)
 
 
 @register
@@ -486,7 +520,7 @@ def predict_all(spark, sf):
 @register
 def predict_rating_linear(spark, sf):
     models = trained(spark, sf, ["rating_linear"])
-    g = score_records(stream_games(spark, sf), fx.posts(spark, sf), fx.reviews(spark, sf))
+    g = scored(spark, sf)
     if "rating_linear" in models:
         g = ml._apply(g, ml.SPEC_BY_NAME["rating_linear"], models["rating_linear"])
     else:
@@ -494,6 +528,37 @@ def predict_rating_linear(spark, sf):
     return g.select("id", "predicted_rating_linear")
 
 
+@register
+def linear_residuals(spark, sf):
+    """Least squares by value: over the training rows the residuals of the
+    linear model sum to 0, alone and against each feature (normal equations)."""
+    spec = ml.SPEC_BY_NAME["rating_linear"]
+    rows = ml.training_frame(history_of(spark, sf)).where(spec.row_filter())
+    model = trained(spark, sf, ["rating_linear"])["rating_linear"]
+    g = ml._apply(rows, spec, model).withColumn("_r", F.col(spec.label) - F.col(spec.prediction))
+    size = F.sum(F.abs(F.col(spec.label)))
+    sums = {"bias": F.sum("_r") / size, **{
+        c: F.sum(F.col("_r") * F.col(c)) / (size * F.greatest(F.max(F.abs(F.col(c))), F.lit(1.0))) for c in spec.features}}
+    return g.agg(*[F.abs(F.round(v, 6)).alias(f"residual_{c}") for c, v in sums.items()])
+
+
+@register
+def forest_ranges(spark, sf):
+    """Forests predict means of labels: how many predictions are missing or
+    outside the range of the training labels (none)."""
+    history = ml.training_frame(history_of(spark, sf))
+    specs = [ml.SPEC_BY_NAME[n] for n in ("rating_count", "longevity")]
+    bounds = history.agg(*[f(F.when(s.row_filter(), F.col(s.label))).alias(f"{n}_{s.name}")
+                           for s in specs for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    g = predicted(spark, sf, [s.name for s in specs])
+
+    def outside(s):
+        p = F.col(s.prediction)
+        return p.isNull() | (p < F.lit(bounds[f"lo_{s.name}"]) - 1e-6) | (p > F.lit(bounds[f"hi_{s.name}"]) + 1e-6)
+
+    return g.agg(*[F.count_if(outside(s)).cast("long").alias(f"outside_{s.name}") for s in specs])
+
+
 # ---------------------------------------------------------------- TTL memo
 
 
@@ -516,9 +581,7 @@ def sentiment_memo(spark, sf):
 
 
 # ---------------------------------------------------------------- streaming
-# (rows-only checks: a stream run through the file source and foreachBatch)
-
-
+# (a stream run through the file source and foreachBatch)
 
 
 @register
@@ -526,15 +589,15 @@ def stream_roundtrip(spark, sf):
     """Envelope files -> file stream -> foreachBatch enrichment -> idempotent
     documents sink; returns the sink read back."""
     base = shared_dir(spark, f"stream_roundtrip/{uuid.uuid4().hex}")
-    # four message files -> two micro-batches, whatever the session's partitioning
-    envelope_of(spark, sf).coalesce(4).write.mode("overwrite").json(base + "/in")
-    q = start_enrichment(st.file_stream(spark, base + "/in", max_files_per_trigger=2),
+    # as many message files as the input has partitions, a bounded number per trigger
+    envelope_of(spark, sf).write.mode("overwrite").json(base + "/in")
+    q = start_enrichment(st.file_stream(spark, base + "/in", max_files_per_trigger=64),
                          fx.posts(spark, sf), fx.reviews(spark, sf), base + "/out",
                          base + "/checkpoint", as_of_fn=lambda _b: AS_OF,
-                         available_now=True)
+                         available_now=True, posts_as_of=C.POSTS_AS_OF)
     q.awaitTermination()
     return spark.read.parquet(base + "/out").select(
-        "game_id", "batch_id", "doc_id", "is_upcoming",
+        "game_id", "is_upcoming",
         r6("community_sentiment_score").alias("community_sentiment_score"),
         r6("prediction_confidence").alias("prediction_confidence"))
 
@@ -553,7 +616,7 @@ def decode_quarantine(spark, sf):
 def sql_list_scores(spark, sf):
     """Genre and platform scores through the SQL functions, from SQL text."""
     register_sql_functions(spark)
-    view = f"playlens_games_{abs(hash(sf))}"
+    view = f"playlens_games_{zlib.crc32(sf.encode())}"
     stream_games(spark, sf).select("id", "genres", "platforms").createOrReplaceTempView(view)
     return spark.sql(f"""
         SELECT id, round(genre_popularity_score(genres), 6) AS genre_popularity_score,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -51,22 +52,25 @@ def pin_semantics(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
-_LOCAL_BASE: dict[int, str] = {}
+_LOCAL_BASE: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A folder under the cluster's shared checkpoint directory.
+    """A folder that the driver and all executors share.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``; we only
-    pick our own (a fresh temp folder) when it is unset, as in local tests.
+    The cluster names it in ``spark.checkpoint.dir``; a checkpoint directory
+    set on the context is honoured too.  Only a local master, as in tests, may
+    do without: it gets a temporary folder that goes when the process ends.
     """
     sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir", None)
+    base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        key = id(sc)
-        if key not in _LOCAL_BASE:
-            _LOCAL_BASE[key] = tempfile.mkdtemp(prefix="playlens-")
-        base = _LOCAL_BASE[key]
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = _LOCAL_BASE.get(sc.applicationId)
+        if base is None:
+            base = _LOCAL_BASE[sc.applicationId] = tempfile.mkdtemp(prefix="playlens-")
+            atexit.register(shutil.rmtree, base, ignore_errors=True)
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(os.path.join(base, "rdd"))
+        sc.setCheckpointDir(base.rstrip("/") + "/rdd")
     return base.rstrip("/") + "/" + name

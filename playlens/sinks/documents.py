@@ -52,10 +52,13 @@ def document(enriched: DataFrame, batch_id: int, as_of: int) -> DataFrame:
     return enriched.select(*cols)
 
 
-def doc_key(game_id: str = "game_id", batch_id: str = "batch_id") -> Column:
-    """Deterministic document key ``<game>_<batch>``: a replayed batch
-    rewrites the same keys instead of inserting new ones."""
-    return F.concat_ws("_", F.col(game_id).cast("string"), F.col(batch_id).cast("string"))
+def doc_key(game_id: str = "game_id", batch_id: str = "batch_id",
+            load_id: str | None = None) -> Column:
+    """Deterministic document key ``<game>_<batch>``, with ``load_id`` (a
+    column) ``<game>_<load>_<batch>``: a replayed batch rewrites the same keys
+    instead of inserting new ones."""
+    parts = [game_id, *([load_id] if load_id else []), batch_id]
+    return F.concat_ws("_", *[F.col(c).cast("string") for c in parts])
 
 
 def encode(df: DataFrame, key: str = "id") -> DataFrame:
@@ -65,13 +68,17 @@ def encode(df: DataFrame, key: str = "id") -> DataFrame:
                      F.to_json(F.struct(*fields)).alias("value"))
 
 
-def write_documents(docs: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Idempotent write: each batch owns its ``batch_id`` partition, and a
-    replay overwrites exactly that partition (dynamic partition overwrite)."""
-    (docs.withColumn("doc_id", doc_key())
+def write_documents(docs: DataFrame, path: str, fmt: str = "parquet",
+                    load_id: str = "0") -> None:
+    """Idempotent write: each batch of a load owns its ``load_id, batch_id``
+    partition, and a replay overwrites exactly that one (dynamic partition
+    overwrite).  ``load_id`` names the writer - for a stream the id kept in its
+    checkpoint - because batch numbers start anew with every checkpoint."""
+    (docs.withColumn("load_id", F.lit(load_id))
+     .withColumn("doc_id", doc_key(load_id="load_id"))
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id")
+     .partitionBy("load_id", "batch_id")
      .format(fmt).save(path))
 
 

@@ -77,19 +77,26 @@ def line_arrays(lineitem: DataFrame) -> DataFrame:
                             *[decoded.get(n, F.col(n)) for n in ARRAY_ORDER])
 
 
-def games(spark: SparkSession, sf_dir: str) -> DataFrame:
+def games(spark: SparkSession, sf_dir: str, ids: DataFrame | None = None) -> DataFrame:
     """Raw games (RAW_GAME shape): orders left-joined to their line arrays.
 
     Both sides grow with the data (one row per order), so neither is
     broadcast: the aggregate is hash-partitioned on ``l_orderkey`` already and
-    the shuffle-hash join re-partitions only ``orders`` on the same key; all
-    projections downstream then run in parallel over those partitions.
+    the sort-merge join, which spills where a hash join would not, re-partitions
+    only ``orders`` on the same key; projections downstream run in parallel.
+    ``ids`` (a bounded frame with a column ``id``) restricts orders and lines
+    before the lines are aggregated.
     """
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
         "o_orderdate", "o_orderpriority")
-    li = line_arrays(read_table(spark, sf_dir, "lineitem"))
-    j = o.join(li.hint("shuffle_hash"), o.o_orderkey == li.l_orderkey, "left")
+    lines = read_table(spark, sf_dir, "lineitem")
+    if ids is not None:
+        few = F.broadcast(ids.select(F.col("id").cast("long").alias("_id")))
+        o = o.join(few, F.col("o_orderkey") == F.col("_id"), "left_semi")
+        lines = lines.join(few, F.col("l_orderkey") == F.col("_id"), "left_semi")
+    li = line_arrays(lines)
+    j = o.join(li.hint("merge"), o.o_orderkey == li.l_orderkey, "left")
     q = F.col("q")
     price = F.col("o_totalprice")
     epoch = F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
@@ -127,29 +134,20 @@ POST_TITLE_OTHER = "badge collectors"
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Community posts ``(game_id, title, score, rank, posted_at)``.
-
-    ``rank`` is the relevance order within a game (time, then event id),
-    computed with the skew-safe distributed row number.
-    """
-    from ..operators.ranking import row_number_by
-
+    """Community posts ``(game_id, title, score, posted_at, event_id)``; their
+    relevance order within a game is time, then event id."""
     ev = read_table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value")
     title = F.lit(POST_TITLE_OTHER)
     for k, v in reversed(list(POST_TITLES.items())):
         title = F.when(F.col("event_type") == k, F.lit(v)).otherwise(title)
-    base = ev.select(
+    return ev.select(
         F.col("user_id").cast("int").alias("game_id"),
         title.alias("title"),
         (F.floor("value").cast("int") - 20).alias("score"),
         F.col("ts").cast("timestamp").alias("posted_at"),
         "event_id",
     )
-    ranked = row_number_by(base, ["game_id"], ["posted_at", "event_id"],
-                           F.date_trunc("minute", "posted_at"), "rank")
-    return ranked.select("game_id", "title", "score", F.col("rank").cast("int").alias("rank"),
-                         "posted_at")
 
 
 REVIEW_BLOCK_NO_SPAN = ('<div class="c-siteReviewScore_user"><p>tbd</p></div>'

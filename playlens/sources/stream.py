@@ -56,13 +56,22 @@ def is_decoded(game: Column) -> Column:
     return game.isNotNull() & game[CORRUPT].isNull()
 
 
+def parse(envelope: DataFrame, schema: StructType = STREAM_GAME) -> DataFrame:
+    """(timestamp, game): every message parsed, decodable or not."""
+    return _parsed_once(envelope, schema, ["timestamp"])
+
+
+def decoded(parsed: DataFrame, schema: StructType = STREAM_GAME) -> DataFrame:
+    """Typed game columns of the parsed messages that decoded."""
+    return parsed.where(is_decoded(F.col("game"))).select(
+        "timestamp", *[F.col("game")[f.name].alias(f.name) for f in schema.fields])
+
+
 def decode(envelope: DataFrame, schema: StructType = STREAM_GAME) -> DataFrame:
     """JSON value -> typed game columns next to the envelope timestamp.
     Null/empty values and malformed JSON are dropped here (see
     ``quarantine``), instead of turning into all-null rows."""
-    p = _parsed_once(envelope, schema, ["timestamp"])
-    return p.where(is_decoded(F.col("game"))).select(
-        "timestamp", *[F.col("game")[f.name].alias(f.name) for f in schema.fields])
+    return decoded(parse(envelope, schema), schema)
 
 
 def quarantine(envelope: DataFrame, schema: StructType = STREAM_GAME) -> DataFrame:
@@ -75,6 +84,6 @@ def quarantine(envelope: DataFrame, schema: StructType = STREAM_GAME) -> DataFra
         "timestamp", "value", reason.alias("reason"))
 
 
-def decode_ok(value: str = "value", schema: StructType = STREAM_GAME) -> Column:
-    """Column: True when the message decodes (for load statistics)."""
-    return F.coalesce(is_decoded(_game(F.col(value), schema)), F.lit(False))
+def decode_ok() -> Column:
+    """Column over parsed messages: True when the message decoded (for load statistics)."""
+    return F.coalesce(is_decoded(F.col("game")), F.lit(False))

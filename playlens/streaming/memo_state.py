@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,28 +70,42 @@ SENTIMENT_COLS = ["community_sentiment_score", "community_sentiment_label",
 SENTIMENT_STATE = ("at long, score double, label string, volume int, source string")
 
 
+#: Rows without a memo key are dealt over so many groups that keep no state.
+UNKEYED_PARTS = 256
+
+
 def _sentiment_memo_fn(ttl: int, t_col: str, order_col: str, evict: bool):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if evict and state.hasTimedOut:
             # the watermark passed at + ttl: this value can never be reused
             state.remove()
             return
-        batch = pd.concat(list(pdfs), ignore_index=True)
-        if key[0] is None:          # not gated: nothing to memoise
-            yield batch
+        if key[0] is None:          # not gated: nothing to memoise, piece by piece
+            for pdf in pdfs:
+                yield pdf.drop(columns=["_memo_part"])
             return
+        batch = pd.concat(list(pdfs), ignore_index=True).drop(columns=["_memo_part"])
         batch = batch.sort_values([t_col, order_col], kind="stable").reset_index(drop=True)
+        t = batch[t_col].to_numpy(dtype="int64")
         cur = state.get if state.exists else None
-        for i in range(len(batch)):
-            t = int(batch.at[i, t_col])
-            if cur is None or t - cur[0] >= ttl:
-                cur = (t, *[batch.at[i, c] for c in SENTIMENT_COLS])
-            else:
-                for j, c in enumerate(SENTIMENT_COLS):
-                    batch.at[i, c] = cur[j + 1]
-        vol = cur[3]
-        state.update((cur[0], None if pd.isna(cur[1]) else float(cur[1]), cur[2],
-                      None if vol is None or pd.isna(vol) else int(vol), cur[4]))
+        # each row takes the values of an anchor row, or (-1) of the state
+        i = int(np.searchsorted(t, cur[0] + ttl)) if cur is not None else 0
+        source = np.full(len(t), -1)
+        anchor = -1
+        while i < len(t):
+            end = max(i + 1, int(np.searchsorted(t, t[i] + ttl)))
+            source[i:end] = anchor = i
+            i = end
+        for j, c in enumerate(SENTIMENT_COLS):
+            values = batch[c].to_numpy(dtype=object)[np.maximum(source, 0)]
+            if cur is not None:
+                values[source < 0] = cur[j + 1]
+            batch[c] = values
+        if anchor >= 0:
+            score, label, vol, src = (batch.at[anchor, c] for c in SENTIMENT_COLS)
+            cur = (int(t[anchor]), None if pd.isna(score) else float(score), label,
+                   None if vol is None or pd.isna(vol) else int(vol), src)
+        state.update(tuple(cur))
         if evict:
             expiry_ms = (cur[0] + ttl) * 1000
             state.setTimeoutTimestamp(max(expiry_ms, state.getCurrentWatermarkMs() + 1))
@@ -104,7 +119,8 @@ def memoize_sentiment(scored: DataFrame, key_col: str, t_col: str, order_col: st
                       watermark: str | None = None, ts_col: str | None = None) -> DataFrame:
     """Streaming: replace each row's community sentiment with the value first
     computed for its memo key while that value is younger than ``ttl``
-    (seconds of ``t_col``).  Rows with a null key pass through unchanged.
+    (seconds of ``t_col``).  Rows with a null key pass through unchanged, dealt
+    over ``UNKEYED_PARTS`` groups that hold no state.
 
     With ``watermark`` (a delay such as ``"10 minutes"`` on the timestamp
     column ``ts_col``) a key's state is evicted once the watermark passes
@@ -116,6 +132,7 @@ def memoize_sentiment(scored: DataFrame, key_col: str, t_col: str, order_col: st
     if evict:
         scored = scored.withWatermark(ts_col, watermark)
     timeout = GroupStateTimeout.EventTimeTimeout if evict else GroupStateTimeout.NoTimeout
-    return scored.groupBy(key_col).applyInPandasWithState(
+    part = F.when(F.col(key_col).isNull(), F.pmod(F.xxhash64(order_col), F.lit(UNKEYED_PARTS)))
+    return scored.withColumn("_memo_part", part).groupBy(key_col, "_memo_part").applyInPandasWithState(
         _sentiment_memo_fn(ttl, t_col, order_col, evict), scored.schema, SENTIMENT_STATE,
         "append", timeout)

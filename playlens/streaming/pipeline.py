@@ -3,7 +3,9 @@
 ``foreachBatch`` runs the batch enrichment plan on each micro-batch and
 writes it with dynamic partition overwrite keyed by ``batch_id``.  With the
 mandatory checkpoint location, a batch re-run after a failure rewrites its
-own partition, so the sink holds each batch exactly once.
+own partition, so the sink holds each batch exactly once.  Partitions also
+carry the stream's id, which lives in its checkpoint: a new checkpoint on the
+same sink numbers batches from 0 again and must not replace earlier documents.
 """
 
 from __future__ import annotations
@@ -23,27 +25,33 @@ from ..operators.ml import ModelRegistry, predict_all
 from ..operators.sentiment import blend_sources, sentiment_gate, source_snapshots
 from ..plans.enrichment import enrich_documents
 from ..sinks.documents import document, write_documents
-from ..sources.stream import decode, decode_ok
+from ..sources.stream import decode_ok, decoded, parse
 from .memo_state import memoize_sentiment
 
 
+def _load_id(batch_df: DataFrame) -> str:
+    """Id of the running stream (kept in its checkpoint, so it survives restarts)."""
+    return batch_df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "0"
+
+
 def batch_writer(posts: DataFrame, reviews: DataFrame, sink_path: str,
                  registry: ModelRegistry | None = None,
                  as_of_fn: Callable[[int], int] | None = None,
-                 clock: Callable[[], float] = time.time):
+                 clock: Callable[[], float] = time.time,
+                 posts_as_of: str | None = None):
     """The ``foreachBatch`` callback."""
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
         now = clock()
         as_of = as_of_fn(batch_id) if as_of_fn else int(now)
         models = registry.get(now) if registry else {}
-        # the batch is read by the main plan and by the source key sets: decode
+        # the batch is read by the main plan and by the source key sets: keep
         # it once (a bounded micro-batch) instead of re-reading the source
-        games = decode(batch_df).persist()
+        games = decoded(batch_df).persist()
         try:
             docs = enrich_documents(games, posts, reviews, batch_id, as_of, models,
-                                    restrict_sources=True)
-            write_documents(docs, sink_path)
+                                    restrict_sources=True, posts_as_of=posts_as_of)
+            write_documents(docs, sink_path, load_id=_load_id(batch_df))
         finally:
             games.unpersist()
 
@@ -64,19 +72,19 @@ def scored_writer(sink_path: str, registry: ModelRegistry | None = None,
             "predicted_success_score": S.success_score("predicted_success_class"),
             "prediction_confidence": S.prediction_confidence("community_data_volume"),
         })
-        write_documents(document(g, batch_id, as_of), sink_path)
+        write_documents(document(g, batch_id, as_of), sink_path, load_id=_load_id(batch_df))
 
     return process
 
 
-def memoized_scores(envelope: DataFrame, posts: DataFrame, reviews: DataFrame,
+def memoized_scores(parsed: DataFrame, posts: DataFrame, reviews: DataFrame,
                     ttl: int = C.MEMO_TTL_SECONDS,
                     watermark: str | None = None) -> DataFrame:
-    """Streaming plan: decode -> list scores -> fill -> community sentiment
+    """Streaming plan: decoded messages -> list scores -> fill -> community sentiment
     (stream-static joins with checkpointed source snapshots, aggregated once)
     -> TTL memo keyed by name + week bucket, on the envelope time."""
     post_scores, review_table = source_snapshots(posts, reviews)
-    g = enrich.fill_defaults(enrich.with_list_scores(decode(envelope)))
+    g = enrich.fill_defaults(enrich.with_list_scores(decoded(parsed)))
     g = blend_sources(g, post_scores, review_table)
     g = g.withColumns({
         "_memo_key": F.when(sentiment_gate(), memo_key("name", "days_to_release")),
@@ -93,7 +101,8 @@ def start_enrichment(envelope: DataFrame, posts: DataFrame, reviews: DataFrame,
                      available_now: bool = False,
                      processing_time: str | None = None,
                      memo_ttl: int | None = None,
-                     memo_watermark: str | None = None) -> StreamingQuery:
+                     memo_watermark: str | None = None,
+                     posts_as_of: str | None = None) -> StreamingQuery:
     """Start the stream; ``checkpoint`` is required (offsets + recovery).
 
     With ``memo_ttl`` the community sentiment is memoised per name and week
@@ -101,17 +110,19 @@ def start_enrichment(envelope: DataFrame, posts: DataFrame, reviews: DataFrame,
     ``memo_watermark`` (e.g. ``"10 minutes"``) evicts expired keys."""
     if not checkpoint:
         raise ValueError("a checkpoint location is required")
-    # per-batch load statistics (fetched / sent / failed) in the query progress
-    ok = decode_ok("value")
-    envelope = envelope.observe(
+    # each message is parsed once; per-batch load statistics (fetched / sent /
+    # failed) are counted on the parsed rows and show in the query progress
+    ok = decode_ok()
+    parsed = parse(envelope).observe(
         "load_stats", F.count(F.lit(1)).alias("fetched"),
         F.count_if(ok).alias("sent"), F.count_if(~ok).alias("failed"))
     if memo_ttl:
-        w = (memoized_scores(envelope, posts, reviews, memo_ttl, memo_watermark).writeStream
+        w = (memoized_scores(parsed, posts, reviews, memo_ttl, memo_watermark).writeStream
              .foreachBatch(scored_writer(sink_path, registry, as_of_fn)))
     else:
-        w = envelope.writeStream.foreachBatch(
-            batch_writer(posts, reviews, sink_path, registry, as_of_fn))
+        w = parsed.writeStream.foreachBatch(
+            batch_writer(posts, reviews, sink_path, registry, as_of_fn,
+                         posts_as_of=posts_as_of))
     w = w.option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)

@@ -231,3 +231,53 @@ def test_posts_unavailable_drops_source(spark):
     assert off["community_sentiment_score"] == pytest.approx(50.0)
     assert off["sentiment_source"] == "igdb"
     assert off["community_data_volume"] == 0
+
+
+def test_strategies_agree_on_repeats_and_nulls(spark):
+    rows = [(1, [0], ["A"]), (1, [1, 9, None], ["Z", None, "B"]), (None, [2, 2], []), (None, None, None), (2, [], ["A", "A"])]
+    df = spark.createDataFrame(rows, "key int, ids array<int>, names array<string>")
+    dim = spark.createDataFrame([(0, "A2"), (0, "A"), (1, "B"), (2, "Cc"), (3, "A"), (None, "n"), (4, None)], "id int, name string")
+    out = {}
+    for how in ("map", "join"):
+        t = D.reverse_translate(D.translate(df, "ids", dim, "to_names", how), "names", dim, "to_ids", how)
+        out[how] = sorted(map(tuple, t.select("key", "ids", "to_names", "names", "to_ids").collect()), key=str)
+    assert out["map"] == out["join"]
+    got = {str(r[1]): (r[2], r[4]) for r in out["join"]}
+    assert got["[0]"] == (["A"], [0])
+    assert got["[1, 9, None]"] == (["B", "Unknown_9", None], [1])
+    assert got["[2, 2]"] == (["Cc", "Cc"], []) and got["None"] == ([], []) and got["[]"] == ([], [0, 0])
+
+
+def test_large_dimensions_change_speed_only(spark, monkeypatch):
+    df = spark.createDataFrame([([5, 1999, 7000],)], "ids array<int>")
+    big = {i: f"n{i:05d}" for i in range(2000)}
+    assert len(big) > D.MAP_MAX_ROWS
+    t = D.reverse_translate(D.translate(df, "ids", big, "names"), "names", big, "back").collect()[0]
+    assert t["names"] == ["n00005", "n01999", "Unknown_7000"] and t["back"] == [5, 1999]
+
+
+def test_month_window_comes_before_the_first_posts(spark):
+    """60 old posts and 60 strongly positive recent ones: only recent ones count."""
+    from playlens.operators.sentiment import posts_last_month
+    rows = [(1, "meh", 0, f"2023-06-01 00:{i:02d}:00", i) for i in range(60)]
+    rows += [(1, "amazing epic best", 500, f"2024-01-10 00:{i:02d}:00", 100 + i) for i in range(60)]
+    posts = spark.createDataFrame(rows, "game_id int, title string, score int, posted_at string, event_id int") \
+        .withColumn("posted_at", F.col("posted_at").cast("timestamp"))
+    games = spark.createDataFrame([(1,), (2,)], "id int")
+    got = {r["id"]: r for r in posts_last_month(games, posts, "2024-01-20 00:00:00").collect()}
+    assert got[1]["month_post_volume"] == 60 and got[1]["month_reddit_score"] == pytest.approx(100.0)
+    assert got[2]["month_post_volume"] == 0 and got[2]["month_reddit_score"] == 0.0
+
+
+def test_bulk_documents_default_hypes_and_follows(spark):
+    from playlens.plans import queries as Q
+    from .conftest import SF_SMALL
+    d = Q.bulk_metrics(spark, SF_SMALL)
+    assert d.where("hypes is null or follows is null").count() == 0
+    assert Q.raw_games(spark, SF_SMALL).where("hypes is null").count() > 0
+
+
+def test_shared_dir_honours_the_context(spark):
+    from playlens.session import shared_dir
+    first = shared_dir(spark, "x")
+    assert first == shared_dir(spark, "x") and spark.sparkContext.getCheckpointDir()

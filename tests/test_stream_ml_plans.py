@@ -49,9 +49,10 @@ def test_stream_replay_is_idempotent(spark, tmp_path):
     # a replayed batch (same batch id) overwrites its own partition only
     b0 = spark.read.parquet(out).where("batch_id = 0")
     n0 = b0.count()
-    redo = b0.drop("doc_id")
+    load = b0.select("load_id").first()[0]
+    redo = b0.drop("doc_id", "load_id")
     redo.cache().count()
-    write_documents(redo, out)
+    write_documents(redo, out, load_id=load)
     assert spark.read.parquet(out).count() == n
     assert spark.read.parquet(out).where("batch_id = 0").count() == n0
 
@@ -201,13 +202,40 @@ def test_join_strategy_and_balanced_ranking_plans(spark):
     # translation by join really joins (and regroups) instead of a literal map
     plan = _plan(Q.translate_ids_join(spark, SF_SMALL))
     assert plan.count("Join") > 1
-    # the post rank never windows by game alone: every window partition
-    # includes the time slice column
-    posts_plan = fx.posts(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
-    windows = [ln for ln in posts_plan.splitlines() if "Window [" in ln]
-    assert windows and all("_b" in ln for ln in windows)
+    # posts are never ranked by game alone first: the first window is salted,
+    # and each task keeps only the first posts (a group limit below the window)
+    plan = _plan(Q.post_sentiment(spark, SF_SMALL))
+    assert "WindowGroupLimit" in plan and "_salt" in plan
+
+
+@pytest.mark.parametrize("name", ["recent_top_hyped", "crawl_messages", "split_preview"])
+def test_registered_top_k_has_no_full_sort(spark, name):
+    plan = _plan(Q.QUERIES[name](spark, SF_SMALL))
+    assert "TakeOrderedAndProject" in plan
+    assert "rangepartitioning" not in plan
+
+
+def test_new_checkpoint_keeps_earlier_documents(spark, tmp_path):
+    env = Q.envelope_of(spark, SF_SMALL)
+    posts, reviews = fx.posts(spark, SF_SMALL), fx.reviews(spark, SF_SMALL)
+    out = str(tmp_path / "out")
+    for n in (1, 2):
+        src = str(tmp_path / f"in{n}")
+        env.where(f"crc32(encode(value, 'utf-8')) % 2 = {n - 1}").coalesce(1).write.json(src)
+        start_enrichment(st.file_stream(spark, src), posts, reviews, out, str(tmp_path / f"ck{n}"),
+                         as_of_fn=lambda b: C.AS_OF_EPOCH, available_now=True).awaitTermination()
+    found = spark.read.parquet(out)
+    assert found.count() == st.decode(env).count() == found.select("doc_id").distinct().count()
+    assert found.select("load_id").distinct().count() == 2 and found.select("batch_id").distinct().count() == 1
+
+
+def test_messages_written_and_read_back(spark, tmp_path):
+    messages = Q.docs_op.encode(Q.recent_batch(spark, SF_SMALL))
+    Q.docs_op.write_messages(messages, "parquet", path=str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, messages.collect()))
 
 
 def test_order_lines_not_broadcast(spark):
     plan = _plan(Q.raw_games(spark, SF_SMALL))
-    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
