@@ -18,7 +18,7 @@ def _stars(links: DataFrame, upward: bool) -> DataFrame:
         moved = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         moved = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", "m"))
-    return moved.where("a <> b").distinct()
+    return moved.where("a <> b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -33,6 +33,6 @@ def components(links: DataFrame) -> DataFrame:
         if mark == seen or not mark[0]:
             break
         seen = mark
-        now = C.cut(_stars(_stars(now, True), False))
+        now = C.cut(_stars(_stars(now, True), False).distinct())
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()

@@ -8,7 +8,7 @@
    by the parts of its other bits, of which one must agree; nothing is dropped.
 3. Each shard makes a BK-tree: a child hangs at its Hamming distance from the
    parent, and a search follows only the edges within the radius. A shard
-   reports links that join parts not yet joined in it, which keeps
+   reports its parts as stars around their least members, which keeps
    reachability and never writes out all pairs of a group.
 4. Links give components (``components``); a component is named by its least id.
 
@@ -121,6 +121,24 @@ def shard_links(members: list[int], radius: int) -> list[tuple[int, int]]:
     return links
 
 
+def shard_stars(members: list[int], radius: int) -> list[tuple[int, int]]:
+    """Each part of the shard as links to its least member: what the links reach, in one step."""
+    groups: dict[int, set[int]] = {}
+    for a, b in shard_links(members, radius):
+        one, two = groups.get(a, {a}), groups.get(b, {b})
+        if len(one) < len(two):
+            one, two = two, one
+        one |= two
+        groups.update(dict.fromkeys(two, one))
+        groups[a] = groups[b] = one
+    stars = {id(g): g for g in groups.values()}.values()
+    return [(m, least) for g in stars for least in [min(g, key=_signed)] for m in g if m != least]
+
+
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
 def _parts(bits: int, pieces: int) -> list[tuple[int, int]]:
     """(shift, mask) of so many adjoining pieces of a word."""
     edges = [round(i * bits / pieces) for i in range(pieces + 1)]
@@ -128,7 +146,7 @@ def _parts(bits: int, pieces: int) -> list[tuple[int, int]]:
 
 
 def links(prints: DataFrame, radius: int = RADIUS, most: int = SHARD_MOST) -> DataFrame:
-    """(a, b): links between the distinct values of ``fp`` that keep who can reach whom."""
+    """(a, b): pairs of distinct values of ``fp`` that give the reachability of all links within the radius."""
     blocks = _parts(64, radius + 2)
     fp = F.col("fp")
 
@@ -156,12 +174,12 @@ def links(prints: DataFrame, radius: int = RADIUS, most: int = SHARD_MOST) -> Da
             out = []
             for shard, value in zip(batch.column(1).to_pylist(), batch.column(0).to_pylist(), strict=True):
                 if shard != name:
-                    out += shard_links(held, radius) if len(held) > 1 else []
+                    out += shard_stars(held, radius) if len(held) > 1 else []
                     name, held = shard, []
                 held.append(value & 0xFFFFFFFFFFFFFFFF)
             if out:
                 yield _batch(out)
-        if len(held) > 1 and (out := shard_links(held, radius)):
+        if len(held) > 1 and (out := shard_stars(held, radius)):
             yield _batch(out)
 
     return dealt.mapInArrow(search, "a long, b long").distinct()
