@@ -180,7 +180,7 @@ def pack(df: DataFrame, n: int, key: list[str]) -> DataFrame:
     columns = [F.col(f"`{c}`") for c in df.columns]
 
     def blocks(batches):
-        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))
         for batch in batches:
             chunk = batch.column(0).to_numpy()
             table = pa.Table.from_batches([batch.select(list(range(1, batch.num_columns)))])

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from playlens.llm import common as C
 from playlens.llm.op1_token_counts import merge, splitter
 
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 FOLD_BYTES = 256
 RANK_MAPS = 1 << 16
 _NONE, _PLACE_BITS = (1 << 31) - 1, 10
@@ -134,7 +134,7 @@ def _distinct(payloads, text_col, n) -> tuple[dict[int, list[str]], set[str]]:
     return by_bucket, long
 
 
-def encode_documents(docs: DataFrame, path: str, text_col: str, finish, schema, keep_columns=None) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, text_col: str, finish, schema) -> DataFrame:
     """Rows made by ``finish(table, ids, pieces)`` from each block of documents and its texts' ids.
 
     ``ids`` has the token ids of each text as little-endian unsigned 32-bit
@@ -143,6 +143,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str, finish, schema,
     spark = docs.sparkSession
     ranks = read_ranks(path)
     shared = spark.sparkContext.broadcast(ranks)               # bounded by the vocabulary file
+    small = max(ranks.values(), default=0) < 1 << 16
     n = C.chunk_count(docs, text_col, CHUNK_BYTES)
     by_chunk = C.pack(docs, n, docs.columns).groupBy("chunk")
 
@@ -159,10 +160,10 @@ def encode_documents(docs: DataFrame, path: str, text_col: str, finish, schema,
 
     def answers(left, right):
         known = dict(zip(right.column("word").to_pylist(), range(right.num_rows), strict=True))
-        ids = right.column("ids").combine_chunks()
+        ids = right.column("ids").combine_chunks().cast(pa.list_(pa.uint16() if small else pa.int32()))
         out = []
         for x in left.column("words"):
-            places = [known[w.encode().hex()] for w in _unpacked(x.as_buffer()).to_pylist()]
+            places = [known[w.encode()] for w in _unpacked(x.as_buffer()).to_pylist()]
             out.append(_packed(ids.take(pa.array(places, pa.int32()))))
         return pa.table({"chunk": left.column("chunk"), "bucket": left.column("bucket"), "ids": pa.array(out, pa.binary())})
 
@@ -192,7 +193,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str, finish, schema,
 
     sent = by_chunk.applyInArrow(messages, _MESSAGES).groupBy("bucket")
     words = sent.applyInArrow(distinct, "bucket int, word string")
-    coded = words.select("bucket", "word", _let(rank_literal(ranks), lambda t: fold_merges(F.col("word"), t)).alias("ids"))
+    coded = words.select("bucket", F.unhex("word").alias("word"), _let(rank_literal(ranks), lambda t: fold_merges(F.col("word"), t)).alias("ids"))
     replies = sent.cogroup(coded.groupBy("bucket")).applyInArrow(answers, _ANSWERS)
     return by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(last, schema)
 
