@@ -184,3 +184,40 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
 
 def query(spark, sf_dir: str) -> DataFrame:
     return contaminated(C.read_documents(spark, sf_dir), C.read_documents(spark, sf_dir, "benchmark"))
+
+
+_TOKENS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+SQL = f"""
+with d as (select doc_id, ts, len(ts) as n from (select doc_id, {_TOKENS} as ts from documents)),
+i as (
+  select item_id, ts, n, least(n, {WINDOW}) as width,
+         cast(ceil({SHARE} * least(n, {WINDOW}) - 1e-9) as bigint) as need
+  from (select item_id, ts, len(ts) as n from (select item_id, {_TOKENS} as ts from benchmark)) where n > 0),
+dt as (select doc_id, unnest(ts) as w, generate_subscripts(ts, 1) - 1 as p from d),
+it as (select item_id, unnest(ts) as w, generate_subscripts(ts, 1) - 1 as p from i),
+met as (select doc_id, item_id, dt.p - it.p as shift, dt.p as p from dt join it on dt.w = it.w),
+many as (
+  select doc_id, item_id, shift from met group by doc_id, item_id, shift
+  having count(*) >= (select min(need) from i)),
+m as (select met.* from met join many using (doc_id, item_id, shift)),
+s as (
+  select distinct doc_id, item_id, shift, unnest(range(p - width + 1, p + 1)) as s
+  from m join i using (item_id)),
+good as (
+  select s.doc_id, s.item_id, s.shift, s.s, any_value(i.width) as width
+  from s join i using (item_id) join d using (doc_id)
+  join m on m.doc_id = s.doc_id and m.item_id = s.item_id and m.shift = s.shift and m.p between s.s and s.s + i.width - 1
+  where s.s >= greatest(0, s.shift) and s.s + i.width <= least(d.n, s.shift + i.n)
+  group by s.doc_id, s.item_id, s.shift, s.s having count(*) >= any_value(i.need)),
+places as (
+  select doc_id, item_id, count(*) as n_tokens, min(p) as first_token, max(p) as last_token
+  from (select distinct doc_id, item_id, unnest(range(s, s + width)) as p from good) group by doc_id, item_id),
+same as (
+  select doc_id, item_id, count(*) as n_equal from (
+    select distinct m.doc_id, m.item_id, m.p from m join good using (doc_id, item_id, shift)
+    where m.p between s and s + width - 1) group by doc_id, item_id)
+select doc_id, item_id, cast(n_tokens as bigint) as n_tokens, cast(n_equal as bigint) as n_equal,
+       cast(first_token as bigint) as first_token, cast(last_token as bigint) as last_token
+from places join same using (doc_id, item_id)
+"""

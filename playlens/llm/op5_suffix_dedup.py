@@ -219,3 +219,31 @@ def _spot(c: np.ndarray, offset: np.ndarray) -> np.ndarray:
 
 def query(spark, sf_dir: str) -> DataFrame:
     return suffix_dedup(C.read_documents(spark, sf_dir))
+
+
+#: Bytes are two hexadecimal digits each.
+SQL = f"""
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as t from documents),
+win as (
+  select doc_id, p, substr(t, 2 * p - 1, {2 * WIDTH}) as g
+  from (select doc_id, t, unnest(range(1, greatest(len(t) // 2 - {WIDTH - 2}, 1))) as p from d)),
+hit as (select doc_id, p from (select doc_id, p, row_number() over (partition by g order by doc_id, p) as n from win) where n > 1),
+spans as (
+  select doc_id, min(p) as a, max(p) + {WIDTH} as b
+  from (select doc_id, p, sum(fresh) over (partition by doc_id order by p) as s
+        from (select doc_id, p, case when p - lag(p) over (partition by doc_id order by p) <= {WIDTH} then 0 else 1 end as fresh
+              from hit))
+  group by doc_id, s),
+ends as (
+  select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 1) as before from spans),
+parts as (
+  select d.doc_id, before as k, substr(t, 2 * before - 1, 2 * (a - before)) as x from ends join d on d.doc_id = ends.doc_id
+  union all
+  select d.doc_id, last.b, substr(t, 2 * last.b - 1, len(t)) from d
+  join (select doc_id, max(b) as b from spans group by doc_id) last on d.doc_id = last.doc_id),
+kept as (select doc_id, string_agg(x, '' order by k) as x from parts group by doc_id),
+lost as (select doc_id, sum(b - a) as n, count(*) as spans from spans group by doc_id)
+select d.doc_id, cast(len(t) // 2 as bigint) as n_bytes, cast(coalesce(n, 0) as bigint) as n_removed,
+       cast(coalesce(spans, 0) as bigint) as n_spans, sha256(unhex(coalesce(x, t))) as kept_sha256
+from d left join lost on d.doc_id = lost.doc_id left join kept on d.doc_id = kept.doc_id
+"""

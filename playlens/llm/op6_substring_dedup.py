@@ -247,3 +247,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def query(spark, sf_dir: str) -> DataFrame:
     return substring_dedup(C.read_documents(spark, sf_dir))
+
+
+SQL = rf"""
+with d as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as ws
+  from documents),
+win as (
+  select doc_id, p, list_slice(ws, p, p + {WINDOW - 1}) as g
+  from (select doc_id, ws, unnest(range(1, greatest(len(ws) - {WINDOW - 2}, 1))) as p from d)),
+hit as (select doc_id, p from (select doc_id, p, min(doc_id) over (partition by g) as f from win) where f < doc_id),
+gone as (select distinct doc_id, unnest(range(p, p + {WINDOW})) as k from hit),
+words as (select doc_id, unnest(ws) as w, generate_subscripts(ws, 1) as k from d),
+kept as (
+  select doc_id, string_agg(w, ' ' order by k) as t
+  from (select words.* from words anti join gone on words.doc_id = gone.doc_id and words.k = gone.k) group by doc_id),
+lost as (select doc_id, count(*) as n from gone group by doc_id)
+select d.doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(lost.n, 0) as bigint) as n_removed,
+       sha256(coalesce(t, '')) as kept_sha256
+from d left join lost on d.doc_id = lost.doc_id left join kept on d.doc_id = kept.doc_id
+"""

@@ -27,5 +27,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op10_decontamination": op10_decontamination.SQL,
+    "op5_suffix_dedup": op5_suffix_dedup.SQL,
+    "op6_substring_dedup": op6_substring_dedup.SQL,
     "op9_quality_rules": op9_quality_rules.SQL,
 }
