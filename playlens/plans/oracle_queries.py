@@ -332,3 +332,21 @@ ORACLES["linear_residuals"] = "SELECT " + ", ".join(
     f"{D(0.0)} AS residual_{c}" for c in ["bias", *C.EXTENDED_FEATURES])
 ORACLES["forest_ranges"] = ("SELECT CAST(0 AS BIGINT) AS outside_rating_count, "
                             "CAST(0 AS BIGINT) AS outside_longevity")
+
+ORACLES["sentiment_memo_by_key"] = sql(f"""
+SELECT event_id, k, t, anchor_t AS memo_at, round(memo, 6) AS memo_score FROM r""", "gm").replace(
+    "WITH ", "WITH RECURSIVE ", 1).replace("\nSELECT event_id, k, t, anchor_t", f""",
+ev AS (
+  SELECT k, event_id, t, v, row_number() OVER (PARTITION BY k ORDER BY t, event_id) AS rn
+  FROM (SELECT name || '_' || CAST(CAST(floor(days_to_release / {D(7)}) AS BIGINT) AS VARCHAR) AS k,
+          event_id, CAST(floor(epoch(ts)) AS BIGINT) AS t, value AS v
+        FROM events JOIN gm ON user_id = id
+        WHERE is_upcoming AND days_to_release BETWEEN 1 AND 365)),
+r(k, rn, event_id, t, anchor_t, memo) AS (
+  SELECT k, rn, event_id, t, t, v FROM ev WHERE rn = 1
+  UNION ALL
+  SELECT e.k, e.rn, e.event_id, e.t,
+    CASE WHEN e.t - r.anchor_t < {C.MEMO_TTL_SECONDS} THEN r.anchor_t ELSE e.t END,
+    CASE WHEN e.t - r.anchor_t < {C.MEMO_TTL_SECONDS} THEN r.memo ELSE e.v END
+  FROM r JOIN ev e ON e.k = r.k AND e.rn = r.rn + 1)
+SELECT event_id, k, t, anchor_t""", 1)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import scores as S
+from ..functions.sentiment import memo_key
 from ..functions.sql_functions import register_sql_functions
 from ..operators import dimensions as dims_op
 from ..operators import enrich, ml
@@ -580,6 +581,19 @@ def sentiment_memo(spark, sf):
     return m.select("event_id", "k", "t", "memo_at", r6("memo_value").alias("memo_score"))
 
 
+@register
+def sentiment_memo_by_key(spark, sf):
+    """Memo requests keyed as the stream keys them (X23: name and week of the
+    days to release), of the games inside the sentiment gate."""
+    games = stream_games(spark, sf).where(sent.sentiment_gate()).select(
+        "id", memo_key("name", "days_to_release").alias("k"))
+    events = read_table(spark, sf, "events").select(
+        F.col("user_id").cast("int").alias("id"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("t"),
+        "event_id", F.col("value").alias("score"))
+    m = ttl_memo(events.join(games, "id").drop("id"), "k", "t", "event_id", "score", C.MEMO_TTL_SECONDS)
+    return m.select("event_id", "k", "t", "memo_at", r6("memo_value").alias("memo_score"))
+
+
 # ---------------------------------------------------------------- streaming
 # (a stream run through the file source and foreachBatch)
 

@@ -3,11 +3,12 @@ load statistics."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from ..schemas import DOCUMENT
+from .. import constants as C
+from ..schemas import DOCUMENT, HISTORY, conform
 
 LIST_FIELDS = ["genres", "platforms", "game_modes", "themes", "player_perspectives"]
 ZERO_DEFAULTS = ["hypes", "follows"]
@@ -87,6 +88,26 @@ def append_documents(docs: DataFrame, path: str, fmt: str = "parquet") -> None:
     docs.write.mode("append").format(fmt).save(path)
 
 
+def read_history(spark: SparkSession, stream_path: str | None = None,
+                 bulk_path: str | None = None) -> DataFrame:
+    """The stored history of both writers in one form (HISTORY, filled).
+
+    Bulk documents keep the release as epoch seconds next to its ISO text; the
+    stream keeps the text, which is the form history has."""
+    parts = []
+    if stream_path:
+        parts.append(spark.read.parquet(stream_path))
+    if bulk_path:
+        parts.append(spark.read.parquet(bulk_path).drop("release_date")
+                     .withColumnRenamed("release_date_formatted", "release_date"))
+    if not parts:
+        raise ValueError("no stored history given")
+    out = conform(parts[0], HISTORY)
+    for p in parts[1:]:
+        out = out.unionByName(conform(p, HISTORY))
+    return out.na.fill(C.HISTORY_FILLS)
+
+
 def write_messages(messages: DataFrame, fmt: str, options: dict | None = None,
                    path: str | None = None) -> None:
     """Produce ``(key, value)`` messages: ``fmt='kafka'`` with options such as

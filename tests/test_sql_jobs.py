@@ -55,3 +55,18 @@ def test_keyset_pages_equal_offset_pages(spark):
         assert by_key == by_offset
         after = (by_key[-1][1], by_key[-1][0])
     g.unpersist()
+
+
+def test_history_of_both_writers(spark, tmp_path):
+    from playlens.operators import enrich
+    from playlens.sinks import documents as sinks
+    docs = Q.documents_of(spark, SF_SMALL)
+    sinks.write_documents(docs, str(tmp_path / "stream"))
+    bulk = enrich.bulk_document(Q.raw_games(spark, SF_SMALL), fx.dimension_maps(), C.AS_OF_EPOCH)
+    sinks.append_documents(bulk, str(tmp_path / "bulk"))
+    both = sinks.read_history(spark, str(tmp_path / "stream"), str(tmp_path / "bulk"))
+    stored = sinks.read_history(spark, str(tmp_path / "stream"))
+    assert both.count() == docs.count() + bulk.count()
+    assert sorted(map(str, stored.collect())) == sorted(map(str, Q.history_of(spark, SF_SMALL).collect()))
+    dated = both.groupBy("game_id").agg({"release_date": "count"}).where("`count(release_date)` = 1")
+    assert dated.count() == 0          # both writers give a game's release, or neither does
