@@ -198,6 +198,7 @@ def pack(df: DataFrame, n: int, key: list[str]) -> DataFrame:
 
 
 def unpack(payloads) -> Iterator[pa.Table]:
+    pa.default_memory_pool().release_unused()   # workers live on from group to group
     for block in payloads:
         yield pa.ipc.open_stream(block.as_buffer()).read_all()
 
