@@ -1,6 +1,5 @@
 """Streaming sink idempotence, model gates and physical-plan properties."""
 
-import os
 
 import pytest
 
