@@ -159,7 +159,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str, finish, schema)
                          "word": pa.array([w.encode().hex() for w in words], pa.string())})
 
     def answers(left, right):
-        known = dict(zip(right.column("word").to_pylist(), range(right.num_rows), strict=True))
+        known = dict(zip(right.column("raw").to_pylist(), range(right.num_rows), strict=True))
         ids = right.column("ids").combine_chunks().cast(pa.list_(pa.uint16() if small else pa.int32()))
         out = []
         for x in left.column("words"):
@@ -193,7 +193,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str, finish, schema)
 
     sent = by_chunk.applyInArrow(messages, _MESSAGES).groupBy("bucket")
     words = sent.applyInArrow(distinct, "bucket int, word string")
-    coded = words.select("bucket", F.unhex("word").alias("word"), _let(rank_literal(ranks), lambda t: fold_merges(F.col("word"), t)).alias("ids"))
+    coded = words.select("bucket", F.unhex("word").alias("raw"), _let(rank_literal(ranks), lambda t: fold_merges(F.col("word"), t)).alias("ids"))
     replies = sent.cogroup(coded.groupBy("bucket")).applyInArrow(answers, _ANSWERS)
     return by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(last, schema)
 
