@@ -10,8 +10,9 @@ A conversation may be of any length, so it is cut into blocks of ``BLOCK``
 messages. A block is first reduced to the best score between any two states (a
 matrix in the max-plus sense, which is associative); the matrices of a
 conversation give the states at the block edges, and each block is then decoded
-between its edges. A block's first line begins a turn. The result is the Viterbi
-path of the whole conversation under that rule.
+between its edges. The result is the Viterbi path of the whole conversation: a
+turn may go on over block edges, and its pieces are put together afterwards.
+``parse`` can also be told that each block begins a turn (``block_heads``).
 
 Edge cases: a null text is one empty line; a null turn comes last; messages
 without a conversation id are a transcript each; repeated rows are repeated
@@ -24,7 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlens.llm import common as C
@@ -77,16 +78,16 @@ class Model:
             out[i] = self.marks[:, mark] + self.lengths[:, length_class(lines[i])]
         return out
 
-    def reduce(self, shown: np.ndarray) -> np.ndarray:
-        """Best score from the state before the block to the state of its last line."""
-        m = self.step + np.where(_FIRST, shown[0], -np.inf)
+    def reduce(self, shown: np.ndarray, head: bool = False) -> np.ndarray:
+        """Best score from the state before the block to the state of its last line; ``head``: it begins a turn."""
+        m = self.step + (np.where(_FIRST, shown[0], -np.inf) if head else shown[0])
         for e in shown[1:]:
             m = (m[:, :, None] + self.step[None]).max(axis=1) + e
         return m
 
-    def decode(self, shown: np.ndarray, before: int, last: int) -> list[int]:
+    def decode(self, shown: np.ndarray, before: int, last: int, head: bool = False) -> list[int]:
         """The best states of the lines from the state before them (-1: the start) to the last state."""
-        v = (self.start if before < 0 else self.step[before]) + np.where(_FIRST, shown[0], -np.inf)
+        v = (self.start if before < 0 else self.step[before]) + (np.where(_FIRST, shown[0], -np.inf) if head else shown[0])
         back = []
         for e in shown[1:]:
             ways = v[:, None] + self.step
@@ -169,17 +170,27 @@ def render(role: str, text: str) -> str:
     return f"<|{role}|>\n{text.strip()}\n"
 
 
-def parse(messages: DataFrame, model: Model) -> DataFrame:
+#: Blocks whose last turn heads are searched by one task.
+SLICE = 256
+_TALK = ["talk", "lone"]
+_PIECE = "talk long, lone boolean, block long, at int, open boolean, turn long, line int, role string, text string"
+
+
+def parse(messages: DataFrame, model: Model, block_heads: bool = True) -> DataFrame:
     """conv_id, turn and line (where the turn begins), role, text, rendered; one row for each recovered turn.
 
     ``messages`` has conv_id, turn and text (with or without a speaker marker).
+    With ``block_heads`` each block begins a turn; without, the path is that of
+    the whole conversation, whatever the blocks.
     """
     shared = messages.sparkSession.sparkContext.broadcast(model)
-    alone = F.when(F.col("conv_id").isNull(), F.xxhash64("turn", "text"))
+    lone = F.col("conv_id").isNull()
+    talk = F.when(lone, F.xxhash64("turn", "text")).otherwise(F.col("conv_id"))
     block = F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit((1 << 62)))
     message = F.struct(F.col("turn").isNull().alias("late"), "turn", "text")
-    blocks = C.cut(messages.select("conv_id", "turn", "text", alone.alias("alone"), block.alias("block"))
-                   .groupBy("conv_id", "alone", "block").agg(F.sort_array(F.collect_list(message)).alias("messages")))
+    key = [*_TALK, "block"]
+    blocks = C.cut(messages.select(talk.cast("long").alias("talk"), lone.alias("lone"), "turn", "text", block.alias("block"))
+                   .groupBy(*key).agg(F.sort_array(F.collect_list(message)).alias("messages")))
 
     def reduced(batches):
         model = shared.value
@@ -187,54 +198,89 @@ def parse(messages: DataFrame, model: Model) -> DataFrame:
             first, rest = [], []
             for messages in batch.column("messages"):
                 shown = model.shown(_lines(messages.as_py())[0])
-                m = model.reduce(shown)
-                rest.append(m.tobytes())
-                v = model.start + np.where(_FIRST, shown[0], -np.inf)
+                rest.append(model.reduce(shown, block_heads).tobytes())
+                v = model.start + shown[0]
                 for e in shown[1:]:
                     v = (v[:, None] + model.step).max(axis=0) + e
                 first.append(v.tobytes())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("conv_id", "alone", "block")),
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in key),
                                               pa.array(first, pa.binary()), pa.array(rest, pa.binary())],
-                                             names=["conv_id", "alone", "block", "first", "rest"])
+                                             names=[*key, "first", "rest"])
 
-    key = ["conv_id", "alone", "block"]
-    scores = blocks.mapInArrow(reduced, "conv_id long, alone long, block long, first binary, rest binary")
-    chains = scores.groupBy("conv_id", "alone").agg(F.sort_array(F.collect_list(F.struct("block", "first", "rest"))).alias("chain"))
+    scores = blocks.mapInArrow(reduced, "talk long, lone boolean, block long, first binary, rest binary")
+    chains = scores.groupBy(*_TALK).agg(F.sort_array(F.collect_list(F.struct("block", "first", "rest"))).alias("chain"))
 
     def linked(batches):
         model = shared.value
         for batch in batches:
-            out = {k: [] for k in (*key, "before", "last")}
-            for conv, alone, chain in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "alone", "chain")), strict=True):
+            out = {k: [] for k in (*key, "before", "last", "final")}
+            for talk, lone, chain in zip(*(batch.column(c).to_pylist() for c in (*_TALK, "chain")), strict=True):
                 n = len(STATES)
                 path = model.edges(np.frombuffer(chain[0]["first"]), [np.frombuffer(x["rest"]).reshape(n, n) for x in chain[1:]])
                 for x, before, last in zip(chain, [-1, *path], path):  # noqa: B905
-                    for k, v in zip(out, (conv, alone, x["block"], before, last), strict=True):
+                    for k, v in zip(out, (talk, lone, x["block"], before, last, x is chain[-1]), strict=True):
                         out[k].append(v)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+            kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
 
-    ends = chains.mapInArrow(linked, "conv_id long, alone long, block long, before int, last int")
-    same = [blocks[k].eqNullSafe(ends[k]) for k in key]
-    joined = blocks.join(ends, same).select(blocks["conv_id"], "messages", "before", "last")
+    ends = chains.mapInArrow(linked, "talk long, lone boolean, block long, before int, last int, final boolean")
+    joined = blocks.join(ends, key).select(*key, "messages", "before", "last", "final")
 
-    def turns(batches):
+    def pieces(batches):
+        """Turns of a block; open: the lines before its first head (at -1), or a last turn that may go on."""
         model = shared.value
+        names = [x.split()[0] for x in _PIECE.split(", ")]
+        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.string(), pa.string()]
         for batch in batches:
-            out = {k: [] for k in ("conv_id", "turn", "line", "role", "text", "rendered")}
-            for conv, messages, before, last in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "messages", "before", "last")), strict=True):
+            out = {k: [] for k in names}
+            for *at, messages, before, last, final in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 lines, of, places = _lines(messages)
-                shown = model.shown(lines)
-                path = model.decode(shown, before, last)
+                path = model.decode(model.shown(lines), before, last, block_heads)
                 heads = [i for i, s in enumerate(path) if _FIRST[s]]
-                for lo, hi in zip(heads, [*heads[1:], len(path)], strict=True):
-                    role, text = STATES[path[lo]][0], "\n".join(lines[lo:hi]).strip()
-                    for k, v in zip(out, (conv, of[lo], places[lo], role, text, render(role, text)), strict=True):
+                for lo, hi in zip([0, *heads], [*heads, len(path)], strict=True):
+                    if lo == hi:
+                        continue
+                    tail = not _FIRST[path[lo]]
+                    opened = tail or (hi == len(path) and not final)
+                    row = (*at, -1 if tail else lo, opened, of[lo], places[lo], STATES[path[lo]][0], "\n".join(lines[lo:hi]))
+                    for k, v in zip(out, row, strict=True):
                         out[k].append(v)
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=names)
 
-    return joined.mapInArrow(turns, "conv_id long, turn long, line int, role string, text string, rendered string")
+    only = (F.col("before") < 0) & F.col("final")
+    whole = joined.where(only).mapInArrow(pieces, _PIECE)
+    parts = C.cut(joined.where(~only).mapInArrow(pieces, _PIECE))
+    found = whole.unionByName(parts.where("not open")).select(*_TALK, "turn", "line", "role", "text").unionByName(_put_together(parts.where("open")))
+
+    def rendered(batches):
+        for batch in batches:
+            text = [x.strip() for x in batch.column("text").to_pylist()]
+            full = [render(r, x) for r, x in zip(batch.column("role").to_pylist(), text, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("conv_id", "turn", "line", "role")),
+                                              pa.array(text, pa.string()), pa.array(full, pa.string())],
+                                             names=["conv_id", "turn", "line", "role", "text", "rendered"])
+
+    conv = F.when(~F.col("lone"), F.col("talk")).alias("conv_id")
+    return found.select(conv, "turn", "line", "role", "text").mapInArrow(
+        rendered, "conv_id long, turn long, line int, role string, text string, rendered string")
+
+
+def _put_together(parts: DataFrame) -> DataFrame:
+    """Open pieces as turns: lines before a block's first head belong to the last head of an earlier block."""
+    cut = F.floor(F.col("block") / SLICE).alias("cut")
+    heads = (parts.groupBy(*_TALK, "block").agg(F.max(F.when(F.col("at") >= 0, F.col("block"))).alias("head"))
+             .select("*", cut))
+    near = Window.partitionBy(*_TALK, "cut").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    far = Window.partitionBy(*_TALK).orderBy("cut").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = heads.groupBy(*_TALK, "cut").agg(F.max("head").alias("h")).select(*_TALK, "cut", F.max("h").over(far).alias("far"))
+    owner = (heads.select(*_TALK, "cut", "block", F.max("head").over(near).alias("near")).join(earlier, [*_TALK, "cut"])
+             .select(*_TALK, "block", F.coalesce("near", "far").alias("owner")))
+    piece = F.struct("block", "turn", "line", "role", "text")
+    return (parts.join(owner, [*_TALK, "block"])
+            .withColumn("owner", F.when(F.col("at") < 0, F.col("owner")).otherwise(F.col("block")))
+            .groupBy(*_TALK, "owner").agg(F.sort_array(F.collect_list(piece)).alias("p"))
+            .select(*_TALK, F.col("p")[0]["turn"].alias("turn"), F.col("p")[0]["line"].alias("line"),
+                    F.col("p")[0]["role"].alias("role"), F.array_join(F.col("p.text"), "\n").alias("text")))
 
 
 def transcripts(conversations: DataFrame) -> DataFrame:
@@ -255,4 +301,4 @@ def transcripts(conversations: DataFrame) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     messages = transcripts(C.read_documents(spark, sf_dir, "conversations"))
-    return parse(messages.drop("role"), learn(messages))
+    return parse(messages.drop("role"), learn(messages), block_heads=False)

@@ -114,6 +114,28 @@ def test_blocks_decode_the_whole_path(spark, talks, monkeypatch, block):
         assert found == pytest.approx(best)
 
 
+@pytest.mark.parametrize("block", [128, 2])
+def test_whole_path_crosses_block_edges(spark, talks, monkeypatch, block):
+    monkeypatch.setattr(transcripts, "BLOCK", block)
+    raw = transcripts.transcripts(talks)
+    model = transcripts.learn(raw)
+    got, texts, crossed = {}, {}, 0
+    for r in transcripts.parse(raw.drop("role"), model, block_heads=False).collect():
+        got.setdefault(r.conv_id, []).append((r.turn, r.line, r.role, r.text))
+    for r in raw.collect():
+        texts.setdefault(r.conv_id, []).append((r.turn, r.text))
+    for conv, messages in texts.items():
+        turns = sorted(got[conv])
+        # one block of all messages: no rule but that the first line begins a turn
+        best, found = path_scores(model, sorted(messages), 1 << 40, [x[:3] for x in turns])
+        assert found == pytest.approx(best)
+        lines = transcripts._lines([{"turn": t, "text": x} for t, x in sorted(messages)])[0]
+        model.shown(lines)                                     # takes the markers off
+        assert " ".join(x[3] for x in turns).split() == " ".join(lines).split()
+        crossed += sum(t and t % block == 0 and (t, 0) not in {x[:2] for x in turns} for t, _ in messages)
+    assert crossed or block > 2
+
+
 def test_roles_are_recovered(talks):
     raw = transcripts.transcripts(talks)
     truth = {(r.conv_id, r.turn): (r.role, r.text) for r in talks.collect()}
