@@ -8,7 +8,7 @@ being shipped whole to one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -42,10 +42,10 @@ def post_sentiment(posts: DataFrame, key: str = "game_id",
         score.alias("reddit_score"), X.label(score).alias("reddit_label"))
 
 
-def posts_in_window(posts: DataFrame, as_of: str, days: int = C.POSTS_WINDOW_DAYS,
+def posts_in_window(posts: DataFrame, as_of: str | Column, days: int = C.POSTS_WINDOW_DAYS,
                     ts: str = "posted_at") -> DataFrame:
     """Posts with ``as_of - days <= ts <= as_of`` (pushed to the scan)."""
-    hi = F.to_timestamp(F.lit(as_of))
+    hi = as_of if isinstance(as_of, Column) else F.to_timestamp(F.lit(as_of))
     lo = hi - F.make_interval(days=F.lit(days))
     return posts.where((F.col(ts) >= lo) & (F.col(ts) <= hi))
 
@@ -94,7 +94,7 @@ def with_community_sentiment(games: DataFrame, posts: DataFrame,
                              posts_available: bool = True,
                              zero_is_missing: bool = True,
                              restrict_sources: bool = False,
-                             posts_as_of: str | None = None) -> DataFrame:
+                             posts_as_of: str | Column | None = None) -> DataFrame:
     """Blend posts (0.4), review page (0.3) and native engagement (0.3) into
     ``community_sentiment_score/label``, ``community_data_volume`` and
     ``sentiment_source``.
@@ -119,16 +119,6 @@ def with_community_sentiment(games: DataFrame, posts: DataFrame,
                          posts_available, zero_is_missing)
 
 
-def source_snapshots(posts: DataFrame, reviews: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per-game post scores and per-slug review scores, checkpointed once
-    (to the shared checkpoint folder) so a stream joins the snapshot instead
-    of re-aggregating the source tables on every trigger."""
-    from ..session import shared_dir
-    shared_dir(posts.sparkSession, "sources")  # sets the checkpoint dir if unset
-    return (post_sentiment(posts).checkpoint(eager=True),
-            review_scores(reviews).checkpoint(eager=True))
-
-
 def blend_sources(games: DataFrame, post_scores: DataFrame, review_table: DataFrame,
                   key: str = "id", posts_available: bool = True,
                   zero_is_missing: bool = True) -> DataFrame:

@@ -8,7 +8,7 @@ action at the sink.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from ..functions import scores as S
 from ..operators import enrich
@@ -19,7 +19,7 @@ from ..sinks.documents import document
 
 def score_records(games: DataFrame, posts: DataFrame, reviews: DataFrame,
                   models: dict | None = None, restrict_sources: bool = False,
-                  posts_as_of: str | None = None) -> DataFrame:
+                  posts_as_of: str | Column | None = None) -> DataFrame:
     g = enrich.with_list_scores(games)
     g = enrich.fill_defaults(g)
     g = with_community_sentiment(g, posts, reviews, restrict_sources=restrict_sources,
@@ -34,6 +34,6 @@ def score_records(games: DataFrame, posts: DataFrame, reviews: DataFrame,
 def enrich_documents(games: DataFrame, posts: DataFrame, reviews: DataFrame,
                      batch_id: int, as_of: int, models: dict | None = None,
                      restrict_sources: bool = False,
-                     posts_as_of: str | None = None) -> DataFrame:
+                     posts_as_of: str | Column | None = None) -> DataFrame:
     return document(score_records(games, posts, reviews, models, restrict_sources, posts_as_of),
                     batch_id, as_of)

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from .. import constants as C
 
@@ -65,16 +66,11 @@ def stream_memo(events: DataFrame, ttl: int = C.MEMO_TTL_SECONDS,
         OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-SENTIMENT_COLS = ["community_sentiment_score", "community_sentiment_label",
-                  "community_data_volume", "sentiment_source"]
-SENTIMENT_STATE = ("at long, score double, label string, volume int, source string")
-
-
 #: Rows without a memo key are dealt over so many groups that keep no state.
 UNKEYED_PARTS = 256
 
 
-def _sentiment_memo_fn(ttl: int, t_col: str, order_col: str, evict: bool):
+def _anchor_fn(ttl: int, t_col: str, order_col: str, evict: bool):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if evict and state.hasTimedOut:
             # the watermark passed at + ttl: this value can never be reused
@@ -82,44 +78,35 @@ def _sentiment_memo_fn(ttl: int, t_col: str, order_col: str, evict: bool):
             return
         if key[0] is None:          # not gated: nothing to memoise, piece by piece
             for pdf in pdfs:
-                yield pdf.drop(columns=["_memo_part"])
+                yield pdf.drop(columns=["_memo_part"]).assign(_memo_at=None, _memo_new=False)
             return
         batch = pd.concat(list(pdfs), ignore_index=True).drop(columns=["_memo_part"])
         batch = batch.sort_values([t_col, order_col], kind="stable").reset_index(drop=True)
         t = batch[t_col].to_numpy(dtype="int64")
-        cur = state.get if state.exists else None
-        # each row takes the values of an anchor row, or (-1) of the state
-        i = int(np.searchsorted(t, cur[0] + ttl)) if cur is not None else 0
-        source = np.full(len(t), -1)
-        anchor = -1
+        at = state.get[0] if state.exists else None
+        # each row takes the value computed at the time of an anchor row, or of the state
+        i = int(np.searchsorted(t, at + ttl)) if at is not None else 0
+        anchor, new = np.full(len(t), -1 if at is None else at), np.zeros(len(t), bool)
         while i < len(t):
             end = max(i + 1, int(np.searchsorted(t, t[i] + ttl)))
-            source[i:end] = anchor = i
+            at = int(t[i])
+            anchor[i:end], new[i] = at, True
             i = end
-        for j, c in enumerate(SENTIMENT_COLS):
-            values = batch[c].to_numpy(dtype=object)[np.maximum(source, 0)]
-            if cur is not None:
-                values[source < 0] = cur[j + 1]
-            batch[c] = values
-        if anchor >= 0:
-            score, label, vol, src = (batch.at[anchor, c] for c in SENTIMENT_COLS)
-            cur = (int(t[anchor]), None if pd.isna(score) else float(score), label,
-                   None if vol is None or pd.isna(vol) else int(vol), src)
-        state.update(tuple(cur))
+        state.update((at,))
         if evict:
-            expiry_ms = (cur[0] + ttl) * 1000
-            state.setTimeoutTimestamp(max(expiry_ms, state.getCurrentWatermarkMs() + 1))
-        yield batch
+            state.setTimeoutTimestamp(max((at + ttl) * 1000, state.getCurrentWatermarkMs() + 1))
+        yield batch.assign(_memo_at=anchor, _memo_new=new)
 
     return fn
 
 
-def memoize_sentiment(scored: DataFrame, key_col: str, t_col: str, order_col: str,
-                      ttl: int = C.MEMO_TTL_SECONDS,
-                      watermark: str | None = None, ts_col: str | None = None) -> DataFrame:
-    """Streaming: replace each row's community sentiment with the value first
-    computed for its memo key while that value is younger than ``ttl``
-    (seconds of ``t_col``).  Rows with a null key pass through unchanged, dealt
+def with_anchors(games: DataFrame, key_col: str, t_col: str, order_col: str,
+                 ttl: int = C.MEMO_TTL_SECONDS,
+                 watermark: str | None = None, ts_col: str | None = None) -> DataFrame:
+    """Streaming: ``_memo_at``, the time at which the value that a row takes was
+    first computed for its memo key, while that value is younger than ``ttl``
+    (seconds of ``t_col``), and ``_memo_new``, true on the row that computes it.
+    ``(key, _memo_at)`` names a value.  Rows with a null key pass through, dealt
     over ``UNKEYED_PARTS`` groups that hold no state.
 
     With ``watermark`` (a delay such as ``"10 minutes"`` on the timestamp
@@ -130,9 +117,9 @@ def memoize_sentiment(scored: DataFrame, key_col: str, t_col: str, order_col: st
     """
     evict = watermark is not None
     if evict:
-        scored = scored.withWatermark(ts_col, watermark)
+        games = games.withWatermark(ts_col, watermark)
     timeout = GroupStateTimeout.EventTimeTimeout if evict else GroupStateTimeout.NoTimeout
     part = F.when(F.col(key_col).isNull(), F.pmod(F.xxhash64(order_col), F.lit(UNKEYED_PARTS)))
-    return scored.withColumn("_memo_part", part).groupBy(key_col, "_memo_part").applyInPandasWithState(
-        _sentiment_memo_fn(ttl, t_col, order_col, evict), scored.schema, SENTIMENT_STATE,
-        "append", timeout)
+    schema = StructType([*games.schema.fields, StructField("_memo_at", LongType()), StructField("_memo_new", BooleanType())])
+    return games.withColumn("_memo_part", part).groupBy(key_col, "_memo_part").applyInPandasWithState(
+        _anchor_fn(ttl, t_col, order_col, evict), schema, "at long", "append", timeout)

@@ -13,7 +13,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,11 +22,32 @@ from ..functions import scores as S
 from ..functions.sentiment import memo_key
 from ..operators import enrich
 from ..operators.ml import ModelRegistry, predict_all
-from ..operators.sentiment import blend_sources, sentiment_gate, source_snapshots
+from ..operators.sentiment import sentiment_gate, with_community_sentiment
 from ..plans.enrichment import enrich_documents
 from ..sinks.documents import document, write_documents
 from ..sources.stream import decode_ok, decoded, parse
-from .memo_state import memoize_sentiment
+from .memo_state import with_anchors
+
+#: ``posts_as_of``: the month of posts ends at the latest envelope time of each micro-batch.
+ENVELOPE_TIME = "envelope"
+#: A source table, or a function that reads it anew for each micro-batch.
+Source = DataFrame | Callable[[], DataFrame]
+SENTIMENT_COLS = ["community_sentiment_score", "community_sentiment_label",
+                  "community_data_volume", "sentiment_source"]
+MEMO_VALUES = ("_memo_key string, _memo_at long, community_sentiment_score double,"
+               " community_sentiment_label string, community_data_volume int,"
+               " sentiment_source string, batch_id long")
+
+
+def _read(source: Source) -> DataFrame:
+    return source if isinstance(source, DataFrame) else source()
+
+
+def _window_end(games: DataFrame, posts_as_of: str | None) -> str | Column | None:
+    """Where the month of posts ends for a micro-batch; the latest time is found within the plan."""
+    if posts_as_of != ENVELOPE_TIME:
+        return posts_as_of
+    return games.agg(F.max(F.to_timestamp("timestamp"))).scalar()
 
 
 def _load_id(batch_df: DataFrame) -> str:
@@ -34,11 +55,11 @@ def _load_id(batch_df: DataFrame) -> str:
     return batch_df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "0"
 
 
-def batch_writer(posts: DataFrame, reviews: DataFrame, sink_path: str,
+def batch_writer(posts: Source, reviews: Source, sink_path: str,
                  registry: ModelRegistry | None = None,
                  as_of_fn: Callable[[int], int] | None = None,
                  clock: Callable[[], float] = time.time,
-                 posts_as_of: str | None = None):
+                 posts_as_of: str | None = ENVELOPE_TIME):
     """The ``foreachBatch`` callback."""
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
@@ -49,8 +70,9 @@ def batch_writer(posts: DataFrame, reviews: DataFrame, sink_path: str,
         # it once (a bounded micro-batch) instead of re-reading the source
         games = decoded(batch_df).persist()
         try:
-            docs = enrich_documents(games, posts, reviews, batch_id, as_of, models,
-                                    restrict_sources=True, posts_as_of=posts_as_of)
+            docs = enrich_documents(games, _read(posts), _read(reviews), batch_id, as_of, models,
+                                    restrict_sources=True,
+                                    posts_as_of=_window_end(games, posts_as_of))
             write_documents(docs, sink_path, load_id=_load_id(batch_df))
         finally:
             games.unpersist()
@@ -58,43 +80,64 @@ def batch_writer(posts: DataFrame, reviews: DataFrame, sink_path: str,
     return process
 
 
-def scored_writer(sink_path: str, registry: ModelRegistry | None = None,
-                  as_of_fn: Callable[[int], int] | None = None,
-                  clock: Callable[[], float] = time.time):
-    """``foreachBatch`` callback for batches that already carry sentiment."""
+def memo_writer(posts: Source, reviews: Source, sink_path: str, values_path: str,
+                registry: ModelRegistry | None = None,
+                as_of_fn: Callable[[int], int] | None = None,
+                clock: Callable[[], float] = time.time,
+                posts_as_of: str | None = ENVELOPE_TIME):
+    """``foreachBatch`` callback for batches with memo anchors.
+
+    Only rows that compute a value read the sources, as they are at that batch;
+    the values are kept under ``values_path`` (a partition for each batch, so a
+    replay rewrites its own) and rows of later batches take them from there.
+    """
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
         now = clock()
         as_of = as_of_fn(batch_id) if as_of_fn else int(now)
         models = registry.get(now) if registry else {}
-        g = predict_all(batch_df.drop("_memo_key", "_memo_t", "_memo_ts"), models)
-        g = g.withColumns({
-            "predicted_success_score": S.success_score("predicted_success_class"),
-            "prediction_confidence": S.prediction_confidence("community_data_volume"),
-        })
-        write_documents(document(g, batch_id, as_of), sink_path, load_id=_load_id(batch_df))
+        games = batch_df.persist()
+        try:
+            fresh = with_community_sentiment(games.where("_memo_new"), _read(posts), _read(reviews),
+                                             restrict_sources=True,
+                                             posts_as_of=_window_end(games, posts_as_of))
+            (fresh.select("_memo_key", "_memo_at", *SENTIMENT_COLS, F.lit(batch_id).cast("long").alias("batch_id"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(values_path))
+            oldest = games.agg(F.min("_memo_at")).scalar()
+            values = (batch_df.sparkSession.read.schema(MEMO_VALUES).parquet(values_path)
+                      .where((F.col("batch_id") <= batch_id) & (F.col("_memo_at") >= oldest)).drop("batch_id"))
+            gated = F.col("_memo_key").isNotNull()
+            g = games.join(values, ["_memo_key", "_memo_at"], "left").withColumns({
+                "community_sentiment_score": F.when(gated, F.col("community_sentiment_score")).otherwise(F.lit(C.NEUTRAL_SCORE)),
+                "community_sentiment_label": F.when(gated, F.col("community_sentiment_label")).otherwise(F.lit(C.NEUTRAL_LABEL)),
+            })
+            g = predict_all(g.drop("_memo_key", "_memo_t", "_memo_ts", "_memo_at", "_memo_new"), models)
+            g = g.withColumns({
+                "predicted_success_score": S.success_score("predicted_success_class"),
+                "prediction_confidence": S.prediction_confidence("community_data_volume"),
+            })
+            write_documents(document(g, batch_id, as_of), sink_path, load_id=_load_id(batch_df))
+        finally:
+            games.unpersist()
 
     return process
 
 
-def memoized_scores(parsed: DataFrame, posts: DataFrame, reviews: DataFrame,
-                    ttl: int = C.MEMO_TTL_SECONDS,
-                    watermark: str | None = None) -> DataFrame:
-    """Streaming plan: decoded messages -> list scores -> fill -> community sentiment
-    (stream-static joins with checkpointed source snapshots, aggregated once)
-    -> TTL memo keyed by name + week bucket, on the envelope time."""
-    post_scores, review_table = source_snapshots(posts, reviews)
+def memo_anchors(parsed: DataFrame, ttl: int = C.MEMO_TTL_SECONDS,
+                 watermark: str | None = None) -> DataFrame:
+    """Streaming plan: decoded messages -> list scores -> fill -> TTL memo anchors
+    keyed by name + week bucket, on the envelope time."""
     g = enrich.fill_defaults(enrich.with_list_scores(decoded(parsed)))
-    g = blend_sources(g, post_scores, review_table)
     g = g.withColumns({
         "_memo_key": F.when(sentiment_gate(), memo_key("name", "days_to_release")),
         "_memo_t": F.unix_timestamp(F.to_timestamp("timestamp")),
         "_memo_ts": F.to_timestamp("timestamp"),
     })
-    return memoize_sentiment(g, "_memo_key", "_memo_t", "id", ttl, watermark, "_memo_ts")
+    return with_anchors(g, "_memo_key", "_memo_t", "id", ttl, watermark, "_memo_ts")
 
 
-def start_enrichment(envelope: DataFrame, posts: DataFrame, reviews: DataFrame,
+def start_enrichment(envelope: DataFrame, posts: Source, reviews: Source,
                      sink_path: str, checkpoint: str,
                      registry: ModelRegistry | None = None,
                      as_of_fn: Callable[[int], int] | None = None,
@@ -102,12 +145,17 @@ def start_enrichment(envelope: DataFrame, posts: DataFrame, reviews: DataFrame,
                      processing_time: str | None = None,
                      memo_ttl: int | None = None,
                      memo_watermark: str | None = None,
-                     posts_as_of: str | None = None) -> StreamingQuery:
+                     posts_as_of: str | None = ENVELOPE_TIME) -> StreamingQuery:
     """Start the stream; ``checkpoint`` is required (offsets + recovery).
 
     With ``memo_ttl`` the community sentiment is memoised per name and week
     bucket in keyed streaming state (T3) before the per-batch sink;
-    ``memo_watermark`` (e.g. ``"10 minutes"``) evicts expired keys."""
+    ``memo_watermark`` (e.g. ``"10 minutes"``) evicts expired keys.
+
+    Posts of the month before ``posts_as_of`` count: by default the latest
+    envelope time of each micro-batch, else a fixed instant, or all with None.
+    ``posts`` and ``reviews`` may be functions; they are called for each
+    micro-batch, so that files added since are read."""
     if not checkpoint:
         raise ValueError("a checkpoint location is required")
     # each message is parsed once; per-batch load statistics (fetched / sent /
@@ -117,8 +165,9 @@ def start_enrichment(envelope: DataFrame, posts: DataFrame, reviews: DataFrame,
         "load_stats", F.count(F.lit(1)).alias("fetched"),
         F.count_if(ok).alias("sent"), F.count_if(~ok).alias("failed"))
     if memo_ttl:
-        w = (memoized_scores(parsed, posts, reviews, memo_ttl, memo_watermark).writeStream
-             .foreachBatch(scored_writer(sink_path, registry, as_of_fn)))
+        w = (memo_anchors(parsed, memo_ttl, memo_watermark).writeStream
+             .foreachBatch(memo_writer(posts, reviews, sink_path, f"{checkpoint}/memo_values",
+                                       registry, as_of_fn, posts_as_of=posts_as_of)))
     else:
         w = parsed.writeStream.foreachBatch(
             batch_writer(posts, reviews, sink_path, registry, as_of_fn,

@@ -184,6 +184,41 @@ def test_stream_sentiment_memo(spark, tmp_path, watermark):
         assert states[-1] <= 1  # 'Game One' evicted once the watermark passed
 
 
+@pytest.mark.parametrize("memo_ttl", [None, 3600])
+def test_stream_reads_sources_anew_in_a_moving_month(spark, tmp_path, memo_ttl):
+    """Posts of the month before the batch count, and posts added while the stream
+    runs are read; with a memo, once its value is older than the TTL."""
+    t0, day = C.AS_OF_EPOCH, 86400
+    src = tmp_path / "in"
+    # each message is one game of the same name and id, some days or seconds later
+    times = [t0, t0 + 100, t0 + 40 * day, t0 + 40 * day + 100]
+    _memo_env(spark, src, [(t, "Game One", 10) for t in times])
+    posted = str(tmp_path / "posts")
+
+    def add(*rows):
+        (spark.createDataFrame([(i, "awesome", 5, n, t) for i, n, t in rows],
+                               "game_id int, title string, score int, rank int, at long")
+         .withColumn("posted_at", F.timestamp_seconds("at")).drop("at").write.mode("append").parquet(posted))
+
+    add(*[(i, 1, t0 - day) for i in (1, 2, 3, 4)])
+    reads = []
+
+    def posts():
+        reads.append(1)
+        if len(reads) == 3:                       # as the third batch starts
+            add(*[(i, n, t0 + 39 * day) for i in (1, 2, 3, 4) for n in (2, 3)])
+        return spark.read.parquet(posted)
+
+    reviews = spark.createDataFrame([], "game_id int, slug string, html string")
+    q = start_enrichment(st.file_stream(spark, str(src) + "/*", max_files_per_trigger=1), posts, reviews,
+                         str(tmp_path / "out"), str(tmp_path / "ck"), as_of_fn=lambda b: C.AS_OF_EPOCH,
+                         available_now=True, memo_ttl=memo_ttl)
+    q.awaitTermination()
+    got = [r["community_data_volume"] for r in
+           spark.read.parquet(str(tmp_path / "out")).orderBy("batch_id").collect()]
+    assert got == [1, 1, 2, 2]
+
+
 def test_empty_batch_has_document_schema(spark):
     from playlens.plans.enrichment import enrich_documents
     from playlens.schemas import DOCUMENT
