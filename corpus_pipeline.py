@@ -1,8 +1,9 @@
 """The corpus pipeline: rules, near copies, repeated passages, leaks, token ids.
 
 Each stage is (name, function); a function takes (spark, docs, sf_dir) and
-returns a DataFrame that is written as Parquet and read again as the docs of
-the next stage. All but the last return the columns of ``documents``.
+returns a DataFrame, the docs of the next stage. ``run`` checkpoints it to the
+shared folder in between (an RDD checkpoint, not Parquet). All but the last
+return the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -56,7 +57,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written to the shared folder before the next."""
+    """All stages over ``documents``; each result is checkpointed to the shared folder before the next."""
     docs = C.read_documents(spark, sf_dir)
     for _, stage in STAGES[:-1]:
         docs = C.cut(stage(spark, docs, sf_dir))
