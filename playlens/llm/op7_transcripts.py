@@ -126,10 +126,8 @@ def learn(messages: DataFrame) -> Model:
         s = 2 * x["r"] + (not x["first"])
         marks[s, x["mark"]] += x["n"]
         lengths[s, x["length"]] += x["n"]
-    ends = known.select("conv_id", "turn", "r", (F.size(F.split("text", "\n", -1)) > 1).alias("long"))
-    after = ends.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("r").alias("next"))
     start, step = np.zeros(len(STATES)), np.zeros((len(STATES), len(STATES)))
-    for x in ends.join(after, ["conv_id", "turn"], "left").groupBy("r", "long", "next").count().collect():
+    for x in follows(known).groupBy("r", "long", "next").agg(F.sum("pairs").alias("count")).collect():
         if x["next"] is not None:
             step[2 * x["r"] + x["long"], 2 * x["next"]] += x["count"]
         if x["long"]:                                      # its first line is followed by a further one
@@ -142,6 +140,19 @@ def learn(messages: DataFrame) -> Model:
     return Model(start, step, marks, lengths)
 
 
+def follows(known: DataFrame) -> DataFrame:
+    """conv_id, turn, r, long, next and pairs: how many pairs of a message and one of the next turn.
+
+    Repeats of a turn are counted before the join, so they do not multiply its rows.
+    """
+    ends = (known.select("conv_id", "turn", "r", (F.size(F.split("text", "\n", -1)) > 1).alias("long"))
+            .groupBy("conv_id", "turn", "r", "long").agg(F.count("*").alias("n")))
+    after = (ends.groupBy("conv_id", (F.col("turn") - 1).alias("turn"), F.col("r").alias("next"))
+             .agg(F.sum("n").alias("m")))
+    return ends.join(after, ["conv_id", "turn"], "left").select(
+        "conv_id", "turn", "r", "long", "next", (F.col("n") * F.coalesce("m", F.lit(1))).alias("pairs"))
+
+
 def _line_counts(batches):
     for batch in batches:
         out = []

@@ -145,6 +145,12 @@ def test_roles_are_recovered(talks):
     assert all(r.rendered == f"<|{r.role}|>\n{r.text}\n" for r in turns)
 
 
+def test_repeated_turns_are_counted_before_they_meet(spark):
+    known = spark.createDataFrame([(1, 0, 1, "a")] * 200 + [(1, 1, 2, "b\nc")] * 300, "conv_id long, turn long, r int, text string")
+    rows = transcripts.follows(known).collect()
+    assert sorted((r.turn, r.r, r.long, r.next, r.pairs) for r in rows) == [(0, 1, False, 2, 60000), (1, 2, True, None, 300)]
+
+
 def test_transcript_edge_cases(spark, talks):
     model = transcripts.learn(transcripts.transcripts(talks))
     odd = spark.createDataFrame([(1, None, "User: hi"), (1, 0, None), (None, 0, "Bot: a"), (None, 0, "Bot: b"), (2, 0, ""),
