@@ -11,6 +11,9 @@ from playlens.llm import (
     op8_simhash,
     op9_quality_rules,
     op10_decontamination,
+    op11_importance,
+    op12_url_filter,
+    op13_token_alignment,
 )
 
 QUERIES = {
@@ -24,10 +27,14 @@ QUERIES = {
     "op8_simhash": op8_simhash.query,
     "op9_quality_rules": op9_quality_rules.query,
     "op10_decontamination": op10_decontamination.query,
+    "op11_importance": op11_importance.query,
+    "op12_url_filter": op12_url_filter.query,
+    "op13_token_alignment": op13_token_alignment.query,
 }
 
 ORACLES = {
     "op10_decontamination": op10_decontamination.SQL,
+    "op12_url_filter": op12_url_filter.SQL,
     "op5_suffix_dedup": op5_suffix_dedup.SQL,
     "op6_substring_dedup": op6_substring_dedup.SQL,
     "op9_quality_rules": op9_quality_rules.SQL,
