@@ -50,8 +50,8 @@ from playlens.llm.op1_token_counts import SAME_CLASSES, byte_letters
 BLOCK_BYTES = 8 << 20
 #: Units that one call of a library encodes in a row.
 ROW = 1024
-#: Units whose alignment a worker keeps (about 300 bytes each); beyond that it starts anew.
-SEEN = 200_000
+#: Units whose alignment a worker keeps (about 150 bytes each); beyond that it starts anew.
+SEEN = 1_000_000
 #: A pair of ids is one long: the A id above, the B id in the low bits.
 B_BITS = 20
 MARK = "▁"
@@ -94,6 +94,7 @@ class Tokenizers:
         # each id with the sign that may follow it in the text form of the groups
         self.signed = [b"%d%s" % (i, end) for side, ends in ((self.a_bytes, b",|"), (self.b_bytes, b",;"))
                        for end in (ends[:1], ends[1:]) for i in range(len(side))]
+        self.signed_size = np.array([len(x) for x in self.signed], np.int64)
 
     def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(A ids, where each unit's begin, B ids, where each unit's begin, whether the tokens of both join to the unit)."""
@@ -190,12 +191,12 @@ class AlignedUnits:
         # bytes at which each unit ends; an empty unit ends where the one before does
         edge = np.concatenate([[0], end_a])[at_a]
         self.at = np.searchsorted(either, edge, "right")            # the links of unit u: at[u] to at[u + 1]
-        self.counts = np.diff(np.stack([at_a, at_b, np.searchsorted(common, edge, "right"), self.at]), axis=1)
-        self.form = self._forms(both, ids_a, end_a, at_a, ids_b, end_b, at_b, common)
+        self.counts = np.diff(np.stack([at_a, at_b, np.searchsorted(common, edge, "right"), self.at]), axis=1).astype(np.int32)
+        self.form, self.form_at = self._forms(both, ids_a, end_a, at_a, ids_b, end_b, at_b, common)
 
     @staticmethod
-    def _forms(both, ids_a, end_a, at_a, ids_b, end_b, at_b, common) -> list[bytes]:
-        """`a1,a2|b1;a3|b2,b3;` of each unit (with the closing sign)."""
+    def _forms(both, ids_a, end_a, at_a, ids_b, end_b, at_b, common) -> tuple[bytes, np.ndarray]:
+        """`a1,a2|b1;a3|b2,b3;` of all units (with the closing sign), and where each unit's begins."""
         group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
         upto_a, upto_b = np.searchsorted(end_a, common, "right"), np.searchsorted(end_b, common, "right")
         place_a = np.arange(len(ids_a)) + np.concatenate([[0], upto_b])[group_a]
@@ -205,8 +206,8 @@ class AlignedUnits:
         last_a[upto_a - 1] = last_b[upto_b - 1] = True
         code[place_a] = ids_a + last_a * len(both.a_bytes)
         code[place_b] = ids_b + last_b * len(both.b_bytes) + 2 * len(both.a_bytes)
-        pieces, edge = list(map(both.signed.__getitem__, code.tolist())), (at_a + at_b).tolist()
-        return [b"".join(pieces[x:y]) for x, y in zip(edge[:-1], edge[1:], strict=True)]
+        ends = np.concatenate([[0], np.cumsum(both.signed_size[code])])
+        return b"".join(map(both.signed.__getitem__, code.tolist())), ends[at_a + at_b]
 
 
 class SeenUnits:
@@ -216,29 +217,37 @@ class SeenUnits:
         self.both = both
         self.clear()
 
-    def clear(self):
-        self.known: dict[str, int] = {}
-        self.form: list[bytes] = []
-        self.ok, self.counts = np.zeros(0, bool), np.zeros((4, 0), np.int64)
+    def clear(self) -> None:
+        self.words = pa.array([], pa.large_string())
+        self.ok, self.counts = np.zeros(0, bool), np.zeros((4, 0), np.int32)
         self.pairs, self.at = np.zeros(0, np.int64), np.zeros(1, np.int64)
-
-    def look_up(self, words: list[str]) -> "SeenUnits":
-        """The alignments of ``words``, in their order; those not met before are aligned now."""
-        if len(self.known) > SEEN:
-            self.clear()
-        fresh = [w for w in words if w not in self.known]
-        if fresh:
-            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
-            found = AlignedUnits(fresh, self.both)
-            self.form += found.form
+        self.form, self.form_at = b"", np.zeros(1, np.int64)
+
+    def look_up(self, words: pa.Array) -> "UnitsOfBlock":
+        """The alignments of distinct ``words``, in their order; those not met before are aligned now."""
+        index = pc.index_in(words, value_set=self.words)
+        if index.null_count:
+            if len(self.words) + index.null_count > SEEN:
+                self.clear()
+                index = pa.nulls(len(words), pa.int32())
+            fresh = words.filter(index.is_null())
+            found = AlignedUnits(fresh.to_pylist(), self.both)
+            place = np.cumsum(index.is_null().to_numpy(zero_copy_only=False)) - 1 + len(self.words)
+            index = np.where(index.is_null(), place, index.fill_null(0))
+            self.words = pa.concat_arrays([self.words, fresh])
             self.ok, self.counts = np.append(self.ok, found.ok), np.append(self.counts, found.counts, axis=1)
             self.pairs, self.at = np.append(self.pairs, found.pairs), np.append(self.at, found.at[1:] + self.at[-1])
-        index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        out = SeenUnits(self.both)
-        out.ok, out.counts, out.form = self.ok[index], self.counts[:, index], list(map(self.form.__getitem__, index.tolist()))
-        out.pairs = self.pairs[_ragged(index, self.at)]
-        out.at = np.concatenate([[0], np.cumsum((self.at[1:] - self.at[:-1])[index])])
-        return out
+            self.form, self.form_at = self.form + found.form, np.append(self.form_at, found.form_at[1:] + self.form_at[-1])
+        return UnitsOfBlock(self, np.asarray(index, np.int64))
+
+
+class UnitsOfBlock:
+    def __init__(self, seen: SeenUnits, index: np.ndarray):
+        self.ok, self.counts = seen.ok[index], seen.counts[:, index]
+        self.pairs = seen.pairs[_ragged(index, seen.at)]
+        self.at = np.concatenate([[0], np.cumsum((seen.at[1:] - seen.at[:-1])[index])])
+        form = seen.form
+        self.form = [form[lo:hi] for lo, hi in zip(seen.form_at[index].tolist(), seen.form_at[index + 1].tolist(), strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -272,7 +281,7 @@ def _row_sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return total[..., at[1:]] - total[..., at[:-1]]
 
 
-def _text_units(texts: pa.Array, signs: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+def _text_units(texts: pa.Array, signs: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """(distinct units, the unit sequences one after the other, where each text's begins)."""
     spaced = pc.binary_join_element_wise(*(x.cast(pa.large_string()) for x in (pa.scalar(" "), texts, pa.scalar(""))))
     _, at, data = spaced.buffers()
@@ -280,7 +289,7 @@ def _text_units(texts: pa.Array, signs: list[str]) -> tuple[list[str], np.ndarra
     start = unit_starts(np.frombuffer(data, np.uint8)[: at[-1]], at, signs)
     offsets = pa.array(np.append(start, at[-1]))
     coded = pc.dictionary_encode(pa.LargeStringArray.from_buffers(len(start), offsets.buffers()[1], data))
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), np.searchsorted(start, at)
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), np.searchsorted(start, at)
 
 
 def make_block(number: int, texts: pa.Array, times: np.ndarray, seen: SeenUnits) -> pa.RecordBatch:
@@ -288,7 +297,7 @@ def make_block(number: int, texts: pa.Array, times: np.ndarray, seen: SeenUnits)
     words, units, at = _text_units(texts, seen.both.signs)
     aligned = seen.look_up(words)
     good = _row_sums((~aligned.ok).astype(np.int64)[units], at) == 0
-    sums = _row_sums(aligned.counts[:, units], at) * good
+    sums = np.stack([_row_sums(c[units], at) for c in aligned.counts]) * good
     pairs, place = np.unique(aligned.pairs, return_inverse=True)
     docs = _documents(units, at, good, times, place, aligned.at, len(pairs))
     form, sequence, edge, shas = aligned.form.__getitem__, units.tolist(), at.tolist(), []
