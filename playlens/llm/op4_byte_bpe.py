@@ -1,13 +1,14 @@
 """Byte-level BPE encoding and decoding by ranks, on the distinct words of the corpus.
 
-1. Chunks of documents list their distinct words (matches of the pattern); the
+1. Blocks of documents list their distinct words (matches of the pattern) and
+   write each text as word numbers, so a text is split once and not shuffled; the
    words meet at buckets of a hash, so each word of the corpus is encoded once.
 2. Spark's higher-order functions fold ranked merges over each word's bytes
    (written in hexadecimal): the state is the cuts left between pieces with
    the ranks of merging there, and each step merges the leftmost pair of least
    rank. Ranks come from a literal map, kept as an array of small maps by a
    hash of the piece because a map is searched entry by entry.
-3. The token ids go back to the chunks that asked; a text's ids are those of
+3. The token ids go back to the blocks that asked; a text's ids are those of
    its words in order, and decoding concatenates the binary pieces of the ids.
 
 A word above ``FOLD_BYTES`` bytes would take that many folding steps of that
@@ -29,19 +30,22 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlens.llm import common as C
 from playlens.llm.op1_token_counts import merge, splitter
 
-CHUNK_BYTES = 16 << 20
+#: Text bytes of a block.
+CHUNK_BYTES = 8 << 20
 FOLD_BYTES = 256
 RANK_MAPS = 1 << 16
 _NONE, _PLACE_BITS = (1 << 31) - 1, 10
 
-_MESSAGES = "bucket int, chunk int, words binary"
-_ANSWERS = "chunk int, bucket int, ids binary"
+_BLOCKS = "block long, docs binary, numbers binary, words binary"
+_MESSAGES = "bucket int, block long, words binary, mark long"
+_ANSWERS = "block long, bucket int, ids binary, mark long"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -103,58 +107,89 @@ def fold_merges(word: Column, table: Column) -> Column:
         F.sequence(F.lit(0), F.size(c)), lambda i: rank(place(c, i - 1, F.lit(0)), place(c, i, n))))
 
 
-def _packed(column: pa.Array) -> bytes:
+def _packed(table: pa.Table | pa.Array) -> bytes:
     sink = pa.BufferOutputStream()
-    table = pa.table({"x": column})
+    if isinstance(table, pa.Array):
+        table = pa.table({"x": table})
     with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_table(table)
     return sink.getvalue().to_pybytes()
 
 
+def _table(payload) -> pa.Table:
+    return pa.ipc.open_stream(payload.as_buffer()).read_all()
+
+
 def _unpacked(payload) -> pa.Array:
-    return pa.ipc.open_stream(payload).read_all().column("x").combine_chunks()
-
-
-def _distinct(payloads, text_col, n) -> tuple[dict[int, list[str]], set[str]]:
-    """Distinct words of a chunk: sorted lists by bucket, and those too long to fold."""
-    words: set[str] = set()
-    find = splitter()
-    for table in C.unpack(payloads):
-        for text in table.column(text_col):
-            if text.is_valid:
-                words.update(find(text.as_py()))
-    by_bucket: dict[int, list[str]] = {}
-    long = set()
-    for w in sorted(words):
+    return _table(payload).column("x").combine_chunks()
+
+
+def _block(number: int, batches: list[pa.RecordBatch], find) -> pa.RecordBatch:
+    """The documents of a block without their texts (the last column), their word numbers, and the words."""
+    table = pa.Table.from_batches(batches)
+    found = [find(t.as_py()) if t.is_valid else [] for t in table.column(table.num_columns - 1)]
+    at = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
+    words = pa.array([w for x in found for w in x], pa.large_string()).dictionary_encode()
+    numbers = pa.LargeListArray.from_arrays(pa.array(at), words.indices)
+    return pa.RecordBatch.from_pydict({
+        "block": pa.array([number], pa.int64()), "docs": pa.array([_packed(table.select(range(table.num_columns - 1)))], pa.binary()),
+        "numbers": pa.array([_packed(numbers)], pa.binary()), "words": pa.array([_packed(words.dictionary)], pa.binary())})
+
+
+def _by_bucket(words: list[str], n: int) -> tuple[dict[int, list[int]], list[int]]:
+    """Numbers of the words of each bucket, in order, and of those too long to fold."""
+    buckets: dict[int, list[int]] = {}
+    long = []
+    for k, w in enumerate(words):
         raw = w.encode()
         if len(raw) > FOLD_BYTES:
-            long.add(w)
+            long.append(k)
         else:
-            by_bucket.setdefault(zlib.crc32(raw) % n, []).append(w)
-    return by_bucket, long
+            buckets.setdefault(zlib.crc32(raw) % n, []).append(k)
+    return buckets, long
+
+
+def _mark(payload: bytes) -> int:
+    """Names the words that an answer is for."""
+    return xxhash.xxh64_intdigest(payload) >> 1
 
 
 def encode_documents(docs: DataFrame, path: str, text_col: str, finish, schema) -> DataFrame:
     """Rows made by ``finish(table, ids, pieces)`` from each block of documents and its texts' ids.
 
-    ``ids`` has the token ids of each text as little-endian unsigned 32-bit
-    integers; ``pieces`` the bytes of each id.
+    ``table`` has all columns but the text; ``ids`` has the token ids of each text
+    as little-endian unsigned 32-bit integers; ``pieces`` the bytes of each id.
+    A block is made of neighbouring rows, so ``docs`` should be read from files or
+    a checkpoint: if its rows came in another order when a lost block is made
+    again, the answers would not be for its words, and the task fails.
     """
     spark = docs.sparkSession
     ranks = read_ranks(path)
     shared = spark.sparkContext.broadcast(ranks)               # bounded by the vocabulary file
     small = max(ranks.values(), default=0) < 1 << 16
     n = C.chunk_count(docs, text_col, CHUNK_BYTES)
-    by_chunk = C.pack(docs, n, docs.columns).groupBy("chunk")
+
+    def blocks(batches):
+        first, k, held, size, find = TaskContext.get().partitionId() << 32, 0, [], 0, splitter()
+        for batch in batches:
+            for lo, _, edge in C.text_slices(batch.column(batch.num_columns - 1)):
+                held.append(batch.slice(lo, len(edge) - 1))
+                size += int(edge[-1])
+                if size >= CHUNK_BYTES:
+                    yield _block(first | k, held, find)
+                    k, held, size = k + 1, [], 0
+        if held:
+            yield _block(first | k, held, find)
 
     def messages(key, table):
-        by_bucket, _ = _distinct(table.column("payload"), text_col, n)
-        return pa.table({"bucket": pa.array(list(by_bucket), pa.int32()),
-                         "chunk": pa.array([key[0].as_py()] * len(by_bucket), pa.int32()),
-                         "words": pa.array([_packed(pa.array(w, pa.string())) for w in by_bucket.values()], pa.binary())})
+        words = _unpacked(table.column("words")[0])
+        buckets, _ = _by_bucket(words.to_pylist(), n)
+        sent = [_packed(words.take(pa.array(x))) for x in buckets.values()]
+        return pa.table({"bucket": pa.array(list(buckets), pa.int32()), "block": pa.array([key[0].as_py()] * len(sent), pa.int64()),
+                         "words": pa.array(sent, pa.binary()), "mark": pa.array(map(_mark, sent), pa.int64())})
 
     def distinct(key, table):
-        words = {w for x in table.column("words") for w in _unpacked(x.as_buffer()).to_pylist()}
+        words = {w for x in table.column("words") for w in _unpacked(x).to_pylist()}
         return pa.table({"bucket": pa.array([key[0].as_py()] * len(words), pa.int32()),
                          "word": pa.array([w.encode().hex() for w in words], pa.string())})
 
@@ -163,39 +198,47 @@ def encode_documents(docs: DataFrame, path: str, text_col: str, finish, schema)
         ids = right.column("ids").combine_chunks().cast(pa.list_(pa.uint16() if small else pa.int32()))
         out = []
         for x in left.column("words"):
-            places = [known[w.encode()] for w in _unpacked(x.as_buffer()).to_pylist()]
+            places = [known[w.encode()] for w in _unpacked(x).to_pylist()]
             out.append(_packed(ids.take(pa.array(places, pa.int32()))))
-        return pa.table({"chunk": left.column("chunk"), "bucket": left.column("bucket"), "ids": pa.array(out, pa.binary())})
+        return pa.table({"block": left.column("block"), "bucket": left.column("bucket"), "ids": pa.array(out, pa.binary()),
+                         "mark": left.column("mark")})
 
     def last(left, right):
-        by_bucket, long = _distinct(left.column("payload"), text_col, n)
-        coded: dict[str, bytes] = {}
+        pa.default_memory_pool().release_unused()   # workers live on from group to group
+        known = _unpacked(left.column("words")[0])
+        words = known.to_pylist()
+        buckets, long = _by_bucket(words, n)
+        if dict(zip(right.column("bucket").to_pylist(), right.column("mark").to_pylist(), strict=True)) != {
+                b: _mark(_packed(known.take(pa.array(x)))) for b, x in buckets.items()}:
+            raise RuntimeError("the answers are for other words: the block was made again from rows in another order")
+        coded = [b""] * len(words)
         for bucket, payload in zip(right.column("bucket").to_pylist(), right.column("ids"), strict=True):
-            ids = _unpacked(payload.as_buffer())
+            ids = _unpacked(payload)
             flat = ids.flatten().to_numpy().astype("<u4").tobytes()
             at = (4 * ids.offsets.to_numpy().astype(np.int64)).tolist()
             base = at[0] if at else 0
-            coded.update((w, flat[a - base: b - base]) for w, a, b in zip(by_bucket[bucket], at[:-1], at[1:], strict=True))
+            for k, a, b in zip(buckets[bucket], at[:-1], at[1:], strict=True):
+                coded[k] = flat[a - base: b - base]
         rank = shared.value
-        for w in long:
-            pieces = merge([bytes([b]) for b in w.encode()], lambda a, b: rank.get(a + b))
-            coded[w] = np.array([rank[p] for p in pieces], "<u4").tobytes()
-        del by_bucket, long
+        for k in long:
+            pieces = merge([bytes([b]) for b in words[k].encode()], lambda a, b: rank.get(a + b))
+            coded[k] = np.array([rank[p] for p in pieces], "<u4").tobytes()
         pieces = [b""] * (max(rank.values(), default=-1) + 1)
         for word, i in rank.items():
             pieces[i] = word
-        find = splitter()
-        out = []
-        for table in C.unpack(left.column("payload")):
-            ids = [b"".join(map(coded.__getitem__, find(t.as_py()))) if t.is_valid else b"" for t in table.column(text_col)]
-            out.append(finish(table, ids, pieces))
-        return pa.concat_tables(out)
-
-    sent = by_chunk.applyInArrow(messages, _MESSAGES).groupBy("bucket")
+        numbers = _unpacked(left.column("numbers")[0])
+        edge, flat = numbers.offsets.to_pylist(), numbers.values.to_pylist()
+        ids = [b"".join(map(coded.__getitem__, flat[a:b])) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        del coded, words, flat
+        return finish(_table(left.column("docs")[0]), ids, pieces)
+
+    text = F.col(f"`{text_col}`").alias("__text")
+    by_block = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], text).mapInArrow(blocks, _BLOCKS).groupBy("block")
+    sent = by_block.applyInArrow(messages, _MESSAGES).groupBy("bucket")
     words = sent.applyInArrow(distinct, "bucket int, word string")
     coded = words.select("bucket", F.unhex("word").alias("raw"), _let(rank_literal(ranks), lambda t: fold_merges(F.col("word"), t)).alias("ids"))
     replies = sent.cogroup(coded.groupBy("bucket")).applyInArrow(answers, _ANSWERS)
-    return by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(last, schema)
+    return by_block.cogroup(replies.groupBy("block")).applyInArrow(last, schema)
 
 
 def decode(ids: bytes, pieces: list[bytes]) -> bytes:
