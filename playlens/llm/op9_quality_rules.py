@@ -24,6 +24,8 @@ SYMBOL_PERCENT, LINE_PERCENT = 50, 50
 HOST_LIMIT = 0.8
 #: Weight of the prior, in documents, when the hosts' rates hardly vary; and at the least.
 PRIOR_MOST, PRIOR_LEAST = 1000.0, 2.0
+#: Failing hosts that are sent to every task.
+HOSTS_SENT = 50_000
 SPACE, WORD, SYMBOLS = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]", r"[#*$%&|<>]"
 
 
@@ -118,10 +120,17 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """The documents kept, with all their columns; texts are measured again rather than shuffled."""
-    hosts = host_verdicts(judged(docs, id_col, text_col, host_col))
+    """The documents kept, with all their columns.
+
+    Each text is measured once; the rows go to the shared folder with their
+    verdicts, and no text is shuffled while the failing hosts stay below
+    ``HOSTS_SENT`` (each is at most a host name; beyond that they are joined).
+    """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    return _with_verdicts(judged(docs, id_col, text_col, host_col, row), hosts).where("kept").select("row.*")
+    rows = C.cut(judged(docs, id_col, text_col, host_col, row).select("host", "base_failed", "failed", "row"))
+    bad = C.cut(host_verdicts(rows.select("host", "failed")).where(~F.col("host_ok")).select("host"))
+    few = bad.agg(F.count("*") <= HOSTS_SENT, F.coalesce(F.sum(F.octet_length("host")), F.lit(0)) <= HOSTS_SENT * 100).first()
+    return (rows.where(~F.col("base_failed")).join(F.broadcast(bad) if all(few) else bad, "host", "left_anti").select("row.*"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
