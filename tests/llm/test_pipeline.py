@@ -54,5 +54,5 @@ def test_registered():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "op9_quality_rules" in __spark_entry__.oracle_sql()
