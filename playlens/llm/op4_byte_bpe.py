@@ -38,12 +38,12 @@ from playlens.llm import common as C
 from playlens.llm.op1_token_counts import merge, splitter
 
 #: Text bytes of a block.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 16 << 20
 FOLD_BYTES = 256
 RANK_MAPS = 1 << 16
 _NONE, _PLACE_BITS = (1 << 31) - 1, 10
 
-_BLOCKS = "block long, docs binary, numbers binary, words binary"
+_BLOCKS = "block long, docs binary, sizes binary, numbers binary, words binary"
 _MESSAGES = "bucket int, block long, words binary, mark long"
 _ANSWERS = "block long, bucket int, ids binary, mark long"
 
@@ -124,16 +124,34 @@ def _unpacked(payload) -> pa.Array:
     return _table(payload).column("x").combine_chunks()
 
 
-def _block(number: int, batches: list[pa.RecordBatch], find) -> pa.RecordBatch:
-    """The documents of a block without their texts (the last column), their word numbers, and the words."""
-    table = pa.Table.from_batches(batches)
-    found = [find(t.as_py()) if t.is_valid else [] for t in table.column(table.num_columns - 1)]
-    at = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
-    words = pa.array([w for x in found for w in x], pa.large_string()).dictionary_encode()
-    numbers = pa.LargeListArray.from_arrays(pa.array(at), words.indices)
-    return pa.RecordBatch.from_pydict({
-        "block": pa.array([number], pa.int64()), "docs": pa.array([_packed(table.select(range(table.num_columns - 1)))], pa.binary()),
-        "numbers": pa.array([_packed(numbers)], pa.binary()), "words": pa.array([_packed(words.dictionary)], pa.binary())})
+class _Block:
+    """The words of a block's texts as numbers, the commonest word first, and its documents without their texts."""
+
+    def __init__(self, find):
+        self.find, self.docs, self.words, self.sizes, self.bytes = find, [], [], [], 0
+
+    def add(self, batch: pa.RecordBatch, size: int) -> None:
+        """Documents whose last column is the text; ``size`` are its bytes."""
+        found = [self.find(t.as_py()) if t.is_valid else [] for t in batch.column(batch.num_columns - 1)]
+        self.sizes += map(len, found)
+        self.words.append(pa.array([w for x in found for w in x], pa.large_string()))
+        self.docs.append(batch.select(range(batch.num_columns - 1)))
+        self.bytes += size
+
+    def finish(self, number: int) -> pa.RecordBatch:
+        words = pa.concat_arrays(self.words).dictionary_encode()
+        index = words.indices.to_numpy(zero_copy_only=False)
+        common = np.argsort(-np.bincount(index, minlength=len(words.dictionary)), kind="stable")
+        place = np.empty(len(common), np.uint32)
+        place[common] = np.arange(len(common))
+        numbers = place[index]
+        # high and low halves apart: the high ones, mostly zero, take hardly any room
+        numbers = pa.table({"low": (numbers & 0xFFFF).astype(np.uint16), "high": (numbers >> 16).astype(np.uint16)})
+        return pa.RecordBatch.from_pydict({
+            "block": pa.array([number], pa.int64()), "docs": pa.array([_packed(pa.Table.from_batches(self.docs))], pa.binary()),
+            "sizes": pa.array([_packed(pa.array(self.sizes, pa.int64()))], pa.binary()),
+            "numbers": pa.array([_packed(numbers)], pa.binary()),
+            "words": pa.array([_packed(words.dictionary.take(pa.array(common)))], pa.binary())})
 
 
 def _by_bucket(words: list[str], n: int) -> tuple[dict[int, list[int]], list[int]]:
@@ -149,16 +167,17 @@ def _by_bucket(words: list[str], n: int) -> tuple[dict[int, list[int]], list[int
     return buckets, long
 
 
-def _mark(payload: bytes) -> int:
+def _mark(words) -> int:
     """Names the words that an answer is for."""
-    return xxhash.xxh64_intdigest(payload) >> 1
+    return xxhash.xxh64_intdigest(words.as_buffer()) >> 1
 
 
 def encode_documents(docs: DataFrame, path: str, text_col: str, finish, schema) -> DataFrame:
-    """Rows made by ``finish(table, ids, pieces)`` from each block of documents and its texts' ids.
+    """Rows made by ``finish(table, ids, decoded)`` from each block of documents.
 
     ``table`` has all columns but the text; ``ids`` has the token ids of each text
-    as little-endian unsigned 32-bit integers; ``pieces`` the bytes of each id.
+    as little-endian unsigned 32-bit integers; ``decoded`` the bytes that the ids
+    stand for, put together from their pieces once for each distinct word.
     A block is made of neighbouring rows, so ``docs`` should be read from files or
     a checkpoint: if its rows came in another order when a lost block is made
     again, the answers would not be for its words, and the task fails.
@@ -170,23 +189,23 @@ def encode_documents(docs: DataFrame, path: str, text_col: str, finish, schema)
     n = C.chunk_count(docs, text_col, CHUNK_BYTES)
 
     def blocks(batches):
-        first, k, held, size, find = TaskContext.get().partitionId() << 32, 0, [], 0, splitter()
+        first, k, find = TaskContext.get().partitionId() << 32, 0, splitter()
+        held = _Block(find)
         for batch in batches:
             for lo, _, edge in C.text_slices(batch.column(batch.num_columns - 1)):
-                held.append(batch.slice(lo, len(edge) - 1))
-                size += int(edge[-1])
-                if size >= CHUNK_BYTES:
-                    yield _block(first | k, held, find)
-                    k, held, size = k + 1, [], 0
-        if held:
-            yield _block(first | k, held, find)
+                held.add(batch.slice(lo, len(edge) - 1), int(edge[-1]))
+                if held.bytes >= CHUNK_BYTES:
+                    yield held.finish(first | k)
+                    k, held = k + 1, _Block(find)
+        if held.sizes:
+            yield held.finish(first | k)
 
     def messages(key, table):
         words = _unpacked(table.column("words")[0])
         buckets, _ = _by_bucket(words.to_pylist(), n)
         sent = [_packed(words.take(pa.array(x))) for x in buckets.values()]
         return pa.table({"bucket": pa.array(list(buckets), pa.int32()), "block": pa.array([key[0].as_py()] * len(sent), pa.int64()),
-                         "words": pa.array(sent, pa.binary()), "mark": pa.array(map(_mark, sent), pa.int64())})
+                         "words": pa.array(sent, pa.binary()), "mark": pa.array([_mark(table.column("words")[0])] * len(sent), pa.int64())})
 
     def distinct(key, table):
         words = {w for x in table.column("words") for w in _unpacked(x).to_pylist()}
@@ -205,11 +224,9 @@ def encode_documents(docs: DataFrame, path: str, text_col: str, finish, schema)
 
     def last(left, right):
         pa.default_memory_pool().release_unused()   # workers live on from group to group
-        known = _unpacked(left.column("words")[0])
-        words = known.to_pylist()
+        words = _unpacked(left.column("words")[0]).to_pylist()
         buckets, long = _by_bucket(words, n)
-        if dict(zip(right.column("bucket").to_pylist(), right.column("mark").to_pylist(), strict=True)) != {
-                b: _mark(_packed(known.take(pa.array(x)))) for b, x in buckets.items()}:
+        if {_mark(left.column("words")[0])} != {*right.column("mark").to_pylist()} and buckets:
             raise RuntimeError("the answers are for other words: the block was made again from rows in another order")
         coded = [b""] * len(words)
         for bucket, payload in zip(right.column("bucket").to_pylist(), right.column("ids"), strict=True):
@@ -226,11 +243,17 @@ def encode_documents(docs: DataFrame, path: str, text_col: str, finish, schema)
         pieces = [b""] * (max(rank.values(), default=-1) + 1)
         for word, i in rank.items():
             pieces[i] = word
-        numbers = _unpacked(left.column("numbers")[0])
-        edge, flat = numbers.offsets.to_pylist(), numbers.values.to_pylist()
-        ids = [b"".join(map(coded.__getitem__, flat[a:b])) for a, b in zip(edge[:-1], edge[1:], strict=True)]
-        del coded, words, flat
-        return finish(_table(left.column("docs")[0]), ids, pieces)
+        plain = [decode(x, pieces) for x in coded]
+        halves = _table(left.column("numbers")[0])
+        numbers = halves.column("low").to_numpy() | halves.column("high").to_numpy().astype(np.uint32) << 16
+        ends = np.cumsum(_unpacked(left.column("sizes")[0]).to_numpy()).tolist()
+        ids, decoded = [], []
+        for lo, hi in zip([0, *ends[:-1]], ends, strict=True):
+            row = numbers[lo:hi].tolist()
+            ids.append(b"".join(map(coded.__getitem__, row)))
+            decoded.append(b"".join(map(plain.__getitem__, row)))
+        del coded, plain, words, numbers
+        return finish(_table(left.column("docs")[0]), ids, decoded)
 
     text = F.col(f"`{text_col}`").alias("__text")
     by_block = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], text).mapInArrow(blocks, _BLOCKS).groupBy("block")
@@ -245,11 +268,11 @@ def decode(ids: bytes, pieces: list[bytes]) -> bytes:
     return b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def _digest(table, ids, pieces):
+def _digest(table, ids, decoded):
     sha = lambda raw: hashlib.sha256(raw).hexdigest()
     return pa.table({"doc_id": table.column("doc_id"), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
                      "ids_sha256": pa.array(map(sha, ids), pa.string()),
-                     "decoded_sha256": pa.array([sha(decode(x, pieces)) for x in ids], pa.string())})
+                     "decoded_sha256": pa.array(map(sha, decoded), pa.string())})
 
 
 def encoded_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -259,10 +282,10 @@ def encoded_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col
                             "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def _token_rows(table, ids, pieces):
+def _token_rows(table, ids, decoded):
     lists = pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in ids], pa.list_(pa.int32()))
     return pa.table({"doc_id": table.column("doc_id"), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
-                     "ids": lists, "decoded": pa.array([decode(x, pieces).decode() for x in ids], pa.string())})
+                     "ids": lists, "decoded": pa.array([x.decode() for x in decoded], pa.string())})
 
 
 def token_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
