@@ -11,6 +11,11 @@ speed only):
   sort-merge from measured sizes), regrouped by the array they came from and
   joined back on it.  Rows need no key of their own.
 
+Elements may be ids, names or both mixed (VARIANT, as ``parse_json`` and the
+JSON reader give them): an id is kept and named, a name is kept and its id
+looked up, id 0 included; a name without an id lends none, and elements that
+are neither (null, booleans, objects) drop out.
+
 An id that a dimension lists twice has the least of its names; a name listed
 twice has its lowest id; null ids and names of a dimension are ignored.
 """
@@ -19,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, VariantType
 
 from ..functions.scores import literal_map
 
@@ -103,9 +108,13 @@ def _looked_up(df: DataFrame, specs: list[tuple[str, DataFrame, str]], missing,
     for each distinct combination of arrays, which is also the join key back,
     so rows need no key and repeated rows are translated alike.
     """
-    empty = F.array()
+    empty, none = F.array(), F.array().cast(ArrayType(kind))
     arrays = F.struct(*[F.coalesce(F.col(c), empty.cast(df.schema[c].dataType)).alias(f"c{i}")
                         for i, (c, _, _) in enumerate(specs)])
+    # rows without any element need no table: they would all share one join key
+    some = F.greatest(F.lit(0), *[F.coalesce(F.size(F.col(c)), F.lit(0)) for c, _, _ in specs]) > 0
+    bare = df.where(~some).withColumns({out_col: none for _, _, out_col in specs})
+    df = df.where(some)
     keys = df.select(arrays.alias("_key")).distinct()
 
     def tagged(i):
@@ -129,10 +138,70 @@ def _looked_up(df: DataFrame, specs: list[tuple[str, DataFrame, str]], missing,
     back = back.select("_key", *[F.transform(f"_s{i}", lambda s: s["_y"]).alias(f"_n{i}")
                                  for i in range(len(specs))])
     out = df.withColumn("_key", arrays).join(back, "_key", "left")
-    none = empty.cast(ArrayType(kind))
-    return out.withColumns({out_col: F.coalesce(F.col(f"_n{i}"), none)
-                            for i, (_, _, out_col) in enumerate(specs)}) \
-        .drop("_key", *[f"_n{i}" for i in range(len(specs))])
+    found = out.withColumns({out_col: F.coalesce(F.col(f"_n{i}"), none) for i, (_, _, out_col) in enumerate(specs)})
+    return found.drop("_key", *[f"_n{i}" for i in range(len(specs))]).unionByName(bare)
+
+
+def has_names(df: DataFrame, col: str) -> bool:
+    """Whether the elements of an array column are, or may be, names."""
+    kind = df.schema[col].dataType
+    kind = kind.elementType if isinstance(kind, ArrayType) else kind
+    return isinstance(kind, (VariantType, StringType))
+
+
+def split_elements(df: DataFrame, col: str) -> Column:
+    """Elements of an array of ids, names or VARIANT as structs (id, name), of which one is null."""
+    kind = df.schema[col].dataType
+    items = F.col(col)
+    if isinstance(kind, VariantType):                    # a whole list as one value
+        items = F.expr(f"try_variant_get(`{col}`, '$', 'array<variant>')")
+    elif isinstance(kind.elementType, StringType):
+        return F.transform(F.filter(items, lambda x: x.isNotNull()),
+                           lambda x: F.struct(F.lit(None).cast("int").alias("id"), x.alias("name")))
+    elif not isinstance(kind.elementType, VariantType):
+        return F.transform(F.filter(items, lambda x: x.isNotNull()),
+                           lambda x: F.struct(x.cast("int").alias("id"), F.lit(None).cast("string").alias("name")))
+
+    def one(x):
+        of = F.schema_of_variant(x)                      # tells the id 12 from the name "12"
+        whole = F.when(of == "BIGINT", F.try_variant_get(x, "$", "int"))
+        return F.struct(whole.alias("id"), F.when(of == "STRING", F.try_variant_get(x, "$", "string")).alias("name"))
+
+    return F.filter(F.transform(items, one), lambda e: e["id"].isNotNull() | e["name"].isNotNull())
+
+
+def mixed_exprs(elements: Column, by_id: Column, by_name: Column) -> tuple[Column, Column]:
+    """(ids, names) of split elements, from two literal maps."""
+    ids = F.filter(F.transform(elements, lambda e: F.coalesce(e["id"], F.try_element_at(by_name, e["name"]))), lambda x: x.isNotNull())
+    names = F.transform(elements, lambda e: F.coalesce(e["name"], F.try_element_at(by_id, e["id"]), unknown_name(e["id"])))
+    return (F.coalesce(ids, F.array().cast(ArrayType(IntegerType()))), F.coalesce(names, F.array().cast(ArrayType(StringType()))))
+
+
+def mixed_by_join(df: DataFrame, specs: list[tuple[str, DataFrame, str, str]]) -> DataFrame:
+    """Join strategy for (elements column, dimension, ids column, names column), in one lookup pass of each kind.
+
+    Both lookups keep an element's place: an element that is no id (no name)
+    stays null in one of them, and the two are then laid over each other.
+    """
+    parts = {f"_i{k}": F.transform(c, lambda e: e["id"]) for k, (c, *_) in enumerate(specs)}
+    parts |= {f"_s{k}": F.transform(c, lambda e: e["name"]) for k, (c, *_) in enumerate(specs)}
+    out = df.withColumns(parts)
+
+    def table(dim, x, y):
+        known = dim.where(F.col("id").isNotNull() & F.col("name").isNotNull())
+        return known.groupBy(F.col(x).alias("x")).agg(F.min(y).alias("y"))
+
+    out = _looked_up(out, [(f"_i{k}", table(d, "id", "name"), f"_in{k}") for k, (_, d, _, _) in enumerate(specs)],
+                     unknown_name, StringType())
+    out = _looked_up(out, [(f"_s{k}", table(d, "name", "id"), f"_si{k}") for k, (_, d, _, _) in enumerate(specs)],
+                     lambda _: F.lit(None).cast("int"), IntegerType())
+    found = {}
+    for k, (_, _, ids_col, names_col) in enumerate(specs):
+        found[ids_col] = F.filter(F.zip_with(f"_i{k}", f"_si{k}", lambda a, b: F.coalesce(a, b)), lambda x: x.isNotNull())
+        found[names_col] = F.zip_with(f"_s{k}", f"_in{k}", lambda a, b: F.coalesce(a, b))
+    helpers = [f"{p}{k}" for p in ("_i", "_s", "_in", "_si") for k in range(len(specs))]
+    empty = {c: F.array().cast(ArrayType(IntegerType() if c == i else StringType())) for _, _, i, n in specs for c in (i, n)}
+    return out.withColumns({c: F.coalesce(e, empty[c]) for c, e in found.items()}).drop(*helpers)
 
 
 def translate_by_join(df: DataFrame, specs: list[tuple[str, DataFrame, str]]) -> DataFrame:
@@ -156,24 +225,35 @@ def translate(df: DataFrame, ids_col: str, dim, out_col: str, strategy: str = "a
 
 
 def translate_game(raw: DataFrame, dims: dict, strategy: str = "auto") -> DataFrame:
-    """Raw id arrays -> ``*_ids`` (ids kept as given, single pass) and name
-    arrays for the five dimensions.  Bounded dimensions become literal maps;
-    the others are translated together in one join pass."""
+    """Raw arrays -> ``*_ids`` (ids kept as given, single pass) and name arrays
+    for the five dimensions; elements may be ids, names, or VARIANT of both.
+    Bounded dimensions become literal maps; the others are translated together
+    in one join pass for each direction."""
     present = [c for c in TRANSLATED if c in raw.columns]
-    out = raw.withColumns({TRANSLATED[c][0]: F.col(c) for c in present})
-    mapped, joined = {}, []
+    mixed = {c: f"_elements_{c}" for c in present if has_names(raw, c)}
+    out = raw.withColumns({m: split_elements(raw, c) for c, m in mixed.items()}) if mixed else raw
+    out = out.withColumns({TRANSLATED[c][0]: F.col(c) for c in present if c not in mixed})
+    mapped, joined, mixed_joined = {}, [], []
     for c in present:
         ids_col, names_col = TRANSLATED[c]
         rows = _known_rows(dims[c]) if strategy in ("auto", "map") else None
-        if rows is not None:
+        if rows is not None and c in mixed:
+            mapped[ids_col], mapped[names_col] = mixed_exprs(F.col(mixed[c]), id_name_map(rows), name_id_map(rows))
+        elif rows is not None:
             mapped[names_col] = names_expr(F.col(ids_col), id_name_map(rows))
         elif strategy == "map":
             raise ValueError(f"dimension {c} larger than {MAP_MAX_ROWS} rows; use 'join'")
+        elif c in mixed:
+            mixed_joined.append((mixed[c], as_frame(dims[c], raw.sparkSession), ids_col, names_col))
         else:
             joined.append((ids_col, as_frame(dims[c], raw.sparkSession), names_col))
     if mapped:
         out = out.withColumns(mapped)
-    return translate_by_join(out, joined) if joined else out
+    if joined:
+        out = translate_by_join(out, joined)
+    if mixed_joined:
+        out = mixed_by_join(out, mixed_joined)
+    return out.drop(*mixed.values())
 
 
 def reverse_translate(df: DataFrame, names_col: str, dim, out_col: str,

@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..operators import enrich, ml
 from ..operators import selection as sel
-from ..schemas import HISTORY, RAW_GAME, conform
+from ..schemas import HISTORY, RAW_GAME, RAW_MIXED_GAME, conform
 from ..sinks import documents as sinks
 from ..streaming.pipeline import start_enrichment
 
 
-def read_raw_games(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """Raw games with the declared schema (no inference)."""
-    return spark.read.schema(RAW_GAME).format(fmt).load(path)
+def read_raw_games(spark: SparkSession, path: str, fmt: str = "json", mixed: bool = False) -> DataFrame:
+    """Raw games with the declared schema (no inference); ``mixed`` for sources
+    whose list fields hold ids and names."""
+    return spark.read.schema(RAW_MIXED_GAME if mixed else RAW_GAME).format(fmt).load(path)
 
 
 def bulk_import(raw: DataFrame, dims: dict, out_path: str, as_of: int,

@@ -56,6 +56,16 @@ def _ids_back(col: str, names: list[str]) -> str:
             f"lambda y: y IS NOT NULL), []::INTEGER[])")
 
 
+def _mixed(col: str, names: list[str]) -> tuple[str, str]:
+    """(ids, names) of a fixture array that mixes both: strange names have no id, names the lowest one."""
+    first = {i: names.index(n) for i, n in enumerate(names)}
+    place = "(id + i - 1)"
+    ids = (f"CASE WHEN {place} % 11 = 0 THEN NULL WHEN {place} % 2 = 0 THEN {_case_map('x', first, 'x')} ELSE x END")
+    name = _case_map("x", {i: q(n) for i, n in enumerate(names)}, "'Unknown_' || CAST(x AS VARCHAR)")
+    return (f"coalesce(list_filter(list_transform({col}, lambda x, i: {ids}), lambda y: y IS NOT NULL), []::INTEGER[])",
+            f"coalesce(list_transform({col}, lambda x, i: CASE WHEN {place} % 11 = 0 THEN 'Homebrew' ELSE {name} END), []::VARCHAR[])")
+
+
 def _weights(col: str, weights: dict, default: float) -> str:
     m = {k: D(v) for k, v in weights.items()}
     body = _case_map("g", m, D(default))

@@ -48,6 +48,23 @@ ORACLES["reverse_translate"] = sql(f"""
 SELECT id, {joined(_back('genres', C.DIM_GENRES))} AS genre_ids_back,
   {joined(_back('platforms', C.DIM_PLATFORMS))} AS platform_ids_back FROM gtr""", "gtr")
 
+_MIXED_DIMS = [("genres", "genre_ids", C.DIM_GENRES), ("platforms", "platform_ids", C.DIM_PLATFORMS),
+               ("game_modes", "game_mode_ids", C.DIM_GAME_MODES), ("themes", "theme_ids", C.DIM_THEMES),
+               ("player_perspectives", "player_perspective_ids", C.DIM_PERSPECTIVES)]
+
+
+def _mixed_sql() -> str:
+    from .oracle import _mixed
+    cols = []
+    for names_col, ids_col, names in _MIXED_DIMS:
+        ids, found = _mixed(names_col, names)
+        cols += [f"{joined(ids)} AS {ids_col}", f"{joined(found)} AS {names_col}"]
+    return sql("SELECT id, " + ", ".join(cols) + " FROM games", "games")
+
+
+ORACLES["translate_mixed_map"] = _mixed_sql()
+ORACLES["translate_mixed_join"] = ORACLES["translate_mixed_map"]
+
 _REPEATS = sql(f"""
 SELECT id, CASE WHEN id % 7 <> 0 THEN id % 100 END AS key, {joined('genres')} AS names,
   {joined(_back('genres', C.DIM_GENRES))} AS back FROM gtr""", "gtr")
@@ -322,6 +339,18 @@ SELECT id, CAST(hypes AS VARCHAR) AS j_hypes, CAST(is_upcoming AS VARCHAR) AS j_
   {_json_strs('genres')} AS j_genres
 FROM gm WHERE id IN {_RECENT_IDS}""", "gm")
 
+def _crawl_mixed_sql() -> str:
+    from .oracle import _mixed
+    ids, names = _mixed("platforms", C.DIM_PLATFORMS)
+    return sql(f"""
+SELECT id, genre_count, {_json_strs('m_names')} AS j_platforms,
+  '[' || array_to_string(m_ids, ',') || ']' AS j_platform_ids
+FROM (SELECT id, {ids} AS m_ids, {names} AS m_names FROM games) JOIN (SELECT id, genre_count FROM gm) USING (id)
+WHERE id IN {_RECENT_IDS}""", "gm", "games")
+
+
+ORACLES["crawl_mixed"] = _crawl_mixed_sql()
+
 ORACLES["stream_roundtrip"] = sql(f"""
 SELECT id AS game_id, is_upcoming, {r6('community_sentiment_score')} AS community_sentiment_score,
   {r6('prediction_confidence')} AS prediction_confidence

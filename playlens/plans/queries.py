@@ -143,6 +143,31 @@ def translate_ids_join(spark, sf):
                                               strategy="join"))
 
 
+def _mixed(spark, sf, dims, strategy):
+    t = dims_op.translate_game(fx.mixed_games(raw_games(spark, sf)), dims, strategy)
+    return t.select("id", *[joined(c).alias(c) for pair in dims_op.TRANSLATED.values() for c in pair])
+
+
+@register
+def translate_mixed_map(spark, sf):
+    return _mixed(spark, sf, fx.dimension_maps(), "map")
+
+
+@register
+def translate_mixed_join(spark, sf):
+    return _mixed(spark, sf, fx.dimensions(spark), "join")
+
+
+@register
+def crawl_mixed(spark, sf):
+    """The crawl of games with mixed arrays: counts and list fields of the messages."""
+    m = jobs.crawl(fx.mixed_games(raw_games(spark, sf)), fx.dimension_maps(), AS_OF)
+    v = F.col("value")
+    return m.select(F.col("key").cast("int").alias("id"), F.get_json_object(v, "$.genre_count").cast("int").alias("genre_count"),
+                    F.get_json_object(v, "$.platforms").alias("j_platforms"),
+                    F.get_json_object(v, "$.platform_ids").alias("j_platform_ids"))
+
+
 def _repeating(spark, sf):
     """Id arrays under keys that repeat and are null for some, and a dimension
     that lists each id twice (the second name is later in order)."""

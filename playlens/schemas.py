@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType,
-                               LongType, StringType, StructField, StructType)
+                               LongType, StringType, StructField, StructType,
+                               VariantType)
 
 _I, _L, _D, _S, _B = IntegerType(), LongType(), DoubleType(), StringType(), BooleanType()
 _AI, _AS = ArrayType(IntegerType()), ArrayType(StringType())
@@ -28,6 +29,13 @@ RAW_GAME = _struct([
     ("first_release_date", _L),
 ] + [(a, _AI) for a in RAW_ID_ARRAYS])
 
+# Arrays whose elements some sources give as names instead of ids: read as
+# VARIANT, so that either survives the reader.
+RAW_NAMED_ARRAYS = ["genres", "platforms", "themes", "game_modes", "player_perspectives"]
+RAW_MIXED_GAME = _struct([
+    (f.name, ArrayType(VariantType()) if f.name in RAW_NAMED_ARRAYS else f.dataType)
+    for f in RAW_GAME.fields])
+
 # Game record on the message topic (translated names + crawler metrics).
 STREAM_GAME = _struct([
     ("id", _I), ("name", _S), ("rating", _D), ("rating_count", _I),

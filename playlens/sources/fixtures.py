@@ -199,6 +199,26 @@ def dimension_maps() -> dict[str, dict[int, str]]:
     return {k: dict(enumerate(v)) for k, v in DIMENSIONS.items()}
 
 
+#: In mixed arrays every so many elements are names; a name that no dimension has is written for some.
+MIXED_EVERY, MIXED_STRANGE_EVERY, MIXED_STRANGE = 2, 11, "Homebrew"
+
+
+def mixed_games(games: DataFrame) -> DataFrame:
+    """Games whose five dimension arrays mix ids and names (VARIANT): the element at place p of game i is the
+    name of its id if (i + p) % 2 = 0, or a name of no dimension if (i + p) % 11 = 0, and else the id."""
+    def text(kind, names):
+        table = F.array(*[F.lit(n) for n in names])
+
+        def one(x, p):
+            n = F.col("id") + p
+            name = F.when(n % MIXED_STRANGE_EVERY == 0, F.lit(MIXED_STRANGE)).when(n % MIXED_EVERY == 0, F.get(table, x))
+            return F.coalesce(F.concat(F.lit('"'), name, F.lit('"')), x.cast("string"))
+
+        return F.concat(F.lit("["), F.array_join(F.transform(F.col(kind), one), ","), F.lit("]"))
+
+    return games.withColumns({k: F.parse_json(text(k, v)).cast("array<variant>") for k, v in DIMENSIONS.items()})
+
+
 # envelope rule: a few ids carry undecodable messages (decode tests)
 ENVELOPE_BAD = {999: "not json", 998: ""}
 ENVELOPE_NULL_ID = 997
