@@ -25,6 +25,7 @@ from ..operators.ml import ModelRegistry, predict_all
 from ..operators.sentiment import sentiment_gate, with_community_sentiment
 from ..plans.enrichment import enrich_documents
 from ..sinks.documents import document, write_documents
+from ..sinks.snapshots import Snapshots
 from ..sources.stream import decode_ok, decoded, parse
 from .memo_state import with_anchors
 
@@ -36,7 +37,9 @@ SENTIMENT_COLS = ["community_sentiment_score", "community_sentiment_label",
                   "community_data_volume", "sentiment_source"]
 MEMO_VALUES = ("_memo_key string, _memo_at long, community_sentiment_score double,"
                " community_sentiment_label string, community_data_volume int,"
-               " sentiment_source string, batch_id long")
+               " sentiment_source string")
+#: Values are kept for so many TTLs behind the latest message; a row later than that computes its value anew.
+MEMO_KEPT_TTLS = 2
 
 
 def _read(source: Source) -> DataFrame:
@@ -80,44 +83,80 @@ def batch_writer(posts: Source, reviews: Source, sink_path: str,
     return process
 
 
+def _values(fresh: DataFrame) -> DataFrame:
+    # dealt by key: adaptive execution then writes few files, whatever the joins before left
+    return fresh.select("_memo_key", "_memo_at", *SENTIMENT_COLS).repartition("_memo_key")
+
+
+def _kept_values(store: Snapshots, before: dict, new: dict, latest: int, ttl: int, version: int) -> dict:
+    """The state after a batch: parts past their time go, and many become one."""
+    bound = latest - MEMO_KEPT_TTLS * ttl
+    every = [*before["parts"], new]
+    parts = [p for p in every if p["high"] >= bound]
+    if len(parts) > store.most:
+        rows = store.read(parts, MEMO_VALUES).where(F.col("_memo_at") >= bound)
+        parts = [store.write_part(rows.repartition("_memo_key"), f"merged-{version}", high=max(p["high"] for p in parts))]
+    # anchors before this time may be missing from now on
+    return {"parts": parts, "latest": latest, "gone_before": max(before.get("gone_before", bound), bound)}
+
+
 def memo_writer(posts: Source, reviews: Source, sink_path: str, values_path: str,
                 registry: ModelRegistry | None = None,
                 as_of_fn: Callable[[int], int] | None = None,
                 clock: Callable[[], float] = time.time,
-                posts_as_of: str | None = ENVELOPE_TIME):
+                posts_as_of: str | None = ENVELOPE_TIME,
+                ttl: int = C.MEMO_TTL_SECONDS):
     """``foreachBatch`` callback for batches with memo anchors.
 
-    Only rows that compute a value read the sources, as they are at that batch;
-    the values are kept under ``values_path`` (a partition for each batch, so a
-    replay rewrites its own) and rows of later batches take them from there.
+    Only rows that compute a value read the sources, as they are at that batch.
+    The values are kept under ``values_path`` as a few folders that a version
+    names (``snapshots``): folders past ``MEMO_KEPT_TTLS`` TTLs are dropped,
+    those too young for a batch's rows are not read, and a replayed batch starts
+    from the version before its own.  Rows outside the sentiment gate take no
+    part in any join.
     """
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
         now = clock()
         as_of = as_of_fn(batch_id) if as_of_fn else int(now)
         models = registry.get(now) if registry else {}
+        store = Snapshots(batch_df.sparkSession, values_path)
+        before = store.state(batch_id - 1)
         games = batch_df.persist()
         try:
-            fresh = with_community_sentiment(games.where("_memo_new"), _read(posts), _read(reviews),
-                                             restrict_sources=True,
-                                             posts_as_of=_window_end(games, posts_as_of))
-            (fresh.select("_memo_key", "_memo_at", *SENTIMENT_COLS, F.lit(batch_id).cast("long").alias("batch_id"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(values_path))
-            oldest = games.agg(F.min("_memo_at")).scalar()
-            values = (batch_df.sparkSession.read.schema(MEMO_VALUES).parquet(values_path)
-                      .where((F.col("batch_id") <= batch_id) & (F.col("_memo_at") >= oldest)).drop("batch_id"))
-            gated = F.col("_memo_key").isNotNull()
-            g = games.join(values, ["_memo_key", "_memo_at"], "left").withColumns({
-                "community_sentiment_score": F.when(gated, F.col("community_sentiment_score")).otherwise(F.lit(C.NEUTRAL_SCORE)),
-                "community_sentiment_label": F.when(gated, F.col("community_sentiment_label")).otherwise(F.lit(C.NEUTRAL_LABEL)),
+            window = _window_end(games, posts_as_of)
+
+            def scored(rows: DataFrame) -> DataFrame:
+                return with_community_sentiment(rows, _read(posts), _read(reviews), restrict_sources=True,
+                                                posts_as_of=window)
+
+            gated = games.where(F.col("_memo_key").isNotNull())
+            low, newest, latest = gated.agg(F.min("_memo_at"), F.max(F.when(F.col("_memo_new"), F.col("_memo_at"))),
+                                            F.max("_memo_t")).first()
+            new = store.write_part(_values(scored(games.where("_memo_new"))), f"batch-{batch_id}",
+                                   high=newest if newest is not None else -1)
+            parts = [p for p in [*before["parts"], new] if low is not None and p["high"] >= low]
+            values = store.read(parts, MEMO_VALUES).where(F.col("_memo_at") >= (low or 0)).withColumn("_found", F.lit(True))
+            valued = gated.join(values, ["_memo_key", "_memo_at"], "left")
+            if low is not None and low < before.get("gone_before", low):
+                # values of late rows are gone: each computes its own
+                late = scored(valued.where("_found is null").drop("_found", *SENTIMENT_COLS))
+                valued = valued.where("_found").drop("_found").unionByName(late.select(*valued.drop("_found").columns))
+            rest = games.where(F.col("_memo_key").isNull()).withColumns({
+                "community_sentiment_score": F.lit(C.NEUTRAL_SCORE),
+                "community_sentiment_label": F.lit(C.NEUTRAL_LABEL),
+                "community_data_volume": F.lit(None).cast("int"),
+                "sentiment_source": F.lit(None).cast("string"),
             })
+            g = valued.drop("_found").unionByName(rest)
             g = predict_all(g.drop("_memo_key", "_memo_t", "_memo_ts", "_memo_at", "_memo_new"), models)
             g = g.withColumns({
                 "predicted_success_score": S.success_score("predicted_success_class"),
                 "prediction_confidence": S.prediction_confidence("community_data_volume"),
             })
             write_documents(document(g, batch_id, as_of), sink_path, load_id=_load_id(batch_df))
+            latest = max(x for x in (latest, before.get("latest"), -1) if x is not None)
+            store.commit(batch_id, _kept_values(store, before, new, latest, ttl, batch_id))
         finally:
             games.unpersist()
 
@@ -167,7 +206,7 @@ def start_enrichment(envelope: DataFrame, posts: Source, reviews: Source,
     if memo_ttl:
         w = (memo_anchors(parsed, memo_ttl, memo_watermark).writeStream
              .foreachBatch(memo_writer(posts, reviews, sink_path, f"{checkpoint}/memo_values",
-                                       registry, as_of_fn, posts_as_of=posts_as_of)))
+                                       registry, as_of_fn, posts_as_of=posts_as_of, ttl=memo_ttl)))
     else:
         w = parsed.writeStream.foreachBatch(
             batch_writer(posts, reviews, sink_path, registry, as_of_fn,
