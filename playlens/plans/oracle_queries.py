@@ -265,6 +265,16 @@ ORACLES["history_scan"] = sql(
                           else (f"{joined(c)} AS {c}" if c in _HIST_ARR else c)
                           for c in _HIST_COLS) + " FROM history", "history")
 
+# the stream's documents where they are newest, else those of a bulk load, which has no sentiment (filled by 50)
+CTES["bulk_history"] = (CTES["history"][0].replace(
+    f"coalesce(community_sentiment_score, {D(50.0)})", D(50.0)).replace("FROM scored", "FROM gm"), ["gm"])
+ORACLES["history_newest"] = sql(
+    "SELECT " + ", ".join(f"{r6(c)} AS {c}" if c in _HIST_ROUNDED
+                          else (f"{joined(c)} AS {c}" if c in _HIST_ARR else c)
+                          for c in _HIST_COLS)
+    + " FROM (SELECT * FROM history WHERE game_id % 3 > 0 AND game_id % 4 > 0"
+      " UNION ALL SELECT * FROM bulk_history WHERE NOT (game_id % 3 > 0 AND game_id % 4 > 0))", "history", "bulk_history")
+
 _BULK_ARRAYS = ["franchises", "genre_ids", "platform_ids", "theme_ids", "game_mode_ids",
                 "player_perspective_ids", "involved_companies", "screenshots", "videos", "artworks",
                 "websites", "similar_games", "expansions", "bundles"]

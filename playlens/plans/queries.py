@@ -29,6 +29,7 @@ from ..operators.memo import ttl_memo
 from ..schemas import HISTORY, conform
 from ..session import pin_semantics, shared_dir
 from ..sinks import documents as docs_op
+from ..sinks import history as hist_op
 from ..sources import fixtures as fx
 from ..sources import stream as st
 from ..sources.tables import read_table
@@ -416,18 +417,20 @@ def doc_keys(spark, sf):
 
 
 def history_of(spark, sf):
-    """History as read back from the document store: conformed + filled."""
+    """History as training reads it: conformed + filled."""
     h = conform(documents_of(spark, sf), HISTORY)
     return h.na.fill(C.HISTORY_FILLS)
 
 
-HIST_ROUNDED = ["rating", "total_rating", "aggregated_rating", "hype_score",
-                "longevity_score", "community_sentiment_score"]
+def _stored(spark, sf, *loads):
+    """Loads of documents folded into a stored history, one after the other; the newest of each game."""
+    path = shared_dir(spark, f"history/{uuid.uuid4().hex}")
+    for version, docs in enumerate(loads):
+        hist_op.fold_documents(docs, path, version)
+    return hist_op.read_newest(spark, path)
 
 
-@register
-def history_scan(spark, sf):
-    h = history_of(spark, sf)
+def _history_row(h):
     cols = []
     for f in HISTORY.fields:
         if f.name in HIST_ROUNDED:
@@ -439,6 +442,29 @@ def history_scan(spark, sf):
     return h.select(*cols)
 
 
+HIST_ROUNDED = ["rating", "total_rating", "aggregated_rating", "hype_score",
+                "longevity_score", "community_sentiment_score"]
+
+
+@register
+def history_scan(spark, sf):
+    """The stored history after a bulk load a day ago and the stream's documents since: the stream's are newer."""
+    bulk = enrich.bulk_document(raw_games(spark, sf), fx.dimension_maps(), AS_OF - 86400)
+    return _history_row(_stored(spark, sf, bulk, documents_of(spark, sf)))
+
+
+@register
+def history_newest(spark, sf):
+    """The stored history of three loads: a bulk load, the stream's documents of two games in three since,
+    and a later bulk load of every fourth game."""
+    def bulk(games, at):
+        return enrich.bulk_document(games, fx.dimension_maps(), AS_OF).withColumn("processed_timestamp", F.lit(at).cast("long"))
+
+    g = raw_games(spark, sf)
+    return _history_row(_stored(spark, sf, bulk(g, AS_OF - 1), documents_of(spark, sf).where("game_id % 3 > 0"),
+                                bulk(g.where("id % 4 = 0"), AS_OF + 1)))
+
+
 @register
 def bulk_metrics(spark, sf):
     d = enrich.bulk_document(raw_games(spark, sf), fx.dimension_maps(), AS_OF)
