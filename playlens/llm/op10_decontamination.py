@@ -4,9 +4,9 @@ Test items and documents are token sequences (ASCII letters in lower case,
 punctuation parts tokens). A fixed mask lays over ``8`` neighbouring tokens and
 ignores two of them, so a hash survives substitutions at ignored places. Hashes
 of the documents that equal a test hash give an alignment of document and item;
-along it, ``WINDOW`` consecutive tokens with at least ``SHARE`` of them equal
-verify the overlap. For the two masks below every window with so few
-substitutions has a hit (checked for all pairs of places in the tests).
+along it and around the hit, ``WINDOW`` consecutive tokens with at least
+``SHARE`` of them equal verify the overlap. For the two masks below every window
+with so few substitutions has a hit (checked for all pairs of places in the tests).
 
 The test hashes are the stated query set: blocks of ``BLOCK`` hashes at most
 are broadcast and each block meets all documents where they lie, with no
@@ -16,7 +16,8 @@ Edge cases: null or empty texts and items have no tokens and no overlap; an
 item shorter than the window is compared whole, and found by its longest run
 that must be free of substitutions; items that repeat are reported each, rows
 that repeat too; null ids pass through; empty tables give an empty result;
-other columns pass through ``drop_contaminated``.
+other columns pass through ``drop_contaminated``; very long texts, also of one
+token over and over, are worked on ``PAIRS`` pairs at a time.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ WINDOW, SHARE = 13, 0.8
 #: Fixed masks; 1 is compared, 0 ignored.
 MASKS = ("11101011", "11001111")
 BLOCK = 1 << 20
+#: Pairs of a document place and an item that are verified at a time.
+PAIRS = 1 << 16
 _SIEVE_BITS = 22
 
 
@@ -69,36 +72,116 @@ def _masks(length: int, window: int, share: float) -> tuple[str, ...]:
 
 
 class Block:
-    """Seeds of some test items, sorted by hash, with the items' tokens."""
+    """Seeds of some test items, grouped by hash and item, with the items' tokens."""
 
     def __init__(self, items: list[tuple[int | None, np.ndarray]], window: int, share: float):
         self.ids = [i for i, _ in items]
-        self.words = [w for _, w in items]
+        self.words = np.concatenate([w for _, w in items])
+        self.edge = np.concatenate([[0], np.cumsum([len(w) for _, w in items])])
+        self.width, self.need = (np.array(x) for x in zip(*(_window(len(w), window, share) for _, w in items), strict=True))
         self.by_mask: dict[str, tuple] = {}
         found: dict[str, list] = {}
-        for n, words in enumerate(self.words):
+        for n, (_, words) in enumerate(items):
             for mask in _masks(len(words), window, share):
                 h = seeds(words, mask)
-                found.setdefault(mask, []).append((h, np.full(len(h), n, np.int32), np.arange(len(h), dtype=np.int32)))
+                found.setdefault(mask, []).append((h, np.full(len(h), n), self.edge[n] + np.arange(len(h))))
         for mask, parts in found.items():
             h, item, place = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.argsort(h, kind="stable")
+            order = np.argsort(h, kind="stable")             # the entries of a hash stay in the order of items and places
+            h, item = h[order], item[order]
+            new = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (item[1:] != item[:-1]))[: len(h)])
             sieve = np.zeros(1 << _SIEVE_BITS, bool)
             sieve[h >> np.uint64(64 - _SIEVE_BITS)] = True
-            self.by_mask[mask] = (h[order], item[order], place[order], sieve)
-
-    def hits(self, words: np.ndarray, row: np.ndarray) -> np.ndarray:
-        """Distinct (row, item, document token minus item token) of equal seeds."""
-        out = [np.zeros((0, 3), np.int64)]
-        for mask, (hashes, item, place, sieve) in self.by_mask.items():
-            h = seeds(words, mask)
-            at = np.flatnonzero(sieve[h >> np.uint64(64 - _SIEVE_BITS)])
-            at = at[row[at] == row[at + len(mask) - 1]]
-            lo, hi = np.searchsorted(hashes, h[at]), np.searchsorted(hashes, h[at], "right")
-            which, entry = C.within(lo, hi - 1)
-            at = at[which]
-            out.append(np.stack([row[at], item[entry], at - place[entry]], axis=1))
-        return np.unique(np.concatenate(out), axis=0)
+            self.by_mask[mask] = (h[new], item[new], new, np.diff(np.append(new, len(h))), place[order], sieve)
+
+    def meets(self, words: np.ndarray, row: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Document places whose seed is an item's, with the range of groups (hash, item) of that hash."""
+        hashes, *_, sieve = self.by_mask[mask]
+        h = seeds(words, mask)
+        at = np.flatnonzero(sieve[h >> np.uint64(64 - _SIEVE_BITS)])
+        at = at[row[at] == row[at + len(mask) - 1]]
+        lo, hi = np.searchsorted(hashes, h[at]), np.searchsorted(hashes, h[at], "right")
+        return at[hi > lo], lo[hi > lo], hi[hi > lo]
+
+    def verify(self, words, at, place, item, begin, end, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys (item, token) in good windows that hold a hit, and of the equal tokens among them.
+
+        Seeds of ``size`` tokens are equal at ``at`` in the document, which has
+        the tokens from ``begin`` to ``end``, and at ``place`` in the item.
+        """
+        cover, same = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        widths = self.width[item]
+        for width in np.unique(widths).tolist():
+            p, q, i, lo, hi = (x[widths == width][:, None] for x in (at, place, item, begin, end))
+            near = np.arange(size - width, width)            # what a window that holds the hit may reach
+            inside = (p + near >= lo) & (p + near < hi) & (q + near >= self.edge[i]) & (q + near < self.edge[i + 1])
+            equal = inside & (words[np.where(inside, p + near, 0)] == self.words[np.where(inside, q + near, 0)])
+
+            def sums(x, width=width):
+                total = np.cumsum(np.pad(x, ((0, 0), (1, 0))), axis=1)
+                return total[:, width:] - total[:, :-width]
+
+            good = (sums(equal) >= self.need[i]) & (sums(inside) == width)
+            some = good.any(axis=1)
+            starts = np.cumsum(np.pad(good[some], ((0, 0), (1, 0))), axis=1)
+            column = np.arange(len(near))
+            held = starts[:, np.minimum(column + 1, good.shape[1])] > starts[:, np.maximum(0, column - width + 1)]
+            keys = i[some] * len(words) + p[some] + near
+            cover.append(keys[held])
+            same.append(keys[held & equal[some]])
+        return np.unique(np.concatenate(cover)), np.unique(np.concatenate(same))
+
+    def found(self, words: np.ndarray, row: np.ndarray, edge: np.ndarray) -> dict[tuple[int, int], list[int]]:
+        """(row, item) -> [tokens in good windows, equal ones, first, last], for rows with tokens edge[r]..edge[r + 1].
+
+        A hit is passed over where all that its windows could reach is known
+        to be covered and equal, so repetitive texts do not cost every pair of
+        places; ``PAIRS`` places and items are held at a time.
+        """
+        out: dict[tuple[int, int], list[int]] = {}
+        n = len(words)
+        met = {mask: self.meets(words, row, mask) for mask in self.by_mask}
+        load = np.zeros(n, np.int64)
+        for at, lo, hi in met.values():
+            load[at] += hi - lo
+        total = np.cumsum(load)
+        if not n or not total[-1]:
+            return out
+        cuts = np.unique(np.searchsorted(total, np.arange(0, total[-1], PAIRS)))
+        cover = same = np.zeros(0, np.int64)
+        for a, b in zip(cuts, np.append(cuts[1:], n), strict=True):
+            for mask, (at, lo, hi) in met.items():
+                _, items, first, count, place, _ = self.by_mask[mask]
+                i, j = np.searchsorted(at, [a, b])
+                which, group = C.within(lo[i:j], hi[i:j] - 1)
+                p, turn, size = at[i:j][which], 0, len(mask)
+                while len(p):                                # the next entry of each group, where one is still of use
+                    item, r = items[group], row[p]
+                    left = item * n + np.maximum(edge[r], p + size - self.width[item])
+                    right = item * n + np.minimum(edge[r + 1], p + self.width[item])
+                    use = (turn < count[group]) & (np.searchsorted(same, right) - np.searchsorted(same, left) < right - left)
+                    p, group, item, r = p[use], group[use], item[use], r[use]
+                    more, equal = self.verify(words, p, place[first[group] + turn], item, edge[r], edge[r + 1], size)
+                    if len(more):
+                        cover, same = np.union1d(cover, more), np.union1d(same, equal)
+                    turn += 1
+            # later hits do not reach further back than a window
+            bound = n if b == n else b - self.width.max()
+            done, equal = cover[cover % n < bound], same[same % n < bound]
+            cover, same = cover[cover % n >= bound], same[same % n >= bound]
+            rows = len(edge)
+            pair, at, counts = np.unique(done // n * rows + row[done % n], return_index=True, return_counts=True)
+            equals = np.zeros(len(pair), np.int64)
+            which, k = np.unique(equal // n * rows + row[equal % n], return_counts=True)
+            equals[np.searchsorted(pair, which)] = k
+            ends = zip(pair.tolist(), counts.tolist(), equals.tolist(), (done[at] % n).tolist(),
+                       (done[at + counts - 1] % n).tolist(), strict=True)
+            for key, covered, alike, head, last in ends:
+                held = out.setdefault((key % rows, key // rows), [0, 0, head, last])
+                held[0] += covered
+                held[1] += alike
+                held[3] = last
+        return out
 
 
 def blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, share: float, size: int = BLOCK) -> Iterator[Block]:
@@ -118,28 +201,13 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, share:
         yield Block(held, window, share)
 
 
-def overlaps(block: Block, texts: pa.Array, window: int, share: float) -> Iterator[tuple]:
+def overlaps(block: Block, texts: pa.Array) -> Iterator[tuple]:
     """(row, item, tokens in verified windows, equal tokens, first token, last token) of each overlap."""
     for first_row, data, at in C.text_slices(texts):
         words, row = tokens(data, at)
         edge = np.searchsorted(row, np.arange(len(at)))
-        found: dict[tuple[int, int], list] = {}
-        for r, item, shift in block.hits(words, row).tolist():
-            lo, hi = edge[r], edge[r + 1]
-            other = block.words[item]
-            width, need = _window(len(other), window, share)
-            a, b = max(lo, shift), min(hi, shift + len(other))
-            if b - a < width:
-                continue
-            equal = words[a:b] == other[a - shift: b - shift]
-            sums = np.concatenate([[0], np.cumsum(equal)])
-            good = np.flatnonzero(sums[width:] - sums[:-width] >= need)
-            if len(good):
-                inside = C.covered(good, width, len(equal))
-                found.setdefault((r, item), []).append((a - lo + np.flatnonzero(inside), a - lo + np.flatnonzero(inside & equal)))
-        for (r, item), parts in found.items():
-            places, same = (np.unique(np.concatenate(x)) for x in zip(*parts, strict=True))
-            yield first_row + r, block.ids[item], len(places), len(same), int(places[0]), int(places[-1])
+        for (r, item), (covered, equal, first, last) in block.found(words, row, edge).items():
+            yield first_row + r, block.ids[item], covered, equal, first - int(edge[r]), last - int(edge[r])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -155,7 +223,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
         def run(batches, shared=shared):
             for batch in batches:
-                rows = list(overlaps(shared.value, batch.column(1), window, share))
+                rows = list(overlaps(shared.value, batch.column(1)))
                 if rows:
                     row, *rest = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays(
@@ -175,7 +243,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
         def run(batches, shared=shared):
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
-                clean[[x[0] for x in overlaps(shared.value, batch.column(place), window, share)]] = False
+                clean[[x[0] for x in overlaps(shared.value, batch.column(place))]] = False
                 yield batch.filter(pa.array(clean))
 
         docs = docs.mapInArrow(run, docs.schema)

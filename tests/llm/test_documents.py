@@ -4,10 +4,13 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -252,6 +255,33 @@ def test_masks_find_every_window_with_allowed_substitutions():
             assert any(all(s + k not in lost for k in range(len(mask))) for s in range(width - len(mask) + 1))
 
 
+def block_of(items):
+    held = []
+    for i, text in items:
+        data = np.frombuffer(text.encode(), np.uint8)
+        held.append((i, leaks.tokens(data, np.array([0, len(data)]))[0]))
+    return leaks.Block(held, leaks.WINDOW, leaks.SHARE)
+
+
+@pytest.mark.parametrize("pairs", [1, 7, leaks.PAIRS])
+def test_repetitive_texts_match_brute_force(monkeypatch, pairs):
+    monkeypatch.setattr(leaks, "PAIRS", pairs)
+    r = random.Random(pairs)
+    for words in ("a", "ab", "abc"):
+        items = [(k, " ".join(r.choice(words) for _ in range(n))) for k, n in enumerate([3, 9, 13, 20, 40])]
+        docs = [(k, " ".join(r.choice(words + "z") for _ in range(n)) + " q " + items[k % 5][1]) for k, n in enumerate([0, 5, 13, 40, 60])]
+        got = Counter((docs[row][0], *x) for row, *x in leaks.overlaps(block_of(items), pa.array([t for _, t in docs])))
+        assert got == leaks_by_force(docs, items)
+
+
+def test_a_megabyte_of_one_token():
+    tracemalloc.start()
+    found = list(leaks.overlaps(block_of([(1, "a " * 300)]), pa.array(["a " * 500_000])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(0, 1, 500_000, 500_000, 0, 499_999)] and most < 300e6
+
+
 def test_decontamination_of_empty_tables(spark, frame):
     nothing = spark.createDataFrame([], "item_id long, text string")
     assert leaks.contaminated(frame([(1, "a")]), nothing).count() == 0
