@@ -3,8 +3,11 @@
 Each text is measured by itself. A document fails if a base rule fails (few
 words, or many words in repeated passages) or if its symbols or repeated lines
 exceed their share. Failures are summed by host; the hosts' rates give a beta
-prior by their mean and variance (moments), each host's rate is shrunk to
-it, and a host whose shrunk rate exceeds ``HOST_LIMIT`` loses all documents.
+prior by their mean and variance (moments) and each host's rate is shrunk to it.
+The prior counts as ``PRIOR_MOST`` documents at most, however many hosts agree,
+so that it speaks for small hosts and not against what a large one shows. A host
+loses all documents if the lower bound of its posterior (``SURE`` standard
+deviations below the shrunk rate) exceeds ``HOST_LIMIT``.
 
 Edge cases: a null text has no words and fails the base rules; a document
 without a host is judged by itself; with no documents, or hosts that are all
@@ -23,7 +26,9 @@ MIN_WORDS, REPEAT_PERCENT, SPAN = 20, 30, 8
 SYMBOL_PERCENT, LINE_PERCENT = 50, 50
 HOST_LIMIT = 0.8
 #: Weight of the prior, in documents, when the hosts' rates hardly vary; and at the least.
-PRIOR_MOST, PRIOR_LEAST = 1000.0, 2.0
+PRIOR_MOST, PRIOR_LEAST = 20.0, 2.0
+#: Standard deviations of the posterior that a host must be above the limit by: one tail of 5 %.
+SURE = 1.645
 #: Failing hosts that are sent to every task.
 HOSTS_SENT = 50_000
 SPACE, WORD, SYMBOLS = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]", r"[#*$%&|<>]"
@@ -99,10 +104,10 @@ def host_verdicts(rows: DataFrame) -> DataFrame:
     mean, var = F.col("p.mean"), F.col("p.var")
     weight = F.when(var > 0, F.least(F.greatest(mean * (1 - mean) / var - 1, F.lit(PRIOR_LEAST)), F.lit(PRIOR_MOST)))
     prior = total.select(F.struct(mean.alias("mean"), F.coalesce(weight, F.lit(PRIOR_MOST)).alias("weight"))).scalar()
+    counted, rate = F.col("n_docs") + F.col("prior.weight"), F.col("rate")
     return (hosts.withColumn("prior", prior)
-            .withColumn("rate", (F.col("n_failed") + F.col("prior.mean") * F.col("prior.weight"))
-                        / (F.col("n_docs") + F.col("prior.weight")))
-            .withColumn("host_ok", F.col("rate") <= HOST_LIMIT).drop("prior"))
+            .withColumn("rate", (F.col("n_failed") + F.col("prior.mean") * F.col("prior.weight")) / counted)
+            .withColumn("host_ok", rate - SURE * F.sqrt(rate * (1 - rate) / (counted + 1)) <= HOST_LIMIT).drop("prior"))
 
 
 def _with_verdicts(rows: DataFrame, hosts: DataFrame) -> DataFrame:
@@ -169,10 +174,10 @@ p0 as (
   select sum(n_failed) / sum(n_docs) as mean,
          sum(n_failed * n_failed / n_docs) / sum(n_docs) - (sum(n_failed) / sum(n_docs)) ** 2 as var from h),
 p as (
-  select mean, case when var > 0 then least(greatest(mean * (1 - mean) / var - 1, {PRIOR_LEAST}), {PRIOR_MOST})
-                    else {PRIOR_MOST} end as weight from p0),
+  select mean, case when var > 0 then least(greatest(mean * (1 - mean) / var - 1, 2.0), 20.0) else 20.0 end as weight from p0),
 v as (
-  select host, (n_failed + (select mean * weight from p)) / (n_docs + (select weight from p)) <= {HOST_LIMIT} as ok from h)
+  select host, rate - 1.645 * sqrt(rate * (1 - rate) / (counted + 1)) <= 0.8 as ok from (
+    select host, n_docs + weight as counted, (n_failed + mean * weight) / (n_docs + weight) as rate from h, p))
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not base_failed and coalesce(ok, true) as kept
 from f left join v on f.host = v.host

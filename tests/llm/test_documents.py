@@ -192,6 +192,23 @@ def test_rules_match_sql_on_edge_texts(spark):
     assert rules.quality_rules(docs.limit(0)).count() == 0 == rules.keep_good(docs.limit(0)).count()
 
 
+@pytest.mark.parametrize("clean", [0, 20, 2_000, 10_000])
+def test_host_verdict_does_not_depend_on_how_many_hosts_are_clean(spark, clean):
+    def host(name, n, failed):
+        return spark.range(n).select(F.lit(name).alias("host"), (F.col("id") < failed).alias("failed"))
+
+    # the clean hosts have 500 documents each and fail at 13 %
+    rows = spark.range(clean * 500).select(F.concat(F.lit("clean"), (F.col("id") % clean if clean else F.col("id")).cast("string")).alias("host"),
+                                           (F.floor(F.col("id") / max(clean, 1)) < 65).alias("failed"))
+    for x in [host("most", 500, 450), host("all", 100, 100), host("few", 3, 3), host("half", 500, 250)]:
+        rows = rows.union(x)
+    got = {r.host: r.host_ok for r in rules.host_verdicts(rows).where("not host like 'clean%' or not host_ok").collect()}
+    if clean:
+        assert got == {"most": False, "all": False, "few": True, "half": True}
+    else:
+        assert not got["most"] and not got["all"] and got["half"]
+
+
 def test_rules_run_no_python(spark, sf_dir):
     plan = rules.keep_good(C.read_documents(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
