@@ -12,11 +12,16 @@ matrix in the max-plus sense, which is associative); the matrices of a
 conversation give the states at the block edges, and each block is then decoded
 between its edges. The result is the Viterbi path of the whole conversation: a
 turn may go on over block edges, and its pieces are put together afterwards.
-``parse`` can also be told that each block begins a turn (``block_heads``).
+Blocks are cut by the message's number in its conversation (turn, then text;
+null turns last), so a block is bounded whatever turns repeat or are missing.
+
+A transcript may be an excerpt: it can begin with any role (``EXCERPTS``), so
+that a marker on its first line decides.
 
 Edge cases: a null text is one empty line; a null turn comes last; messages
-without a conversation id are a transcript each; repeated rows are repeated
-messages; an unknown role does not train; an empty table gives an empty
+without a conversation id are a transcript each, repeated ones too; repeated
+rows of a conversation are repeated messages; equal best paths take the first
+role of ``ROLES``; an unknown role does not train; an empty table gives an empty
 result; other columns are not read.
 """
 
@@ -40,6 +45,8 @@ MARKER_NAMES = {
 #: Line lengths at which the next class begins.
 LENGTHS = (1, 40, 80, 160, 320, 640, 1280)
 BLOCK = 128
+#: Share of transcripts that may begin with each role, beside those counted.
+EXCERPTS = 0.01
 STATES = [(role, first) for role in ROLES for first in (True, False)]
 _FIRST = np.array([first for _, first in STATES])
 
@@ -60,7 +67,8 @@ class Model:
 
     def __init__(self, start, step, marks, lengths):
         log = lambda x: np.log(x / x.sum(axis=-1, keepdims=True))
-        self.start = log(np.asarray(start, float) + 1e-3)
+        start = np.asarray(start, float)
+        self.start = log(start + EXCERPTS * start.sum() + 1e-3)
         self.step = log(np.asarray(step, float) + 1e-3)
         self.marks = log(np.asarray(marks, float) + 1e-3)
         self.lengths = log(np.asarray(lengths, float) + 1e-3)
@@ -78,16 +86,16 @@ class Model:
             out[i] = self.marks[:, mark] + self.lengths[:, length_class(lines[i])]
         return out
 
-    def reduce(self, shown: np.ndarray, head: bool = False) -> np.ndarray:
-        """Best score from the state before the block to the state of its last line; ``head``: it begins a turn."""
-        m = self.step + (np.where(_FIRST, shown[0], -np.inf) if head else shown[0])
+    def reduce(self, shown: np.ndarray) -> np.ndarray:
+        """Best score from the state before the block to the state of its last line."""
+        m = self.step + shown[0]
         for e in shown[1:]:
             m = (m[:, :, None] + self.step[None]).max(axis=1) + e
         return m
 
-    def decode(self, shown: np.ndarray, before: int, last: int, head: bool = False) -> list[int]:
+    def decode(self, shown: np.ndarray, before: int, last: int) -> list[int]:
         """The best states of the lines from the state before them (-1: the start) to the last state."""
-        v = (self.start if before < 0 else self.step[before]) + (np.where(_FIRST, shown[0], -np.inf) if head else shown[0])
+        v = (self.start if before < 0 else self.step[before]) + shown[0]
         back = []
         for e in shown[1:]:
             ways = v[:, None] + self.step
@@ -183,25 +191,40 @@ def render(role: str, text: str) -> str:
 
 #: Blocks whose last turn heads are searched by one task.
 SLICE = 256
-_TALK = ["talk", "lone"]
-_PIECE = "talk long, lone boolean, block long, at int, open boolean, turn long, line int, role string, text string"
+#: A block's order is the one of its turns (as far as ``_MOST`` either way, null turns after) and, in so many bits, of its part.
+_MOST, _PARTS = 1 << 37, 24
+_TALK = ["talk", "copies"]
+_PIECE = "talk long, copies long, block long, at int, open boolean, turn long, line int, role string, text string"
+
+
+def _rows(messages: DataFrame) -> DataFrame:
+    """talk, copies, turn, text: no copies in a conversation; equal lone messages are one talk, with their count."""
+    message = [F.col("turn").cast("long").alias("turn"), "text"]
+    named = messages.where("conv_id is not null").select(F.col("conv_id").cast("long").alias("talk"),
+                                                         F.lit(0).cast("long").alias("copies"), *message)
+    # numbered after they are written, so that a lost executor cannot change the numbers
+    lone = C.cut(messages.where("conv_id is null").select(*message).groupBy("turn", "text").agg(F.count("*").alias("copies")))
+    return named.union(lone.select(F.monotonically_increasing_id(), "copies", "turn", "text"))
+
+
+def _blocks(messages: DataFrame) -> DataFrame:
+    """talk, copies, block (their order) and the messages, sorted: ``BLOCK`` at most."""
+    turns = F.greatest(F.least(F.floor(F.col("turn") / BLOCK), F.lit(_MOST - 1)), F.lit(-_MOST))
+    near = _rows(messages).withColumn("turns", F.when(F.col("turn").isNull(), _MOST).otherwise(turns))
+    order = Window.partitionBy(*_TALK, "turns").orderBy("turn", "text")
+    block = F.shiftleft("turns", _PARTS) + F.floor((F.row_number().over(order) - 1) / BLOCK)
+    return (near.withColumn("block", block).groupBy(*_TALK, "turns", "block")
+            .agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("messages")).drop("turns"))
 
 
-def parse(messages: DataFrame, model: Model, block_heads: bool = True) -> DataFrame:
+def parse(messages: DataFrame, model: Model) -> DataFrame:
     """conv_id, turn and line (where the turn begins), role, text, rendered; one row for each recovered turn.
 
     ``messages`` has conv_id, turn and text (with or without a speaker marker).
-    With ``block_heads`` each block begins a turn; without, the path is that of
-    the whole conversation, whatever the blocks.
     """
     shared = messages.sparkSession.sparkContext.broadcast(model)
-    lone = F.col("conv_id").isNull()
-    talk = F.when(lone, F.xxhash64("turn", "text")).otherwise(F.col("conv_id"))
-    block = F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit((1 << 62)))
-    message = F.struct(F.col("turn").isNull().alias("late"), "turn", "text")
     key = [*_TALK, "block"]
-    blocks = C.cut(messages.select(talk.cast("long").alias("talk"), lone.alias("lone"), "turn", "text", block.alias("block"))
-                   .groupBy(*key).agg(F.sort_array(F.collect_list(message)).alias("messages")))
+    blocks = C.cut(_blocks(messages))
 
     def reduced(batches):
         model = shared.value
@@ -209,7 +232,7 @@ def parse(messages: DataFrame, model: Model, block_heads: bool = True) -> DataFr
             first, rest = [], []
             for messages in batch.column("messages"):
                 shown = model.shown(_lines(messages.as_py())[0])
-                rest.append(model.reduce(shown, block_heads).tobytes())
+                rest.append(model.reduce(shown).tobytes())
                 v = model.start + shown[0]
                 for e in shown[1:]:
                     v = (v[:, None] + model.step).max(axis=0) + e
@@ -218,35 +241,35 @@ def parse(messages: DataFrame, model: Model, block_heads: bool = True) -> DataFr
                                               pa.array(first, pa.binary()), pa.array(rest, pa.binary())],
                                              names=[*key, "first", "rest"])
 
-    scores = blocks.mapInArrow(reduced, "talk long, lone boolean, block long, first binary, rest binary")
+    scores = blocks.mapInArrow(reduced, "talk long, copies long, block long, first binary, rest binary")
     chains = scores.groupBy(*_TALK).agg(F.sort_array(F.collect_list(F.struct("block", "first", "rest"))).alias("chain"))
 
     def linked(batches):
         model = shared.value
         for batch in batches:
             out = {k: [] for k in (*key, "before", "last", "final")}
-            for talk, lone, chain in zip(*(batch.column(c).to_pylist() for c in (*_TALK, "chain")), strict=True):
+            for talk, copies, chain in zip(*(batch.column(c).to_pylist() for c in (*_TALK, "chain")), strict=True):
                 n = len(STATES)
                 path = model.edges(np.frombuffer(chain[0]["first"]), [np.frombuffer(x["rest"]).reshape(n, n) for x in chain[1:]])
                 for x, before, last in zip(chain, [-1, *path], path):  # noqa: B905
-                    for k, v in zip(out, (talk, lone, x["block"], before, last, x is chain[-1]), strict=True):
+                    for k, v in zip(out, (talk, copies, x["block"], before, last, x is chain[-1]), strict=True):
                         out[k].append(v)
-            kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
 
-    ends = chains.mapInArrow(linked, "talk long, lone boolean, block long, before int, last int, final boolean")
+    ends = chains.mapInArrow(linked, "talk long, copies long, block long, before int, last int, final boolean")
     joined = blocks.join(ends, key).select(*key, "messages", "before", "last", "final")
 
     def pieces(batches):
         """Turns of a block; open: the lines before its first head (at -1), or a last turn that may go on."""
         model = shared.value
         names = [x.split()[0] for x in _PIECE.split(", ")]
-        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.string(), pa.string()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.string(), pa.string()]
         for batch in batches:
             out = {k: [] for k in names}
             for *at, messages, before, last, final in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 lines, of, places = _lines(messages)
-                path = model.decode(model.shown(lines), before, last, block_heads)
+                path = model.decode(model.shown(lines), before, last)
                 heads = [i for i, s in enumerate(path) if _FIRST[s]]
                 for lo, hi in zip([0, *heads], [*heads, len(path)], strict=True):
                     if lo == hi:
@@ -271,14 +294,15 @@ def parse(messages: DataFrame, model: Model, block_heads: bool = True) -> DataFr
                                               pa.array(text, pa.string()), pa.array(full, pa.string())],
                                              names=["conv_id", "turn", "line", "role", "text", "rendered"])
 
-    conv = F.when(~F.col("lone"), F.col("talk")).alias("conv_id")
-    return found.select(conv, "turn", "line", "role", "text").mapInArrow(
+    conv = F.when(F.col("copies") == 0, F.col("talk")).alias("conv_id")
+    each = F.explode(F.sequence(F.lit(1), F.greatest("copies", F.lit(1))))
+    return found.select(conv, "turn", "line", "role", "text", each).drop("col").mapInArrow(
         rendered, "conv_id long, turn long, line int, role string, text string, rendered string")
 
 
 def _put_together(parts: DataFrame) -> DataFrame:
     """Open pieces as turns: lines before a block's first head belong to the last head of an earlier block."""
-    cut = F.floor(F.col("block") / SLICE).alias("cut")
+    cut = F.floor(F.col("block") / (SLICE << _PARTS)).alias("cut")
     heads = (parts.groupBy(*_TALK, "block").agg(F.max(F.when(F.col("at") >= 0, F.col("block"))).alias("head"))
              .select("*", cut))
     near = Window.partitionBy(*_TALK, "cut").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -312,4 +336,4 @@ def transcripts(conversations: DataFrame) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     messages = transcripts(C.read_documents(spark, sf_dir, "conversations"))
-    return parse(messages.drop("role"), learn(messages), block_heads=False)
+    return parse(messages.drop("role"), learn(messages))
