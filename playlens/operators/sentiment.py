@@ -8,7 +8,7 @@ being shipped whole to one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -50,6 +50,70 @@ def posts_in_window(posts: DataFrame, as_of: str | Column, days: int = C.POSTS_W
     return posts.where((F.col(ts) >= lo) & (F.col(ts) <= hi))
 
 
+def posts_before(rows: DataFrame, posts: DataFrame, until: str, key: str = "id",
+                 post_key: str = "game_id", days: int = C.POSTS_WINDOW_DAYS,
+                 scored: int = C.POSTS_SCORED, ts: str = "posted_at") -> DataFrame:
+    """``(game_id, until, post_volume, reddit_score, reddit_label)`` of each
+    distinct game and time of ``rows``: the posts of the ``days`` days up to
+    that time, both ends included, and the mean over the first of them.
+
+    Posts that have a rank meet the windows by game and bucket of ``days`` days
+    (a window touches two).  Posts in time order need no pairs: they are
+    numbered and summed up once, a window looks up where it begins and ends,
+    and the sum at its last scored post comes by (game, number).  A row without
+    a time has no window."""
+    windows = (rows.where(F.col(until).isNotNull())
+               .select(F.col(key).cast(posts.schema[post_key].dataType).alias("_g"), F.col(until).alias("_until")).distinct())
+    if "rank" in posts.columns:
+        found = _ranked_before(windows, posts, post_key, days, scored, ts)
+    else:
+        found = _timed_before(windows, posts, post_key, days, scored, ts)
+    score = F.coalesce(F.col("reddit_score"), F.lit(0.0))
+    return found.select(F.col("_g").alias("game_id"), F.col("_until").alias("until"), "post_volume",
+                        score.alias("reddit_score"), X.label(score).alias("reddit_label"))
+
+
+def _ranked_before(windows: DataFrame, posts: DataFrame, post_key: str, days: int, scored: int, ts: str) -> DataFrame:
+    span = days * C.SECONDS_PER_DAY
+    number = F.floor(F.unix_seconds("_until") / span)
+    dealt = windows.withColumn("_bucket", F.explode(F.array(number - 1, number)))
+    p = posts.withColumn("_bucket", F.floor(F.unix_seconds(ts) / span)).withColumnRenamed(post_key, "_g")
+    met = posts_in_window(p.join(dealt, ["_g", "_bucket"]), F.col("_until"), days, ts)
+    return post_sentiment(met.withColumn("_w", F.struct("_g", "_until")), "_w", scored).select(
+        "_w.*", "post_volume", "reddit_score")
+
+
+def _timed_before(windows: DataFrame, posts: DataFrame, post_key: str, days: int, scored: int, ts: str) -> DataFrame:
+    lo = F.col("_until") - F.make_interval(days=F.lit(days))
+    exact = "decimal(18, 9)"                               # differences of sums must not lose digits
+    none = [F.lit(None).cast(posts.schema["event_id"].dataType).alias("event_id"), F.lit(0).alias("_one"), F.lit(0).cast(exact).alias("_s")]
+    # at equal times: a window's begin, the posts, a window's end
+    marks = windows.select("_g", F.explode(F.array(
+        F.struct(lo.alias("_t"), F.lit(0).alias("_kind")), F.struct(F.col("_until").alias("_t"), F.lit(2).alias("_kind")))).alias("m"),
+        "_until", *none).select("_g", "m.*", "_until", "event_id", "_one", "_s")
+    timed = posts.where(F.col(ts).isNotNull()).select(
+        F.col(post_key).alias("_g"), F.col(ts).alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast("timestamp").alias("_until"),
+        "event_id", F.lit(1).alias("_one"), F.coalesce(X.post_sentiment("title", "score"), F.lit(0.0)).cast(exact).alias("_s"))
+    # running counts and sums within a game's day, then those of its days before
+    every = timed.unionByName(marks).withColumn("_day", F.floor(F.unix_seconds("_t") / C.SECONDS_PER_DAY))
+    inner = Window.partitionBy("_g", "_day").orderBy("_t", "_kind", "event_id", "_s").rowsBetween(Window.unboundedPreceding, 0)
+    local = every.withColumns({"_n": F.sum("_one").over(inner), "_sum": F.sum("_s").over(inner)})
+    before = Window.partitionBy("_g").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    totals = every.groupBy("_g", "_day").agg(F.sum("_one").alias("_n"), F.sum("_s").alias("_sum"))
+    offsets = totals.select("_g", "_day", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
+                            F.coalesce(F.sum("_sum").over(before), F.lit(0).cast(exact)).alias("_sum0"))
+    run = local.join(offsets, ["_g", "_day"]).select(
+        "_g", "_kind", "_until", (F.col("_n") + F.col("_n0")).alias("_n"), (F.col("_sum") + F.col("_sum0")).alias("_sum"))
+    begin, end = F.col("_kind") == 0, F.col("_kind") == 2
+    edges = run.where("_kind != 1").groupBy("_g", "_until").agg(
+        F.max(F.when(begin, F.col("_n"))).alias("_first"), F.max_by("_sum", F.when(begin, 1)).alias("_sum_first"),
+        F.max(F.when(end, F.col("_n"))).alias("_end"))
+    edges = edges.where("_end > _first").withColumn("_n", F.least(F.col("_first") + scored, F.col("_end")))
+    mean = (F.col("_sum") - F.col("_sum_first")).cast("double") / (F.col("_n") - F.col("_first"))
+    return edges.join(run.where("_kind = 1").select("_g", "_n", "_sum"), ["_g", "_n"]).select(
+        "_g", "_until", (F.col("_end") - F.col("_first")).cast("int").alias("post_volume"), X.rescale(mean).alias("reddit_score"))
+
+
 def posts_last_month(games: DataFrame, posts: DataFrame, as_of: str,
                      key: str = "id", post_key: str = "game_id") -> DataFrame:
     """Games left-joined to their posts of the last month: the window comes
@@ -94,7 +158,8 @@ def with_community_sentiment(games: DataFrame, posts: DataFrame,
                              posts_available: bool = True,
                              zero_is_missing: bool = True,
                              restrict_sources: bool = False,
-                             posts_as_of: str | Column | None = None) -> DataFrame:
+                             posts_as_of: str | Column | None = None,
+                             posts_until: str | None = None) -> DataFrame:
     """Blend posts (0.4), review page (0.3) and native engagement (0.3) into
     ``community_sentiment_score/label``, ``community_data_volume`` and
     ``sentiment_source``.
@@ -107,6 +172,8 @@ def with_community_sentiment(games: DataFrame, posts: DataFrame,
     AQE measures the key set small) before aggregating, instead of
     re-aggregating the whole source tables per batch.
     ``posts_as_of``: only posts of the month before this instant count.
+    ``posts_until``: a timestamp column of ``games``; posts of the month before
+    each row's own time count.
     """
     if posts_as_of is not None:
         posts = posts_in_window(posts, posts_as_of)
@@ -115,16 +182,21 @@ def with_community_sentiment(games: DataFrame, posts: DataFrame,
         posts = posts.join(keys, posts["game_id"] == keys["_gk"], "left_semi")
         slugs = games.select(X.name_slug("name").alias("_gs")).distinct()
         reviews = reviews.join(slugs, reviews["slug"] == slugs["_gs"], "left_semi")
-    return blend_sources(games, post_sentiment(posts), review_scores(reviews), key,
-                         posts_available, zero_is_missing)
+    scores = post_sentiment(posts) if posts_until is None else posts_before(games, posts, posts_until, key)
+    return blend_sources(games, scores, review_scores(reviews), key,
+                         posts_available, zero_is_missing, posts_until)
 
 
 def blend_sources(games: DataFrame, post_scores: DataFrame, review_table: DataFrame,
                   key: str = "id", posts_available: bool = True,
-                  zero_is_missing: bool = True) -> DataFrame:
-    """The blend over pre-aggregated sources (one row per game / per slug)."""
-    ps = post_scores.withColumnRenamed("game_id", "_pk")
-    g = games.join(ps, games[key] == ps["_pk"], "left").drop("_pk")
+                  zero_is_missing: bool = True, posts_until: str | None = None) -> DataFrame:
+    """The blend over pre-aggregated sources (one row per game / per slug; with
+    ``posts_until``, per game and time)."""
+    ps = post_scores.withColumnsRenamed({"game_id": "_pk", "until": "_pu"})
+    same = games[key] == ps["_pk"]
+    if posts_until is not None:
+        same = same & (games[posts_until] == ps["_pu"])
+    g = games.join(ps, same, "left").drop("_pk", "_pu")
     r = review_table.withColumnRenamed("slug", "_slug")
     g = g.withColumn("_slug", X.name_slug("name")).join(r, "_slug", "left").drop("_slug")
     if posts_available:

@@ -102,6 +102,18 @@ SELECT g.id, coalesce(m.post_volume, 0) AS month_post_volume,
   {r6(f'coalesce(m.reddit_score, {D(0.0)})')} AS month_reddit_score
 FROM games g LEFT JOIN month_agg m ON g.id = m.game_id""", "games", "month_agg")
 
+ORACLES["posts_month_by_row"] = sql("""
+SELECT r.event_id, r.game_id, coalesce(m.v, 0) AS month_post_volume,
+  round(coalesce((m.a + 1.0::DOUBLE) * 50.0::DOUBLE, 0.0::DOUBLE), 6) AS month_reddit_score
+FROM post_rows r LEFT JOIN (
+  SELECT game_id, until, CAST(count(*) AS INTEGER) AS v, avg(CASE WHEN nth <= 50 THEN s END) AS a
+  FROM (SELECT w.game_id, w.until, p.s,
+          row_number() OVER (PARTITION BY w.game_id, w.until ORDER BY p.posted_at, p.event_id) AS nth
+        FROM (SELECT DISTINCT game_id, posted_at AS until FROM post_rows) w
+        JOIN post_rows p ON p.game_id = w.game_id
+          AND p.posted_at >= w.until - INTERVAL 30 DAY AND p.posted_at <= w.until)
+  GROUP BY game_id, until) m ON r.game_id = m.game_id AND r.posted_at = m.until""", "post_rows")
+
 
 # ---------------------------------------------------------------- selections
 RECENT_BOUND = C.AS_OF_EPOCH - C.RECENT_WINDOW_DAYS * C.SECONDS_PER_DAY

@@ -252,6 +252,16 @@ def posts_last_month(spark, sf):
                     r6("month_reddit_score").alias("month_reddit_score"))
 
 
+@register
+def posts_month_by_row(spark, sf):
+    """Each post as a record with its own time: the month of posts up to it."""
+    posts = fx.posts(spark, sf)
+    rows = posts.select("event_id", "game_id", F.col("posted_at").alias("until"))
+    return rows.join(sent.posts_before(rows, posts, "until", "game_id"), ["game_id", "until"], "left").select(
+        "event_id", "game_id", F.coalesce("post_volume", F.lit(0)).alias("month_post_volume"),
+        r6(F.coalesce("reddit_score", F.lit(0.0))).alias("month_reddit_score"))
+
+
 # ---------------------------------------------------------------- selections
 
 
