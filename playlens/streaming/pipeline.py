@@ -29,7 +29,7 @@ from ..sinks.snapshots import Snapshots
 from ..sources.stream import decode_ok, decoded, parse
 from .memo_state import with_anchors
 
-#: ``posts_as_of``: the month of posts ends at the latest envelope time of each micro-batch.
+#: ``posts_as_of``: the month of posts ends at each message's own envelope time.
 ENVELOPE_TIME = "envelope"
 #: A source table, or a function that reads it anew for each micro-batch.
 Source = DataFrame | Callable[[], DataFrame]
@@ -46,11 +46,11 @@ def _read(source: Source) -> DataFrame:
     return source if isinstance(source, DataFrame) else source()
 
 
-def _window_end(games: DataFrame, posts_as_of: str | None) -> str | Column | None:
-    """Where the month of posts ends for a micro-batch; the latest time is found within the plan."""
+def _window_end(games: DataFrame, posts_as_of: str | None) -> tuple[DataFrame, dict]:
+    """The rows, and where their month of posts ends: at one instant, or at each row's own time."""
     if posts_as_of != ENVELOPE_TIME:
-        return posts_as_of
-    return games.agg(F.max(F.to_timestamp("timestamp"))).scalar()
+        return games, {"posts_as_of": posts_as_of}
+    return games.withColumn("_until", F.to_timestamp("timestamp")), {"posts_until": "_until"}
 
 
 def _load_id(batch_df: DataFrame) -> str:
@@ -73,9 +73,9 @@ def batch_writer(posts: Source, reviews: Source, sink_path: str,
         # it once (a bounded micro-batch) instead of re-reading the source
         games = decoded(batch_df).persist()
         try:
-            docs = enrich_documents(games, _read(posts), _read(reviews), batch_id, as_of, models,
-                                    restrict_sources=True,
-                                    posts_as_of=_window_end(games, posts_as_of))
+            rows, window = _window_end(games, posts_as_of)
+            docs = enrich_documents(rows, _read(posts), _read(reviews), batch_id, as_of, models,
+                                    restrict_sources=True, **window)
             write_documents(docs, sink_path, load_id=_load_id(batch_df))
         finally:
             games.unpersist()
@@ -124,11 +124,10 @@ def memo_writer(posts: Source, reviews: Source, sink_path: str, values_path: str
         before = store.state(batch_id - 1)
         games = batch_df.persist()
         try:
-            window = _window_end(games, posts_as_of)
-
             def scored(rows: DataFrame) -> DataFrame:
+                rows, window = _window_end(rows, posts_as_of)
                 return with_community_sentiment(rows, _read(posts), _read(reviews), restrict_sources=True,
-                                                posts_as_of=window)
+                                                **window).drop("_until")
 
             gated = games.where(F.col("_memo_key").isNotNull())
             low, newest, latest = gated.agg(F.min("_memo_at"), F.max(F.when(F.col("_memo_new"), F.col("_memo_at"))),
@@ -191,8 +190,8 @@ def start_enrichment(envelope: DataFrame, posts: Source, reviews: Source,
     bucket in keyed streaming state (T3) before the per-batch sink;
     ``memo_watermark`` (e.g. ``"10 minutes"``) evicts expired keys.
 
-    Posts of the month before ``posts_as_of`` count: by default the latest
-    envelope time of each micro-batch, else a fixed instant, or all with None.
+    Posts of the month before ``posts_as_of`` count: by default each message's
+    own envelope time, else a fixed instant, or all with None.
     ``posts`` and ``reviews`` may be functions; they are called for each
     micro-batch, so that files added since are read."""
     if not checkpoint:
