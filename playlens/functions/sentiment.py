@@ -82,21 +82,62 @@ def name_slug(name="name") -> Column:
     return F.translate(F.lower(_c(name)), " :", "-")
 
 
-# First <div> whose class list holds the user-score token, then the text of
-# the first <span> inside it.  Between them any tag may appear except the
-# closing </div> (a div without its own span gives null; nested divs are not
-# balanced).  The skip is an unrolled loop, "[^<]*(?:<(?!...)[^<]*)*", so the
-# regex engine never recurses per character on long pages.
-REVIEW_DIV = r'<div[^>]*class="[^"]*\b' + C.REVIEW_SCORE_CLASS + r'\b[^"]*"[^>]*>'
-REVIEW_SCORE_PATTERN = (REVIEW_DIV + r'[^<]*(?:<(?!/div\b|span\b)[^<]*)*'
-                        r'<span[^>]*>([^<]*)</span>')
+# Comments, scripts and styles hold no tags; one left open reaches to the end of the page.
+REVIEW_OPAQUE = (r'(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)'
+                 r'|<style\b.*?(?:</style\s*>|\z)')
+# First <div> whose class list holds the user-score token.
+REVIEW_DIV = (r'(?i)<div(?:\s[^>]*)?\sclass="(?:[^"]*\s)?' + C.REVIEW_SCORE_CLASS
+              + r'(?:\s[^"]*)?"[^>]*>')
+
+
+def _first_span(tags: Column) -> Column:
+    """Text of the first ``<span>`` inside the element whose content starts at
+    ``tags`` (each a tag without its ``<``, and the text behind it).
+
+    One fold over the tags carries the depth of divs (0: the element is closed)
+    and, from the first span on, that of spans. A span also ends with the div
+    around it. It finds the span's ends only; its text is put together once."""
+    def step(s, tag):
+        name = F.lower(F.regexp_extract(tag, r'^/?[^\s/>]*', 0))
+        alone = tag.rlike(r'^[^>]*/>')
+        div = F.when(name == "/div", -1).when((name == "div") & ~alone, 1).otherwise(0)
+        span = F.when(name == "/span", -1).when((name == "span") & ~alone, 1).otherwise(0)
+        found = s["first"].isNotNull()
+        begins = ~found & (name == "span")
+        depth, spans = s["depth"] + div, F.when(found, s["spans"]).otherwise(0) + span
+        ends = (found & ((spans <= 0) | (depth < s["around"]))) | (begins & alone)
+        after = F.struct(
+            (s["at"] + 1).alias("at"), depth.alias("depth"), spans.alias("spans"),
+            F.when(begins, s["at"]).otherwise(s["first"]).alias("first"),
+            F.when(begins, s["depth"]).otherwise(s["around"]).alias("around"),
+            (ends | (~found & (depth <= 0))).alias("done"),
+            F.when(ends, s["at"]).otherwise(s["last"]).alias("last"))
+        return F.when(s["done"], s).otherwise(after)
+
+    none = F.lit(None).cast("int")
+    start = F.struct(F.lit(1).alias("at"), F.lit(1).alias("depth"), F.lit(0).alias("spans"),
+                     none.alias("first"), none.alias("around"), F.lit(False).alias("done"),
+                     none.alias("last"))
+
+    def text(s):
+        inside = F.slice(tags, s["first"], F.coalesce(s["last"], F.size(tags) + 1) - s["first"])
+        return F.array_join(F.transform(inside, lambda t: F.regexp_replace(t, r'^[^>]*>?', "")), "")
+
+    return F.aggregate(tags, start, step, lambda s: F.when(s["first"].isNotNull(), text(s)))
 
 
 def review_user_score(html="html") -> Column:
-    """User score on the page x 10, null when absent or not a number."""
-    txt = F.regexp_replace(F.regexp_extract(_c(html), REVIEW_SCORE_PATTERN, 1),
-                           r"^\s+|\s+$", "")
-    return (txt.try_cast("double") * C.REVIEW_SCALE)
+    """User score on the page x 10, null when absent or not a number.
+
+    Tags are balanced: the span may lie in an inner div, after closed inner
+    divs, and may hold tags itself; a span behind the closed element is not its own."""
+    page = F.regexp_replace(_c(html), REVIEW_OPAQUE, "")
+    inside = F.get(F.split(page, REVIEW_DIV, 2), F.lit(1))
+    # bound to a lambda variable, so that the page is cut once
+    text = F.transform(F.array(F.split(inside, r'<(?=[a-zA-Z/])')),
+                       lambda parts: _first_span(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))))
+    txt = F.regexp_replace(F.get(text, F.lit(0)), r"^\s+|\s+$", "")
+    return txt.try_cast("double") * C.REVIEW_SCALE
 
 
 def blend(scores: list[Column], weights: list[float]) -> Column:

@@ -11,10 +11,10 @@ from __future__ import annotations
 from .. import constants as C
 from ..sources.fixtures import (POST_TITLE_OTHER, POST_TITLES,
                                 REVIEW_BLOCK_NO_SPAN, REVIEW_BLOCK_TEXT)
-from ..functions.sentiment import REVIEW_DIV
 
 # RE2 has no look-ahead: the oracle skips text and opening tags other than
 # <s...> and stops at any closing tag (equal on the fixture pages).
+REVIEW_DIV = r'<div[^>]*class="[^"]*\bc-siteReviewScore_user\b[^"]*"[^>]*>'
 REVIEW_SCORE_PATTERN_RE2 = REVIEW_DIV + r'[^<]*(?:<[^/s][^<]*)*<span[^>]*>([^<]*)</span>'
 
 AS_OF = C.AS_OF_EPOCH

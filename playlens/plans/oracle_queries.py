@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .. import constants as C
+from ..sources.fixtures import NESTED_BLOCKS, NESTED_FILLER, NESTED_LONG_PAGE
 from .oracle import D, joined, q, sql
 
 ORACLES: dict[str, str] = {}
@@ -92,6 +93,53 @@ SELECT g.id, {r6('ra.metacritic_score')} AS metacritic_score, ra.metacritic_labe
 FROM games g LEFT JOIN review_agg ra ON translate(lower(g.name), ' :', '-') = ra.slug""",
                               "games", "review_agg")
 
+_NESTED = " ".join(
+    f"WHEN page_id % 8 = {k} THEN {q(before)} || CAST(CAST(page_id % 100 AS DOUBLE) / 10 AS VARCHAR) || {q(after)}"
+    for k, (before, after) in enumerate(NESTED_BLOCKS[:-1]))
+
+# Depths as running sums over the tags, the ends as least places, instead of a fold.
+ORACLES["review_score_nested"] = f"""
+WITH page AS (
+  SELECT page_id, regexp_replace(html || CASE {_NESTED}
+      ELSE {q(NESTED_BLOCKS[-1][0])}
+        || repeat({q(NESTED_FILLER)}, CASE WHEN page_id = {NESTED_LONG_PAGE} THEN 50000 ELSE 50 END)
+        || '<span>' || CAST(CAST(page_id % 100 AS DOUBLE) / 10 AS VARCHAR) || '</span>'
+        || {q(NESTED_BLOCKS[-1][1])} END,
+    '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'g') AS html
+  FROM pages),
+cut AS (
+  SELECT page_id, regexp_extract_all(regexp_extract(html,
+      '(?s)<div [^>]*class="(?:[^"]* )?c-siteReviewScore_user(?: [^"]*)?"[^>]*>(.*)$', 1),
+    '<[a-zA-Z/][^<]*(?:<[^a-zA-Z/][^<]*)*') AS tags
+  FROM page),
+tag AS (
+  SELECT page_id, unnest(tags) AS t, generate_subscripts(tags, 1) AS i FROM cut),
+named AS (
+  SELECT page_id, i, regexp_replace(t, '^<[^>]*>', '') AS body,
+    lower(regexp_extract(t, '^<(/?[a-zA-Z]+)', 1)) AS name,
+    regexp_matches(t, '^<[^>]*/>') AS alone FROM tag),
+depth AS (
+  SELECT *,
+    1 + sum(CASE WHEN name = '/div' THEN -1 WHEN name = 'div' AND NOT alone THEN 1 ELSE 0 END)
+      OVER (PARTITION BY page_id ORDER BY i) AS divs,
+    sum(CASE WHEN name = '/span' THEN -1 WHEN name = 'span' AND NOT alone THEN 1 ELSE 0 END)
+      OVER (PARTITION BY page_id ORDER BY i) AS spans FROM named),
+closed AS (SELECT page_id, min(CASE WHEN divs <= 0 THEN i END) AS e FROM depth GROUP BY 1),
+span AS (
+  SELECT page_id, min_by(divs, i) AS divs, min_by(spans, i) AS spans, min_by(alone, i) AS alone, min(i) AS b
+  FROM depth JOIN closed USING (page_id) WHERE name = 'span' AND (e IS NULL OR i < e) GROUP BY 1),
+ended AS (
+  SELECT s.page_id, s.b, CASE WHEN any_value(s.alone) THEN s.b ELSE
+    min(CASE WHEN d.i > s.b AND (d.spans < s.spans OR d.divs < s.divs) THEN d.i END) END AS e
+  FROM span s JOIN depth d USING (page_id) GROUP BY s.page_id, s.b),
+score AS (
+  SELECT page_id, TRY_CAST(trim(string_agg(body, '' ORDER BY i)) AS DOUBLE) * 10 AS score
+  FROM ended JOIN depth USING (page_id) WHERE i >= b AND (e IS NULL OR i < e) GROUP BY 1)
+SELECT page_id, round(score, 6) AS user_score,
+  CASE WHEN score >= 75 THEN 'positive' WHEN score >= 50 THEN 'neutral'
+       WHEN score IS NOT NULL THEN 'negative' END AS user_label
+FROM pages LEFT JOIN score USING (page_id)"""
+
 ORACLES["community_sentiment"] = sql(f"""
 SELECT id, {r6('community_sentiment_score')} AS community_sentiment_score,
   community_sentiment_label, community_data_volume, sentiment_source

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import scores as S
+from ..functions import sentiment as X
 from ..functions.sentiment import memo_key
 from ..functions.sql_functions import register_sql_functions
 from ..operators import dimensions as dims_op
@@ -237,6 +238,14 @@ def review_score(spark, sf):
                     "metacritic_label")
 
 
+@register
+def review_score_nested(spark, sf):
+    """User scores of pages whose score block holds nested tags (one of them over 10 MB)."""
+    g = fx.nested_reviews(spark, sf).select("page_id", X.review_user_score().alias("score"))
+    return g.select("page_id", r6("score").alias("user_score"),
+                    X.review_label("score").alias("user_label"))
+
+
 @register
 def community_sentiment(spark, sf):
     g = community_games(spark, sf)

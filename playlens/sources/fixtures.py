@@ -172,6 +172,39 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
                      out.alias("html"))
 
 
+_USER = '<div class="big c-siteReviewScore_user g-text">'
+#: Score blocks by ``page_id % 8`` (text before and after the score); the last is padded by inner divs.
+NESTED_BLOCKS = [
+    (_USER + '<div class="a"><div>n</div></div><span> ', ' </span></div>'),
+    (_USER + '<div><p>tbd</p></div></div><span>', '</span>'),
+    (_USER + '<div>a</div><div><span><b>', '</b></span></div></div><span>1</span>'),
+    (_USER + '<!-- <span>9</span> --><script>var a="</div><span>8</span>";</script><span>', '</span></div>'),
+    (_USER + '<span>', '<span>5</span></span></div>'),
+    ('<div class="c-siteReviewScore_user-old"><span>', '</span></div>'),
+    (_USER + '<div><SPAN class="s">', '</div><p>9</p></div>'),
+    (_USER + '<br/>', '<span/></div>'),
+]
+NESTED_FILLER = "<div>" + "a < b, " * 30 + "</div>"
+NESTED_LONG_PAGE = 15          # its block is over 10 MB; the others of the last kind have 50 inner divs
+
+
+def nested_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Review pages ``(page_id, html)`` whose score block holds nested tags, by
+    a rule on ``page_id`` (see ``NESTED_BLOCKS``)."""
+    pg = read_table(spark, sf_dir, "pages").select("page_id", "html")
+    pid, html = F.col("page_id"), F.col("html")
+    score_txt = ((pid % 100).cast("double") / 10).cast("string")
+    out = None
+    for k, (before, after) in enumerate(NESTED_BLOCKS[:-1]):
+        block = F.concat(html, F.lit(before), score_txt, F.lit(after))
+        out = F.when(pid % 8 == k, block) if out is None else out.when(pid % 8 == k, block)
+    before, after = NESTED_BLOCKS[-1]
+    n = F.when(pid == NESTED_LONG_PAGE, 50_000).otherwise(50)
+    padded = F.concat(html, F.lit(before), F.repeat(F.lit(NESTED_FILLER), n), F.lit("<span>"),
+                      score_txt, F.lit("</span>" + after))
+    return pg.select("page_id", out.otherwise(padded).alias("html"))
+
+
 DIMENSIONS = {
     "genres": C.DIM_GENRES,
     "platforms": C.DIM_PLATFORMS,

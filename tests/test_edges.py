@@ -119,6 +119,31 @@ def test_review_extraction(spark):
     assert [g[0] for g in got] == [75.0, None, None, 80.0, None]
 
 
+def test_review_tags_are_balanced(spark):
+    user = '<div class="c-siteReviewScore_user">'
+    cases = [
+        (user + '<div><div>n</div></div><span>7</span></div>', 70.0),
+        (user + '<div>n</div></div><span>7</span>', None),            # behind the element
+        (user + '</div>' + user + '<span>7</span></div>', None),      # only the first element counts
+        (user + '<span><b>7</b>.<i>5</i></span></div>', 75.0),
+        (user + '<span>7<span>.</span>5</span><span>1</span></div>', 75.0),
+        (user + '<div><span>7</div>9</div>', 70.0),                   # ends with the div around it
+        (user + '<span>7', 70.0),                                     # page ends within
+        (user + '<span/><span>7</span></div>', None),
+        (user + '<div/><span>7</span></div>', 70.0),
+        (user + '<!-- </div><span>1</span> --><span>7</span></div>', 70.0),
+        (user + '<!-- <span>7</span></div>', None),                   # comment left open
+        ('<script>' + user + '<span>1</span></div></script>' + user + '<span>7</span></div>', 70.0),
+        ('<div class="c-siteReviewScore_user-old"><span>7</span></div>', None),
+        ("<DIV id='a' class=\"x c-siteReviewScore_user\"><SPAN>7</SPAN></DIV>", 70.0),
+        (user + 'a < b <spanner>1</spanner><span> 7 </span></div>', 70.0),
+        (user, None), ("", None), (None, None),
+        (user + "<div>x</div>" * 50_000 + "<span>7</span></div>", 70.0),
+    ]
+    got = one(spark, [(p,) for p, _ in cases], "html string", X.review_user_score("html"))
+    assert [g[0] for g in got] == [want for _, want in cases]
+
+
 def test_slug(spark):
     got = one(spark, [("Zelda: Breath of the Wild",)], "n string", X.name_slug("n"))
     assert got == [("zelda-breath-of-the-wild",)]
