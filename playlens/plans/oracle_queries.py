@@ -432,6 +432,19 @@ ORACLES["linear_residuals"] = "SELECT " + ", ".join(
 ORACLES["forest_ranges"] = ("SELECT CAST(0 AS BIGINT) AS outside_rating_count, "
                             "CAST(0 AS BIGINT) AS outside_longevity")
 
+ORACLES["tree_values"] = sql("""
+SELECT model, CAST(count(*) AS BIGINT) AS scored, CAST(0 AS BIGINT) AS differing
+FROM history, (VALUES ('rating'), ('rating_base'), ('rating_count'), ('longevity')) m(model)
+GROUP BY model""", "history")
+ORACLES["tree_leaves"] = sql("""
+SELECT model, CAST(count(*) AS BIGINT) AS reached, CAST(0 AS BIGINT) AS differing
+FROM history, (VALUES ('rating'), ('rating_base')) m(model)
+WHERE rating IS NOT NULL GROUP BY model""", "history")
+ORACLES["logistic_values"] = sql(f"""
+SELECT CAST(count(*) AS BIGINT) AS scored, CAST(0 AS BIGINT) AS differing,
+  CAST(count(success_level) AS BIGINT) AS trained_on, {D(0.0)} AS loss_apart
+FROM history""", "history")
+
 ORACLES["sentiment_memo_by_key"] = sql(f"""
 SELECT event_id, k, t, anchor_t AS memo_at, round(memo, 6) AS memo_score FROM r""", "gm").replace(
     "WITH ", "WITH RECURSIVE ", 1).replace("\nSELECT event_id, k, t, anchor_t", f""",

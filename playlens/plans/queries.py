@@ -24,6 +24,7 @@ from ..functions.sentiment import memo_key
 from ..functions.sql_functions import register_sql_functions
 from ..operators import dimensions as dims_op
 from ..operators import enrich, ml
+from ..operators import model_values as mv
 from ..operators import selection as sel
 from ..operators import sentiment as sent
 from ..operators.memo import ttl_memo
@@ -630,6 +631,66 @@ def forest_ranges(spark, sf):
     return g.agg(*[F.count_if(outside(s)).cast("long").alias(f"outside_{s.name}") for s in specs])
 
 
+def _differ(a, b):
+    """Null on one side, or apart by more than rounding."""
+    a, b = F.col(a), F.col(b)
+    return ~F.coalesce(F.abs(a - b) <= F.greatest(F.abs(a), F.lit(1.0)) * 1e-9, F.lit(False))
+
+
+@register
+def tree_values(spark, sf):
+    """Tree models by value: rows scored, and rows whose prediction differs from
+    the model's exported nodes walked by column expressions (none)."""
+    names = ["rating", "rating_base", "rating_count", "longevity"]
+    models = trained(spark, sf, ml.DEFAULT_MODELS)
+    g = ml.training_frame(history_of(spark, sf))
+    counts = []
+    for name in names:          # columns of one frame: a single pass
+        spec = ml.SPEC_BY_NAME[name]
+        g = mv.score_trees(ml._apply(g, spec, models[name]), mv.tree_nodes(spark, models[name]),
+                           spec.features, f"{name}_by_nodes", mean=spec.kind == "rf")
+        counts.append(F.struct(F.lit(name).alias("model"), F.count(spec.prediction).alias("scored"),
+                               F.count_if(_differ(spec.prediction, f"{name}_by_nodes")).alias("differing")))
+    return g.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
+
+
+@register
+def tree_leaves(spark, sf):
+    """Regression trees by value: the first boosted tree's leaves hold the count and
+    mean of the labels of the training rows that reach them; how many do not (none)."""
+    out = None
+    for name in ("rating", "rating_base"):
+        spec, model = ml.SPEC_BY_NAME[name], trained(spark, sf, ml.DEFAULT_MODELS)[name]
+        rows = ml.training_frame(history_of(spark, sf)).where(spec.row_filter())
+        g = mv.leaf_means(rows, mv.tree_nodes(spark, model), spec.features, spec.label)
+        one = g.agg(F.lit(name).alias("model"), F.sum("seen").alias("reached"),
+                    F.count_if(_differ("value", "mean") | ~F.col("rows").eqNullSafe(F.col("seen")))
+                    .alias("differing"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register
+def logistic_values(spark, sf):
+    """The logistic model by value: rows whose class or probability differs from the
+    softmax of its coefficients (none); training rows, and the distance of their mean
+    log loss from the objective at which the fit stopped (0)."""
+    from pyspark.ml.functions import vector_to_array
+    spec, model = ml.SPEC_BY_NAME["success"], trained(spark, sf, ml.DEFAULT_MODELS)["success"]
+    fitted = model.stages[-1]
+    rows = ml.training_frame(history_of(spark, sf))
+    g = model.transform(rows).select("*", vector_to_array("probability").alias("p"),
+                                     mv.softmax(fitted, spec.features).alias("by_hand"))
+    apart = F.aggregate(F.zip_with("p", "by_hand", lambda a, b: F.abs(a - b)), F.lit(0.0),
+                        lambda most, d: F.greatest(most, d))
+    class_apart = F.get("by_hand", F.col(spec.prediction).cast("int")) < F.array_max("by_hand") - 1e-9
+    loss = F.when(spec.row_filter(), -F.ln(F.get("by_hand", F.col(spec.label).cast("int"))))
+    return g.agg(F.count("*").alias("scored"),
+                 F.count_if(F.coalesce((apart > 1e-9) | class_apart, F.lit(True))).alias("differing"),
+                 F.count(loss).alias("trained_on"),
+                 F.abs(F.round(F.avg(loss) - fitted.summary.objectiveHistory[-1], 6)).alias("loss_apart"))
+
+
 # ---------------------------------------------------------------- TTL memo
 
 
