@@ -16,8 +16,10 @@
 A token is a part of the host, path or query name, with its place; digits do not
 count. The index join names no broadcast: the optimizer takes its measured size.
 Rules are few in any case: a combination needs ``MIN_SUPPORT`` of all labelled
-URLs, and at most ``LONGEST`` tokens. A labelled URL lends its first ``ITEMS``
-tokens (the documented bound of the fit); every URL is matched by all of its own.
+URLs, and at most ``LONGEST`` tokens. A labelled URL lends all its tokens, and
+every URL is matched by all of its own. Where some URL has more than ``WIDTH``
+frequent tokens, whose combinations FP-growth would all make, the same rules are
+mined by size instead, each size from the one before.
 
 Edge cases: a null URL, or one without ``://``, has an empty host and path, fits
 no rule and has no tokens: allowed. Ports and user names stay part of the host,
@@ -29,6 +31,8 @@ read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,9 +42,9 @@ from playlens.llm import common as C
 #: (verdict, rule) of the contract: fixed values.
 LISTED = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 MIN_SUPPORT, MIN_CONFIDENCE, LONGEST = 0.01, 0.9, 4
-#: Tokens that a labelled URL lends to the mining, the host's first: so many frequent tokens together make
-#: 2 ** ITEMS combinations. It bounds what is learned from; matching sees all tokens.
-ITEMS = 10
+#: FP-growth makes up to 2 ** WIDTH combinations of the frequent tokens that one URL has; if any URL has
+#: more, the same rules are mined by size.
+WIDTH = 12
 #: Marks the verdict among the items of a transaction; no token begins with it.
 LABEL = "verdict="
 
@@ -87,19 +91,57 @@ def url_tokens(url: Column) -> Column:
         F.transform(F.filter(names, lambda x: x != ""), lambda x: F.concat(F.lit("q:"), x)))))
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-               longest: int = LONGEST) -> DataFrame:
-    """(antecedent, verdict, confidence, support, token) from rows with ``tokens`` and ``verdict``; token is the rarest.
-
-    Every labelled row takes part, each with its first ``ITEMS`` tokens.
-    """
-    items = labelled.select(F.concat(F.slice("tokens", 1, ITEMS), F.array(F.concat(F.lit(LABEL), F.col("verdict")))).alias("items"))
+def _by_fpgrowth(rows: DataFrame, min_support: float, min_confidence: float, longest: int) -> DataFrame:
+    """(antecedent, verdict, confidence, support) by FP-growth over whole transactions."""
+    items = rows.select(F.concat("tokens", F.array(F.concat(F.lit(LABEL), F.col("verdict")))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
     label = F.col("consequent")[0]
     found = (model.associationRules.where(label.startswith(LABEL) & (F.size("antecedent") <= longest))
              .select(F.array_sort("antecedent").alias("antecedent"),
                      F.substring(label, len(LABEL) + 1, 100).alias("verdict"), "confidence", "support"))
-    found = C.cut(found.where(~F.exists("antecedent", lambda x: x.startswith(LABEL))))
+    return found.where(~F.exists("antecedent", lambda x: x.startswith(LABEL)))
+
+
+def _by_size(often: DataFrame, count: int, least: int, min_confidence: float, longest: int) -> DataFrame:
+    """The same rules, mined by size: a combination grows by a later token of its URL, while it is frequent
+    with a verdict and has more than one (with one alone it is as sure as any of its extensions).
+
+    Steps grow with ``longest`` and not with the number of tokens, so any width ends."""
+    sets = often.select("n", "verdict", F.array("token").alias("a"))
+    out = None
+    for size in range(1, longest + 1):
+        sets = C.cut(sets)
+        each = sets.groupBy("a", "verdict").agg(F.count("*").alias("f"))
+        of = C.cut(each.groupBy("a").agg(F.sum("f").alias("all"), F.collect_list(F.struct("verdict", "f")).alias("of"))
+                   .where(F.exists("of", lambda x: x["f"] >= least)))
+        rules = (of.select("a", "all", F.inline("of")).where((F.col("f") >= least) & (F.col("f") / F.col("all") >= min_confidence))
+                 .select(F.col("a").alias("antecedent"), "verdict", (F.col("f") / F.col("all")).alias("confidence"),
+                         (F.col("f") / F.lit(count)).alias("support")))
+        out = rules if out is None else out.union(rules)
+        open_ = of.where(F.size("of") > 1).select("a")
+        if size < longest:
+            sets = (sets.join(open_, "a").join(often.select("n", "token"), "n").where(F.col("token") > F.element_at("a", -1))
+                    .select("n", "verdict", F.concat("a", F.array("token")).alias("a")))
+    return out
+
+
+def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+               longest: int = LONGEST) -> DataFrame:
+    """(antecedent, verdict, confidence, support, token) from rows with ``tokens`` and ``verdict``; token is the rarest.
+
+    Every labelled row takes part, with all its tokens.
+    """
+    rows = C.cut(labelled.select(F.monotonically_increasing_id().alias("n"), "tokens", "verdict"))
+    count = rows.count()
+    least = math.ceil(min_support * count)
+    tokens = rows.select("n", "verdict", F.explode("tokens").alias("token"))
+    single = C.cut(tokens.groupBy("token").agg(F.count("*").alias("freq")).where(F.col("freq") >= least))
+    often = tokens.join(single.select("token"), "token")
+    width = often.groupBy("n").count().agg(F.max("count")).first()[0] or 0
+    if width <= WIDTH:
+        found = C.cut(_by_fpgrowth(rows, min_support, min_confidence, longest))
+    else:
+        found = C.cut(_by_size(often, count, least, min_confidence, longest))
     # a rule goes if one of fewer of its tokens has its verdict and is as sure: each rule names its sub-combinations
     n = F.size("antecedent")
     masks = F.sequence(F.lit(1), F.pow(F.lit(2), n).cast("int") - 2)
@@ -108,7 +150,6 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
     less = found.select(F.col("antecedent").alias("part"), "verdict", F.col("confidence").alias("sure"))
     worse = (parts.join(less, ["part", "verdict"]).where("sure >= confidence").select("antecedent", "verdict").distinct())
     kept = found.join(worse, ["antecedent", "verdict"], "left_anti")
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     rarest = (kept.select("antecedent", "verdict", F.explode("antecedent").alias("token")).join(single, "token")
               .groupBy("antecedent", "verdict").agg(F.min(F.struct("freq", "token"))["token"].alias("token")))
     return C.cut(kept.join(rarest, ["antecedent", "verdict"]))
