@@ -24,14 +24,21 @@ STORED = StructType([*HISTORY.fields, StructField("processed_timestamp", LongTyp
                      StructField("batch_id", LongType()), StructField("doc_id", StringType())])
 
 
-def newest(docs: DataFrame, key: str = "game_id") -> DataFrame:
-    """One row for each game; combined before the shuffle, so a game with many documents costs each task one."""
+def newest(docs: DataFrame, key: str = "game_id", keep: list[str] | None = None) -> DataFrame:
+    """One row for each game, with the columns ``keep`` (all); combined before the shuffle, so a game with
+    many documents costs each task one."""
     order = F.struct(*[F.coalesce(F.col(c), F.lit("" if c == "doc_id" else -1)).alias(c) for c in ORDER])
-    row = F.struct(*[F.col(c) for c in docs.columns])
+    row = F.struct(*[F.col(c) for c in keep or docs.columns])
     return (docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(row, order).alias("_row"))
             .select("_row.*"))
 
 
+def newest_of_parts(rows: DataFrame, key: str = "game_id", keep: list[str] | None = None) -> DataFrame:
+    """The same of parts that each have a game once: a game has no more rows than there are parts, and nothing
+    is combined before the shuffle, which would sort whole tasks of full rows and ship their order twice."""
+    return newest(rows.repartition(key), key, keep)
+
+
 def stored_form(docs: DataFrame) -> DataFrame:
     """Documents of either writer in the stored form.
 
@@ -48,12 +55,12 @@ def fold_documents(docs: DataFrame, path: str, version: int, most: int = 8) -> N
     before = store.state(version - 1)["parts"]
     parts = [*before, store.write_part(newest(stored_form(docs)), f"delta-{version}")]
     if len(parts) > most:
-        parts = [store.write_part(newest(store.read(parts, STORED)), f"base-{version}")]
+        parts = [store.write_part(newest_of_parts(store.read(parts, STORED)), f"base-{version}")]
     store.commit(version, {"parts": parts})
 
 
 def read_newest(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The newest document of each game in the history's form (HISTORY, filled)."""
     store = Snapshots(spark, path)
-    rows = newest(store.read(store.state(version)["parts"], STORED))
+    rows = newest_of_parts(store.read(store.state(version)["parts"], STORED), keep=HISTORY.names)
     return rows.select(*HISTORY.names).na.fill(C.HISTORY_FILLS)
