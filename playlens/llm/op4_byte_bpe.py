@@ -125,23 +125,31 @@ def _unpacked(payload) -> pa.Array:
 
 
 class _Block:
-    """The words of a block's texts as numbers, the commonest word first, and its documents without their texts."""
+    """The words of a block's texts as numbers, the commonest word first, and its documents without their texts.
+
+    A slice of texts is split and numbered before the next one is read, so that a
+    worker holds each distinct word of a slice once and four bytes for every word.
+    """
 
     def __init__(self, find):
         self.find, self.docs, self.words, self.sizes, self.bytes = find, [], [], [], 0
 
     def add(self, batch: pa.RecordBatch, size: int) -> None:
         """Documents whose last column is the text; ``size`` are its bytes."""
-        found = [self.find(t.as_py()) if t.is_valid else [] for t in batch.column(batch.num_columns - 1)]
+        found = [pa.array(self.find(t.as_py()) if t.is_valid else [], pa.large_string())
+                 for t in batch.column(batch.num_columns - 1)]
         self.sizes += map(len, found)
-        self.words.append(pa.array([w for x in found for w in x], pa.large_string()))
-        self.docs.append(batch.select(range(batch.num_columns - 1)))
+        self.words.append(pa.concat_arrays(found).dictionary_encode())
+        # copied, as a slice would keep the texts beside it
+        self.docs.append(batch.select(range(batch.num_columns - 1)).take(pa.array(np.arange(batch.num_rows))))
         self.bytes += size
 
     def finish(self, number: int) -> pa.RecordBatch:
-        words = pa.concat_arrays(self.words).dictionary_encode()
-        index = words.indices.to_numpy(zero_copy_only=False)
-        common = np.argsort(-np.bincount(index, minlength=len(words.dictionary)), kind="stable")
+        words = pa.chunked_array(self.words).unify_dictionaries()
+        self.words, distinct = [], words.chunk(words.num_chunks - 1).dictionary
+        index = np.concatenate([x.indices.to_numpy(zero_copy_only=False) for x in words.chunks])
+        del words
+        common = np.argsort(-np.bincount(index, minlength=len(distinct)), kind="stable")
         place = np.empty(len(common), np.uint32)
         place[common] = np.arange(len(common))
         numbers = place[index]
@@ -151,7 +159,7 @@ class _Block:
             "block": pa.array([number], pa.int64()), "docs": pa.array([_packed(pa.Table.from_batches(self.docs))], pa.binary()),
             "sizes": pa.array([_packed(pa.array(self.sizes, pa.int64()))], pa.binary()),
             "numbers": pa.array([_packed(numbers)], pa.binary()),
-            "words": pa.array([_packed(words.dictionary.take(pa.array(common)))], pa.binary())})
+            "words": pa.array([_packed(distinct.take(pa.array(common)))], pa.binary())})
 
 
 def _by_bucket(words: list[str], n: int) -> tuple[dict[int, list[int]], list[int]]:
@@ -189,6 +197,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str, finish, schema)
     n = C.chunk_count(docs, text_col, CHUNK_BYTES)
 
     def blocks(batches):
+        C.release_unused()
         first, k, find = TaskContext.get().partitionId() << 32, 0, splitter()
         held = _Block(find)
         for batch in batches:
@@ -201,6 +210,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str, finish, schema)
             yield held.finish(first | k)
 
     def messages(key, table):
+        C.release_unused()
         words = _unpacked(table.column("words")[0])
         buckets, _ = _by_bucket(words.to_pylist(), n)
         sent = [_packed(words.take(pa.array(x))) for x in buckets.values()]
@@ -208,11 +218,13 @@ def encode_documents(docs: DataFrame, path: str, text_col: str, finish, schema)
                          "words": pa.array(sent, pa.binary()), "mark": pa.array([_mark(table.column("words")[0])] * len(sent), pa.int64())})
 
     def distinct(key, table):
+        C.release_unused()
         words = {w for x in table.column("words") for w in _unpacked(x).to_pylist()}
         return pa.table({"bucket": pa.array([key[0].as_py()] * len(words), pa.int32()),
                          "word": pa.array([w.encode().hex() for w in words], pa.string())})
 
     def answers(left, right):
+        C.release_unused()
         known = dict(zip(right.column("raw").to_pylist(), range(right.num_rows), strict=True))
         ids = right.column("ids").combine_chunks().cast(pa.list_(pa.uint16() if small else pa.int32()))
         out = []
@@ -223,7 +235,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str, finish, schema)
                          "mark": left.column("mark")})
 
     def last(left, right):
-        pa.default_memory_pool().release_unused()   # workers live on from group to group
+        C.release_unused()
         words = _unpacked(left.column("words")[0]).to_pylist()
         buckets, long = _by_bucket(words, n)
         if {_mark(left.column("words")[0])} != {*right.column("mark").to_pylist()} and buckets:
