@@ -30,3 +30,8 @@ def test_tasks_grow_with_the_rows(spark):
     cores = spark.sparkContext.defaultParallelism
     assert ml.fit_tasks(spark, 10) == 2 * cores
     assert ml.fit_tasks(spark, 1000 * cores * ml.ROWS_PER_TASK + 1) == 1000 * cores + 1
+
+
+def test_a_pass_over_many_rows_has_few_tasks(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert ml.fit_tasks(spark, 54_000_000) == max(2 * cores, 54)
