@@ -4,8 +4,8 @@ Suffixes are classified as smaller (S) or larger (L) than their right
 neighbour. The leftmost S of each run starts a substring; these substrings are
 sorted by induction and named, the string of names is sorted recursively where
 names repeat, and the order of all suffixes is induced from theirs in linear
-time. Small alphabets are induced bucket by bucket in numpy, large ones (the
-names of the recursion) item by item.
+time. Small alphabets are induced bucket by bucket in numpy; large ones (the
+names of the recursion) are sorted by prefix doubling, all places a round.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ def _deal(items: np.ndarray, chars: np.ndarray, buckets: list[list[np.ndarray]])
         return
     order = np.argsort(chars, kind="stable")
     items, chars = items[order], chars[order]
-    edges = np.flatnonzero(np.diff(chars, prepend=-1, append=-1))
+    edges = [0, *(np.flatnonzero(chars[1:] != chars[:-1]) + 1).tolist(), len(chars)]
     for lo, hi in zip(edges[:-1], edges[1:], strict=True):
         buckets[chars[lo]].append(items[lo:hi])
 
@@ -46,6 +46,7 @@ def _joined(parts: list[np.ndarray]) -> np.ndarray:
 
 
 def _induce_buckets(s, k, is_s, leftmost) -> np.ndarray:
+    s = s.astype(np.int16)              # few symbols: sorted by digits
     seeds: list[list[np.ndarray]] = [[] for _ in range(k)]
     _deal(leftmost, s[leftmost], seeds)
     waiting: list[list[np.ndarray]] = [[] for _ in range(k)]
@@ -80,27 +81,25 @@ def _induce_buckets(s, k, is_s, leftmost) -> np.ndarray:
     return np.concatenate([x for c in range(k) for x in (larger[c], smaller[c])])
 
 
-def _induce_items(s, k, is_s, leftmost) -> np.ndarray:
-    sizes = np.bincount(s, minlength=k)
-    ends = np.cumsum(sizes)
-    tail, head = ends.tolist(), (ends - sizes).tolist()
-    text, small, n = s.tolist(), is_s.tolist(), len(s)
-    out = [-1] * n
-    for i in reversed(leftmost.tolist()):
-        tail[text[i]] -= 1
-        out[tail[text[i]]] = i
-    for j in range(n):
-        i = out[j] - 1
-        if i >= 0 and not small[i]:
-            out[head[text[i]]] = i
-            head[text[i]] += 1
-    tail = ends.tolist()
-    for j in range(n - 1, -1, -1):
-        i = out[j] - 1
-        if i >= 0 and small[i]:
-            tail[text[i]] -= 1
-            out[tail[text[i]]] = i
-    return np.array(out, np.int64)
+def _by_doubling(s: np.ndarray) -> np.ndarray:
+    """Starts of the suffixes in order: places with equal first symbols are told apart by twice as many each round."""
+    n = len(s)
+    order = np.argsort(s)
+    fresh = np.append(True, np.diff(s[order]) != 0)
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))     # the first place of its group
+    live, step = np.flatnonzero(~(fresh & np.append(fresh[1:], True))), 1
+    while len(live):                                # places in groups of two or more
+        at = order[live]
+        key = rank[at] * n + rank[at + step]        # equal so far without the last symbol, which is unique
+        by = np.argsort(key)
+        at, key = at[by], key[by]
+        order[live] = at
+        fresh = np.append(True, np.diff(key) != 0)
+        rank[at] = live[np.maximum.accumulate(np.where(fresh, np.arange(len(live)), 0))]
+        live = live[~(fresh & np.append(fresh[1:], True))]
+        step *= 2
+    return order
 
 
 def _names(s: np.ndarray, starts: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -127,17 +126,18 @@ def suffix_array(s: np.ndarray, k: int | None = None) -> np.ndarray:
     if n < 3:
         return np.arange(n)[::-1].copy()
     k = int(s.max()) + 1 if k is None else k
+    if k > _BUCKETWISE:
+        return _by_doubling(s)
     is_s = smaller_types(s)
     starts = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
-    induce = _induce_buckets if k <= _BUCKETWISE else _induce_items
-    order = induce(s, k, is_s, starts)
+    order = _induce_buckets(s, k, is_s, starts)
     leftmost = np.zeros(n, bool)
     leftmost[starts] = True
     order = order[leftmost[order]]
     names = _names(s, starts, order)
     if names.max() + 1 < len(names):
         order = starts[suffix_array(names)]
-    return induce(s, k, is_s, order)
+    return _induce_buckets(s, k, is_s, order)
 
 
 def permuted_prefixes(s: np.ndarray, order: np.ndarray) -> np.ndarray:

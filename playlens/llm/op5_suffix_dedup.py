@@ -49,8 +49,7 @@ class _Strings:
         self.data, self.at = data, at
         n = len(data)
         hashed = C.RangeHash(C.BYTE_VALUES[data])
-        here = np.arange(max(0, n - seed + 1))
-        seeds = hashed(here, here + seed)
+        seeds = hashed.windows(seed)
         valid = np.ones(len(seeds), bool)
         valid[max(0, n - width + 1):] = False
         change = np.zeros(len(seeds) + 1, np.int32)     # no start in the last width - 1 bytes of a text
@@ -114,7 +113,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def firsts(table):
         f, c, ids, a, row = C.gather(table, f=np.uint64, c=np.uint64, id=np.int64, a=np.int64)
-        order = np.lexsort((a, ids, c, f))
+        order = C.order_by(f, c, ids, a)
         f, c, ids, a, row = f[order], c[order], ids[order], a[order], row[order]
         if not len(f):
             return C.answer(table, row, np.zeros(0, bool), c=c, first=ids, a=a, many=np.zeros(0, bool))
@@ -159,16 +158,19 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         order = suffix_array(s, 258)
         group = np.cumsum(permuted_prefixes(s, order)[order] < width)
         start = np.concatenate([[0], np.cumsum(length + 1)])
-        of = np.minimum(np.searchsorted(start, order, "right") - 1, len(length) - 1)
+        of = np.append(np.repeat(np.arange(len(length)), length + 1), len(length) - 1)[order]
         offset = order - start[of]
         full = (offset + width <= length[of]) & (order < len(s) - 1)
         of, offset, group = of[full], offset[full], group[full]
         place = a[of] + offset
-        best = np.lexsort((place, ids[of], group))
-        of, offset, group, place = of[best], offset[best], group[best], place[best]
-        head = np.flatnonzero(np.diff(group, prepend=-1))
-        lead = np.repeat(head, np.diff(head, append=len(group)))
-        later = (ids[of] != ids[of][lead]) | (place != place[lead])
+        head = np.flatnonzero(np.diff(group, prepend=-1))      # groups lie together: the least of each is first
+        size = np.diff(head, append=len(group))
+        holder = ids[of]
+        later = np.zeros(0, bool)
+        if len(head):
+            later = holder != np.repeat(np.minimum.reduceat(holder, head), size)
+            own = np.where(later, np.iinfo(np.int64).max, place)
+            later |= place != np.repeat(np.minimum.reduceat(own, head), size)
         return C.answer(table, row[of], later, twice=c[of], offset=offset.astype(np.int16))
 
     def last(left, right):
@@ -189,12 +191,12 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             begins[1:] &= ~gone[:-1]
             heads = at[:-1][at[:-1] < len(data)]
             begins[heads] = gone[heads]
-            lost, spans = (np.concatenate([[0], np.cumsum(x, dtype=np.int64)]) for x in (gone, begins))
+            lost, spans = (np.searchsorted(np.flatnonzero(x), at) for x in (gone, begins))
             rows = len(at) - 1
             out["doc_id"].append(table.column("id").slice(row, rows).combine_chunks())
             out["n_bytes"].append(np.diff(at))
-            out["n_removed"].append(np.diff(lost[at]))
-            out["n_spans"].append(np.diff(spans[at]))
+            out["n_removed"].append(np.diff(lost))
+            out["n_spans"].append(np.diff(spans))
             for i in range(rows):
                 kept = data[at[i]: at[i + 1]]
                 if out["n_removed"][-1][i]:
