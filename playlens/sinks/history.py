@@ -56,12 +56,6 @@ def newest(docs: DataFrame, key: str = "game_id", keep: list[str] | None = None)
         _unpacked, StructType([docs.schema[c] for c in names]))
 
 
-def newest_of_parts(rows: DataFrame, key: str = "game_id", keep: list[str] | None = None) -> DataFrame:
-    """The same of parts that each have a game once: a game has no more rows than there are parts, and nothing
-    is combined before the shuffle, which would sort whole tasks of full rows and ship their order twice."""
-    return _grouped(rows.where(F.col(key).isNotNull()).repartition(key), key, keep)
-
-
 def _grouped(rows: DataFrame, key: str, keep: list[str] | None) -> DataFrame:
     """The newest of rows that are dealt by key."""
     row = F.struct(*[F.col(c) for c in keep or rows.columns])
@@ -153,12 +147,12 @@ def fold_documents(docs: DataFrame, path: str, version: int, most: int = 8) -> N
     before = store.state(version - 1)["parts"]
     parts = [*before, store.write_part(newest(stored_form(docs)), f"delta-{version}")]
     if len(parts) > most:
-        parts = [store.write_part(newest_of_parts(store.read(parts, STORED)), f"base-{version}")]
+        parts = [store.write_part(newest(store.read(parts, STORED)), f"base-{version}")]
     store.commit(version, {"parts": parts})
 
 
 def read_newest(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The newest document of each game in the history's form (HISTORY, filled)."""
     store = Snapshots(spark, path)
-    rows = newest_of_parts(store.read(store.state(version)["parts"], STORED), keep=HISTORY.names)
+    rows = newest(store.read(store.state(version)["parts"], STORED), keep=HISTORY.names)
     return rows.select(*HISTORY.names).na.fill(C.HISTORY_FILLS)

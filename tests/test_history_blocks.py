@@ -54,6 +54,18 @@ def test_loads_sort_no_rows(spark):
     assert "Sort" not in plan and plan.count("Exchange hashpartitioning") == 1
 
 
+def test_reads_shuffle_blocks(spark, tmp_path):
+    path = str(tmp_path / "history")
+    for version in range(3):
+        rows = spark.createDataFrame(some_docs(version, 200), COLS.replace("tags", "genres"))
+        H.fold_documents(rows.withColumn("processed_timestamp", H.F.lit(version)), path, version)
+    read = H.read_newest(spark, path)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange hashpartitioning(block" in plan
+    assert sorted(r.game_id for r in read.collect()) == sorted(
+        {r[0] for v in range(3) for r in some_docs(v, 200) if r[0] is not None})
+
+
 def test_a_hot_game_costs_a_task_one_row_a_block(monkeypatch):
     monkeypatch.setattr(H, "PACK_BYTES", 1)                  # every batch is a block
     batches = [pa.RecordBatch.from_pydict({"_block": pa.array([0] * 100, pa.int32()), "_key": [7] * 100,
